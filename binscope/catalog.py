@@ -215,3 +215,358 @@ def q_metrics_report(spark, sf):
 def q_pivot_metrics(spark, sf):
     long = M.metrics_long(fx.scored(spark, sf), ["split"], 0.5)
     return M.pivot_metrics(long, "split", ["test", "train", "valid"])
+
+
+# ============================================================ 2.1 sinks, 2.2 cleaning
+
+from binscope.functions.exprs import NUMERIC_SHAPE, md5_uniform  # noqa: E402
+from binscope.operators import clean as C  # noqa: E402
+from binscope.operators import joins as J  # noqa: E402
+from binscope.operators import profile as A  # noqa: E402
+from binscope.operators import registry as N  # noqa: E402
+from binscope.session import scratch_path  # noqa: E402
+from binscope.sources import parquet as S  # noqa: E402
+
+WIDE_COLS = ["row_id", "amount", "balance", "capital-gain", "constant_col", "mostly_missing",
+             "edge_missing", "num_text", "dirty_text", "money_text", "marital-status", "race",
+             "sex", "income"]
+WIDE_STR = ["num_text", "dirty_text", "money_text", "marital-status", "race", "sex", "income"]
+WIDE_NUM = ["amount", "balance", "capital-gain", "constant_col", "mostly_missing", "edge_missing"]
+
+
+def dq(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def wide_select(over: dict[str, str] | None = None, cols=None) -> str:
+    """Column list of wide_raw with some columns replaced by SQL expressions."""
+    over = over or {}
+    return ", ".join(f"{over[n]} AS {dq(n)}" if n in over else dq(n) for n in (cols or WIDE_COLS))
+
+
+def token_sql(x: str) -> str:
+    return (f"CASE WHEN {x} = '' OR regexp_matches({x}, '-{{2,}}') OR regexp_matches({x}, '\\.{{2,}}') "
+            f"THEN NULL ELSE {x} END")
+
+
+def strict_num_sql(x: str, to: str = "DOUBLE") -> str:
+    return f"CASE WHEN regexp_matches({x}, '{NUMERIC_SHAPE}') THEN TRY_CAST(trim({x}) AS {to}) END"
+
+
+@register("write_parquet_roundtrip", fx.with_views(f"SELECT {wide_select()} FROM wide_raw", "wide_raw"))
+def q_write_parquet_roundtrip(spark, sf):
+    path = scratch_path(spark, "wide_raw_parquet")
+    S.write_parquet(fx.wide_raw(spark, sf), path)
+    return S.scan_parquet(spark, path, key="row_id")
+
+
+@register("write_csv_roundtrip", fx.with_views(f"SELECT {wide_select()} FROM wide_raw", "wide_raw"))
+def q_write_csv_roundtrip(spark, sf):
+    df = fx.wide_raw(spark, sf)
+    path = scratch_path(spark, "wide_raw_csv")
+    S.write_csv(df, path, key="row_id")
+    return S.read_csv(spark, path, df.schema)
+
+
+_SPLIT_U = "('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':split'), 1, 8))::BIGINT / 4294967296.0"
+_SPLIT_SQL = (f"CASE WHEN {_SPLIT_U} < 0.6 THEN 'train' WHEN {_SPLIT_U} < 0.8 THEN 'valid' "
+              f"ELSE 'test' END")
+
+
+@register("load_variant_data", fx.with_views(f"""
+SELECT row_id, amount, balance, NULL::VARCHAR AS income, {_SPLIT_SQL} AS split, 'X' AS part FROM wide_raw
+UNION ALL
+SELECT row_id, NULL::DOUBLE, NULL::DOUBLE, income, {_SPLIT_SQL}, 'y' FROM wide_raw""", "wide_raw"))
+def q_load_variant_data(spark, sf):
+    w = fx.wide_raw(spark, sf)
+    u = md5_uniform(F.col("row_id"), "split")
+    w = w.withColumn("_split", F.when(u < 0.6, "train").when(u < 0.8, "valid").otherwise("test"))
+    root = scratch_path(spark, "variants")
+    for split in ("train", "valid", "test"):
+        part = w.where(F.col("_split") == split)
+        S.write_parquet(part.select("row_id", "amount", "balance"), f"{root}/X_{split}_orig.parquet")
+        S.write_parquet(part.select("row_id", "income"), f"{root}/y_{split}_orig.parquet")
+    (outcomes,) = S.load_variant_data(spark, {"orig": "orig"}, root, {"income": "orig"},
+                                      return_sets=["outcomes"])
+    return S.union_variant_sets(outcomes["income"]).select(
+        "row_id", "amount", "balance", "income", "split", "part")
+
+
+@register("nullify_tokens", fx.with_views(
+    f"SELECT {wide_select({n: token_sql(dq(n)) for n in WIDE_STR})} FROM wide_raw", "wide_raw"))
+def q_nullify_tokens(spark, sf):
+    return C.nullify_tokens(fx.wide_raw(spark, sf))
+
+
+_MONEY_NOCOMMA = "replace(money_text, ',', '')"
+
+
+@register("strip_thousands", fx.with_views(
+    f"SELECT {wide_select({'money_text': strict_num_sql(_MONEY_NOCOMMA)})} FROM wide_raw",
+    "wide_raw"))
+def q_strip_thousands(spark, sf):
+    return C.strip_thousands(fx.wide_raw(spark, sf), ["money_text", "not_there"])
+
+
+@register("infer_numeric", fx.with_views(
+    f"SELECT {wide_select({'num_text': strict_num_sql('num_text')})} FROM wide_raw", "wide_raw"))
+def q_infer_numeric(spark, sf):
+    return C.infer_numeric(fx.wide_raw(spark, sf))
+
+
+_CLEAN_OVER = {n: token_sql(dq(n)) for n in WIDE_STR}
+_CLEAN_OVER["num_text"] = strict_num_sql(token_sql("num_text"))
+_CLEAN_OVER["money_text"] = strict_num_sql(f"replace({token_sql('money_text')}, ',', '')")
+_CLEAN_SQL = f"SELECT {wide_select(_CLEAN_OVER)} FROM wide_raw"
+
+
+@register("clean_dataframe", fx.with_views(_CLEAN_SQL, "wide_raw"))
+def q_clean_dataframe(spark, sf):
+    return C.clean_dataframe(fx.wide_raw(spark, sf), ["money_text"])
+
+
+@register("fill_missing", fx.with_views(
+    f"SELECT {wide_select({'amount': 'coalesce(amount, 0.0)', 'balance': 'coalesce(balance, 0.0)'})} "
+    "FROM wide_raw", "wide_raw"))
+def q_fill_missing(spark, sf):
+    return C.fill_missing(fx.wide_raw(spark, sf), ["amount", "balance"], 0.0)
+
+
+def _state_df(spark, name: str, values: list) -> DataFrame:
+    return spark.createDataFrame([(name, i, v) for i, v in enumerate(values)],
+                                 "state_name string, pos int, value string")
+
+
+def _values_sql(name: str, values: list[str]) -> str:
+    rows = ", ".join(f"('{name}', {i}, '{v}')" for i, v in enumerate(values))
+    return f"SELECT * FROM (VALUES {rows}) t(state_name, pos, value)"
+
+
+_CLEAN_STR = ["dirty_text", "marital-status", "race", "sex", "income"]
+_CLEAN_NUM = ["row_id", "amount", "balance", "capital-gain", "constant_col", "mostly_missing",
+              "edge_missing", "num_text", "money_text"]
+
+
+@register("columns_by_type", _values_sql("string", _CLEAN_STR) + "\nUNION ALL\n"
+          + _values_sql("numeric", _CLEAN_NUM))
+def q_columns_by_type(spark, sf):
+    kinds = C.columns_by_type(C.clean_dataframe(fx.wide_raw(spark, sf), ["money_text"]))
+    return _state_df(spark, "string", kinds["string"]).unionByName(
+        _state_df(spark, "numeric", kinds["numeric"]))
+
+
+_LI_MATCH = ["l_discount", "l_extendedprice", "l_linenumber", "l_linestatus", "l_orderkey",
+             "l_partkey", "l_quantity", "l_returnflag", "l_suppkey", "l_tax"]
+
+
+@register("columns_by_pattern", f"SELECT {', '.join(_LI_MATCH)} FROM lineitem")
+def q_columns_by_pattern(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    names = C.columns_by_pattern(li.columns, contains=("price",),
+                                 contains_not_suffix=(("l_", "date"),))
+    return li.select(*names)
+
+
+_KEPT = [n for n in WIDE_COLS if n not in ("row_id", "mostly_missing", "income")]
+
+
+@register("select_saved_columns", fx.with_views(
+    f"SELECT {wide_select(cols=['row_id'] + _KEPT)} FROM wide_raw", "wide_raw"))
+def q_select_saved_columns(spark, sf):
+    w = fx.wide_raw(spark, sf)
+    kept = [r["column"] for r in A.keep_columns_below(w, 60.0, key="row_id", exclude=["income"])
+            .orderBy("pos").collect()]
+    return C.select_saved_columns(w, ["row_id"] + kept)
+
+
+@register("drop_columns", fx.with_views(
+    f"SELECT {wide_select(cols=[n for n in WIDE_COLS if n not in ('constant_col', 'income')])} "
+    "FROM wide_raw", "wide_raw"))
+def q_drop_columns(spark, sf):
+    w = fx.wide_raw(spark, sf)
+    return C.drop_columns(w, A.zero_variance_columns(w, key="row_id") + ["income"])
+
+
+@register("missing_indicators", fx.with_views(
+    f"SELECT {wide_select()}, "
+    + ", ".join(f"CAST({dq(n)} IS NULL AS INTEGER) AS {dq(n + '_missing')}" for n in WIDE_COLS[1:])
+    + " FROM wide_raw", "wide_raw"))
+def q_missing_indicators(spark, sf):
+    return C.missing_indicators(fx.wide_raw(spark, sf), key="row_id")
+
+
+_LABEL_SQL = "CASE rtrim(income, '.') WHEN '<=50K' THEN 0 WHEN '>50K' THEN 1 END"
+
+
+@register("encode_label", fx.with_views(
+    f"SELECT row_id, income, CAST({_LABEL_SQL} AS INTEGER) AS y FROM wide_raw", "wide_raw"))
+def q_encode_label(spark, sf):
+    return C.encode_label(fx.wide_raw(spark, sf).select("row_id", "income"), "income", "y")
+
+
+@register("bucket_rare", """
+WITH top AS (SELECT p_type FROM part GROUP BY p_type ORDER BY count(*) DESC, p_type ASC LIMIT 10)
+SELECT p_partkey, CASE WHEN p_type IS NULL THEN NULL WHEN p_type IN (SELECT p_type FROM top)
+                       THEN p_type ELSE 'other' END AS p_type
+FROM part""")
+def q_bucket_rare(spark, sf):
+    part = read_table(spark, sf, "part").select("p_partkey", "p_type")
+    keep = C.bucket_rare_fit(part, "p_type", 10)
+    return C.bucket_rare_apply(part, "p_type", keep)
+
+
+_A, _B = C.id_params(111)
+
+
+@register("add_ids", f"""
+SELECT c_custkey, c_name, 100000000 + ({_A} * (row_number() OVER (
+         ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':111'), c_custkey) - 1) + {_B}) % {C.ID_SPAN}
+       AS census_id
+FROM customer""")
+def q_add_ids(spark, sf):
+    cu = read_table(spark, sf, "customer").select("c_custkey", "c_name")
+    return C.add_ids(cu, "c_custkey", seed=111)
+
+
+_X_COLS = ["row_id", "amount", "balance", "capital-gain", "constant_col", "mostly_missing",
+           "edge_missing", "num_text", "money_text", "race", "sex"]
+
+
+@register("feature_target_split", fx.with_views(
+    f"WITH cl AS ({_CLEAN_SQL}) SELECT {wide_select(cols=_X_COLS)} FROM cl", "wide_raw"))
+def q_feature_target_split(spark, sf):
+    X, _ = C.feature_target_split(C.clean_dataframe(fx.wide_raw(spark, sf), ["money_text"]),
+                                  key="row_id", target="income")
+    return X
+
+
+_FRAC_SQL = "(" + " + ".join(f"CAST({dq(n)} IS NULL AS INTEGER)" for n in WIDE_COLS[1:]) + \
+    f") / {float(len(WIDE_COLS) - 1)}"
+_F1_WHERE = f'NOT coalesce("capital-gain" = 0 AND {_FRAC_SQL} > 0.5, false)'
+
+
+@register("filter_sparse_rows", fx.with_views(
+    f"SELECT {wide_select()} FROM wide_raw WHERE {_F1_WHERE}", "wide_raw"))
+def q_filter_sparse_rows(spark, sf):
+    return C.filter_sparse_rows(fx.wide_raw(spark, sf), key="row_id")
+
+
+@register("row_missing_fraction", fx.with_views(
+    f"SELECT {wide_select()}, {r6(_FRAC_SQL)} AS percentage_missing FROM wide_raw WHERE {_F1_WHERE}",
+    "wide_raw"))
+def q_row_missing_fraction(spark, sf):
+    w = C.filter_sparse_rows(fx.wide_raw(spark, sf), key="row_id")
+    return rounded(C.row_missing_fraction(w, key="row_id"))
+
+
+# ============================================================ 2.4 joins
+
+_DOC_COLS = "d.doc_id, d.lang, d.source, d.n_chars"
+
+
+@register("join_features_target", f"""
+SELECT {_DOC_COLS}, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+def q_join_features_target(spark, sf):
+    X = read_table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return J.join_features_target(X, read_table(spark, sf, "labels"), "doc_id")
+
+
+@register("align_xy", """
+WITH xk AS (SELECT doc_id AS k, count(*) AS nx FROM documents GROUP BY doc_id),
+     yk AS (SELECT doc_id AS k, count(*) AS ny FROM labels GROUP BY doc_id),
+     j AS (SELECT xk.nx, yk.ny FROM xk FULL OUTER JOIN yk ON xk.k = yk.k)
+SELECT 'x_without_label' AS "check", CAST(count_if(ny IS NULL) AS BIGINT) AS n FROM j
+UNION ALL SELECT 'label_without_x', CAST(count_if(nx IS NULL) AS BIGINT) FROM j
+UNION ALL SELECT 'duplicate_keys_x', CAST(count_if(nx > 1) AS BIGINT) FROM j
+UNION ALL SELECT 'duplicate_keys_y', CAST(count_if(ny > 1) AS BIGINT) FROM j""")
+def q_align_xy(spark, sf):
+    X = read_table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    _, audit = J.align_xy(X, read_table(spark, sf, "labels"), "doc_id")
+    return audit
+
+
+# ============================================================ 2.5 profiles
+
+def _zero_var_sql(src: str, cols: list[str]) -> str:
+    parts = [f"SELECT '{n}' AS value, {i} AS ord FROM {src} HAVING min({dq(n)}) = max({dq(n)}) "
+             f"AND count({dq(n)}) >= 2" for i, n in enumerate(cols)]
+    return " UNION ALL ".join(parts)
+
+
+@register("zero_variance_columns", fx.with_views(f"""
+SELECT 'zero_variance' AS state_name, CAST(row_number() OVER (ORDER BY ord) - 1 AS INTEGER) AS pos, value
+FROM ({_zero_var_sql('wide_raw', WIDE_NUM)}) z""", "wide_raw"))
+def q_zero_variance_columns(spark, sf):
+    return _state_df(spark, "zero_variance", A.zero_variance_columns(fx.wide_raw(spark, sf),
+                                                                     key="row_id"))
+
+
+def _missing_pct_sql(src: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS \"column\", {i} AS pos, {r6(f'100.0 * count_if({dq(n)} IS NULL) / count(*)')} AS pct "
+        f"FROM {src}" for i, n in enumerate(cols))
+
+
+@register("column_missing_percent", fx.with_views(
+    _missing_pct_sql("docs_labelled", ["lang", "source", "n_chars", "quality", "toxic"]),
+    "docs_labelled"))
+def q_column_missing_percent(spark, sf):
+    return rounded(A.column_missing_percent(fx.docs_labelled(spark, sf), key="doc_id"))
+
+
+@register("keep_columns_below", fx.with_views(
+    f"SELECT \"column\", pos FROM ({_missing_pct_sql('wide_raw', WIDE_COLS[1:-1])}) t "
+    "WHERE pct <= 60.0", "wide_raw"))
+def q_keep_columns_below(spark, sf):
+    return A.keep_columns_below(fx.wide_raw(spark, sf), 60.0, key="row_id", exclude=["income"])
+
+
+@register("top_n", """
+SELECT p_type AS value, count(*) AS count FROM part WHERE p_type IS NOT NULL
+GROUP BY p_type ORDER BY count(*) DESC, p_type ASC LIMIT 10""")
+def q_top_n(spark, sf):
+    return A.top_n(read_table(spark, sf, "part"), "p_type", 10)
+
+
+@register("class_balance", fx.with_views(f"""
+SELECT y, count(*) AS count, {r6('count(*) / sum(count(*)) OVER ()')} AS share
+FROM (SELECT CAST({_LABEL_SQL} AS INTEGER) AS y FROM wide_raw) t GROUP BY y""", "wide_raw"))
+def q_class_balance(spark, sf):
+    w = C.encode_label(fx.wide_raw(spark, sf), "income", "y")
+    return rounded(A.class_balance(w, "y"))
+
+
+@register("step_audit", fx.with_views(f"""
+WITH f AS (SELECT {_F1_WHERE} AS k1, ({_LABEL_SQL}) IS NOT NULL AS k2 FROM wide_raw),
+     c AS (SELECT count(*) AS r0, CAST(count_if(k1) AS BIGINT) AS r1,
+                  CAST(count_if(k1 AND k2) AS BIGINT) AS r2 FROM f)
+SELECT 'filter_sparse_rows' AS step, 1 AS pos, r0 AS rows_before, r1 AS rows_after, r0 - r1 AS removed FROM c
+UNION ALL SELECT 'label_known', 2, r1, r2, r1 - r2 FROM c""", "wide_raw"))
+def q_step_audit(spark, sf):
+    w = fx.wide_raw(spark, sf)
+    cols = [n for n in w.columns if n != "row_id"]
+    keep1 = ~F.coalesce((F.col("`capital-gain`") == 0)
+                        & (C.missing_fraction_expr(cols) > F.lit(0.5)), F.lit(False))
+    keep2 = C.encode_label_expr(F.col("income")).isNotNull()
+    return A.step_audit(w, [("filter_sparse_rows", keep1), ("label_known", keep2)])
+
+
+# ============================================================ 2.13 N5 state store
+
+@register("fitted_state_store", fx.with_views(f"""
+SELECT 'zero_variance' AS state_name, CAST(row_number() OVER (ORDER BY ord) - 1 AS INTEGER) AS pos, value
+FROM ({_zero_var_sql('wide_raw', WIDE_NUM)}) z
+UNION ALL
+SELECT 'kept_columns', CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER), "column"
+FROM ({_missing_pct_sql('wide_raw', WIDE_COLS[1:-1])}) t WHERE pct <= 60.0""", "wide_raw"))
+def q_fitted_state_store(spark, sf):
+    w = fx.wide_raw(spark, sf)
+    reg = N.Registry(spark, scratch_path(spark, "registry"))
+    reg.save_state("prep", "preproc_training", "zero_variance", ["stale"])  # older write loses
+    reg.save_state("prep", "preproc_training", "zero_variance",
+                   A.zero_variance_columns(w, key="row_id"))
+    kept = [r["column"] for r in A.keep_columns_below(w, 60.0, key="row_id", exclude=["income"])
+            .orderBy("pos").collect()]
+    reg.save_state("prep", "preproc_training", "kept_columns", kept)
+    cur = N.latest_state(reg.state_table())
+    return cur.where(F.col("pos") >= 0).select("state_name", "pos", "value")

@@ -37,7 +37,7 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
         return out.drop("_g") if not keys else out
 
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 10000).alias("_bounds"))
+    bounds = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 1000).alias("_bounds"))
     bucket = F.aggregate("_bounds", F.lit(0), lambda acc, b: acc + F.when(o > b, 1).otherwise(0))
     with_b = base.join(bounds, grp).withColumn("_bucket", bucket).drop("_bounds")
 
@@ -52,3 +52,23 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
            .select(*[c for c in with_b.columns if c != "_bucket"],
                    *[(F.sum(v).over(wr) + F.col("_o_" + v)).alias(prefix + v) for v in value_cols]))
     return out.drop("_g") if not keys else out
+
+
+def global_row_number(df: DataFrame, order_cols: list[str], out: str = "row_no") -> DataFrame:
+    """0-based rank of each row in the global order of ``order_cols`` (which
+    must be unique per row).
+
+    ``orderBy`` range-partitions and sorts in parallel; ``monotonically_increasing_id``
+    then encodes (partition, position). Per-partition row counts (one row per
+    partition) give each partition's offset, joined back on the partition id.
+    No single task ever sees all rows, unlike an unpartitioned window.
+    """
+    s = df.orderBy(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
+    s = s.withColumn("_pid", F.shiftright("_mid", 33))
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    pos = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
+    return (s.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, (pos + F.col("_off")).cast("bigint"))
+            .drop("_mid", "_pid", "_off"))

@@ -33,16 +33,22 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+# NULL is written as an explicit marker so that an empty string survives the round trip.
+NULL_TOKEN = "\\N"
+
+
 def write_csv(df: DataFrame, path: str, key: str | None = None, mode: str = "overwrite") -> None:
     """S3: write CSV with a header line, key first."""
     if key is not None:
         df = df.select(q(key), *[q(c) for c in df.columns if c != key])
-    df.write.mode(mode).option("header", True).csv(path)
+    (df.write.mode(mode).option("header", True).option("nullValue", NULL_TOKEN)
+     .option("emptyValue", '""').csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read back a CSV written by :func:`write_csv` with an explicit schema (no inference pass)."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return (spark.read.option("header", True).option("nullValue", NULL_TOKEN)
+            .option("emptyValue", "").schema(schema).csv(path))
 
 
 SET_NAMES = ("X_train", "X_valid", "X_test", "y_train", "y_valid", "y_test")
