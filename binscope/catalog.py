@@ -570,3 +570,144 @@ def q_fitted_state_store(spark, sf):
     reg.save_state("prep", "preproc_training", "kept_columns", kept)
     cur = N.latest_state(reg.state_table())
     return cur.where(F.col("pos") >= 0).select("state_name", "pos", "value")
+
+
+# ============================================================ 2.10 curves (M8-M14), R1, T6
+
+from binscope.operators import reshape as R  # noqa: E402
+
+
+@register("roc_curve", fx.with_views(f"""
+WITH {cum_sql('scored', _MS)},
+a AS (SELECT model, split, {r6(ratio_sql('sum(CAST(neg AS DOUBLE) * (CAST(tp AS DOUBLE) - CAST(pos AS DOUBLE) / 2))', 'max(tot_p) * max(tot_n)'))} AS roc_auc
+      FROM cum GROUP BY model, split),
+pts AS (SELECT model, split, score AS threshold, {r6(ratio_sql('fp', 'tot_n'))} AS fpr,
+               {r6(ratio_sql('tp', 'tot_p'))} AS tpr FROM cum
+        UNION ALL SELECT model, split, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM a)
+SELECT pts.*, a.roc_auc FROM pts JOIN a USING (model, split)""", "scored"))
+def q_roc_curve(spark, sf):
+    return rounded(M.roc_curve(fx.scored(spark, sf), _MS))
+
+
+@register("precision_recall_curve", fx.with_views(f"""
+WITH {cum_sql('scored', _MS)},
+p1 AS (SELECT model, split, score AS threshold, {ratio_sql('tp', 'tp + fp')} AS precision,
+              {ratio_sql('tp', 'tot_p')} AS recall,
+              CASE WHEN tp - pos + fp - neg = 0 THEN 1.0
+                   ELSE CAST(tp - pos AS DOUBLE) / CAST(tp - pos + fp - neg AS DOUBLE) END AS pprev,
+              {ratio_sql('tp - pos', 'tot_p')} AS rprev FROM cum),
+a AS (SELECT model, split, {r6('sum((recall - rprev) * (precision + pprev) / 2)')} AS pr_auc
+      FROM p1 GROUP BY model, split),
+pts AS (SELECT model, split, threshold, {r6('precision')} AS precision, {r6('recall')} AS recall FROM p1
+        UNION ALL SELECT model, split, NULL::DOUBLE, 1.0, 0.0 FROM a)
+SELECT pts.*, a.pr_auc FROM pts JOIN a USING (model, split)""", "scored"))
+def q_precision_recall_curve(spark, sf):
+    return rounded(M.precision_recall_curve(fx.scored(spark, sf), _MS))
+
+
+def calib_bin_sql(x: str, n_bins: int = 10) -> str:
+    return "(" + " + ".join(f"CAST({x} > {e!r} AS INTEGER)" for e in M.calibration_edges(n_bins)) + ")"
+
+
+@register("calibration_curve", fx.with_views(f"""
+WITH b AS (SELECT model, split, {r6('avg((p - y) * (p - y))')} AS brier FROM scored GROUP BY model, split),
+c AS (SELECT model, split, {calib_bin_sql('p')} AS bin, count(*) AS n, {r6('avg(p)')} AS mean_predicted,
+             {r6('avg(CAST(y AS DOUBLE))')} AS fraction_positive
+      FROM scored GROUP BY model, split, bin)
+SELECT c.*, b.brier FROM c JOIN b USING (model, split)""", "scored"))
+def q_calibration_curve(spark, sf):
+    return rounded(M.calibration_curve(fx.scored(spark, sf), _MS, 10))
+
+
+_TM_SQL = f"""
+WITH {cum_sql('scored', _MS)},
+tm AS (SELECT model, split, score AS threshold, {ratio_sql('tp', 'tp + fp')} AS precision,
+              {ratio_sql('tp', 'tot_p')} AS recall, {ratio_sql('tot_n - fp', 'tot_n')} AS specificity
+       FROM cum)"""
+
+
+@register("threshold_metrics", fx.with_views(f"""{_TM_SQL}
+SELECT model, split, threshold, {r6('precision')} AS precision, {r6('recall')} AS recall,
+       {r6('2 * precision * recall / (precision + recall + 1e-9)')} AS f1, {r6('specificity')} AS specificity
+FROM tm""", "scored"))
+def q_threshold_metrics(spark, sf):
+    return rounded(M.threshold_metrics(fx.scored(spark, sf), _MS))
+
+
+@register("split_metrics", fx.with_views(f"""
+WITH {_metrics_long_sql(['model', 'split'])}
+SELECT model, split || ' ' || metric AS metric, {r3('value')} AS value FROM ml""", "scored"))
+def q_split_metrics(spark, sf):
+    return M.split_metrics(fx.scored(spark, sf), ["model"], "split")
+
+
+@register("union_metric_frames", fx.with_views(f"""
+WITH {_metrics_long_sql(['model', 'split'])}
+SELECT model, split || ' ' || metric AS metric, {r6('value')} AS value FROM ml""", "scored"))
+def q_union_metric_frames(spark, sf):
+    s = fx.scored(spark, sf)
+    frames = {sp: M.metrics_long(s.where(F.col("split") == sp), ["model"])
+              for sp in ("train", "valid", "test")}
+    return rounded(R.union_metric_frames(frames))
+
+
+_BUNDLE_SQL = f"""
+WITH {cum_sql('scored', _MS)},
+c AS (SELECT model, split, score AS t, {ratio_sql('tp', 'tp + fp')} AS prec,
+             {ratio_sql('tp', 'tot_p')} AS rec, {ratio_sql('fp', 'tot_n')} AS fpr FROM cum),
+conf AS ({_CONF_SQL}),
+cal AS (SELECT model, split, avg(p) AS mp, avg(CAST(y AS DOUBLE)) AS fpos
+        FROM scored GROUP BY model, split, {calib_bin_sql('p')}),
+u AS (
+  SELECT model, split, 'roc' AS curve, 'fpr' AS x_name, fpr AS x, 'tpr' AS y_name, rec AS y, t AS threshold FROM c
+  UNION ALL SELECT model, split, 'pr', 'recall', rec, 'precision', prec, t FROM c
+  UNION ALL SELECT model, split, 'threshold', 'threshold', t, 'f1',
+                   2 * prec * rec / (prec + rec + 1e-9), t FROM c
+  UNION ALL SELECT model, split, 'calibration', 'mean_predicted', mp, 'fraction_positive', fpos,
+                   NULL::DOUBLE FROM cal
+  UNION ALL SELECT model, split, 'confusion', 'cell', 0.0, 'tn', CAST(tn AS DOUBLE), threshold FROM conf
+  UNION ALL SELECT model, split, 'confusion', 'cell', 1.0, 'fp', CAST(fp AS DOUBLE), threshold FROM conf
+  UNION ALL SELECT model, split, 'confusion', 'cell', 2.0, 'fn', CAST(fn AS DOUBLE), threshold FROM conf
+  UNION ALL SELECT model, split, 'confusion', 'cell', 3.0, 'tp', CAST(tp AS DOUBLE), threshold FROM conf)
+SELECT model, split, curve, x_name, {r6('x')} AS x, y_name, {r6('y')} AS y, {r6('threshold')} AS threshold
+FROM u"""
+
+
+@register("evaluation_bundle", fx.with_views(_BUNDLE_SQL, "scored"))
+def q_evaluation_bundle(spark, sf):
+    return rounded(M.evaluation_bundle(fx.scored(spark, sf), _MS))
+
+
+@register("row_outcome_flags", fx.with_views("""
+SELECT id, model, split, y, p,
+       CAST(y = 1 AND p > 0.5 AS INTEGER) AS "TP", CAST(y = 1 AND NOT p > 0.5 AS INTEGER) AS "FN",
+       CAST(y <> 1 AND p > 0.5 AS INTEGER) AS "FP", CAST(y <> 1 AND NOT p > 0.5 AS INTEGER) AS "TN"
+FROM scored""", "scored"))
+def q_row_outcome_flags(spark, sf):
+    s = fx.scored(spark, sf).select("id", "model", "split", "y", "p")
+    return M.row_outcome_flags(s, 0.5)
+
+
+def _betas_sql() -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(
+        f"({i}, CAST({b!r} AS DOUBLE))" for i, b in enumerate(M.beta_grid())) + ") t(bi, beta)"
+
+
+@register("optimal_threshold", fx.with_views(f"""{_TM_SQL},
+bt AS ({_betas_sql()}),
+fb AS (SELECT tm.model, tm.split, bt.beta, tm.threshold, tm.precision,
+              CASE WHEN (bt.beta * bt.beta) * tm.precision + tm.recall = 0 THEN 0.0
+                   ELSE (1.0 + bt.beta * bt.beta) * tm.precision * tm.recall
+                        / ((bt.beta * bt.beta) * tm.precision + tm.recall) END AS f
+       FROM tm, bt),
+best AS (SELECT *, row_number() OVER (PARTITION BY model, split, beta ORDER BY f DESC, threshold DESC) AS rk
+         FROM fb),
+ok AS (SELECT model, split, beta, threshold, precision,
+              row_number() OVER (PARTITION BY model, split ORDER BY beta) AS rb
+       FROM best WHERE rk = 1 AND abs(precision - 0.5) <= 0.01),
+g AS (SELECT DISTINCT model, split FROM scored)
+SELECT g.model, g.split, {r6('coalesce(ok.threshold, 0.5)')} AS threshold, {r6('ok.beta')} AS beta,
+       {r6('ok.precision')} AS precision
+FROM g LEFT JOIN ok ON g.model = ok.model AND g.split = ok.split AND ok.rb = 1""", "scored"))
+def q_optimal_threshold(spark, sf):
+    return rounded(M.optimal_threshold(fx.scored(spark, sf), _MS))

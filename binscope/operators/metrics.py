@@ -45,17 +45,13 @@ def score_counts(scored: DataFrame, keys=("model",), label: str = "y", score: st
 
 def cumulative_counts(scored: DataFrame, keys=("model",), label: str = "y", score: str = "p",
                       n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Score table plus ``tp``/``fp`` = counts with score >= this score and group
-    totals ``P``/``N`` (joined from a per-group aggregate, one row per group)."""
+    """Score table plus ``tp``/``fp`` = counts with score >= this score and the
+    group totals ``P``/``N``."""
     k = _keys(keys)
     st = score_counts(scored, k, label, score)
     cum = running_sums(st, k, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets)
-    cum = cum.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
-    tot = st.groupBy(*k).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    if not k:  # one group: join on a constant key (one-row side), not a cross join
-        return (cum.withColumn("_g", F.lit(0)).join(tot.withColumn("_g", F.lit(0)), "_g")
-                .drop("_g"))
-    return cum.join(tot, k)
+    return (cum.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
+            .withColumnRenamed("tot_pos", "P").withColumnRenamed("tot_neg", "N"))
 
 
 # ------------------------------------------------------------------ M1-M3, M14
@@ -152,7 +148,8 @@ def score_summary(scored: DataFrame, keys=("model",), threshold: float = 0.5, la
     score-grouped aggregate and one running sum."""
     k = _keys(keys)
     st = score_counts(scored, k, label, score)
-    cum = running_sums(st, k, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets)
+    cum = running_sums(st, k, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets,
+                       totals_prefix=None)
     cum = cum.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
     g = cum.groupBy(*k).agg(*_summary_aggs(threshold))
     P, N, tpt, fpt = (F.col(x) for x in ("P", "N", "tp_t", "fp_t"))
@@ -356,3 +353,53 @@ def evaluation_bundle(scored: DataFrame, keys=("model", "split"), threshold: flo
                  F.col(name).cast("double").alias("y"), F.col("threshold").alias("threshold"))
         for i, name in enumerate(("tn", "fp", "fn", "tp"))])))
     return curves.unionByName(cal).unionByName(conf)
+
+
+# ------------------------------------------------------------------ T6
+
+def beta_grid(lo: float = 0.01, hi: float = 4.0, num: int = 40) -> list[float]:
+    """``num`` evenly spaced values from ``lo`` to ``hi`` inclusive (numpy linspace)."""
+    step = (hi - lo) / (num - 1)
+    vals = [lo + i * step for i in range(num)]
+    vals[-1] = hi
+    return vals
+
+
+def fbeta_expr(prec, rec, beta: float):
+    b2 = F.lit(float(beta * beta))
+    num = (F.lit(1.0) + b2) * prec * rec
+    den = b2 * prec + rec
+    return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
+
+
+def optimal_threshold(scored: DataFrame, keys=("model",), target_precision: float = 0.5,
+                      delta: float = 0.01, betas: list[float] | None = None,
+                      default_threshold: float = 0.5, label: str = "y", score: str = "p",
+                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """For each beta, the threshold maximising F-beta over the distinct
+    scores (largest threshold on ties); then the smallest beta whose precision
+    at that threshold is within ``delta`` of ``target_precision``. No beta
+    qualifies -> ``default_threshold`` and NULL beta.
+
+    Each threshold row is expanded to the beta grid in place (a fixed
+    ``len(betas)``-way ``explode`` inside the map stage, followed by a partial
+    ``max_by`` aggregate in the same codegen stage), so the expansion never
+    crosses a shuffle; then one small row per (group, beta) is ranked."""
+    k = _keys(keys)
+    betas = betas or beta_grid()
+    tm = threshold_metrics(scored, k, label, score, n_buckets)
+    prec, rec, thr = F.col("precision"), F.col("recall"), F.col("threshold")
+    grid = F.explode(F.array(*[F.lit(float(b)) for b in betas])).alias("beta")
+    b2 = F.col("beta") * F.col("beta")
+    den = b2 * prec + rec
+    fb = F.when(den == 0, F.lit(0.0)).otherwise((F.lit(1.0) + b2) * prec * rec / den)
+    per_beta = (tm.select(*k, thr, prec, rec, grid)
+                .groupBy(*k, "beta")
+                .agg(F.max_by(F.struct(thr.alias("t"), prec.alias("p")),
+                              F.struct(fb, thr)).alias("best")))
+    ok = F.abs(F.col("best.p") - F.lit(float(target_precision))) <= F.lit(float(delta))
+    ok_beta = F.when(ok, F.col("beta"))
+    pick = per_beta.groupBy(*k).agg(F.min_by(F.col("best"), ok_beta).alias("best"),
+                                    F.min(ok_beta).alias("beta"))
+    return pick.select(*k, F.coalesce(F.col("best.t"), F.lit(float(default_threshold)))
+                       .alias("threshold"), "beta", F.col("best.p").alias("precision"))

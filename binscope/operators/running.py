@@ -19,25 +19,33 @@ DEFAULT_BUCKETS = 64
 
 def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
                  descending: bool = True, n_buckets: int = DEFAULT_BUCKETS,
-                 prefix: str = "cum_") -> DataFrame:
+                 prefix: str = "cum_", totals_prefix: str | None = "tot_") -> DataFrame:
     """Add ``prefix + v`` = sum of ``v`` over rows of the same group whose order
-    value comes at or before this row's (descending or ascending).
+    value comes at or before this row's (descending or ascending), and, unless
+    ``totals_prefix`` is None, ``totals_prefix + v`` = the group total.
 
     ``df`` should hold at most one row per (keys, order value); ties would be
     ordered arbitrarily otherwise. ``n_buckets=1`` is the plain window (fine when
-    each group is known to be small).
+    each group is known to be small). The group totals come out of the same
+    aggregate as the bucket bounds, and that aggregate reads every input column,
+    so its input exchange is the one the main path uses (exchange reuse).
     """
     keys = list(keys)
     o: Column = -F.col(order_col) if descending else F.col(order_col)
     grp = keys if keys else ["_g"]
     base = df if keys else df.withColumn("_g", F.lit(0))
+    tot_cols = [] if totals_prefix is None else value_cols
     if n_buckets <= 1:
         w = Window.partitionBy(*grp).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
-        out = base.select("*", *[F.sum(v).over(w).alias(prefix + v) for v in value_cols])
+        wt = Window.partitionBy(*grp)
+        out = base.select("*", *[F.sum(v).over(w).alias(prefix + v) for v in value_cols],
+                          *[F.sum(v).over(wt).alias(totals_prefix + v) for v in tot_cols])
         return out.drop("_g") if not keys else out
 
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 1000).alias("_bounds"))
+    bounds = base.groupBy(*grp).agg(
+        F.percentile_approx(o, probs, 1000).alias("_bounds"),
+        *[F.sum(v).alias("_gt_" + v) for v in value_cols])
     bucket = F.aggregate("_bounds", F.lit(0), lambda acc, b: acc + F.when(o > b, 1).otherwise(0))
     with_b = base.join(bounds, grp).withColumn("_bucket", bucket).drop("_bounds")
 
@@ -48,9 +56,11 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
 
     wr = (Window.partitionBy(*grp, "_bucket").orderBy(o)
           .rowsBetween(Window.unboundedPreceding, 0))
+    keep = [c for c in with_b.columns if c != "_bucket" and not c.startswith("_gt_")]
     out = (with_b.join(offsets, grp + ["_bucket"])
-           .select(*[c for c in with_b.columns if c != "_bucket"],
-                   *[(F.sum(v).over(wr) + F.col("_o_" + v)).alias(prefix + v) for v in value_cols]))
+           .select(*keep,
+                   *[(F.sum(v).over(wr) + F.col("_o_" + v)).alias(prefix + v) for v in value_cols],
+                   *[F.col("_gt_" + v).alias(totals_prefix + v) for v in tot_cols]))
     return out.drop("_g") if not keys else out
 
 
