@@ -651,28 +651,48 @@ def q_union_metric_frames(spark, sf):
     return rounded(R.union_metric_frames(frames))
 
 
-_BUNDLE_SQL = f"""
-WITH {cum_sql('scored', _MS)},
-c AS (SELECT model, split, score AS t, {ratio_sql('tp', 'tp + fp')} AS prec,
+def conf_sql(source: str, keys: list[str], threshold: float = 0.5) -> str:
+    k = ", ".join(keys)
+    t = repr(float(threshold))
+    return f"""
+SELECT {k}, CAST({t} AS DOUBLE) AS threshold,
+  CAST(sum(CASE WHEN y <> 1 AND NOT p > {t} THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+  CAST(sum(CASE WHEN y <> 1 AND p > {t} THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+  CAST(sum(CASE WHEN y = 1 AND NOT p > {t} THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+  CAST(sum(CASE WHEN y = 1 AND p > {t} THEN 1 ELSE 0 END) AS BIGINT) AS tp
+FROM {source} GROUP BY {k}"""
+
+
+def bundle_sql(source: str, keys: list[str], curves=("roc", "pr", "threshold", "calibration",
+                                                      "confusion"), n_bins: int = 10) -> str:
+    k = ", ".join(keys)
+    parts = {
+        "roc": [f"SELECT {k}, 'roc' AS curve, 'fpr' AS x_name, fpr AS x, 'tpr' AS y_name, rec AS y, "
+                "t AS threshold FROM c"],
+        "pr": [f"SELECT {k}, 'pr', 'recall', rec, 'precision', prec, t FROM c"],
+        "threshold": [f"SELECT {k}, 'threshold', 'threshold', t, 'f1', "
+                      "2 * prec * rec / (prec + rec + 1e-9), t FROM c"],
+        "calibration": [f"SELECT {k}, 'calibration', 'mean_predicted', mp, 'fraction_positive', fpos, "
+                        "NULL::DOUBLE FROM cal"],
+        "confusion": [f"SELECT {k}, 'confusion', 'cell', {float(i)}, '{n}', CAST({n} AS DOUBLE), "
+                      "threshold FROM conf" for i, n in enumerate(("tn", "fp", "fn", "tp"))],
+    }
+    union = "\n  UNION ALL ".join(x for cv in curves for x in parts[cv])
+    return f"""
+WITH {cum_sql(source, keys)},
+c AS (SELECT {k}, score AS t, {ratio_sql('tp', 'tp + fp')} AS prec,
              {ratio_sql('tp', 'tot_p')} AS rec, {ratio_sql('fp', 'tot_n')} AS fpr FROM cum),
-conf AS ({_CONF_SQL}),
-cal AS (SELECT model, split, avg(p) AS mp, avg(CAST(y AS DOUBLE)) AS fpos
-        FROM scored GROUP BY model, split, {calib_bin_sql('p')}),
-u AS (
-  SELECT model, split, 'roc' AS curve, 'fpr' AS x_name, fpr AS x, 'tpr' AS y_name, rec AS y, t AS threshold FROM c
-  UNION ALL SELECT model, split, 'pr', 'recall', rec, 'precision', prec, t FROM c
-  UNION ALL SELECT model, split, 'threshold', 'threshold', t, 'f1',
-                   2 * prec * rec / (prec + rec + 1e-9), t FROM c
-  UNION ALL SELECT model, split, 'calibration', 'mean_predicted', mp, 'fraction_positive', fpos,
-                   NULL::DOUBLE FROM cal
-  UNION ALL SELECT model, split, 'confusion', 'cell', 0.0, 'tn', CAST(tn AS DOUBLE), threshold FROM conf
-  UNION ALL SELECT model, split, 'confusion', 'cell', 1.0, 'fp', CAST(fp AS DOUBLE), threshold FROM conf
-  UNION ALL SELECT model, split, 'confusion', 'cell', 2.0, 'fn', CAST(fn AS DOUBLE), threshold FROM conf
-  UNION ALL SELECT model, split, 'confusion', 'cell', 3.0, 'tp', CAST(tp AS DOUBLE), threshold FROM conf)
-SELECT model, split, curve, x_name, {r6('x')} AS x, y_name, {r6('y')} AS y, {r6('threshold')} AS threshold
+conf AS ({conf_sql(source, keys)}),
+cal AS (SELECT {k}, avg(p) AS mp, avg(CAST(y AS DOUBLE)) AS fpos
+        FROM {source} GROUP BY {k}, {calib_bin_sql('p', n_bins)}),
+u AS ({union})
+SELECT {k}, curve, x_name, {r6('x')} AS x, y_name, {r6('y')} AS y, {r6('threshold')} AS threshold
 FROM u"""
 
 
+_BUNDLE_SQL = bundle_sql("scored", _MS)
+
+
 @register("evaluation_bundle", fx.with_views(_BUNDLE_SQL, "scored"))
 def q_evaluation_bundle(spark, sf):
     return rounded(M.evaluation_bundle(fx.scored(spark, sf), _MS))
@@ -711,3 +731,234 @@ SELECT g.model, g.split, {r6('coalesce(ok.threshold, 0.5)')} AS threshold, {r6('
 FROM g LEFT JOIN ok ON g.model = ok.model AND g.split = ok.split AND ok.rb = 1""", "scored"))
 def q_optimal_threshold(spark, sf):
     return rounded(M.optimal_threshold(fx.scored(spark, sf), _MS))
+
+
+# ============================================================ 2.7 splits, 2.11 fairness
+
+from binscope.operators import fairness as K  # noqa: E402
+from binscope.operators import sample as G  # noqa: E402
+
+_WY_SQL = f"SELECT row_id, CAST({_LABEL_SQL} AS INTEGER) AS y, race FROM wide_raw"
+_RANK_SQL = f"""
+WITH w AS ({_WY_SQL}),
+r AS (SELECT *, row_number() OVER (PARTITION BY y, race ORDER BY md5(CAST(row_id AS VARCHAR) || ':222'), row_id) AS r,
+             count(*) OVER (PARTITION BY y, race) AS m FROM w)"""
+
+
+def _wide_y(spark, sf):
+    return C.encode_label(fx.wide_raw(spark, sf).select("row_id", "income", "race"),
+                          "income", "y").select("row_id", "y", "race")
+
+
+@register("stratified_split", fx.with_views(f"""{_RANK_SQL}
+SELECT row_id, y, race, CASE WHEN r <= floor(m * 6 / 10) THEN 'train'
+                             WHEN r <= floor(m * 8 / 10) THEN 'valid' ELSE 'test' END AS split
+FROM r""", "wide_raw"))
+def q_stratified_split(spark, sf):
+    return G.stratified_split(_wide_y(spark, sf), "row_id", ["y", "race"], seed=222)
+
+
+@register("kfold_assign", fx.with_views(f"""{_RANK_SQL}
+SELECT row_id, y, race, CAST((r - 1) % 5 AS INTEGER) AS fold FROM r""", "wide_raw"))
+def q_kfold_assign(spark, sf):
+    return G.kfold_assign(_wide_y(spark, sf), "row_id", ["y", "race"], k=5, seed=222)
+
+
+@register("random_undersample", fx.with_views("""
+WITH r AS (SELECT vec_id, label, y,
+                  row_number() OVER (PARTITION BY y ORDER BY md5(CAST(vec_id AS VARCHAR) || ':222'), vec_id) AS r
+           FROM vectors),
+mn AS (SELECT min(c) AS m FROM (SELECT count(*) AS c FROM vectors GROUP BY y) t)
+SELECT vec_id, label, y FROM r, mn WHERE r <= m""", "vectors"))
+def q_random_undersample(spark, sf):
+    v = fx.vectors(spark, sf).select("vec_id", "label", "y")
+    return G.random_undersample(v, "vec_id", "y", seed=222)
+
+
+@register("balanced_class_weights", fx.with_views(f"""
+WITH c AS (SELECT y, count(*) AS nc FROM vectors GROUP BY y),
+t AS (SELECT sum(nc) AS n, count(*) AS k FROM c)
+SELECT v.vec_id, v.label, v.y, {r6('t.n / (t.k * c.nc)')} AS weight
+FROM vectors v JOIN c ON v.y = c.y, t""", "vectors"))
+def q_balanced_class_weights(spark, sf):
+    v = fx.vectors(spark, sf).select("vec_id", "label", "y")
+    return rounded(G.balanced_class_weights(v, "y"))
+
+
+_GK = ["model", "attribute", "attribute_value"]
+_SLICES_SQL = """SELECT id, model, split, y, p, 'race' AS attribute, race AS attribute_value FROM scored
+UNION ALL SELECT id, model, split, y, p, 'sex', sex FROM scored"""
+_REF = {"race": "AUTOMOBILE", "sex": "AMERICA"}
+
+
+def _slices(spark, sf):
+    return K.group_slices(fx.scored(spark, sf), ["race", "sex"])
+
+
+@register("group_slices", fx.with_views(_SLICES_SQL, "scored"))
+def q_group_slices(spark, sf):
+    return _slices(spark, sf)
+
+
+def group_metrics_sql(source: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    on = " AND ".join(f"g.{x} = b.{x}" for x in keys)
+    gk = ", ".join(f"g.{x}" for x in keys)
+    n = "(g.pp + g.nn)"
+    tn, fn = "(g.nn - g.fpt)", "(g.pp - g.tpt)"
+    vals = {
+        "Accuracy": ratio_sql(f"g.tpt + {tn}", n),
+        "Precision": share_sql("g.tpt", "g.tpt + g.fpt"),
+        "Recall": share_sql("g.tpt", "g.pp"),
+        "F1": share_sql("2 * g.tpt", f"2 * g.tpt + g.fpt + {fn}"),
+        "Specificity": ratio_sql(tn, "g.nn"),
+        "Prevalence": ratio_sql("g.pp", n),
+        "Predicted Prevalence": ratio_sql("g.tpt + g.fpt", n),
+        "ROC AUC": ratio_sql("g.auc_num", "g.pp * g.nn"),
+        "Average Precision": ratio_sql("g.ap_num", "g.pp"),
+        "Brier": "b.brier",
+    }
+    cols = ", ".join(f"CAST({v} AS DOUBLE) AS {dq(m)}" for m, v in vals.items())
+    return f"""{cum_sql(source, keys)}, {summary_sql(keys)},
+b AS (SELECT {k}, avg((p - y) * (p - y)) AS brier FROM {source} GROUP BY {k}),
+gm AS (SELECT {gk}, {n} AS n, {cols} FROM g JOIN b ON {on})"""
+
+
+def _gm_out(keys: list[str]) -> str:
+    return ", ".join(keys) + ", n, " + ", ".join(f"{r6(dq(m))} AS {dq(m)}" for m in K.GROUP_METRICS)
+
+
+@register("group_metrics", fx.with_views(f"""
+WITH slices AS ({_SLICES_SQL}), {group_metrics_sql('slices', _GK)}
+SELECT {_gm_out(_GK)} FROM gm""", "scored"))
+def q_group_metrics(spark, sf):
+    return rounded(K.group_metrics(_slices(spark, sf), _GK))
+
+
+def disparities_sql(keys: list[str], ref: dict[str, str]) -> str:
+    outer = [k for k in keys if k != "attribute_value"]
+    cond = " OR ".join(f"(attribute = '{a}' AND attribute_value = '{v}')" for a, v in ref.items())
+    on = " AND ".join(f"gm.{x} = rf.{x}" for x in outer)
+    ratios = ", ".join(f"CASE WHEN rf.{dq(m)} = 0 THEN NULL ELSE gm.{dq(m)} / rf.{dq(m)} END AS "
+                       f"{dq(m + '_ratio')}" for m in K.GROUP_METRICS)
+    return f"""rf AS (SELECT * FROM gm WHERE {cond}),
+dp AS (SELECT {', '.join('gm.' + x for x in keys)}, {ratios} FROM gm LEFT JOIN rf ON {on})"""
+
+
+@register("group_disparities", fx.with_views(f"""
+WITH slices AS ({_SLICES_SQL}), {group_metrics_sql('slices', _GK)}, {disparities_sql(_GK, _REF)}
+SELECT {', '.join(_GK)}, {', '.join(f"{r6(dq(m + '_ratio'))} AS {dq(m + '_ratio')}" for m in K.GROUP_METRICS)}
+FROM dp""", "scored"))
+def q_group_disparities(spark, sf):
+    gm = K.group_metrics(_slices(spark, sf), _GK)
+    return rounded(K.group_disparities(gm, _GK, _REF))
+
+
+@register("group_curves", fx.with_views(
+    bundle_sql("slices", _GK, ("roc", "pr", "calibration")).replace(
+        "WITH ", f"WITH slices AS ({_SLICES_SQL}), ", 1), "scored"))
+def q_group_curves(spark, sf):
+    return rounded(K.group_curves(_slices(spark, sf), _GK))
+
+
+_SEEDS = G.bootstrap_seeds(10)
+_SEEDS_SQL = "SELECT * FROM (VALUES " + ", ".join(f"({i}, {s})" for i, s in enumerate(_SEEDS)) + \
+    ") t(bootstrap, seed)"
+
+
+def boot_sql(source: str, keys: list[str], key: str = "id", size: int = 2000) -> str:
+    k = ", ".join(keys)
+    hx = " || ':' || ".join(["CAST(d.seed AS VARCHAR)"] + [f"CAST(d.{x} AS VARCHAR)" for x in keys]
+                            + ["CAST(d.draw AS VARCHAR)"])
+    on = " AND ".join(f"r.{x} = dr.{x}" for x in keys)
+    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {key}) AS idx FROM {source}),
+counts AS (SELECT {k}, count(*) AS ng FROM {source} GROUP BY {k}),
+tot AS (SELECT sum(ng) AS n FROM counts),
+seeds AS ({_SEEDS_SQL}),
+d0 AS (SELECT c.*, s.bootstrap, s.seed, CAST(floor({size} * c.ng / tot.n) AS BIGINT) AS mg
+       FROM counts c, tot, seeds s),
+d AS (SELECT *, unnest(generate_series(1, mg)) AS draw FROM d0 WHERE mg >= 1),
+dr AS (SELECT {', '.join('d.' + x for x in keys)}, d.bootstrap, d.draw,
+              1 + CAST(floor(('0x' || substr(md5({hx}), 1, 8))::BIGINT / 4294967296.0 * d.ng) AS BIGINT) AS idx
+       FROM d),
+boot AS (SELECT r.* EXCLUDE (idx), dr.bootstrap, dr.draw FROM ranked r JOIN dr ON {on} AND r.idx = dr.idx)"""
+
+
+def _boot(spark, sf):
+    return K.bootstrap_slices(_slices(spark, sf), "id", _GK, 10, 2000)
+
+
+@register("bootstrap_sample", fx.with_views(f"""
+WITH slices AS ({_SLICES_SQL}), {boot_sql('slices', _GK)}
+SELECT id, model, split, y, {r6('p')} AS p, attribute, attribute_value, bootstrap, draw FROM boot""",
+                                            "scored"))
+def q_bootstrap_sample(spark, sf):
+    return rounded(_boot(spark, sf))
+
+
+_GKB = _GK + ["bootstrap"]
+
+
+@register("bootstrap_group_metrics", fx.with_views(f"""
+WITH slices AS ({_SLICES_SQL}), {boot_sql('slices', _GK)}, {group_metrics_sql('boot', _GKB)}
+SELECT {_gm_out(_GKB)} FROM gm""", "scored"))
+def q_bootstrap_group_metrics(spark, sf):
+    return rounded(K.bootstrap_group_metrics(_boot(spark, sf), _GK))
+
+
+def _boot_disp_sql() -> str:
+    union = " UNION ALL ".join(
+        f"SELECT {', '.join(_GKB)}, '{m}_ratio' AS metric, {dq(m + '_ratio')} AS value FROM dp"
+        for m in K.GROUP_METRICS)
+    return f"""
+WITH slices AS ({_SLICES_SQL}), {boot_sql('slices', _GK)}, {group_metrics_sql('boot', _GKB)},
+{disparities_sql(_GKB, _REF)},
+lg AS ({union})
+SELECT {', '.join(_GK)}, metric, count(value) AS n, {r6('avg(value)')} AS mean,
+       {r6('quantile_cont(value, 0.025)')} AS q025, {r6('quantile_cont(value, 0.5)')} AS q500,
+       {r6('quantile_cont(value, 0.975)')} AS q975
+FROM lg GROUP BY {', '.join(_GK)}, metric"""
+
+
+@register("bootstrap_disparities", fx.with_views(_boot_disp_sql(), "scored"))
+def q_bootstrap_disparities(spark, sf):
+    bgm = K.bootstrap_group_metrics(_boot(spark, sf), _GK)
+    return rounded(K.bootstrap_disparities(bgm, _GK, _REF))
+
+
+def _boot_curves_sql(grid: int = 100, n_bins: int = 5) -> str:
+    kb = ", ".join(_GKB)
+    gk = ", ".join(_GK)
+    on = " AND ".join(f"f.{x} = b.{x}" for x in _GKB)
+    up = f"CASE WHEN fpr <= (ceil(fpr * {grid}) - 1) / {float(grid)} THEN ceil(fpr * {grid}) - 1 ELSE ceil(fpr * {grid}) END"
+    dn = f"CASE WHEN (floor(rec * {grid}) + 1) / {float(grid)} <= rec THEN floor(rec * {grid}) + 1 ELSE floor(rec * {grid}) END"
+    return f"""
+WITH slices AS ({_SLICES_SQL}), {boot_sql('slices', _GK)}, {cum_sql('boot', _GKB)},
+pts AS (SELECT {kb}, {ratio_sql('fp', 'tot_n')} AS fpr, {ratio_sql('tp', 'tot_p')} AS tpr,
+               {ratio_sql('tp', 'tp + fp')} AS prec, {ratio_sql('tp', 'tot_p')} AS rec FROM cum),
+curves AS (SELECT DISTINCT {kb} FROM cum),
+roc AS (SELECT {kb}, CAST({up} AS BIGINT) AS gi, tpr AS y FROM pts
+        UNION ALL SELECT {kb}, 0, 0.0 FROM curves),
+pr AS (SELECT {kb}, CAST({dn} AS BIGINT) AS gi, prec AS y FROM pts
+       UNION ALL SELECT {kb}, 0, 1.0 FROM curves),
+full_grid AS (SELECT {kb}, unnest(generate_series(0, {grid})) AS gi FROM curves),
+rb AS (SELECT {kb}, gi, max(y) AS y FROM roc GROUP BY ALL),
+pb AS (SELECT {kb}, gi, max(y) AS y FROM pr GROUP BY ALL),
+rg AS (SELECT f.*, max(b.y) OVER (PARTITION BY {', '.join('f.' + x for x in _GKB)} ORDER BY f.gi
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y, 'roc' AS curve
+       FROM full_grid f LEFT JOIN rb b ON {on} AND f.gi = b.gi),
+pg AS (SELECT f.*, max(b.y) OVER (PARTITION BY {', '.join('f.' + x for x in _GKB)} ORDER BY f.gi DESC
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y, 'pr' AS curve
+       FROM full_grid f LEFT JOIN pb b ON {on} AND f.gi = b.gi),
+al AS (SELECT * FROM rg UNION ALL SELECT * FROM pg),
+cal AS (SELECT {kb}, {calib_bin_sql('p', n_bins)} AS bin, avg(p) AS mp, avg(CAST(y AS DOUBLE)) AS fpos
+        FROM boot GROUP BY ALL)
+SELECT {gk}, curve, {r6(f'gi / {float(grid)}')} AS x, {r6('avg(y)')} AS y, count(y) AS n_boot
+FROM al GROUP BY {gk}, curve, gi
+UNION ALL
+SELECT {gk}, 'calibration', {r6('avg(mp)')}, {r6('avg(fpos)')}, count(*) FROM cal GROUP BY {gk}, bin"""
+
+
+@register("bootstrap_curves", fx.with_views(_boot_curves_sql(), "scored"))
+def q_bootstrap_curves(spark, sf):
+    return rounded(K.bootstrap_curves(_boot(spark, sf), _GK, grid=100, n_bins=5))
