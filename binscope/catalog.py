@@ -962,3 +962,383 @@ SELECT {gk}, 'calibration', {r6('avg(mp)')}, {r6('avg(fpos)')}, count(*) FROM ca
 @register("bootstrap_curves", fx.with_views(_boot_curves_sql(), "scored"))
 def q_bootstrap_curves(spark, sf):
     return rounded(K.bootstrap_curves(_boot(spark, sf), _GK, grid=100, n_bins=5))
+
+
+# ============================================================ 2.5 profiles (A7-A12), R3, R4
+
+_CLEAN_NUMS = ["amount", "balance", "capital-gain", "constant_col", "mostly_missing",
+               "edge_missing", "num_text", "money_text"]
+
+
+def _clean(spark, sf):
+    return C.clean_dataframe(fx.wide_raw(spark, sf), ["money_text"])
+
+
+def _t1c_sql() -> str:
+    parts = []
+    for n in _CLEAN_NUMS:
+        x = dq(n)
+        parts.append(f"""SELECT '{n}' AS variable, count({x}) AS n, count_if({x} IS NULL) AS missing,
+  {r6(f'100.0 * count_if({x} IS NULL) / count(*)')} AS missing_pct, {r6(f'avg({x})')} AS mean,
+  {r6(f'stddev_samp({x})')} AS sd, {r6(f'quantile_cont({x}, 0.5)')} AS median,
+  {r6(f'min({x})')} AS min, {r6(f'max({x})')} AS max,
+  {r6(f'(SELECT {x} FROM cl WHERE {x} IS NOT NULL GROUP BY {x} ORDER BY count(*) DESC, {x} ASC LIMIT 1)')} AS mode
+FROM cl""")
+    return f"WITH cl AS ({_CLEAN_SQL})\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("table1_continuous", fx.with_views(_t1c_sql(), "wide_raw"))
+def q_table1_continuous(spark, sf):
+    return rounded(A.table1_continuous(_clean(spark, sf), _CLEAN_NUMS))
+
+
+def _t1cat_sql(k: int = 3) -> str:
+    parts, bases = [], []
+    for n in _CLEAN_STR:
+        x = dq(n)
+        parts.append(f"SELECT '{n}' AS variable, {x} AS value, count(*) AS count FROM cl "
+                     f"WHERE {x} IS NOT NULL GROUP BY {x}")
+        bases.append(f"SELECT '{n}' AS variable, count({x}) AS n, count(*) AS rows_ FROM cl")
+    return f"""WITH cl AS ({_CLEAN_SQL}),
+vc AS ({' UNION ALL '.join(parts)}),
+base AS ({' UNION ALL '.join(bases)}),
+md AS (SELECT variable, arg_min(value, (-count, value)) AS mode FROM vc GROUP BY variable),
+top AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY count DESC, value ASC) AS rk FROM vc)
+SELECT t.variable, t.value, b.n, b.rows_ - b.n AS missing, {r6('100.0 * (b.rows_ - b.n) / b.rows_')} AS missing_pct,
+       md.mode, t.count, {r6('t.count / b.rows_')} AS proportion
+FROM top t JOIN base b USING (variable) JOIN md USING (variable) WHERE t.rk <= {k}"""
+
+
+@register("table1_categorical", fx.with_views(_t1cat_sql(), "wide_raw"))
+def q_table1_categorical(spark, sf):
+    return rounded(A.table1_categorical(_clean(spark, sf), _CLEAN_STR, value_counts=True,
+                                        max_categories=3))
+
+
+_CLEAN_ALL = ["amount", "balance", "capital-gain", "constant_col", "mostly_missing", "edge_missing",
+              "num_text", "dirty_text", "money_text", "marital-status", "race", "sex", "income"]
+
+
+def _types_sql() -> str:
+    parts = []
+    for i, n in enumerate(_CLEAN_ALL):
+        x = dq(n)
+        if n in _CLEAN_NUMS:
+            kind = (f"CASE WHEN coalesce(bool_and({x} = (SELECT min({x}) FROM cl) OR "
+                    f"{x} = (SELECT max({x}) FROM cl)), true) THEN 'categorical' ELSE 'continuous' END")
+            parts.append(f"SELECT '{n}' AS variable, {i} AS pos, {kind} AS kind FROM cl")
+        else:
+            parts.append(f"SELECT '{n}' AS variable, {i} AS pos, 'categorical' AS kind")
+    return f"WITH cl AS ({_CLEAN_SQL})\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("detect_variable_types", fx.with_views(_types_sql(), "wide_raw"))
+def q_detect_variable_types(spark, sf):
+    return A.detect_variable_types(_clean(spark, sf), key="row_id")
+
+
+@register("histogram_density", fx.with_views(f"""
+WITH st AS (SELECT min(amount) AS mn, max(amount) AS mx, count(amount) AS n FROM wide_raw),
+b AS (SELECT CAST(least(floor((amount - mn) / ((mx - mn) / 10.0)), 9) AS INTEGER) AS bin, mn, mx, n
+      FROM wide_raw, st WHERE amount IS NOT NULL),
+g AS (SELECT bin, count(*) AS count, min(mn) AS mn, min(mx) AS mx, min(n) AS n FROM b GROUP BY bin)
+SELECT 'amount' AS variable, bin, {r6('mn + bin * ((mx - mn) / 10.0)')} AS lo,
+       {r6('mn + (bin + 1) * ((mx - mn) / 10.0)')} AS hi, count,
+       {r6('count / (n * ((mx - mn) / 10.0))', )} AS density
+FROM g""", "wide_raw"))
+def q_histogram_density(spark, sf):
+    return rounded(A.histogram_density(fx.wide_raw(spark, sf), "amount", 10))
+
+
+def r12(expr: str) -> str:
+    return f"round_even(CAST({expr} AS DOUBLE) * 1000000000000.0, 0) / 1000000000000.0"
+
+
+@register("kde_curve", fx.with_views(f"""
+WITH st AS (SELECT min(balance) AS mn, max(balance) AS mx, count(balance) AS n,
+                   stddev_samp(balance) AS sd FROM wide_raw),
+p AS (SELECT mn, mx, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st),
+g AS (SELECT i, (mn - 3 * h) + i * (((mx + 3 * h) - (mn - 3 * h)) / 99.0) AS x, n, h
+      FROM p, range(0, 100) r(i)),
+v AS (SELECT balance AS x, count(*) AS w FROM wide_raw WHERE balance IS NOT NULL GROUP BY balance)
+SELECT 'balance' AS variable, CAST(g.i AS INTEGER) AS point, {r6('g.x')} AS x,
+       {r12('sum(v.w * exp(-((g.x - v.x) / g.h) * ((g.x - v.x) / g.h) / 2)) / (min(g.n) * min(g.h) * sqrt(2 * pi()))')} AS density
+FROM g, v GROUP BY g.i, g.x""", "wide_raw"))
+def q_kde_curve(spark, sf):
+    d = A.kde_curve(fx.wide_raw(spark, sf), "balance", 100)
+    return d.select("variable", F.col("point").cast("int").alias("point"),
+                    np_round(F.col("x"), 6).alias("x"), np_round(F.col("density"), 12).alias("density"))
+
+
+@register("compare_tables", fx.with_views(" UNION ALL ".join(
+    f"SELECT row_id, '{n}' AS \"column\", CAST(l AS VARCHAR) AS \"left\", CAST(r AS VARCHAR) AS \"right\" "
+    f"FROM (SELECT row_id, {dq(n)} AS l, {token_sql(dq(n)) if n in WIDE_STR else dq(n)} AS r FROM wide_raw) t "
+    "WHERE l IS DISTINCT FROM r" for n in WIDE_COLS[1:]), "wide_raw"))
+def q_compare_tables(spark, sf):
+    w = fx.wide_raw(spark, sf)
+    verdict, cells = A.compare_tables(w, C.nullify_tokens(w), key="row_id")
+    return cells
+
+
+@register("unpivot_disparities", fx.with_views(f"""
+WITH slices AS ({_SLICES_SQL}), {group_metrics_sql('slices', _GK)}, {disparities_sql(_GK, _REF)}
+""" + " UNION ALL ".join(
+    f"SELECT {', '.join(_GK)}, '{m}_ratio' AS metric, {r6(dq(m + '_ratio'))} AS value FROM dp"
+    for m in K.GROUP_METRICS), "scored"))
+def q_unpivot_disparities(spark, sf):
+    gm = K.group_metrics(_slices(spark, sf), _GK)
+    d = K.group_disparities(gm, _GK, _REF)
+    return rounded(R.unpivot_disparities(d, _GK))
+
+
+_TOPK_COLS = ["amount", "balance", "capital-gain", "mostly_missing", "edge_missing"]
+
+
+@register("top_k_per_row", fx.with_views(f"""
+WITH u AS (""" + " UNION ALL ".join(
+    f"SELECT row_id, {i} AS pos, '{n}' AS name, {dq(n)} AS v FROM wide_raw WHERE {dq(n)} IS NOT NULL"
+    for i, n in enumerate(_TOPK_COLS)) + """),
+r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY v DESC, pos ASC) AS rk FROM u),
+ids AS (SELECT row_id FROM wide_raw)
+SELECT ids.row_id, r1.name AS top1_name, r1.v AS top1_value, r2.name AS top2_name, r2.v AS top2_value
+FROM ids LEFT JOIN r r1 ON ids.row_id = r1.row_id AND r1.rk = 1
+         LEFT JOIN r r2 ON ids.row_id = r2.row_id AND r2.rk = 2""", "wide_raw"))
+def q_top_k_per_row(spark, sf):
+    t = R.top_k_per_row(fx.wide_raw(spark, sf), _TOPK_COLS, k=2, out="top")
+    e1, e2 = F.try_element_at("top", F.lit(1)), F.try_element_at("top", F.lit(2))
+    return t.select("row_id", e1["name"].alias("top1_name"), e1["value"].alias("top1_value"),
+                    e2["name"].alias("top2_name"), e2["value"].alias("top2_value"))
+
+
+# ============================================================ 2.8 features
+
+from binscope.operators import explain as E  # noqa: E402
+from binscope.operators import features as X  # noqa: E402
+
+_FEAT_NUM = ["amount", "balance", "capital-gain", "num_text", "money_text"]
+_FEAT_CAT = ["race", "sex"]
+_TRAIN_WHERE = f"{_SPLIT_U} < 0.6"
+
+
+def _feat_frame(spark, sf):
+    cl = _clean(spark, sf).select("row_id", *_FEAT_NUM, *_FEAT_CAT)
+    u = md5_uniform(F.col("row_id"), "split")
+    return cl, cl.where(u < 0.6)
+
+
+def _scale_cols_sql(stats: str = "st") -> str:
+    return ", ".join(
+        f"{r6(f'coalesce(({dq(n)} - {stats}.m{i}) / (CASE WHEN coalesce({stats}.s{i}, 0) = 0 THEN 1.0 ELSE {stats}.s{i} END), 0.0)')} AS {dq(n)}"
+        for i, n in enumerate(_FEAT_NUM))
+
+
+def _scale_stats_sql() -> str:
+    return ", ".join(f"{r6(f'avg({dq(n)})')} AS m{i}, {r6(f'stddev_pop({dq(n)})')} AS s{i}"
+                     for i, n in enumerate(_FEAT_NUM))
+
+
+@register("scale_then_impute", fx.with_views(f"""
+WITH cl AS ({_CLEAN_SQL}), st AS (SELECT {_scale_stats_sql()} FROM cl WHERE {_TRAIN_WHERE})
+SELECT row_id, {_scale_cols_sql()} FROM cl, st""", "wide_raw"))
+def q_scale_then_impute(spark, sf):
+    cl, train = _feat_frame(spark, sf)
+    st = X.scale_fit(train, _FEAT_NUM)
+    return rounded(X.scale_then_impute(cl.select("row_id", *[C.c(n) for n in _FEAT_NUM]), st))
+
+
+@register("impute_mean", fx.with_views(f"""
+WITH cl AS ({_CLEAN_SQL}), st AS (SELECT {', '.join(f"{r6(f'avg({dq(n)})')} AS m{i}" for i, n in enumerate(_FEAT_NUM))}
+                                  FROM cl WHERE {_TRAIN_WHERE})
+SELECT row_id, {', '.join(f"{r6(f'coalesce({dq(n)}, st.m{i})')} AS {dq(n)}" for i, n in enumerate(_FEAT_NUM))}
+FROM cl, st""", "wide_raw"))
+def q_impute_mean(spark, sf):
+    cl, train = _feat_frame(spark, sf)
+    mm = X.mean_fit(train, _FEAT_NUM)
+    return rounded(X.impute_mean(cl.select("row_id", *[C.c(n) for n in _FEAT_NUM]), mm))
+
+
+@register("impute_constant", fx.with_views(f"""
+WITH cl AS ({_CLEAN_SQL})
+SELECT row_id, coalesce(race, 'missing') AS race, coalesce(sex, 'missing') AS sex FROM cl""",
+                                           "wide_raw"))
+def q_impute_constant(spark, sf):
+    cl, _ = _feat_frame(spark, sf)
+    return X.impute_constant(cl.select("row_id", *_FEAT_CAT), _FEAT_CAT)
+
+
+_RACES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+_SEXES = ["F", "O", "P"]
+
+
+def _onehot_sql(src: str, cats: dict[str, list[str]]) -> str:
+    return ", ".join(f"CAST(coalesce({dq(n)} = '{v}', false) AS INTEGER) AS {dq(X.onehot_name(n, v))}"
+                     for n, vs in cats.items() for v in vs)
+
+
+@register("onehot_ignore_unknown", fx.with_views(f"""
+WITH cl AS ({_CLEAN_SQL})
+SELECT row_id, {_onehot_sql('cl', {'race': _RACES, 'sex': _SEXES})} FROM cl""", "wide_raw"))
+def q_onehot_ignore_unknown(spark, sf):
+    cl, train = _feat_frame(spark, sf)
+    cats = X.onehot_fit(train, _FEAT_CAT)
+    return X.onehot_apply(cl.select("row_id", *_FEAT_CAT), cats)
+
+
+@register("preprocessing_plan", fx.with_views(f"""
+WITH cl AS ({_CLEAN_SQL}), st AS (SELECT {_scale_stats_sql()} FROM cl WHERE {_TRAIN_WHERE}),
+im AS (SELECT row_id, {_scale_cols_sql()}, coalesce(race, 'missing') AS race,
+              coalesce(sex, 'missing') AS sex FROM cl, st)
+SELECT row_id, {', '.join(dq(n) for n in _FEAT_NUM)},
+       {_onehot_sql('im', {'race': _RACES + ['missing'], 'sex': _SEXES + ['missing']})} FROM im""",
+                                              "wide_raw"))
+def q_preprocessing_plan(spark, sf):
+    cl, train = _feat_frame(spark, sf)
+    plan = X.preprocessing_plan("lr", rfe=False, smote=False)
+    (out,), _names = X.apply_plan(train, [cl], plan, _FEAT_NUM, _FEAT_CAT)
+    return rounded(out)
+
+
+# ============================================================ 2.12 explanations, T7
+
+_COEFS = dict(fx.COEFS)
+_INTERCEPT = -0.25
+_EXPL_FEATS = list(_COEFS)
+
+
+def _means_sql() -> str:
+    return ", ".join(f"{r6(f'avg({dq(f)})')} AS m{i}" for i, f in enumerate(_EXPL_FEATS))
+
+
+def _contrib_sql(i: int, f: str) -> str:
+    return f"CAST({_COEFS[f]!r} AS DOUBLE) * coalesce({dq(f)} - ms.m{i}, 0.0)"
+
+
+def _expl_frame(spark, sf):
+    cl = _clean(spark, sf)
+    means = X.mean_fit(cl, _EXPL_FEATS)
+    return cl, means
+
+
+@register("linear_contributions", fx.with_views(f"""
+WITH cl AS ({_CLEAN_SQL}), ms AS (SELECT {_means_sql()} FROM cl)
+SELECT row_id, {', '.join(f"{r6(_contrib_sql(i, f))} AS {dq('contrib_' + f)}" for i, f in enumerate(_EXPL_FEATS))}
+FROM cl, ms""", "wide_raw"))
+def q_linear_contributions(spark, sf):
+    cl, means = _expl_frame(spark, sf)
+    d = E.linear_contributions(cl.select("row_id", *_EXPL_FEATS), _COEFS, means)
+    return rounded(d.select("row_id", *[f"contrib_{f}" for f in _EXPL_FEATS]))
+
+
+def _ranked_sql() -> str:
+    u = " UNION ALL ".join(
+        f"SELECT row_id, {i} AS pos, '{f}' AS name, "
+        f"round_even(abs({_contrib_sql(i, f)}) * 100.0, 0) / 100.0 AS v FROM cl, ms"
+        for i, f in enumerate(_EXPL_FEATS))
+    return f"""cl AS ({_CLEAN_SQL}), ms AS (SELECT {_means_sql()} FROM cl),
+u AS ({u}),
+rk AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY v DESC, pos ASC) AS r FROM u)"""
+
+
+_TOPK = 5
+
+
+@register("top_contributions_json", fx.with_views(f"""
+WITH {_ranked_sql()}
+SELECT row_id, '{{' || string_agg('"' || name || '":' || CAST(v AS VARCHAR), ',' ORDER BY r) || '}}'
+       AS "Top 5 Features"
+FROM rk WHERE r <= {_TOPK} GROUP BY row_id""", "wide_raw"))
+def q_top_contributions_json(spark, sf):
+    cl, means = _expl_frame(spark, sf)
+    d = E.linear_contributions(cl.select("row_id", *_EXPL_FEATS), _COEFS, means)
+    return E.top_contributions_json(d, _EXPL_FEATS, _TOPK).select("row_id", "Top 5 Features")
+
+
+@register("top_contribution_names", fx.with_views(f"""
+WITH {_ranked_sql()}
+SELECT row_id, string_agg(name, ', ' ORDER BY r) AS "Top 5 Features"
+FROM rk WHERE r <= {_TOPK} GROUP BY row_id""", "wide_raw"))
+def q_top_contribution_names(spark, sf):
+    cl, means = _expl_frame(spark, sf)
+    d = E.linear_contributions(cl.select("row_id", *_EXPL_FEATS), _COEFS, means)
+    return E.top_contribution_names(d, _EXPL_FEATS, _TOPK).select("row_id", "Top 5 Features")
+
+
+def _proba_sql() -> str:
+    z = f"CAST({_INTERCEPT!r} AS DOUBLE) + " + " + ".join(_contrib_sql(i, f) for i, f in enumerate(_EXPL_FEATS))
+    return f"1.0 / (1.0 + exp(-({z})))"
+
+
+@register("score_rows", fx.with_views(f"""
+WITH cl AS ({_CLEAN_SQL}), ms AS (SELECT {_means_sql()} FROM cl),
+s AS (SELECT row_id, {_proba_sql()} AS pp FROM cl, ms)
+SELECT row_id, {r6('pp')} AS predicted_probas, CAST(pp > 0.5 AS INTEGER) AS predictions FROM s""",
+                                      "wide_raw"))
+def q_score_rows(spark, sf):
+    cl, means = _expl_frame(spark, sf)
+    d = E.score_linear(cl.select("row_id", *_EXPL_FEATS), _COEFS, means, _INTERCEPT, None)
+    return rounded(d.select("row_id", "predicted_probas", "predictions"))
+
+
+@register("explanation_table", fx.with_views(f"""
+WITH {_ranked_sql()},
+j AS (SELECT row_id, '{{' || string_agg('"' || name || '":' || CAST(v AS VARCHAR), ',' ORDER BY r) || '}}' AS js
+      FROM rk WHERE r <= {_TOPK} GROUP BY row_id),
+s AS (SELECT row_id, {_proba_sql()} AS pp, CAST({_LABEL_SQL} AS INTEGER) AS y, {_SPLIT_SQL} AS split FROM cl, ms)
+SELECT s.row_id, j.js AS "Top 5 Features",
+       CAST(y = 1 AND pp > 0.5 AS INTEGER) AS "TP", CAST(y = 1 AND NOT pp > 0.5 AS INTEGER) AS "FN",
+       CAST(y <> 1 AND pp > 0.5 AS INTEGER) AS "FP", CAST(y <> 1 AND NOT pp > 0.5 AS INTEGER) AS "TN",
+       y AS y_true, CAST(pp > 0.5 AS INTEGER) AS y_pred, {r6('pp')} AS y_pred_proba, 'income' AS "Outcome"
+FROM s JOIN j USING (row_id) WHERE split = 'valid'""", "wide_raw"))
+def q_explanation_table(spark, sf):
+    cl, means = _expl_frame(spark, sf)
+    u = md5_uniform(F.col("row_id"), "split")
+    d = (C.encode_label(cl, "income", "y")
+         .withColumn("split", F.when(u < 0.6, "train").when(u < 0.8, "valid").otherwise("test")))
+    return rounded(E.explanation_table(d, "row_id", _EXPL_FEATS, _COEFS, means, _INTERCEPT, 0.5,
+                                       label="y", hold_out="valid"))
+
+
+# ============================================================ 2.13 registry
+
+def _registry_with_runs(spark, sf):
+    r = fx.runs(spark, sf)
+    reg = N.Registry(spark, scratch_path(spark, "registry"))
+    reg._append("runs", r.select("experiment", "run_id", "run_name", "start_time"))
+    reg._append("params", N.param_rows(
+        r.withColumn("model", F.split("run_name", "_").getItem(0)), "run_id",
+        ["model", "n_customers"]))
+    reg._append("metrics", N.metric_rows(r, "run_id", ["average_precision", "roc_auc"]))
+    return reg
+
+
+@register("registry_runs", fx.with_views("""
+SELECT experiment, run_name, arg_max(run_id, (start_time, run_id)) AS run_id, max(start_time) AS start_time
+FROM runs GROUP BY experiment, run_name""", "runs"))
+def q_registry_runs(spark, sf):
+    return N.latest_runs(_registry_with_runs(spark, sf).runs())
+
+
+@register("registry_log_params", fx.with_views("""
+SELECT run_id, 'model' AS key, split_part(run_name, '_', 1) AS value FROM runs
+UNION ALL SELECT run_id, 'n_customers', CAST(n_customers AS VARCHAR) FROM runs""", "runs"))
+def q_registry_log_params(spark, sf):
+    return _registry_with_runs(spark, sf).params()
+
+
+@register("registry_log_metrics", fx.with_views(f"""
+SELECT run_id, 'average_precision' AS key, {r6('average_precision')} AS value, CAST(0 AS BIGINT) AS step
+FROM runs WHERE average_precision IS NOT NULL
+UNION ALL SELECT run_id, 'roc_auc', {r6('roc_auc')}, CAST(0 AS BIGINT) FROM runs""", "runs"))
+def q_registry_log_metrics(spark, sf):
+    return rounded(_registry_with_runs(spark, sf).metrics())
+
+
+@register("find_best_model", fx.with_views(f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY experiment
+                     ORDER BY average_precision DESC NULLS LAST, start_time DESC, run_id ASC) AS rk FROM runs)
+SELECT experiment, run_id, run_name, {r6('average_precision')} AS metric_value,
+       split_part(run_name, '_', 1) AS estimator
+FROM r WHERE rk = 1""", "runs"))
+def q_find_best_model(spark, sf):
+    reg = _registry_with_runs(spark, sf)
+    return rounded(N.best_runs(reg.runs(), reg.metrics(), "average_precision", "max"))

@@ -179,3 +179,49 @@ def with_views(sql: str, *names: str, extra: dict[str, str] | None = None) -> st
     if rest[:5].upper() == "WITH ":
         return f"WITH {body},\n{rest[5:]}"
     return f"WITH {body}\n{rest}"
+
+
+# ---------------------------------------------------------------- run registry views
+
+# Model and pipeline names of the reference's training runs.
+RUN_MODELS = ("lr", "rf", "xgb", "cat")
+RUN_PIPELINES = (("AUTOMOBILE", "orig"), ("BUILDING", "smote"), ("FURNITURE", "under"),
+                 ("HOUSEHOLD", "orig_rfe"), ("MACHINERY", "smote_rfe"))
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per (nation, market segment) of ``customer``: ``experiment,
+    run_id, run_name, start_time`` plus the run's statistics ``n_customers``,
+    ``average_precision`` (NULL for every fourth run size) and ``roc_auc``."""
+    cu = read_table(spark, sf_dir, "customer")
+    g = cu.groupBy("c_nationkey", "c_mktsegment").agg(
+        F.min("c_custkey").alias("start_time"), F.count(F.lit(1)).alias("n_customers"),
+        F.avg("c_acctbal").alias("bal"))
+    model = F.element_at(F.array(*[F.lit(m) for m in RUN_MODELS]),
+                         (F.col("c_nationkey") % 4 + 1).cast("int"))
+    pipe = F.lit("orig")
+    for seg, name in reversed(RUN_PIPELINES):
+        pipe = F.when(F.col("c_mktsegment") == seg, F.lit(name)).otherwise(pipe)
+    return g.select(
+        F.concat(F.lit("exp_"), (F.col("c_nationkey") % 3).cast("string")).alias("experiment"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit("-"), F.col("c_mktsegment")).alias("run_id"),
+        F.concat(model, F.lit("_"), pipe, F.lit("_training")).alias("run_name"),
+        F.col("start_time").cast("bigint").alias("start_time"),
+        "n_customers",
+        F.when(F.col("n_customers") % 4 != 0, F.col("bal") / 10000).alias("average_precision"),
+        (F.col("bal") / 20000 + 0.5).alias("roc_auc"))
+
+
+RUNS_SQL = """
+SELECT 'exp_' || CAST(c_nationkey % 3 AS VARCHAR) AS experiment,
+       CAST(c_nationkey AS VARCHAR) || '-' || c_mktsegment AS run_id,
+       ['lr', 'rf', 'xgb', 'cat'][c_nationkey % 4 + 1] || '_' ||
+       CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'orig' WHEN 'BUILDING' THEN 'smote'
+            WHEN 'FURNITURE' THEN 'under' WHEN 'HOUSEHOLD' THEN 'orig_rfe'
+            WHEN 'MACHINERY' THEN 'smote_rfe' ELSE 'orig' END || '_training' AS run_name,
+       CAST(min(c_custkey) AS BIGINT) AS start_time, count(*) AS n_customers,
+       CASE WHEN count(*) % 4 <> 0 THEN avg(c_acctbal) / 10000 END AS average_precision,
+       avg(c_acctbal) / 20000 + 0.5 AS roc_auc
+FROM customer GROUP BY c_nationkey, c_mktsegment
+"""
+VIEW_SQL["runs"] = RUNS_SQL

@@ -207,10 +207,10 @@ def histogram_density(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     ``bin, lo, hi, count, density = count / (n * width)``."""
     st = df.agg(F.min(c(col)).alias("mn"), F.max(c(col)).alias("mx"),
                 F.count(c(col)).alias("n"))
-    x = c(col).cast("double")
     width = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
-    b = F.least(F.floor((x - F.col("mn")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
-    binned = (df.where(c(col).isNotNull()).select(x.alias("_x"))
+    b = F.least(F.floor((F.col("_x") - F.col("mn")) / F.nullif(width, F.lit(0.0))),
+                F.lit(bins - 1))
+    binned = (df.where(c(col).isNotNull()).select(c(col).cast("double").alias("_x"))
               .withColumn("_k", F.lit(0)).join(st.withColumn("_k", F.lit(0)), "_k")
               .select(F.coalesce(b, F.lit(0)).cast("int").alias("bin"), "mn", "mx", "n"))
     g = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.first("mn").alias("mn"),

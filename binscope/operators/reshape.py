@@ -25,15 +25,17 @@ def unpivot_disparities(df: DataFrame, id_cols: list[str], metric_cols: list[str
 
 
 def top_k_per_row(df: DataFrame, cols: list[str], k: int = 5, out: str = "top",
-                  largest: bool = True) -> DataFrame:
+                  largest: bool = True, names: list[str] | None = None) -> DataFrame:
     """The ``k`` largest entries across ``cols`` of each row as an array of
     ``struct(name, value)``; ties go to the earlier column, missing values are
-    skipped. A per-row array sort: no shuffle, no explode."""
+    skipped; ``names`` labels the entries (default: the column names). A
+    per-row array sort: no shuffle, no explode."""
     sign = -1.0 if largest else 1.0
+    names = names or cols
     entries = F.array(*[F.struct((F.lit(sign) * c(n).cast("double")).alias("o"),
-                                 F.lit(i).alias("pos"), F.lit(n).alias("name"),
+                                 F.lit(i).alias("pos"), F.lit(lab).alias("name"),
                                  c(n).cast("double").alias("value"))
-                        for i, n in enumerate(cols)])
+                        for i, (n, lab) in enumerate(zip(cols, names))])
     kept = F.filter(entries, lambda e: e["value"].isNotNull())
     top = F.slice(F.array_sort(kept), 1, k)
     return df.withColumn(out, F.transform(top, lambda e: F.struct(e["name"].alias("name"),
