@@ -1342,3 +1342,93 @@ FROM r WHERE rk = 1""", "runs"))
 def q_find_best_model(spark, sf):
     reg = _registry_with_runs(spark, sf)
     return rounded(N.best_runs(reg.runs(), reg.metrics(), "average_precision", "max"))
+
+
+# ============================================================ 2.8 X5, X8; 2.9 models (rows-only)
+
+from pyspark.ml.classification import LogisticRegressionModel  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from binscope.operators import models as T  # noqa: E402
+from binscope.plans import training as TR  # noqa: E402
+from binscope.session import cut_lineage  # noqa: E402
+
+
+def _train_frame(spark, sf, model_type: str = "lr"):
+    cl = C.encode_label(_clean(spark, sf), "income", "y")
+    tf, names = TR.training_frame(cl, "row_id", "y", _FEAT_NUM, _FEAT_CAT, model_type)
+    return cut_lineage(tf), names
+
+
+def _train(tf):
+    return tf.where(F.col("split") == "train")
+
+
+@register("assemble_features")
+def q_assemble_features(spark, sf):
+    tf, _ = _train_frame(spark, sf)
+    return tf.select("row_id", "y", "split", "weight",
+                     vector_to_array("features").alias("features"))
+
+
+@register("fit_logistic")
+def q_fit_logistic(spark, sf):
+    tf, _ = _train_frame(spark, sf)
+    model = T.fit_logistic(_train(tf), weight="weight", C=1.0)
+    return T.score_model(model, tf, keep=["row_id"])
+
+
+@register("fit_random_forest")
+def q_fit_random_forest(spark, sf):
+    tf, _ = _train_frame(spark, sf, "rf")
+    model = T.fit_random_forest(_train(tf), weight="weight", n_estimators=100, max_depth=5)
+    return T.score_model(model, tf, keep=["row_id"])
+
+
+@register("fit_gradient_boosted")
+def q_fit_gradient_boosted(spark, sf):
+    tf, _ = _train_frame(spark, sf, "xgb")
+    fit_rows = tf.where(F.col("split") != "test").withColumn(
+        "is_valid", F.col("split") == "valid")
+    model = T.fit_gradient_boosted(fit_rows, weight="weight", validation="is_valid",
+                                   learning_rate=0.1, n_estimators=30, max_depth=3)
+    return T.score_model(model, tf, keep=["row_id"])
+
+
+@register("random_grid_search")
+def q_random_grid_search(spark, sf):
+    tf, _ = _train_frame(spark, sf)
+    valid = tf.where(F.col("split") == "valid")
+    _, _, tried = T.random_grid_search(
+        _train(tf), valid, lambda d, **p: T.fit_logistic(d, weight="weight", **p),
+        T.LR_GRID, n_iter=2, seed=222)
+    return tried
+
+
+@register("calibrate_scores")
+def q_calibrate_scores(spark, sf):
+    tf, _ = _train_frame(spark, sf)
+    model = T.fit_logistic(_train(tf), weight="weight", C=1.0)
+    scored_rows = T.score_model(model, tf, keep=["row_id", "y", "split"])
+    cal = T.calibrate_scores(scored_rows.where(F.col("split") == "valid"), "sigmoid")
+    return cal(scored_rows).select("row_id", "predicted_probas", "calibrated")
+
+
+@register("rfe_select")
+def q_rfe_select(spark, sf):
+    tf, names = _train_frame(spark, sf)
+    wide = _train(tf).select("y", "weight", vector_to_array("features").alias("_v"))
+    wide = wide.select("y", "weight", *[F.col("_v")[i].alias(n) for i, n in enumerate(names)])
+    kept = X.rfe_select(wide, names, "y", n_features=0.5, step=0.1, weight="weight")
+    return _state_df(spark, "rfe_selected", kept)
+
+
+@register("model_store")
+def q_model_store(spark, sf):
+    tf, _ = _train_frame(spark, sf)
+    model = T.fit_logistic(_train(tf), weight="weight", C=1.0)
+    reg = N.Registry(spark, scratch_path(spark, "registry"))
+    run_id = reg.get_or_create_run("models", "lr_orig_training")
+    reg.save_model(run_id, model)
+    loaded = reg.load_model(run_id, LogisticRegressionModel)
+    return T.score_model(loaded, tf, keep=["row_id"])

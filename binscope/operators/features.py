@@ -131,15 +131,20 @@ def preprocessing_plan(model_type: str, rfe: bool = False, smote: bool = False)
 
 
 def apply_plan(train: DataFrame, frames: list[DataFrame], plan: list[tuple], numeric: list[str],
-               categorical: list[str]) -> tuple[list[DataFrame], list[str]]:
+               categorical: list[str], allow_missing: bool = False
+               ) -> tuple[list[DataFrame], list[str]]:
     """Fit the plan's statistics on ``train`` and apply them to every frame.
-    Returns the transformed frames and the ordered feature column names."""
+    Returns the transformed frames and the ordered feature column names.
+
+    Spark's tree learners reject missing values (the reference's boosting
+    libraries route them natively), so a ``passthrough`` numeric block is
+    mean-imputed unless ``allow_missing``."""
     stages = {s for _, _, s in plan}
     out = list(frames)
     if "scale" in stages:
         st = scale_fit(train, numeric)
         out = [scale_then_impute(f, st) for f in out]
-    elif "impute_mean" in stages:
+    elif "impute_mean" in stages or not allow_missing:
         mm = mean_fit(train, numeric)
         out = [impute_mean(f, mm) for f in out]
     if "impute_constant" in stages:
