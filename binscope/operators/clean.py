@@ -48,56 +48,80 @@ def nullify_tokens(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
          if n in todo else c(n)) for n in df.columns])
 
 
-def strip_thousands(df: DataFrame, cols: list[str]) -> DataFrame:
-    """For the named text columns that exist, drop "," and parse; a value
-    that does not parse becomes NULL (per value, not per column)."""
-    todo = set(cols or []) & set(df.columns)
-    strs = set(string_columns(df))
-    out = []
-    for n in df.columns:
-        if n in todo and n in strs:
-            out.append(strict_numeric(F.regexp_replace(c(n), ",", ""), "double").alias(n))
-        else:
-            out.append(c(n))
-    return df.select(*out)
-
-
-def numeric_probe(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
-    """For each text column: ``"bigint"`` / ``"double"`` if every non-missing
-    value parses (all integers and nothing missing -> bigint), else ``None``.
-    One aggregation job for all columns."""
+def _no_commas(v: Column) -> Column:
+    return F.regexp_replace(v, ",", "")
+
+
+def numeric_probe(df: DataFrame, cols: list[str], coerce_cols: list[str] | None = None
+                  ) -> dict[str, str | None]:
+    """One aggregation job deciding the numeric type of text columns.
+
+    ``cols`` (strict parse, P3): ``"bigint"`` / ``"double"`` if every
+    non-missing value parses (all integers and nothing missing -> bigint),
+    else ``None`` (column stays text). ``coerce_cols`` (P2, commas removed,
+    bad values become NULL): ``"bigint"`` when every value is an integer and
+    none is missing, else ``"double"``."""
     exprs = []
     for i, n in enumerate(cols):
         v = c(n)
         exprs += [
             F.coalesce(F.bool_and(numeric_ok(v)), F.lit(True)).alias(f"ok{i}"),
             F.coalesce(F.bool_and(F.coalesce(v.rlike(INTEGER_SHAPE), F.lit(False))),
-                        F.lit(True)).alias(f"int{i}"),
+                       F.lit(True)).alias(f"int{i}"),
         ]
+    for i, n in enumerate(coerce_cols or []):
+        v = _no_commas(c(n))
+        exprs.append(F.coalesce(F.bool_and(F.coalesce(v.rlike(INTEGER_SHAPE), F.lit(False))),
+                                F.lit(True)).alias(f"cint{i}"))
     if not exprs:
         return {}
     row = batched_agg(df, exprs)
-    return {n: (("bigint" if row[f"int{i}"] else "double") if row[f"ok{i}"] else None)
-            for i, n in enumerate(cols)}
+    out = {n: (("bigint" if row[f"int{i}"] else "double") if row[f"ok{i}"] else None)
+           for i, n in enumerate(cols)}
+    out.update({n: ("bigint" if row[f"cint{i}"] else "double")
+                for i, n in enumerate(coerce_cols or [])})
+    return out
+
 
+def _p2_targets(df: DataFrame, cols: list[str] | None) -> list[str]:
+    strs = set(string_columns(df))
+    return [n for n in df.columns if n in set(cols or []) and n in strs]
 
-def infer_numeric(df: DataFrame, cols: list[str] | None = None, skip: list[str] | None = None
-                  ) -> DataFrame:
+
+def strip_thousands(df: DataFrame, cols: list[str], kinds: dict | None = None) -> DataFrame:
+    """For the named text columns that exist, drop "," and parse; a value
+    that does not parse becomes NULL (per value, not per column). The type is
+    bigint when every value is an integer, else double (one probe job unless
+    ``kinds`` is given)."""
+    todo = _p2_targets(df, cols)
+    if kinds is None:
+        kinds = numeric_probe(df, [], todo)
+    return df.select(*[(strict_numeric(_no_commas(c(n)), kinds[n]).alias(n) if n in todo
+                        else c(n)) for n in df.columns])
+
+
+def infer_numeric(df: DataFrame, cols: list[str] | None = None, skip: list[str] | None = None,
+                  kinds: dict | None = None) -> DataFrame:
     """A text column becomes numeric only if every non-missing value parses;
     otherwise the whole column stays text. "" counts as missing."""
     cand = [n for n in (cols if cols is not None else string_columns(df))
             if n in set(string_columns(df)) and n not in set(skip or [])]
-    kinds = numeric_probe(df, cand)
+    if kinds is None:
+        kinds = numeric_probe(df, cand)
     return df.select(*[
-        (strict_numeric(c(n), kinds[n]).alias(n) if kinds.get(n) else c(n)) for n in df.columns])
+        (strict_numeric(c(n), kinds[n]).alias(n) if kinds.get(n) and n in cand else c(n))
+        for n in df.columns])
 
 
 def clean_dataframe(df: DataFrame, thousands_cols: list[str] | None = None) -> DataFrame:
-    """P1 -> P2 -> P3 (P3 skips the P2 columns). One aggregation job."""
+    """P1 -> P2 -> P3 (P3 skips the P2 columns). The types of P2 and P3
+    are decided together in ONE aggregation job over the P1 output."""
     d = nullify_tokens(df)
-    if thousands_cols:
-        d = strip_thousands(d, thousands_cols)
-    return infer_numeric(d, skip=thousands_cols)
+    p2 = _p2_targets(d, thousands_cols)
+    p3 = [n for n in string_columns(d) if n not in set(thousands_cols or [])]
+    kinds = numeric_probe(d, p3, p2)
+    d = strip_thousands(d, p2, kinds)
+    return infer_numeric(d, p3, kinds=kinds)
 
 
 # ------------------------------------------------------------------ P5-P9
