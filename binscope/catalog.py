@@ -1432,3 +1432,39 @@ def q_model_store(spark, sf):
     reg.save_model(run_id, model)
     loaded = reg.load_model(run_id, LogisticRegressionModel)
     return T.score_model(loaded, tf, keep=["row_id"])
+
+
+# ============================================================ J3, X7
+
+@register("join_scores_groups", fx.with_views("""
+SELECT s.id, s.model, s.split, s.y, s.p, c_mktsegment AS race, r_name AS sex
+FROM scored s JOIN orders ON s.id = o_orderkey JOIN customer ON o_custkey = c_custkey
+     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""", "scored"))
+def q_join_scores_groups(spark, sf):
+    scores = fx.scored(spark, sf).select("id", "model", "split", "y", "p")
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    cu = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    na = read_table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    re_ = read_table(spark, sf, "region").select("r_regionkey", "r_name")
+    groups = (o.join(cu, o.o_custkey == cu.c_custkey).join(na, cu.c_nationkey == na.n_nationkey)
+              .join(re_, na.n_regionkey == re_.r_regionkey)
+              .select(F.col("o_orderkey").alias("id"), F.col("c_mktsegment").alias("race"),
+                      F.col("r_name").alias("sex")))
+    return J.join_scores_groups(scores, groups, "id", ["race", "sex"])
+
+
+_GRID_KEYS = ([("lr", k) for k in T.LR_GRID] + [("rf", k) for k in T.RF_GRID]
+              + [("xgb", k) for k in ("learning_rate", "n_estimators", "max_depth", "subsample",
+                                      "feature_selection_RFE__n_features_to_select")]
+              + [("cat", k) for k in ("learning_rate", "depth", "l2_leaf_reg",
+                                      "feature_selection_RFE__n_features_to_select")])
+
+
+@register("prune_param_grid", fx.with_views("""
+WITH g AS (SELECT * FROM (VALUES """ + ", ".join(f"('{m}', '{k}')" for m, k in _GRID_KEYS) + """) t(model, key)),
+r AS (SELECT run_id, split_part(run_name, '_', 1) AS model, contains(run_name, '_rfe') AS rfe FROM runs)
+SELECT r.run_id, r.model, g.key FROM r JOIN g USING (model)
+WHERE r.rfe OR NOT contains(g.key, 'feature_selection')""", "runs"))
+def q_prune_param_grid(spark, sf):
+    grid = spark.createDataFrame(_GRID_KEYS, "model string, key string")
+    return X.prune_param_grid_table(fx.runs(spark, sf), grid)

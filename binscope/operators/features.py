@@ -194,3 +194,17 @@ def rfe_select(df: DataFrame, features: list[str], label: str, n_features: int |
         keep = [n for n in keep if n not in gone]
     return keep
 
+
+
+def prune_param_grid_table(runs: DataFrame, grid: DataFrame, run_name: str = "run_name"
+                           ) -> DataFrame:
+    """X7 as tables: ``grid(model, key)`` joined to each run by the model part
+    of its name; ``feature_selection*`` keys are kept only for runs whose
+    pipeline has an RFE step (``..._rfe_...`` in the run name). The grid table
+    has one row per (model, parameter): a fixed, small side."""
+    model = F.split(F.col(run_name), "_").getItem(0)
+    has_rfe = F.col(run_name).contains("_rfe")
+    r = runs.select("run_id", model.alias("model"), has_rfe.alias("_rfe"))
+    j = r.join(F.broadcast(grid), "model")
+    return j.where(F.col("_rfe") | ~F.col("key").contains("feature_selection")).select(
+        "run_id", "model", "key")
