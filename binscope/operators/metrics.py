@@ -198,15 +198,17 @@ def pivot_metrics(long: DataFrame, column: str = "model", values: list[str] | No
                   metric: str = "metric", value: str = "value", digits: int = 3) -> DataFrame:
     """R2: metrics as rows, one column per ``column`` value, each rounded to
     ``digits`` (half to even), then ``Mean`` = mean of the rounded values,
-    rounded again. Pass ``values`` to skip the job that finds them."""
+    rounded again. One aggregate (a conditional ``first`` per column value and
+    the mean), no pivot job and no join. Pass ``values`` to skip the job that
+    finds them."""
     if values is None:
         values = sorted(r[0] for r in long.select(column).distinct().limit(1001).collect())
         if len(values) > 1000:
             raise ValueError("too many pivot values; pass `values` explicitly")
     r = long.select(metric, column, np_round(F.col(value), digits).alias("_v"))
-    wide = r.groupBy(metric).pivot(column, values).agg(F.first("_v"))
-    mean = r.groupBy(metric).agg(np_round(F.avg("_v"), digits).alias("Mean"))
-    return wide.join(mean, metric)
+    cells = [F.first(F.when(F.col(column) == F.lit(v), F.col("_v")), ignorenulls=True).alias(v)
+             for v in values]
+    return r.groupBy(metric).agg(*cells, np_round(F.avg("_v"), digits).alias("Mean"))
 
 
 def metrics_report(scored: DataFrame, keys=("model",), threshold: float = 0.5, label: str = "y",

@@ -82,3 +82,48 @@ def global_row_number(df: DataFrame, order_cols: list[str], out: str = "row_no")
     return (s.join(F.broadcast(offsets), "_pid")
             .withColumn(out, (pos + F.col("_off")).cast("bigint"))
             .drop("_mid", "_pid", "_off"))
+
+
+def rank_in_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
+                   out: str = "_r", size: str = "_m", broadcast_blocks: bool = True
+                   ) -> tuple[DataFrame, DataFrame]:
+    """1-based rank of each row inside its group by ``order_cols`` (unique
+    within a group), plus the group size; also returns the group-size table.
+
+    One range-partitioned sort on (groups, order) spreads every group, however
+    large, over many tasks. After it, a block is the run of one group inside
+    one partition; the block table (``_pid``, groups, count, first position)
+    has at most partitions + groups - 1 rows. Block offsets, group starts and
+    group sizes come from windows over that small table, and one join on
+    (partition, group) attaches them. The join is broadcast by default; with
+    ``broadcast_blocks=False`` (unbounded number of groups) it is a shuffle
+    join on (partition, group), which stays balanced because the partitions
+    are. NULL group values are a group of their own (null-safe join).
+    """
+    s = df.orderBy(*group_cols, *order_cols).withColumn("_mid", F.monotonically_increasing_id())
+    s = (s.withColumn("_pid", F.shiftright("_mid", 33))
+         .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33)).drop("_mid"))
+    blocks = s.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
+                                                 F.min("_pos").alias("_first"))
+    w_all = Window.orderBy("_pid", *group_cols).rowsBetween(Window.unboundedPreceding, -1)
+    w_grp = Window.partitionBy(*group_cols)
+    blocks = (blocks.withColumn("_bstart", F.coalesce(F.sum("_n").over(w_all), F.lit(0)))
+              .select("_pid", *group_cols, "_first", "_bstart",
+                      F.min("_bstart").over(w_grp).alias("_gstart"),
+                      F.sum("_n").over(w_grp).alias(size)))
+    sizes = blocks.select(*group_cols, size).distinct()
+    right = blocks
+    for i, g in enumerate(group_cols):
+        right = right.withColumnRenamed(g, f"_j{i}")
+    right = right.withColumnRenamed("_pid", "_jp")
+    if broadcast_blocks:
+        right = F.broadcast(right)
+    cond = s["_pid"] == right["_jp"]
+    for i, g in enumerate(group_cols):
+        cond = cond & s[g].eqNullSafe(right[f"_j{i}"])
+    j = s.join(right, cond)
+    rank = F.col("_bstart") + (F.col("_pos") - F.col("_first")) - F.col("_gstart") + 1
+    ranked = (j.withColumn(out, rank)
+              .drop("_pid", "_jp", "_pos", "_first", "_bstart", "_gstart",
+                    *[f"_j{i}" for i in range(len(group_cols))]))
+    return ranked, sizes

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binscope.functions.exprs import c, md5_order_key
-from binscope.operators.running import global_row_number
+from binscope.operators.running import rank_in_groups
 from binscope.session import cut_lineage
 
 
@@ -35,13 +35,9 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str
 def rank_within(df: DataFrame, strata: list[str], order: Column, out: str = "_r",
                 size: str = "_m") -> DataFrame:
     """1-based rank inside each stratum by ``order`` (unique per row) and the
-    stratum size, without a per-stratum window."""
-    d = df.withColumn("_ord", order)
-    g = global_row_number(d, [*strata, "_ord"], out="_gr")
-    starts = g.groupBy(*strata).agg(F.min("_gr").alias("_start"),
-                                    F.count(F.lit(1)).alias(size))
-    j = _null_safe_join(g, starts, strata)
-    return j.withColumn(out, F.col("_gr") - F.col("_start") + 1).drop("_ord", "_gr", "_start")
+    stratum size, without a per-stratum window (see ``rank_in_groups``)."""
+    ranked, _ = rank_in_groups(df.withColumn("_ord", order), strata, ["_ord"], out, size)
+    return ranked.drop("_ord")
 
 
 def stratified_split(df: DataFrame, key: str, strata: list[str], seed: int = 222,
@@ -106,8 +102,7 @@ def bootstrap_sample(df: DataFrame, key: str, groups: list[str], num_bootstraps:
     written once with a reliable checkpoint (shared ``spark.checkpoint.dir``);
     its size is bounded by ``num_bootstraps * size`` rows."""
     seeds = seeds or bootstrap_seeds(num_bootstraps)
-    ranked = rank_within(df, groups, c(key), out="_idx", size="_ng")
-    counts = df.groupBy(*[c(g).alias(g) for g in groups]).agg(F.count(F.lit(1)).alias("_ng"))
+    ranked, counts = rank_in_groups(df, groups, [key], out="_idx", size="_ng")
     tot = counts.agg(F.sum("_ng").alias("_n"), F.count(F.lit(1)).alias("_G"))
     cg = counts.withColumn("_c", F.lit(0)).join(tot.withColumn("_c", F.lit(0)), "_c").drop("_c")
     m = (F.floor(F.lit(size) / F.col("_G")) if balanced

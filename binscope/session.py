@@ -49,10 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: the lineage is cut, the result survives executor loss, and unlike
+    ``Dataset.checkpoint(eager=True)`` (an eager count, then a second
+    computation to write) the input is computed exactly once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
