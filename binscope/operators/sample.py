@@ -75,7 +75,8 @@ def balanced_class_weights(df: DataFrame, label: str, out: str = "weight") -> Da
     tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     w = (counts.withColumn("_c", F.lit(0)).join(tot.withColumn("_c", F.lit(0)), "_c")
          .select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out)))
-    return _null_safe_join(df, w, [label])
+    # one row per class: broadcast, so a class holding most rows is never shuffled to one task
+    return _null_safe_join(df, F.broadcast(w), [label])
 
 
 def bootstrap_seeds(num_bootstraps: int = 10, lo: float = 200, hi: float = 300) -> list[int]:
