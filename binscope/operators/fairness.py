@@ -59,18 +59,19 @@ def group_disparities(gm: DataFrame, keys: list[str], reference: dict[str, str],
                       attribute: str = "attribute", value: str = "attribute_value") -> DataFrame:
     """K4: every metric divided by the same metric of the reference group of
     its attribute (``<metric>_ratio``); a 0 or missing denominator gives NULL.
-    The reference rows (one per key combination) are joined on the keys other
-    than the attribute value."""
-    ref_rows = None
+
+    ``gm`` has one row per group, so the reference value is picked with a
+    window over the keys other than the attribute value (a handful of rows
+    per window partition); no self-join, so ``gm`` is computed once."""
+    is_ref = None
     for attr, val in reference.items():
         cond = (F.col(attribute) == F.lit(attr)) & (F.col(value) == F.lit(val))
-        ref_rows = cond if ref_rows is None else ref_rows | cond
+        is_ref = cond if is_ref is None else is_ref | cond
     outer = [k for k in keys if k != value]
-    ref = gm.where(ref_rows).select(*outer, *[F.col(f"`{m}`").alias(f"_ref{i}")
-                                              for i, m in enumerate(GROUP_METRICS)])
-    j = gm.join(ref, outer, "left")
-    return j.select(*keys, *[safe_div(F.col(f"`{m}`"), F.col(f"_ref{i}")).alias(f"{m}_ratio")
-                             for i, m in enumerate(GROUP_METRICS)])
+    w = Window.partitionBy(*outer)
+    return gm.select(*keys, *[
+        safe_div(F.col(f"`{m}`"), F.max(F.when(is_ref, F.col(f"`{m}`"))).over(w)).alias(f"{m}_ratio")
+        for m in GROUP_METRICS])
 
 
 def group_curves(slices: DataFrame, keys: list[str], n_bins: int = 10, label: str = "y",

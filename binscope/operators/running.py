@@ -17,6 +17,19 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 64
 
 
+def bucket_of(x: Column, bounds: Column, m: int) -> Column:
+    """Number of the ``m`` sorted ``bounds`` that are below ``x``, as a binary
+    search unrolled into nested CASE WHEN on array elements: log2(m)
+    comparisons per row, compiled into whole-stage codegen (a higher-order
+    ``aggregate`` over the array would be interpreted per row)."""
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(x > bounds[mid - 1], node(mid, hi)).otherwise(node(lo, mid - 1))
+    return node(0, m)
+
+
 def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
                  descending: bool = True, n_buckets: int = DEFAULT_BUCKETS,
                  prefix: str = "cum_", totals_prefix: str | None = "tot_") -> DataFrame:
@@ -46,7 +59,7 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
     bounds = base.groupBy(*grp).agg(
         F.percentile_approx(o, probs, 1000).alias("_bounds"),
         *[F.sum(v).alias("_gt_" + v) for v in value_cols])
-    bucket = F.aggregate("_bounds", F.lit(0), lambda acc, b: acc + F.when(o > b, 1).otherwise(0))
+    bucket = bucket_of(o, F.col("_bounds"), n_buckets - 1)
     with_b = base.join(bounds, grp).withColumn("_bucket", bucket).drop("_bounds")
 
     totals = with_b.groupBy(*grp, "_bucket").agg(*[F.sum(v).alias("_t_" + v) for v in value_cols])
