@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 # Fixed values (must agree with the reference's parsing rules):
 # a text cell counts as missing when it is exactly "" or contains two or more
-# dashes or two or more dots anywhere.
-MISSING_TOKEN_PATTERNS = ("-{2,}", "\\.{2,}")
+# dashes or two or more dots anywhere. "Two or more in a row" is the same as
+# containing the doubled character, so a plain substring test is used.
+MISSING_TOKEN_SUBSTRINGS = ("--", "..")
 
 # Shape of a value that pandas' numeric parser accepts (leading/trailing blanks,
 # optional sign, decimal or exponent form, inf/infinity). Spark's cast also
@@ -33,8 +34,8 @@ def c(name: str) -> Column:
 def is_missing_token(col: Column) -> Column:
     """True when a string cell is one of the missing-value tokens."""
     cond = col == F.lit("")
-    for pat in MISSING_TOKEN_PATTERNS:
-        cond = cond | col.rlike(pat)
+    for sub in MISSING_TOKEN_SUBSTRINGS:
+        cond = cond | col.contains(sub)
     return cond
 
 
@@ -43,12 +44,29 @@ def numeric_ok(col: Column) -> Column:
     return col.isNull() | (col == F.lit("")) | col.rlike(NUMERIC_SHAPE)
 
 
-def strict_numeric(col: Column, to: str = "double") -> Column:
-    """Parse a numeric-looking string, NULL for anything else (per value)."""
+def strict_numeric(col: Column, to: str = "double", guard: bool = True) -> Column:
+    """Parse a numeric-looking string, NULL for anything else (per value).
+    ``guard=False`` skips the shape test when every non-missing value is
+    already known to have the numeric shape (after a probe)."""
     trimmed = F.trim(col)
+    if not guard:
+        return trimmed.try_cast(to)
     return F.when(col.rlike(NUMERIC_SHAPE), trimmed.try_cast(to))
 
 
+# Characters that only non-integer numeric shapes contain (".", exponent, inf).
+NON_INTEGER_CHARS = (".", "e", "E", "i", "I")
+
+
+def integer_given_shape(col: Column) -> Column:
+    """For a value already known to have the numeric shape: present, not "",
+    and an integer (no decimal point, exponent or infinity)."""
+    cond = col.isNotNull() & (col != F.lit(""))
+    for ch in NON_INTEGER_CHARS:
+        cond = cond & ~col.contains(ch)
+    return cond
+
+
 def np_round(col: Column, digits: int) -> Column:
     """Round half to even on the scaled value, like numpy's ``round``."""
     scale = float(10 ** digits)

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, NumericType, StringType)
 
-from binscope.functions.exprs import (INTEGER_SHAPE, NUMERIC_SHAPE, c, is_missing_token,
-                                      numeric_ok, q, strict_numeric)
+from binscope.functions.exprs import (INTEGER_SHAPE, NUMERIC_SHAPE, c, integer_given_shape,
+                                      is_missing_token, numeric_ok, q, strict_numeric)
 from binscope.operators.running import global_row_number
 
 AGG_BATCH = 200  # expressions per aggregate, keeps generated code under the JVM method limit
@@ -66,7 +66,7 @@ def numeric_probe(df: DataFrame, cols: list[str], coerce_cols: list[str] | None
         v = c(n)
         exprs += [
             F.coalesce(F.bool_and(numeric_ok(v)), F.lit(True)).alias(f"ok{i}"),
-            F.coalesce(F.bool_and(F.coalesce(v.rlike(INTEGER_SHAPE), F.lit(False))),
+            F.coalesce(F.bool_and(F.coalesce(integer_given_shape(v), F.lit(False))),
                        F.lit(True)).alias(f"int{i}"),
         ]
     for i, n in enumerate(coerce_cols or []):
@@ -108,8 +108,10 @@ def infer_numeric(df: DataFrame, cols: list[str] | None = None, skip: list[str]
             if n in set(string_columns(df)) and n not in set(skip or [])]
     if kinds is None:
         kinds = numeric_probe(df, cand)
+    # the probe proved every non-missing value has the numeric shape: no per-value regex
     return df.select(*[
-        (strict_numeric(c(n), kinds[n]).alias(n) if kinds.get(n) and n in cand else c(n))
+        (strict_numeric(c(n), kinds[n], guard=False).alias(n) if kinds.get(n) and n in cand
+         else c(n))
         for n in df.columns])
 
 
