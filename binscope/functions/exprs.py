@@ -83,6 +83,14 @@ def md5_order_key(key: Column, seed: int | str) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
 
 
+def md5_order_cols(key: Column, seed: int | str) -> list[Column]:
+    """Columns ordering rows by ``md5(key:seed)`` then key: a numeric prefix
+    (first 15 hex digits, 60 bits, usable for percentile bucketing), the full
+    digest and the key as tie-breakers. Same order as sorting by the digest."""
+    h = md5_order_key(key, seed)
+    return [F.conv(F.substring(h, 1, 15), 16, 10).cast("long"), h, key]
+
+
 def md5_uniform(*parts: Column | str) -> Column:
     """Uniform number in [0, 1) from the first 8 hex digits of md5(parts joined by ':')."""
     cols = [p if isinstance(p, Column) else F.lit(p) for p in parts]

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, NumericType, StringType)
 
 from binscope.functions.exprs import (INTEGER_SHAPE, NUMERIC_SHAPE, c, integer_given_shape,
-                                      is_missing_token, numeric_ok, q, strict_numeric)
+                                      is_missing_token, md5_order_cols, numeric_ok, q,
+                                      strict_numeric)
 from binscope.operators.running import global_row_number
 
 AGG_BATCH = 200  # expressions per aggregate, keeps generated code under the JVM method limit
@@ -237,14 +238,16 @@ def id_params(seed: int) -> tuple[int, int]:
 def add_ids(df: DataFrame, source_key: str, seed: int = 111, out: str = "census_id") -> DataFrame:
     """Unique 9-digit id per row, ``10^8 + (a*i + b) mod 9*10^8`` where ``i``
     is the 0-based rank of ``md5(key:seed)``. Unique by construction (the map
-    is a bijection mod 9e8), no random pool to shuffle. The rank comes from a
-    range-partitioned sort plus per-partition offsets, not a global window."""
+    is a bijection mod 9e8), no random pool to shuffle. The rank comes from
+    percentile buckets of the digest plus bucket offsets
+    (``running.global_row_number``), not a single-task global window."""
     a, b = id_params(seed)
-    ranked = global_row_number(
-        df.withColumn("_ord", F.md5(F.concat(c(source_key).cast("string"), F.lit(f":{seed}")))),
-        ["_ord", source_key], out="_i")
+    cols = md5_order_cols(c(source_key), seed)
+    d = df.select("*", *[x.alias(f"_o{i}") for i, x in enumerate(cols)])
+    ranked = global_row_number(d, [f"_o{i}" for i in range(len(cols))], out="_i").drop(
+        *[f"_o{i}" for i in range(len(cols))])
     ident = F.lit(10 ** 8) + F.pmod(F.lit(a) * F.col("_i") + F.lit(b), F.lit(ID_SPAN))
-    return ranked.withColumn(out, ident.cast("bigint")).drop("_ord", "_i")
+    return ranked.withColumn(out, ident.cast("bigint")).drop("_i")
 
 
 def feature_target_split(df: DataFrame, key: str, target: str = "income",

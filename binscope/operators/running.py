@@ -1,12 +1,20 @@
-"""Running sums over an ordered column, per group, without one task per group.
+"""Running sums and ranks over an ordered column, per group, without one task per group.
 
 A window ``partitionBy(group).orderBy(score)`` puts every row of a group into a
-single task; at scale one model's distinct scores can number in the billions.
-This helper splits each group into ``n_buckets`` ranges of the order column
-(boundaries from ``percentile_approx``, a small per-group table), computes
-bucket totals and their exclusive prefix (a tiny window over groups x buckets),
-and then runs the window inside each (group, bucket). The result is exact: the
-buckets only decide which task does the work, never which rows are summed.
+single task; at scale one model's distinct scores can number in the billions,
+and one stratum can hold a third of all rows. These helpers split each group
+into ``n_buckets`` ranges of the order column, with boundaries from
+``percentile_approx`` (a small per-group table). They compute bucket totals and
+their exclusive prefix (a window over groups x buckets), then run the window
+inside each (group, bucket). The result is exact: the buckets only decide
+which task does the work, never which rows are counted.
+
+The bounds table is used by several branches of the plan, and
+``percentile_approx`` depends on the order in which rows arrive. It is
+therefore written once to the shared checkpoint folder and read back, so every
+branch, and every recomputation after an executor loss, sees the same
+buckets. Because the written table's row count is known, broadcasting it is a
+checked decision, not a guess.
 """
 
 from __future__ import annotations
@@ -15,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
+BROADCAST_GROUPS = 200_000  # groups whose bounds/offsets tables are broadcast
 
 
 def bucket_of(x: Column, bounds: Column, m: int) -> Column:
@@ -30,6 +39,32 @@ def bucket_of(x: Column, bounds: Column, m: int) -> Column:
     return node(0, m)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner",
+                   broadcast: bool = False) -> DataFrame:
+    """Equi-join on ``cols`` where NULL matches NULL (group values may be missing)."""
+    r = right
+    for i, n in enumerate(cols):
+        r = r.withColumnRenamed(n, f"_j{i}")
+    if broadcast:
+        r = F.broadcast(r)
+    cond = None
+    for i, n in enumerate(cols):
+        e = left[n].eqNullSafe(r[f"_j{i}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"_j{i}" for i in range(len(cols))])
+
+
+def _materialized_bounds(base: DataFrame, grp: list[str], o: Column, n_buckets: int,
+                         extra: list[Column]) -> tuple[DataFrame, bool]:
+    """Per-group bucket bounds (plus ``extra`` aggregates), written once; also
+    returns whether the table is small enough to broadcast (row count known)."""
+    from binscope.session import cut_lineage
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    b = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 1000).alias("_bounds"), *extra)
+    b = cut_lineage(b, "bucket-bounds")
+    return b, b.count() <= BROADCAST_GROUPS
+
+
 def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
                  descending: bool = True, n_buckets: int = DEFAULT_BUCKETS,
                  prefix: str = "cum_", totals_prefix: str | None = "tot_") -> DataFrame:
@@ -39,9 +74,8 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
 
     ``df`` should hold at most one row per (keys, order value); ties would be
     ordered arbitrarily otherwise. ``n_buckets=1`` is the plain window (fine when
-    each group is known to be small). The group totals come out of the same
-    aggregate as the bucket bounds, and that aggregate reads every input column,
-    so its input exchange is the one the main path uses (exchange reuse).
+    each group is known to be small). Raise ``n_buckets`` with the data: each
+    (group, bucket) window task holds about 1/n_buckets of a group.
     """
     keys = list(keys)
     o: Column = -F.col(order_col) if descending else F.col(order_col)
@@ -55,88 +89,62 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
                           *[F.sum(v).over(wt).alias(totals_prefix + v) for v in tot_cols])
         return out.drop("_g") if not keys else out
 
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = base.groupBy(*grp).agg(
-        F.percentile_approx(o, probs, 1000).alias("_bounds"),
-        *[F.sum(v).alias("_gt_" + v) for v in value_cols])
-    bucket = bucket_of(o, F.col("_bounds"), n_buckets - 1)
-    with_b = base.join(bounds, grp).withColumn("_bucket", bucket).drop("_bounds")
-
+    bounds, small = _materialized_bounds(base, grp, o, n_buckets,
+                                         [F.sum(v).alias("_gt_" + v) for v in value_cols])
+    with_b = (null_safe_join(base, bounds, grp, broadcast=small)
+              .withColumn("_bucket", bucket_of(o, F.col("_bounds"), n_buckets - 1))
+              .drop("_bounds"))
     totals = with_b.groupBy(*grp, "_bucket").agg(*[F.sum(v).alias("_t_" + v) for v in value_cols])
     wb = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*grp, "_bucket", *[
         F.coalesce(F.sum("_t_" + v).over(wb), F.lit(0)).alias("_o_" + v) for v in value_cols])
-
     wr = (Window.partitionBy(*grp, "_bucket").orderBy(o)
           .rowsBetween(Window.unboundedPreceding, 0))
     keep = [c for c in with_b.columns if c != "_bucket" and not c.startswith("_gt_")]
-    out = (with_b.join(offsets, grp + ["_bucket"])
+    out = (null_safe_join(with_b, offsets, grp + ["_bucket"], broadcast=small)
            .select(*keep,
                    *[(F.sum(v).over(wr) + F.col("_o_" + v)).alias(prefix + v) for v in value_cols],
                    *[F.col("_gt_" + v).alias(totals_prefix + v) for v in tot_cols]))
     return out.drop("_g") if not keys else out
 
 
-def global_row_number(df: DataFrame, order_cols: list[str], out: str = "row_no") -> DataFrame:
-    """0-based rank of each row in the global order of ``order_cols`` (which
-    must be unique per row).
-
-    ``orderBy`` range-partitions and sorts in parallel; ``monotonically_increasing_id``
-    then encodes (partition, position). Per-partition row counts (one row per
-    partition) give each partition's offset, joined back on the partition id.
-    No single task ever sees all rows, unlike an unpartitioned window.
-    """
-    s = df.orderBy(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
-    s = s.withColumn("_pid", F.shiftright("_mid", 33))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
-    return (s.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, (pos + F.col("_off")).cast("bigint"))
-            .drop("_mid", "_pid", "_off"))
-
-
 def rank_in_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                   out: str = "_r", size: str = "_m", broadcast_blocks: bool = True
+                   out: str = "_r", size: str = "_m", n_buckets: int = DEFAULT_BUCKETS
                    ) -> tuple[DataFrame, DataFrame]:
-    """1-based rank of each row inside its group by ``order_cols`` (unique
-    within a group), plus the group size; also returns the group-size table.
-
-    One range-partitioned sort on (groups, order) spreads every group, however
-    large, over many tasks. After it, a block is the run of one group inside
-    one partition; the block table (``_pid``, groups, count, first position)
-    has at most partitions + groups - 1 rows. Block offsets, group starts and
-    group sizes come from windows over that small table, and one join on
-    (partition, group) attaches them. The join is broadcast by default; with
-    ``broadcast_blocks=False`` (unbounded number of groups) it is a shuffle
-    join on (partition, group), which stays balanced because the partitions
-    are. NULL group values are a group of their own (null-safe join).
+    """1-based rank of each row inside its group by ``order_cols`` (the first
+    one numeric; together unique within a group) plus the group size; also
+    returns the group-size table.
+
+    Same bucketing as ``running_sums``: each group is cut into percentile
+    ranges of the first order column, rows are counted per (group, bucket),
+    and the rank is the bucket's offset plus ``row_number`` inside the
+    (group, bucket). A group holding a third of the rows is spread over
+    ``n_buckets`` tasks. NULL group values form a group of their own.
     """
-    s = df.orderBy(*group_cols, *order_cols).withColumn("_mid", F.monotonically_increasing_id())
-    s = (s.withColumn("_pid", F.shiftright("_mid", 33))
-         .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33)).drop("_mid"))
-    blocks = s.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
-                                                 F.min("_pos").alias("_first"))
-    w_all = Window.orderBy("_pid", *group_cols).rowsBetween(Window.unboundedPreceding, -1)
-    w_grp = Window.partitionBy(*group_cols)
-    blocks = (blocks.withColumn("_bstart", F.coalesce(F.sum("_n").over(w_all), F.lit(0)))
-              .select("_pid", *group_cols, "_first", "_bstart",
-                      F.min("_bstart").over(w_grp).alias("_gstart"),
-                      F.sum("_n").over(w_grp).alias(size)))
-    sizes = blocks.select(*group_cols, size).distinct()
-    right = blocks
-    for i, g in enumerate(group_cols):
-        right = right.withColumnRenamed(g, f"_j{i}")
-    right = right.withColumnRenamed("_pid", "_jp")
-    if broadcast_blocks:
-        right = F.broadcast(right)
-    cond = s["_pid"] == right["_jp"]
-    for i, g in enumerate(group_cols):
-        cond = cond & s[g].eqNullSafe(right[f"_j{i}"])
-    j = s.join(right, cond)
-    rank = F.col("_bstart") + (F.col("_pos") - F.col("_first")) - F.col("_gstart") + 1
-    ranked = (j.withColumn(out, rank)
-              .drop("_pid", "_jp", "_pos", "_first", "_bstart", "_gstart",
-                    *[f"_j{i}" for i in range(len(group_cols))]))
+    grp = list(group_cols) if group_cols else ["_g"]
+    base = df if group_cols else df.withColumn("_g", F.lit(0))
+    o = F.col(order_cols[0])
+    bounds, small = _materialized_bounds(base, grp, o, n_buckets,
+                                         [F.count(F.lit(1)).alias(size)])
+    with_b = (null_safe_join(base, bounds, grp, broadcast=small)
+              .withColumn("_bucket", bucket_of(o, F.col("_bounds"), n_buckets - 1))
+              .drop("_bounds"))
+    counts = with_b.groupBy(*grp, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*grp, "_bucket",
+                            F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_off"))
+    wr = Window.partitionBy(*grp, "_bucket").orderBy(*order_cols)
+    ranked = (null_safe_join(with_b, offsets, grp + ["_bucket"], broadcast=small)
+              .withColumn(out, (F.row_number().over(wr) + F.col("_off")).cast("long"))
+              .drop("_bucket", "_off"))
+    sizes = bounds.select(*grp, size)
+    if not group_cols:
+        return ranked.drop("_g"), sizes.drop("_g")
     return ranked, sizes
+
+
+def global_row_number(df: DataFrame, order_cols: list[str], out: str = "row_no") -> DataFrame:
+    """0-based rank of each row in the global order of ``order_cols`` (the
+    first numeric; together unique per row), without a single-task window."""
+    ranked, _ = rank_in_groups(df, [], order_cols, out="_rk", size="_n")
+    return ranked.withColumn(out, F.col("_rk") - 1).drop("_rk", "_n")

@@ -1,10 +1,11 @@
 """Splits, resampling and weights.
 
 Randomness is md5 of text, so Spark and DuckDB draw the same rows and a rerun
-after an executor loss draws them again. Ranks inside a stratum come from a
-distributed global row number minus the stratum's start offset; a stratum that
-holds a third of all rows is still spread over all tasks (no per-stratum
-window). Draw tables are generated in Spark from the per-group counts.
+after an executor loss draws them again. Ranks inside a stratum come from
+``running.rank_in_groups`` (percentile buckets inside each stratum, bucket
+offsets, ``row_number`` per stratum x bucket): a stratum that holds a third of
+all rows is still spread over many tasks. Draw tables are generated in Spark
+from the per-group counts.
 """
 
 from __future__ import annotations
@@ -14,30 +15,19 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from binscope.functions.exprs import c, md5_order_key
-from binscope.operators.running import rank_in_groups
+from binscope.functions.exprs import c, md5_order_cols
+from binscope.operators.running import null_safe_join, rank_in_groups
 from binscope.session import cut_lineage
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner"
-                    ) -> DataFrame:
-    """Equi-join on ``cols`` where NULL matches NULL (strata may be missing)."""
-    r = right
-    for i, n in enumerate(cols):
-        r = r.withColumnRenamed(n, f"_j{i}")
-    cond = None
-    for i, n in enumerate(cols):
-        e = left[n].eqNullSafe(r[f"_j{i}"])
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, how).drop(*[f"_j{i}" for i in range(len(cols))])
-
-
-def rank_within(df: DataFrame, strata: list[str], order: Column, out: str = "_r",
-                size: str = "_m") -> DataFrame:
-    """1-based rank inside each stratum by ``order`` (unique per row) and the
+def rank_within(df: DataFrame, strata: list[str], key: str, seed: int | str,
+                out: str = "_r", size: str = "_m") -> DataFrame:
+    """1-based rank inside each stratum in ``md5(key:seed)`` order and the
     stratum size, without a per-stratum window (see ``rank_in_groups``)."""
-    ranked, _ = rank_in_groups(df.withColumn("_ord", order), strata, ["_ord"], out, size)
-    return ranked.drop("_ord")
+    cols = md5_order_cols(c(key), seed)
+    d = df.select("*", *[x.alias(f"_o{i}") for i, x in enumerate(cols)])
+    ranked, _ = rank_in_groups(d, strata, [f"_o{i}" for i in range(len(cols))], out, size)
+    return ranked.drop(*[f"_o{i}" for i in range(len(cols))])
 
 
 def stratified_split(df: DataFrame, key: str, strata: list[str], seed: int = 222,
@@ -45,7 +35,7 @@ def stratified_split(df: DataFrame, key: str, strata: list[str], seed: int = 222
     """G1: train / valid / test, exact shares inside every stratum. Rows are
     ordered by ``md5(key:seed)``; rank ``r`` of ``m``: train if
     ``r <= floor(6m/10)``, valid if ``r <= floor(8m/10)``, else test."""
-    r = rank_within(df, strata, F.struct(md5_order_key(c(key), seed), c(key)))
+    r = rank_within(df, strata, key, seed)
     a, b = tenths
     split = (F.when(F.col("_r") <= F.floor(F.col("_m") * a / 10), "train")
              .when(F.col("_r") <= F.floor(F.col("_m") * b / 10), "valid").otherwise("test"))
@@ -56,14 +46,14 @@ def kfold_assign(df: DataFrame, key: str, strata: list[str], k: int = 5, seed: i
                  out: str = "fold") -> DataFrame:
     """Stratified fold number ``(r - 1) mod k`` over the md5 order, usable as
     ``CrossValidator(foldCol=...)``."""
-    r = rank_within(df, strata, F.struct(md5_order_key(c(key), seed), c(key)))
+    r = rank_within(df, strata, key, seed)
     return r.withColumn(out, F.pmod(F.col("_r") - 1, F.lit(k)).cast("int")).drop("_r", "_m")
 
 
 def random_undersample(df: DataFrame, key: str, label: str, seed: int = 222) -> DataFrame:
     """Every class cut to the size of the smallest, without replacement
     (first rows of the md5 order inside each class)."""
-    r = rank_within(df, [label], F.struct(md5_order_key(c(key), seed), c(key)))
+    r = rank_within(df, [label], key, seed)
     smallest = df.groupBy(c(label)).count().agg(F.min("count").alias("_min"))
     return (r.withColumn("_k", F.lit(0)).join(smallest.withColumn("_k", F.lit(0)), "_k")
             .where(F.col("_r") <= F.col("_min")).drop("_r", "_m", "_k", "_min"))
@@ -76,7 +66,7 @@ def balanced_class_weights(df: DataFrame, label: str, out: str = "weight") -> Da
     w = (counts.withColumn("_c", F.lit(0)).join(tot.withColumn("_c", F.lit(0)), "_c")
          .select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out)))
     # one row per class: broadcast, so a class holding most rows is never shuffled to one task
-    return _null_safe_join(df, F.broadcast(w), [label])
+    return null_safe_join(df, w, [label], broadcast=True)
 
 
 def bootstrap_seeds(num_bootstraps: int = 10, lo: float = 200, hi: float = 300) -> list[int]:
@@ -122,9 +112,8 @@ def bootstrap_sample(df: DataFrame, key: str, groups: list[str], num_bootstraps:
     u = F.conv(F.substring(F.md5(hx), 1, 8), 16, 10).cast("bigint").cast("double") / 4294967296.0
     draws = draws.select(*groups, "bootstrap", "draw",
                          (F.lit(1) + F.floor(u * F.col("_ng"))).cast("long").alias("_idx"))
-    if num_bootstraps * size <= broadcast_limit:
-        draws = F.broadcast(draws)
-    out = _null_safe_join(ranked.drop("_ng"), draws, groups + ["_idx"]).drop("_idx")
+    out = null_safe_join(ranked.drop("_ng"), draws, groups + ["_idx"],
+                         broadcast=num_bootstraps * size <= broadcast_limit).drop("_idx")
     return cut_lineage(out) if materialize else out
 
 

@@ -7,9 +7,13 @@ from binscope.operators.running import global_row_number
 
 
 def test_global_row_number_contiguous(spark):
-    df = spark.range(0, 5000).withColumn("o", F.md5(F.col("id").cast("string")))
-    got = sorted(r.rn for r in global_row_number(df.repartition(7), ["o"], "rn").collect())
-    assert got == list(range(5000))
+    h = F.md5(F.col("id").cast("string"))
+    df = spark.range(0, 5000).select(
+        "id", F.conv(F.substring(h, 1, 15), 16, 10).cast("long").alias("o"), h.alias("h"))
+    got = global_row_number(df.repartition(7), ["o", "h"], "rn").collect()
+    assert sorted(r.rn for r in got) == list(range(5000))
+    by_rank = [r.h for r in sorted(got, key=lambda r: r.rn)]
+    assert by_rank == sorted(by_rank)                      # rank follows the digest order
 
 
 def test_stratified_split_exact_shares(spark):
