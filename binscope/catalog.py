@@ -871,7 +871,9 @@ def boot_sql(source: str, keys: list[str], key: str = "id", size: int = 2000) ->
     hx = " || ':' || ".join(["CAST(d.seed AS VARCHAR)"] + [f"CAST(d.{x} AS VARCHAR)" for x in keys]
                             + ["CAST(d.draw AS VARCHAR)"])
     on = " AND ".join(f"r.{x} = dr.{x}" for x in keys)
-    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {key}) AS idx FROM {source}),
+    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY {k}
+                                 ORDER BY md5(CAST({key} AS VARCHAR) || ':boot'), {key}) AS idx
+           FROM {source}),
 counts AS (SELECT {k}, count(*) AS ng FROM {source} GROUP BY {k}),
 tot AS (SELECT sum(ng) AS n FROM counts),
 seeds AS ({_SEEDS_SQL}),

@@ -15,7 +15,7 @@ from pyspark.sql.types import (BooleanType, NumericType, StringType)
 from binscope.functions.exprs import (INTEGER_SHAPE, NUMERIC_SHAPE, c, integer_given_shape,
                                       is_missing_token, md5_order_cols, numeric_ok, q,
                                       strict_numeric)
-from binscope.operators.running import global_row_number
+from binscope.operators.running import hash_row_number
 
 AGG_BATCH = 200  # expressions per aggregate, keeps generated code under the JVM method limit
 
@@ -239,13 +239,12 @@ def add_ids(df: DataFrame, source_key: str, seed: int = 111, out: str = "census_
     """Unique 9-digit id per row, ``10^8 + (a*i + b) mod 9*10^8`` where ``i``
     is the 0-based rank of ``md5(key:seed)``. Unique by construction (the map
     is a bijection mod 9e8), no random pool to shuffle. The rank comes from
-    percentile buckets of the digest plus bucket offsets
-    (``running.global_row_number``), not a single-task global window."""
+    equal buckets of the uniform digest plus bucket offsets
+    (``running.hash_row_number``), not a single-task global window."""
     a, b = id_params(seed)
     cols = md5_order_cols(c(source_key), seed)
     d = df.select("*", *[x.alias(f"_o{i}") for i, x in enumerate(cols)])
-    ranked = global_row_number(d, [f"_o{i}" for i in range(len(cols))], out="_i").drop(
-        *[f"_o{i}" for i in range(len(cols))])
+    ranked = hash_row_number(d, "_o0", ["_o1", "_o2"], out="_i").drop("_o0", "_o1", "_o2")
     ident = F.lit(10 ** 8) + F.pmod(F.lit(a) * F.col("_i") + F.lit(b), F.lit(ID_SPAN))
     return ranked.withColumn(out, ident.cast("bigint")).drop("_i")
 

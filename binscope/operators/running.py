@@ -148,3 +148,44 @@ def global_row_number(df: DataFrame, order_cols: list[str], out: str = "row_no")
     first numeric; together unique per row), without a single-task window."""
     ranked, _ = rank_in_groups(df, [], order_cols, out="_rk", size="_n")
     return ranked.withColumn(out, F.col("_rk") - 1).drop("_rk", "_n")
+
+
+HASH_BITS = 60  # numeric digest prefixes are 60-bit (15 hex digits), uniform on [0, 2^60)
+
+
+def rank_by_hash(df: DataFrame, group_cols: list[str], hash_col: str, tie_cols: list[str],
+                 out: str = "_r", size: str = "_m", bucket_bits: int = 12
+                 ) -> tuple[DataFrame, DataFrame]:
+    """Rank inside each group in the order (``hash_col``, ``tie_cols``) where
+    ``hash_col`` is a uniform 60-bit digest prefix (``md5_order_cols``).
+
+    Because the digest is uniform, its top ``bucket_bits`` bits cut every
+    group into 2^bucket_bits equal-sized buckets without any statistics job:
+    per (group, bucket) counts -> offsets on that small table -> ``row_number``
+    inside each (group, bucket). Everything is a deterministic function of the
+    data, so a recomputation after an executor loss gives the same ranks, and
+    a group holding a third of the rows is still spread over 4,096 buckets.
+    Returns (ranked rows, group sizes)."""
+    grp = list(group_cols) if group_cols else ["_g"]
+    base = df if group_cols else df.withColumn("_g", F.lit(0))
+    d = base.withColumn("_bucket", F.shiftright(F.col(hash_col), HASH_BITS - bucket_bits))
+    counts = d.groupBy(*grp, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*grp, "_bucket",
+                            F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_off"),
+                            F.sum("_c").over(Window.partitionBy(*grp)).alias(size))
+    wr = Window.partitionBy(*grp, "_bucket").orderBy(hash_col, *tie_cols)
+    ranked = (null_safe_join(d, offsets, grp + ["_bucket"])
+              .withColumn(out, (F.row_number().over(wr) + F.col("_off")).cast("long"))
+              .drop("_bucket", "_off"))
+    sizes = offsets.select(*grp, size).distinct()
+    if not group_cols:
+        return ranked.drop("_g"), sizes.drop("_g")
+    return ranked, sizes
+
+
+def hash_row_number(df: DataFrame, hash_col: str, tie_cols: list[str], out: str = "row_no"
+                    ) -> DataFrame:
+    """0-based global rank in (digest prefix, ties) order (see ``rank_by_hash``)."""
+    ranked, _ = rank_by_hash(df, [], hash_col, tie_cols, out="_rk", size="_n")
+    return ranked.withColumn(out, F.col("_rk") - 1).drop("_rk", "_n")

@@ -2,9 +2,9 @@
 
 Randomness is md5 of text, so Spark and DuckDB draw the same rows and a rerun
 after an executor loss draws them again. Ranks inside a stratum come from
-``running.rank_in_groups`` (percentile buckets inside each stratum, bucket
-offsets, ``row_number`` per stratum x bucket): a stratum that holds a third of
-all rows is still spread over many tasks. Draw tables are generated in Spark
+``running.rank_by_hash``: rows are ordered by an md5 digest, whose top bits cut
+every stratum into 4,096 equal buckets without a statistics job, so a stratum
+that holds a third of all rows is still spread over many tasks. Draw tables are generated in Spark
 from the per-group counts.
 """
 
@@ -16,18 +16,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binscope.functions.exprs import c, md5_order_cols
-from binscope.operators.running import null_safe_join, rank_in_groups
+from binscope.operators.running import null_safe_join, rank_by_hash
 from binscope.session import cut_lineage
 
 
 def rank_within(df: DataFrame, strata: list[str], key: str, seed: int | str,
-                out: str = "_r", size: str = "_m") -> DataFrame:
-    """1-based rank inside each stratum in ``md5(key:seed)`` order and the
-    stratum size, without a per-stratum window (see ``rank_in_groups``)."""
+                out: str = "_r", size: str = "_m") -> tuple[DataFrame, DataFrame]:
+    """1-based rank inside each stratum in ``md5(key:seed)`` order (then key)
+    and the stratum size, plus the stratum-size table (see ``rank_by_hash``)."""
     cols = md5_order_cols(c(key), seed)
     d = df.select("*", *[x.alias(f"_o{i}") for i, x in enumerate(cols)])
-    ranked, _ = rank_in_groups(d, strata, [f"_o{i}" for i in range(len(cols))], out, size)
-    return ranked.drop(*[f"_o{i}" for i in range(len(cols))])
+    ranked, sizes = rank_by_hash(d, strata, "_o0", ["_o1", "_o2"], out, size)
+    return ranked.drop("_o0", "_o1", "_o2"), sizes
 
 
 def stratified_split(df: DataFrame, key: str, strata: list[str], seed: int = 222,
@@ -35,7 +35,7 @@ def stratified_split(df: DataFrame, key: str, strata: list[str], seed: int = 222
     """G1: train / valid / test, exact shares inside every stratum. Rows are
     ordered by ``md5(key:seed)``; rank ``r`` of ``m``: train if
     ``r <= floor(6m/10)``, valid if ``r <= floor(8m/10)``, else test."""
-    r = rank_within(df, strata, key, seed)
+    r, _ = rank_within(df, strata, key, seed)
     a, b = tenths
     split = (F.when(F.col("_r") <= F.floor(F.col("_m") * a / 10), "train")
              .when(F.col("_r") <= F.floor(F.col("_m") * b / 10), "valid").otherwise("test"))
@@ -46,14 +46,14 @@ def kfold_assign(df: DataFrame, key: str, strata: list[str], k: int = 5, seed: i
                  out: str = "fold") -> DataFrame:
     """Stratified fold number ``(r - 1) mod k`` over the md5 order, usable as
     ``CrossValidator(foldCol=...)``."""
-    r = rank_within(df, strata, key, seed)
+    r, _ = rank_within(df, strata, key, seed)
     return r.withColumn(out, F.pmod(F.col("_r") - 1, F.lit(k)).cast("int")).drop("_r", "_m")
 
 
 def random_undersample(df: DataFrame, key: str, label: str, seed: int = 222) -> DataFrame:
     """Every class cut to the size of the smallest, without replacement
     (first rows of the md5 order inside each class)."""
-    r = rank_within(df, [label], key, seed)
+    r, _ = rank_within(df, [label], key, seed)
     smallest = df.groupBy(c(label)).count().agg(F.min("count").alias("_min"))
     return (r.withColumn("_k", F.lit(0)).join(smallest.withColumn("_k", F.lit(0)), "_k")
             .where(F.col("_r") <= F.col("_min")).drop("_r", "_m", "_k", "_min"))
@@ -69,6 +69,9 @@ def balanced_class_weights(df: DataFrame, label: str, out: str = "weight") -> Da
     return null_safe_join(df, w, [label], broadcast=True)
 
 
+BOOT_ORDER_SEED = "boot"  # rows of a group are indexed in md5(key:boot) order
+
+
 def bootstrap_seeds(num_bootstraps: int = 10, lo: float = 200, hi: float = 300) -> list[int]:
     """One integer seed per bootstrap, evenly spaced (numpy linspace, truncated)."""
     if num_bootstraps == 1:
@@ -84,7 +87,8 @@ def bootstrap_sample(df: DataFrame, key: str, groups: list[str], num_bootstraps:
 
     Per bootstrap ``b`` and group ``g`` of ``n_g`` rows: ``floor(size * n_g / n)``
     draws (``balanced=False``) or ``size // groups`` draws (``balanced=True``);
-    draw ``j`` takes row ``1 + floor(u * n_g)`` of the group's md5-free key order,
+    draw ``j`` takes row ``1 + floor(u * n_g)`` of the group in
+    ``md5(key:boot)`` order,
     ``u`` = md5 of ``seed:g...:j``. The draw table has at most
     ``num_bootstraps * size`` rows (a bound fixed by the parameters), so it is
     broadcast when that bound is below ``broadcast_limit``.
@@ -93,7 +97,7 @@ def bootstrap_sample(df: DataFrame, key: str, groups: list[str], num_bootstraps:
     written once with a reliable checkpoint (shared ``spark.checkpoint.dir``);
     its size is bounded by ``num_bootstraps * size`` rows."""
     seeds = seeds or bootstrap_seeds(num_bootstraps)
-    ranked, counts = rank_in_groups(df, groups, [key], out="_idx", size="_ng")
+    ranked, counts = rank_within(df, groups, key, BOOT_ORDER_SEED, out="_idx", size="_ng")
     tot = counts.agg(F.sum("_ng").alias("_n"), F.count(F.lit(1)).alias("_G"))
     cg = counts.withColumn("_c", F.lit(0)).join(tot.withColumn("_c", F.lit(0)), "_c").drop("_c")
     m = (F.floor(F.lit(size) / F.col("_G")) if balanced
