@@ -1470,3 +1470,31 @@ WHERE r.rfe OR NOT contains(g.key, 'feature_selection')""", "runs"))
 def q_prune_param_grid(spark, sf):
     grid = spark.createDataFrame(_GRID_KEYS, "model string, key string")
     return X.prune_param_grid_table(fx.runs(spark, sf), grid)
+
+
+# ============================================================ A10 stats lines, G5 Poisson weights
+
+@register("histogram_stats", fx.with_views(f"""
+SELECT {r6('avg(amount)')} AS mean, {r6('quantile_cont(amount, 0.5)')} AS median,
+       {r6('stddev_samp(amount)')} AS sd,
+       {', '.join(f"{r6(f'avg(amount) + {k} * stddev_samp(amount)')} AS plus_{k}sd" for k in (1, 2, 3))},
+       {', '.join(f"{r6(f'avg(amount) - {k} * stddev_samp(amount)')} AS minus_{k}sd" for k in (1, 2, 3))}
+FROM wide_raw""", "wide_raw"))
+def q_histogram_stats(spark, sf):
+    return rounded(A.histogram_stats(fx.wide_raw(spark, sf), "amount"))
+
+
+def _poisson_sql(u: str) -> str:
+    return "(" + " + ".join(f"CAST({u} > {cut!r} AS INTEGER)" for cut in G._poisson1_cdf()) + ")"
+
+
+_PU = "('0x' || substr(md5(CAST(s.seed AS VARCHAR) || ':' || CAST(o.o_orderkey AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0"
+
+
+@register("bootstrap_weights", f"""
+WITH s AS ({_SEEDS_SQL})
+SELECT o.o_orderkey, s.bootstrap, {_poisson_sql(_PU)} AS weight
+FROM orders o, s""")
+def q_bootstrap_weights(spark, sf):
+    o = read_table(spark, sf, "orders").select("o_orderkey")
+    return G.bootstrap_weights(o, "o_orderkey", 10)
