@@ -11,10 +11,11 @@ which task does the work, never which rows are counted.
 
 The bounds table is used by several branches of the plan, and
 ``percentile_approx`` depends on the order in which rows arrive. It is
-therefore written once to the shared checkpoint folder and read back, so every
-branch, and every recomputation after an executor loss, sees the same
-buckets. Because the written table's row count is known, broadcasting it is a
-checked decision, not a guess.
+therefore fixed once: rebuilt from a bounded fetch when it has at most 10,000
+groups (one row each), otherwise written to the shared checkpoint folder and
+read back. Every branch, and every recomputation after an executor loss, then
+sees the same buckets. The row count is known either way, so broadcasting it
+is a checked decision, not a guess.
 """
 
 from __future__ import annotations
@@ -54,13 +55,24 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_j{i}" for i in range(len(cols))])
 
 
+DRIVER_GROUPS = 10_000  # bounds of at most this many groups (~5 MB) are fixed on the driver
+
+
 def _materialized_bounds(base: DataFrame, grp: list[str], o: Column, n_buckets: int,
                          extra: list[Column]) -> tuple[DataFrame, bool]:
-    """Per-group bucket bounds (plus ``extra`` aggregates), written once; also
-    returns whether the table is small enough to broadcast (row count known)."""
+    """Per-group bucket bounds (plus ``extra`` aggregates), fixed once; also
+    returns whether the table is small enough to broadcast (row count known).
+
+    Up to ``DRIVER_GROUPS`` groups, the small table (one row per group) is
+    fetched with a bounded ``limit`` and rebuilt as a local DataFrame: one job,
+    fixed values, exact size. Beyond that it is written to the shared
+    checkpoint folder and read back."""
     from binscope.session import cut_lineage
     probs = [i / n_buckets for i in range(1, n_buckets)]
     b = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 1000).alias("_bounds"), *extra)
+    rows = b.limit(DRIVER_GROUPS + 1).collect()
+    if len(rows) <= DRIVER_GROUPS:
+        return base.sparkSession.createDataFrame(rows, b.schema), True
     b = cut_lineage(b, "bucket-bounds")
     return b, b.count() <= BROADCAST_GROUPS
 
