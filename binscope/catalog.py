@@ -980,7 +980,8 @@ def _t1c_sql() -> str:
     parts = []
     for n in _CLEAN_NUMS:
         x = dq(n)
-        parts.append(f"""SELECT '{n}' AS variable, count({x}) AS n, count_if({x} IS NULL) AS missing,
+        parts.append(f"""SELECT '{n}' AS variable, count({x}) AS n,
+  CAST(count_if({x} IS NULL) AS BIGINT) AS missing,
   {r6(f'100.0 * count_if({x} IS NULL) / count(*)')} AS missing_pct, {r6(f'avg({x})')} AS mean,
   {r6(f'stddev_samp({x})')} AS sd, {r6(f'quantile_cont({x}, 0.5)')} AS median,
   {r6(f'min({x})')} AS min, {r6(f'max({x})')} AS max,

@@ -107,7 +107,8 @@ def bootstrap_sample(df: DataFrame, key: str, groups: list[str], num_bootstraps:
     draws = (cg.select(*groups, "_ng", m.cast("int").alias("_mg"), boots.alias("_b"))
              .select(*groups, "_ng", F.col("_b.bootstrap").alias("bootstrap"),
                      F.col("_b.seed").alias("_seed"),
-                     F.explode(F.sequence(F.lit(1), F.greatest(F.col("_mg"), F.lit(1))))
+                     F.explode(F.sequence(F.lit(1).cast("long"),
+                                          F.greatest(F.col("_mg"), F.lit(1)).cast("long")))
                      .alias("draw"), "_mg")
              .where(F.col("draw") <= F.col("_mg")))
     hx = F.concat_ws(":", F.col("_seed").cast("string"),
