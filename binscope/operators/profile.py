@@ -122,17 +122,39 @@ def exact_median_and_mode(df: DataFrame, cols: list[str]) -> DataFrame:
         F.min_by("value", F.struct(-F.col("cnt"), F.col("value"))).alias("mode"))
 
 
+def wide_moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(variable, n, missing, mean, sd, min, max)`` from ONE global aggregate
+    over the wide table (map-side partials, one row out), unpivoted afterwards;
+    no row is multiplied by the column count. Batches of 200 columns are
+    unioned (each batch one aggregate)."""
+    parts = []
+    for start in range(0, len(cols), 40):  # 5 aggregates per column -> 200 per batch
+        batch = cols[start:start + 40]
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for i, n in enumerate(batch):
+            x = c(n).cast("double")
+            aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"a{i}"),
+                     F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
+                     F.max(x).alias(f"hi{i}")]
+        row = df.agg(*aggs)
+        arr = F.array(*[F.struct(F.lit(n).alias("variable"), F.col(f"n{i}").alias("n"),
+                                 (F.col("_rows") - F.col(f"n{i}")).alias("missing"),
+                                 F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("sd"),
+                                 F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+                        for i, n in enumerate(batch)])
+        parts.append(row.select(F.inline(arr)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def table1_continuous(df: DataFrame, cols: list[str] | None = None, key: str | None = None
                       ) -> DataFrame:
     """Per continuous column ``variable, n, missing, missing_pct, mean, sd
     (sample), median (exact), min, max, mode``."""
     cand = [n for n in (cols if cols is not None else numeric_columns(df)) if n != key]
-    long = _unpivot(df, cand, "double")
-    mom = long.groupBy("variable").agg(
-        F.count("value").alias("n"),
-        F.sum(F.col("value").isNull().cast("long")).alias("missing"),
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+    mom = wide_moments(df, cand)
     med = exact_median_and_mode(df, cand)
     return (mom.join(med, "variable", "left")
             .select("variable", "n", "missing",
