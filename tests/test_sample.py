@@ -54,3 +54,27 @@ def test_poisson_weights_mean_near_one(spark):
     df = spark.range(0, 20000).select(F.col("id").alias("k"))
     w = G.bootstrap_weights(df, "k", 2).agg(F.avg("weight")).collect()[0][0]
     assert abs(w - 1.0) < 0.05
+
+
+def test_skewed_stratum_ranks_are_exact(spark):
+    # one stratum holds 90 % of the rows; ranks must still be 1..m in md5 order
+    df = spark.range(0, 20000).select(F.col("id").alias("k"),
+                                      F.when(F.col("id") % 10 == 0, "small").otherwise("big").alias("s"))
+    ranked, sizes = G.rank_within(df, ["s"], "k", 222)
+    got = ranked.select("k", "s", "_r", "_m").toPandas()
+    import hashlib
+    for s, grp in got.groupby("s"):
+        order = sorted(grp.k, key=lambda k: (hashlib.md5(f"{k}:222".encode()).hexdigest(), k))
+        expect = {k: i + 1 for i, k in enumerate(order)}
+        assert all(expect[k] == r for k, r in zip(grp.k, grp._r)), s
+        assert set(grp._m) == {len(grp)}
+    assert {r.s: r._m for r in sizes.collect()} == {"small": 2000, "big": 18000}
+
+
+def test_split_shares_exact_under_skew(spark):
+    df = spark.range(0, 20000).select(F.col("id").alias("k"),
+                                      (F.col("id") % 10 == 0).cast("int").alias("y"))
+    out = G.stratified_split(df, "k", ["y"])
+    c = {(r.y, r.split): r["count"] for r in out.groupBy("y", "split").count().collect()}
+    assert (c[(0, "train")], c[(0, "valid")], c[(0, "test")]) == (10800, 3600, 3600)
+    assert (c[(1, "train")], c[(1, "valid")], c[(1, "test")]) == (1200, 400, 400)
