@@ -22,8 +22,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = 256  # upper bound per group; small groups use fewer (see _thin)
 BROADCAST_GROUPS = 200_000  # groups whose bounds/offsets tables are broadcast
 
 
@@ -56,6 +57,18 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str
 
 
 DRIVER_GROUPS = 10_000  # bounds of at most this many groups (~5 MB) are fixed on the driver
+ROWS_PER_BUCKET = 1_000_000  # adaptive bucketing: about this many rows per (group, bucket)
+
+
+def _thin(bounds: list | None, n_rows: int, n_buckets: int) -> list | None:
+    """Keep only as many of the ``n_buckets - 1`` percentile bounds as a group
+    of ``n_rows`` rows needs (about ``ROWS_PER_BUCKET`` rows per bucket); the
+    unused slots become NULL, which ``bucket_of`` treats as +infinity."""
+    if bounds is None:
+        return None
+    b = max(1, min(n_buckets, -(-n_rows // ROWS_PER_BUCKET)))
+    keep = [bounds[round(j * n_buckets / b) - 1] for j in range(1, b)]
+    return keep + [None] * (len(bounds) - len(keep))
 
 
 def _materialized_bounds(base: DataFrame, grp: list[str], o: Column, n_buckets: int,
@@ -65,15 +78,28 @@ def _materialized_bounds(base: DataFrame, grp: list[str], o: Column, n_buckets:
 
     Up to ``DRIVER_GROUPS`` groups, the small table (one row per group) is
     fetched with a bounded ``limit`` and rebuilt as a local DataFrame: one job,
-    fixed values, exact size. Beyond that it is written to the shared
-    checkpoint folder and read back."""
+    fixed values, exact size. The exact group sizes come with it, so each
+    group keeps only as many buckets as it needs (one for a small group, up to
+    ``n_buckets`` for a huge one). Beyond that it is written to the shared
+    checkpoint folder and read back, with all ``n_buckets`` buckets."""
     from binscope.session import cut_lineage
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    b = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 1000).alias("_bounds"), *extra)
+    b = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 1000).alias("_bounds"),
+                               F.count(F.lit(1)).alias("_gn"), *extra)
     rows = b.limit(DRIVER_GROUPS + 1).collect()
     if len(rows) <= DRIVER_GROUPS:
-        return base.sparkSession.createDataFrame(rows, b.schema), True
-    b = cut_lineage(b, "bucket-bounds")
+        fixed = []
+        for r in rows:
+            d = r.asDict()
+            d["_bounds"] = _thin(d["_bounds"], d["_gn"], n_buckets)
+            fixed.append(d)
+        schema = T.StructType([
+            T.StructField(f.name, T.ArrayType(f.dataType.elementType, True), True)
+            if f.name == "_bounds" else f for f in b.schema.fields])
+        out = base.sparkSession.createDataFrame(
+            [tuple(d[f] for f in b.schema.names) for d in fixed], schema)
+        return out.drop("_gn"), True
+    b = cut_lineage(b.drop("_gn"), "bucket-bounds")
     return b, b.count() <= BROADCAST_GROUPS
 
 

@@ -51,8 +51,15 @@ def test_confusion_and_rates(spark):
     assert one_class.precision == 0.0 and one_class.specificity is None
 
 
+@pytest.fixture
+def small_buckets(monkeypatch):
+    """Force several buckets per group on tiny inputs (the default is ~1M rows each)."""
+    from binscope.operators import running
+    monkeypatch.setattr(running, "ROWS_PER_BUCKET", 7)
+
+
 @pytest.mark.parametrize("n_buckets", [1, 4, 64])
-def test_auc_ap_match_brute_force_with_ties(spark, n_buckets):
+def test_auc_ap_match_brute_force_with_ties(spark, n_buckets, small_buckets):
     rnd = random.Random(7)
     ys = [rnd.randint(0, 1) for _ in range(300)]
     ps = [round(rnd.random(), 1) for _ in range(300)]     # many ties
@@ -69,13 +76,17 @@ def test_one_class_group_has_null_auc(spark):
     assert s.roc_auc is None
 
 
-def test_running_sums_bucketed_equals_plain_window(spark):
+def test_running_sums_bucketed_equals_plain_window(spark, small_buckets):
     rnd = random.Random(3)
     rows = [(g, float(v), rnd.randint(0, 5)) for g in ("a", "b") for v in rnd.sample(range(5000), 700)]
     df = spark.createDataFrame(rows, "g string, v double, w long")
     a = {(r.g, r.v): r.cum_w for r in running_sums(df, ["g"], "v", ["w"], n_buckets=1).collect()}
     b = {(r.g, r.v): r.cum_w for r in running_sums(df, ["g"], "v", ["w"], n_buckets=32).collect()}
     assert a == b
+    from binscope.operators import running
+    bounds, _ = running._materialized_bounds(df, ["g"], F.col("v"), 32, [])
+    kept = [sum(x is not None for x in r["_bounds"]) for r in bounds.collect()]
+    assert kept == [31, 31]          # 700 rows / 7 per bucket -> all 32 buckets used
 
 
 def test_curves_and_calibration(spark):

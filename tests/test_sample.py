@@ -6,7 +6,9 @@ from binscope.operators import sample as G
 from binscope.operators.running import global_row_number
 
 
-def test_global_row_number_contiguous(spark):
+def test_global_row_number_contiguous(spark, monkeypatch):
+    from binscope.operators import running
+    monkeypatch.setattr(running, "ROWS_PER_BUCKET", 100)   # several percentile buckets
     h = F.md5(F.col("id").cast("string"))
     df = spark.range(0, 5000).select(
         "id", F.conv(F.substring(h, 1, 15), 16, 10).cast("long").alias("o"), h.alias("h"))
