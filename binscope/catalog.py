@@ -775,6 +775,58 @@ def q_random_undersample(spark, sf):
     return G.random_undersample(v, "vec_id", "y", seed=222)
 
 
+EMB_DIM = 64  # width of embeddings.embedding
+
+
+def _smote_sql(dim: int = EMB_DIM, k: int = 5, seed: int = 222) -> str:
+    xs = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j}" for j in range(dim))
+    var = ", ".join(f"var_samp(x{j}) AS v{j}" for j in range(dim))
+    dist = " + ".join(f"(a.x{j} - b.x{j}) * (a.x{j} - b.x{j}) / st.v{j}" for j in range(dim))
+    orig = ", ".join(r6(f"x{j}") for j in range(dim))
+    syn = ", ".join(r6(f"s.x{j} + s.lam * (coalesce(n.x{j}, s.x{j}) - s.x{j})") for j in range(dim))
+    return f"""
+WITH v AS (SELECT vec_id, y, {xs} FROM vectors),
+st AS (SELECT {var} FROM v),
+cnt AS (SELECT y, count(*) AS n FROM v GROUP BY y),
+mx AS (SELECT max(n) AS big FROM cnt),
+mino AS (SELECT v.* FROM v JOIN cnt ON v.y = cnt.y, mx WHERE cnt.n < mx.big),
+pairs AS (SELECT a.y, a.vec_id AS k, b.vec_id AS nk, {dist} AS d
+          FROM mino a JOIN mino b ON a.y = b.y AND a.vec_id <> b.vec_id, st),
+nn AS (SELECT y, k, nk, row_number() OVER (PARTITION BY y, k ORDER BY d, nk) AS j FROM pairs),
+nl AS (SELECT y, k, count(*) AS len FROM nn WHERE j <= {k} GROUP BY y, k),
+base AS (SELECT mino.*, row_number() OVER (PARTITION BY y ORDER BY md5(CAST(vec_id AS VARCHAR) || ':{seed}'), vec_id) - 1 AS b,
+                count(*) OVER (PARTITION BY y) AS m FROM mino),
+offs AS (SELECT y, big - n AS g, coalesce(sum(big - n) OVER (ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING
+                                                                 AND 1 PRECEDING), 0) AS off
+         FROM cnt, mx WHERE n < big),
+draws AS (SELECT y, i, off + i AS gid FROM (SELECT y, off, unnest(range(g)) AS i FROM offs)),
+hd AS (SELECT y, i, gid, md5(CAST(y AS VARCHAR) || ':' || CAST(i AS VARCHAR) || ':{seed}') AS h FROM draws),
+s AS (SELECT hd.y, hd.i, hd.gid, base.vec_id AS base_key, base.* EXCLUDE (vec_id, y, b, m),
+             ('0x' || substr(hd.h, 9, 8))::BIGINT / 4294967296.0 AS lam,
+             CASE WHEN coalesce(nl.len, 0) > 0 THEN 1 + ('0x' || substr(hd.h, 1, 8))::BIGINT % nl.len END AS jj
+      FROM hd JOIN base ON hd.y = base.y AND base.b = hd.i % base.m
+      LEFT JOIN nl ON nl.y = base.y AND nl.k = base.vec_id)
+SELECT vec_id, y, [{orig}] AS embedding, 0 AS synthetic, CAST(-1 AS BIGINT) AS synth_no,
+       vec_id AS base_key, vec_id AS nn_key FROM v
+UNION ALL
+SELECT CAST(-(s.gid + 1) AS BIGINT), s.y, [{syn}], 1, s.i, s.base_key, coalesce(nn.nk, s.base_key)
+FROM s LEFT JOIN nn ON nn.y = s.y AND nn.k = s.base_key AND nn.j = s.jj
+LEFT JOIN v n ON n.vec_id = nn.nk"""
+
+
+@register("smote_oversample", fx.with_views(_smote_sql(), "vectors"))
+def q_smote_oversample(spark, sf):
+    """G3 on the embedding vectors: class y=1 grows to the size of y=0."""
+    v = fx.vectors(spark, sf)
+    names = [f"e{j}" for j in range(EMB_DIM)]
+    wide = v.select("vec_id", "y", *[F.col("embedding")[j].cast("double").alias(n)
+                                     for j, n in enumerate(names)])
+    out = G.smote_oversample(wide, "vec_id", "y", names, k=5, seed=222)
+    r = rounded(out)
+    return r.select("vec_id", "y", F.array(*names).alias("embedding"), "synthetic", "synth_no",
+                    "base_key", "nn_key")
+
+
 @register("balanced_class_weights", fx.with_views(f"""
 WITH c AS (SELECT y, count(*) AS nc FROM vectors GROUP BY y),
 t AS (SELECT sum(nc) AS n, count(*) AS k FROM c)

@@ -14,6 +14,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from binscope.functions.exprs import c, md5_order_cols
 from binscope.operators.running import null_safe_join, rank_by_hash
@@ -146,3 +147,91 @@ def bootstrap_weights(df: DataFrame, key: str, num_bootstraps: int = 10,
         w = w + (u > F.lit(cut)).cast("int")
     return d.select(*[c(n) for n in df.columns], F.col("_b.bootstrap").alias("bootstrap"),
                     w.alias("weight"))
+
+
+BROADCAST_BASE_ROWS = 100_000  # base/neighbour tables up to this many rows are broadcast
+
+
+def smote_oversample(df: DataFrame, key: str, label: str, features: list[str], k: int = 5,
+                     seed: int = 222) -> DataFrame:
+    """Every class smaller than the largest grows to its size with synthetic
+    rows ``x + lam * (nn - x)``; ``nn`` is one of the ``k`` nearest rows of the
+    same class (squared Euclid on standardised features, ties by key, exact:
+    ``neighbours.knn_lists``).
+
+    Synthetic row ``i`` (0-based, per class) takes base row ``i mod m`` of the
+    class in ``md5(key:seed)`` order; with ``h = md5(class:i:seed)`` the
+    neighbour is number ``1 + hex(h[0:8]) mod len`` of the base row's list and
+    ``lam = hex(h[8:16]) / 2^32``. A class with one row copies it. Features
+    are standardised by their sample variance over the whole input. Rows with
+    a missing feature are kept but are neither bases nor neighbours. Output:
+    the input rows (``synthetic = 0``, ``synth_no = -1``, base and neighbour =
+    the row itself) and the new rows (``synthetic = 1``, ``synth_no = i``,
+    ``base_key``, ``nn_key``). For a numeric key the new rows get the key
+    ``-(offset + i + 1)`` (offset = new rows of earlier classes, in label
+    order), otherwise NULL."""
+    from binscope.operators.neighbours import knn_lists
+
+    spark = df.sparkSession
+    kt = df.schema[key].dataType
+    cols = [c(key).alias(key), c(label).alias(label), *[c(f).cast("double").alias(f) for f in features]]
+    originals = df.select(*cols, F.lit(0).alias("synthetic"), F.lit(-1).cast("long").alias("synth_no"),
+                          c(key).alias("base_key"), c(key).alias("nn_key"))
+    counts = {r[0]: r[1] for r in df.groupBy(c(label)).count().collect()}  # one row per class
+    if not counts:
+        return originals
+    big = max(counts.values())
+    grow = {cl: big - n for cl, n in counts.items() if n < big and cl is not None}
+    if not grow:
+        return originals
+    complete = F.lit(True)
+    for f in features:
+        complete = complete & F.col(f).isNotNull()
+    minority = df.select(*cols).where(c(label).isin(list(grow))).where(complete)
+    st = df.select(*cols).where(complete).agg(*[F.var_samp(f) for f in features]).first()
+    nn, _ = knn_lists(minority, key, label, features, k, variances=list(st))
+    ranked, sizes = rank_within(minority, [label], key, seed)
+    m = {r[0]: r[1] for r in sizes.collect()}  # one row per class
+    bases = ranked.join(nn, [label, key]).select(label, F.col(key).alias("base_key"), "_nn",
+                                                 (F.col("_r") - 1).alias("_b"),
+                                                 *[F.col(f).alias(f"_x{j}") for j, f in enumerate(features)])
+    plan = [(cl, grow[cl], m[cl]) for cl in sorted(grow) if m.get(cl)]
+    total = sum(n for _, n, _ in plan)
+    if not total:
+        return originals
+    # draws: one row per synthetic row, generated in Spark from the class offsets
+    rid = F.col("id")
+    cls, first, mm = None, None, None
+    off = 0
+    for cl, n, mc in plan:
+        cond = rid < F.lit(off + n)
+        cls = F.when(cond, F.lit(cl)) if cls is None else cls.when(cond, F.lit(cl))
+        first = F.when(cond, F.lit(off)) if first is None else first.when(cond, F.lit(off))
+        mm = F.when(cond, F.lit(mc)) if mm is None else mm.when(cond, F.lit(mc))
+        off += n
+    parts = max(1, min(total // 1_000_000 + 1, spark.sparkContext.defaultParallelism * 4))
+    draws = (spark.range(0, total, 1, parts)
+             .select(cls.cast(df.schema[label].dataType).alias(label), (rid - first).alias("synth_no"), rid.alias("_id"),
+                     mm.alias("_m"))
+             .withColumn("_b", F.pmod(F.col("synth_no"), F.col("_m")))
+             .withColumn("_h", F.md5(F.concat_ws(":", F.col(label).cast("string"),
+                                                 F.col("synth_no").cast("string"), F.lit(str(seed))))))
+    small = sum(mc for _, _, mc in plan) <= BROADCAST_BASE_ROWS  # counted above
+    bj = F.broadcast(bases) if small else bases
+    d = draws.join(bj, [label, "_b"])
+    h1 = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint")
+    h2 = F.conv(F.substring("_h", 9, 8), 16, 10).cast("bigint")
+    d = d.select("*", F.when(F.size("_nn") > 0, F.element_at("_nn", (F.pmod(h1, F.size("_nn")) + 1).cast("int")))
+                 .alias("nn_key"), (h2.cast("double") / F.lit(4294967296.0)).alias("_lam"))
+    nb = minority.select(F.col(label), F.col(key).alias("nn_key"),
+                         *[F.col(f).alias(f"_n{j}") for j, f in enumerate(features)])
+    d = d.join(F.broadcast(nb) if small else nb, [label, "nn_key"], "left")
+    numeric = isinstance(kt, (LongType, IntegerType, ShortType, ByteType))
+    new_key = (-(F.col("_id") + 1)).cast(kt) if numeric else F.lit(None).cast(kt)
+    synth = d.select(new_key.alias(key), F.col(label),
+                     *[(F.col(f"_x{j}") + F.col("_lam") *
+                        (F.coalesce(F.col(f"_n{j}"), F.col(f"_x{j}")) - F.col(f"_x{j}"))).alias(f)
+                       for j, f in enumerate(features)],
+                     F.lit(1).alias("synthetic"), "synth_no", "base_key",
+                     F.coalesce(F.col("nn_key"), F.col("base_key")).cast(kt).alias("nn_key"))
+    return originals.unionByName(synth)
