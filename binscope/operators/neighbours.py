@@ -16,9 +16,11 @@ pairs every row of a group with every other:
    (equi-join on the cell, no cross join); the ``k`` best rows are kept. The
    answer is exact when the k-th distance is at most the squared cell side:
    any row outside those cells is more than one side away in a grid
-   coordinate, hence farther in the full distance. Unresolved vectors move one
-   level coarser and repeat; at level 0 the block holds the whole group, so the
-   loop ends. Each round's results are written to the shared checkpoint folder.
+   coordinate, hence farther in the full distance. An unresolved vector with
+   enough candidates moves straight to the level whose cell side covers its
+   current k-th distance (which can only shrink there, so it resolves in the
+   next round); one without enough candidates moves one level coarser. At
+   level 0 the block holds the whole group, so the loop ends. Each round's results are written to the shared checkpoint folder.
 
 The pruning is only as strong as the grid coordinates are spread: with many
 features and few grid dimensions most vectors resolve at coarse levels, which
@@ -153,8 +155,13 @@ def knn_lists(rows: DataFrame, key: str, group: str, feats: list[str], k: int =
         done.append(res.where("_ok").select("_grp", "_vid", "_keys",
                                             F.coalesce(F.transform("_lst", lambda s: s["_nk"]),
                                                        F.array().cast(f"array<{kt}>")).alias("_other")))
+        # next level: one coarser, or at once the level whose cell side covers the
+        # current k-th distance (an upper bound of the true one), which then resolves
+        cover = F.floor(F.log2(F.lit(span) / F.sqrt(F.col("_dk")))).cast("int")
+        nxt = F.when((F.coalesce("_cnt", F.lit(0)) >= F.col("_need")) & (F.col("_dk") > 0),
+                     F.least(F.col("_lvl") - 1, cover)).otherwise(F.col("_lvl") - 1)
         state = (res.where(~F.col("_ok"))
-                 .select("_grp", "_vid", "_keys", *xs, (F.col("_lvl") - 1).alias("_lvl"), "_need"))
+                 .select("_grp", "_vid", "_keys", *xs, F.greatest(nxt, F.lit(0)).alias("_lvl"), "_need"))
         if not res.where(~F.col("_ok")).limit(1).count():
             break
     lists = done[0]

@@ -190,9 +190,10 @@ def smote_oversample(df: DataFrame, key: str, label: str, features: list[str], k
     minority = df.select(*cols).where(c(label).isin(list(grow))).where(complete)
     st = df.select(*cols).where(complete).agg(*[F.var_samp(f) for f in features]).first()
     nn, _ = knn_lists(minority, key, label, features, k, variances=list(st))
-    ranked, sizes = rank_within(minority, [label], key, seed)
+    ranked, sizes = rank_within(minority.select(label, key), [label], key, seed)
     m = {r[0]: r[1] for r in sizes.collect()}  # one row per class
-    bases = ranked.join(nn, [label, key]).select(label, F.col(key).alias("base_key"), "_nn",
+    bases = ranked.join(nn, [label, key]).join(minority, [label, key]).select(
+        label, F.col(key).alias("base_key"), "_nn",
                                                  (F.col("_r") - 1).alias("_b"),
                                                  *[F.col(f).alias(f"_x{j}") for j, f in enumerate(features)])
     plan = [(cl, grow[cl], m[cl]) for cl in sorted(grow) if m.get(cl)]
