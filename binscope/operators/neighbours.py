@@ -8,8 +8,10 @@ pairs every row of a group with every other:
    vector, through a row-number limit that Spark pre-limits map-side). A value
    held by a third of all rows is one vector and no pairs. A row's duplicates
    are its nearest neighbours (distance 0, key order).
-2. Distinct vectors are placed on a grid over the first ``GRID_DIMS``
-   standardised features, at levels with cell side ``span / 2^L``. Each
+2. Distinct vectors are placed on a grid over ``GRID_DIMS`` unit axes of the
+   standardised feature space (the features themselves when there are at most
+   that many, else the top principal axes, see ``_grid_axes``), at levels
+   with cell side ``span / 2^L``. Each
    vector starts at the finest level whose own cell holds at least ``k + 1``
    vectors, so a dense region uses small cells (the adaptive answer to skew).
 3. A vector is joined with the vectors of the ``3^g`` cells around its own
@@ -22,9 +24,10 @@ pairs every row of a group with every other:
    next round); one without enough candidates moves one level coarser. At
    level 0 the block holds the whole group, so the loop ends. Each round's results are written to the shared checkpoint folder.
 
-The pruning is only as strong as the grid coordinates are spread: with many
-features and few grid dimensions most vectors resolve at coarse levels, which
-is still exact but compares more candidates.
+The pruning is only as strong as the grid coordinates are spread: when the
+principal axes carry little of the variance (many independent features),
+most vectors resolve at coarse levels, which is still exact but compares more
+candidates.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ from binscope.session import cut_lineage
 GRID_DIMS = 3  # grid coordinates (3^3 = 27 neighbouring cells per probe)
 LEVELS = 16  # finest level: cell side span / 2^16
 MARGIN = 1.0 - 1e-9  # rounding guard on the resolution test
+PCA_SAMPLE_ROWS = 1_000_000  # rows used to fit the grid axes (they only steer pruning)
 
 
 def sq_distance(x: list[Column], y: list[Column], var: list[float]) -> Column:
@@ -56,6 +60,29 @@ def _cells(u: list[Column], umin: list[float], span: float, level: Column) -> li
     return [F.floor((x - F.lit(m)) * scale).cast("long") for x, m in zip(u, umin)]
 
 
+def _grid_axes(base: DataFrame, xs: list[str], sd: list[float], g: int, n: int) -> list[list[float]]:
+    """Unit-length grid axes in the standardised feature space. With at most
+    ``g`` features these are the features themselves; otherwise the top ``g``
+    principal axes (``ml.feature.PCA``), fitted on at most ``PCA_SAMPLE_ROWS``
+    rows. Any unit axis ``a`` keeps the search exact (``|a.(x - y)| <=
+    |x - y|``), so the fitted sample only decides how well cells prune."""
+    d = len(xs)
+    if d <= g:
+        return [[1.0 if i == j else 0.0 for i in range(d)] for j in range(g)]
+    from pyspark.ml.feature import PCA, VectorAssembler
+    frac = min(1.0, PCA_SAMPLE_ROWS / max(n, 1))
+    sample = base.sample(False, frac, seed=17) if frac < 1.0 else base
+    z = sample.select(*[(F.col(x) / F.lit(s_)).alias(x) for x, s_ in zip(xs, sd)])
+    vec = VectorAssembler(inputCols=xs, outputCol="_z", handleInvalid="skip").transform(z)
+    pc = PCA(k=g, inputCol="_z", outputCol="_p").fit(vec).pc.toArray()  # d x g, unit columns
+    axes = []
+    for j in range(g):
+        col = [float(v) for v in pc[:, j]]
+        norm = sum(v * v for v in col) ** 0.5 or 1.0
+        axes.append([v / norm for v in col])
+    return axes
+
+
 def knn_lists(rows: DataFrame, key: str, group: str, feats: list[str], k: int = 5,
               variances: list[float] | None = None) -> tuple[DataFrame, list[float]]:
     """For every row with complete features: ``(group, key, _nn)`` where ``_nn``
@@ -70,19 +97,31 @@ def knn_lists(rows: DataFrame, key: str, group: str, feats: list[str], k: int =
     xs = [f"_x{j}" for j in range(len(feats))]
     kt = base.schema["_key"].dataType.simpleString()
     base = base.where(" AND ".join(f"{n} IS NOT NULL" for n in xs))
-    # one aggregate row: variances and grid ranges
+    # variances, then grid coordinates and their ranges
     g = min(GRID_DIMS, len(feats))
-    aggs = [F.var_samp(n).alias(f"v{j}") for j, n in enumerate(xs)]
-    aggs += [F.min(n).alias(f"lo{j}") for j, n in enumerate(xs[:g])]
-    aggs += [F.max(n).alias(f"hi{j}") for j, n in enumerate(xs[:g])]
-    st = base.agg(*aggs).first()
+    st = base.agg(F.count(F.lit(1)).alias("n"), *[F.var_samp(n).alias(f"v{j}") for j, n in enumerate(xs)]).first()
     if variances is None:
         variances = [st[f"v{j}"] for j in range(len(xs))]
     var = [float(v) if v else 1.0 for v in variances]
     sd = [v ** 0.5 for v in var]
-    umin = [float(st[f"lo{j}"] or 0.0) / sd[j] for j in range(g)]
-    span = max([(float(st[f"hi{j}"] or 0.0) - float(st[f"lo{j}"] or 0.0)) / sd[j]
-                for j in range(g)] + [0.0]) or 1.0
+    axes = _grid_axes(base, xs, sd, g, int(st["n"]))
+
+    def coords(prefix: str = "") -> list[Column]:
+        out = []
+        for a in axes:
+            e = None
+            for w, n, s_ in zip(a, xs, sd):
+                if w:
+                    t = F.col(prefix + n) * F.lit(w / s_)
+                    e = t if e is None else e + t
+            out.append(e if e is not None else F.lit(0.0))
+        return out
+
+    rng = base.agg(*[F.min(e).alias(f"lo{j}") for j, e in enumerate(coords())],
+                   *[F.max(e).alias(f"hi{j}") for j, e in enumerate(coords())]).first()
+    umin = [float(rng[f"lo{j}"] or 0.0) for j in range(g)]
+    span = max([float(rng[f"hi{j}"] or 0.0) - float(rng[f"lo{j}"] or 0.0) for j in range(g)]
+               + [0.0]) or 1.0
 
     # 1. collapse identical vectors: multiplicity, id (smallest key), first k+1 keys
     vec = F.array(*[F.col(n) for n in xs])
@@ -96,11 +135,11 @@ def knn_lists(rows: DataFrame, key: str, group: str, feats: list[str], k: int =
                        .select("_grp", "_vid", "_mult", "_keys",
                                *[F.col("_vec")[j].alias(n) for j, n in enumerate(xs)]),
                        "knn-vectors")
-    u = [F.col(n) / F.lit(sd[j]) for j, n in enumerate(xs[:g])]
+    u = coords()
     cn = [f"_c{j}" for j in range(g)]
 
     # 2. start level: finest level whose own cell holds >= k+1 vectors
-    lv = vecs.select("_grp", "_vid", *xs[:g], F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("_L"))
+    lv = vecs.select("_grp", "_vid", *xs, F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("_L"))
     lv = lv.select("_grp", "_vid", "_L", *[e.alias(n) for e, n in
                                            zip(_cells(u, umin, span, F.col("_L")), cn)])
     occ = lv.groupBy("_grp", "_L", *cn).agg(F.count(F.lit(1)).alias("_occ"))
@@ -131,7 +170,7 @@ def knn_lists(rows: DataFrame, key: str, group: str, feats: list[str], k: int =
         build = vecs.select("_grp", F.col("_vid").alias("_yid"), F.col("_keys").alias("_ykeys"),
                             *[F.col(n).alias(f"y{n}") for n in xs],
                             F.explode(F.array(*[F.lit(x) for x in levels])).alias("_lvl"))
-        uy = [F.col(f"y{n}") / F.lit(sd[j]) for j, n in enumerate(xs[:g])]
+        uy = coords("y")
         build = build.select("*", *[e.alias(n) for e, n in zip(_cells(uy, umin, span, F.col("_lvl")), cn)])
         cand = (probe.join(build, ["_grp", "_lvl", *cn]).where(F.col("_yid") != F.col("_vid"))
                 .select("_grp", "_vid", "_yid", "_ykeys",
