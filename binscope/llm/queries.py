@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binscope.llm import decontaminate, quality
+from binscope.llm import decontaminate, pieces, quality, secrets
 from binscope.session import ensure_checkpoint_dir, table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file; it must be the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[f.__name__] = f
     return f
@@ -67,3 +74,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit_quality(docs, _table(spark, sf_dir, "labels"))
     return quality.score_quality(docs, model, keep=["doc_id"]).select("doc_id", "_quality.*")
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode_documents(docs, tokenizer_path("piece_bpe_32k.model"), keep=["doc_id"]).select("doc_id", "_pieces.*")
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("_secrets.base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secrets.listed(F.col("_secrets.base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("_secrets.spans")).alias("spans"))
