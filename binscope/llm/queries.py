@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binscope.llm import decontaminate, pieces, quality, secrets
+from binscope.llm import decontaminate, language, pieces, quality, secrets
+from binscope.llm.text import crc_bucket
 from binscope.session import ensure_checkpoint_dir, table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +94,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(secrets.listed(F.col("_secrets.base")).cast("binary"), 256).alias("base_sha256"),
         secrets.listed(F.col("_secrets.spans")).alias("spans"))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fit_languages(docs.filter(crc_bucket(3) != 1).select("doc_id", "text", "lang"))
+    found = language.predict_language(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", (crc_bucket(3) == 1).alias("held_out"), "_language.*")
