@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binscope.llm import decontaminate, language, pieces, quality, secrets
+from binscope.llm import decontaminate, language, pieces, quality, secrets, toxicity
 from binscope.llm.text import crc_bucket
 from binscope.session import ensure_checkpoint_dir, table_path
 
@@ -102,3 +102,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit_languages(docs.filter(crc_bucket(3) != 1).select("doc_id", "text", "lang"))
     found = language.predict_language(docs.select("doc_id", "text"), model, keep=["doc_id"])
     return found.select("doc_id", (crc_bucket(3) == 1).alias("held_out"), "_language.*")
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned_from = _table(spark, sf_dir, "labels").filter(crc_bucket(5) != 0).select("doc_id", "toxic")
+    found = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, learned_from), keep=["doc_id"])
+    score = F.col("_toxicity.score")
+    return found.select("doc_id", (crc_bucket(5) == 0).alias("held_out"), score.alias("score"),
+                        (score >= 0.5).cast("int").alias("predicted"), F.col("_toxicity.n_matches").alias("n_matches"))
