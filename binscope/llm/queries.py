@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binscope.llm import decontaminate, language, pieces, quality, secrets, toxicity
+from binscope.llm import decontaminate, html, language, pieces, quality, secrets, toxicity
 from binscope.llm.text import crc_bucket
 from binscope.session import ensure_checkpoint_dir, table_path
 
@@ -112,3 +112,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.col("_toxicity.score")
     return found.select("doc_id", (crc_bucket(5) == 0).alias("held_out"), score.alias("score"),
                         (score >= 0.5).cast("int").alias("predicted"), F.col("_toxicity.n_matches").alias("n_matches"))
+
+
+@query
+def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract_pages(pages, keep=["page_id", "url"]).select("page_id", "url", "_main.*")
