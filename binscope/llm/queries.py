@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binscope.llm import decontaminate, html, language, pieces, quality, secrets, toxicity
+from binscope.llm import decontaminate, html, language, neardup, pieces, quality, secrets, toxicity
 from binscope.llm.text import crc_bucket
 from binscope.session import ensure_checkpoint_dir, table_path
 
@@ -118,3 +118,29 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extract_pages(pages, keep=["page_id", "url"]).select("page_id", "url", "_main.*")
+
+
+@query
+def op4_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicate_classes(docs).select("doc_id", "class_id")
+
+
+# The classes by their definition: all links between distinct texts that share a shingle, and their closure.
+ORACLE["op4_probminhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+t AS (SELECT ws, min(r) AS t FROM w WHERE len(ws) > 0 GROUP BY ws),
+s AS (SELECT DISTINCT t, list_slice(ws, i, i + least(len(ws), 5) - 1) AS x
+      FROM (SELECT t, ws, unnest(range(1, len(ws) - least(len(ws), 5) + 2)) AS i FROM t)),
+n AS (SELECT t, count(*) AS n FROM s GROUP BY t),
+c AS (SELECT a.t AS a, b.t AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.t <> b.t GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n na ON a = na.t JOIN n nb ON b = nb.t WHERE k >= 0.8 * (na.n + nb.n - k)),
+reach AS (SELECT t AS a, t AS b FROM t UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+comp AS (SELECT a AS t, min(b) AS comp FROM reach GROUP BY a),
+doc AS (SELECT w.doc_id, w.r, comp.comp FROM w LEFT JOIN t ON w.ws = t.ws LEFT JOIN comp ON t.t = comp.t),
+least_id AS (SELECT comp, min(doc_id) AS class_id FROM doc WHERE comp IS NOT NULL GROUP BY comp)
+SELECT doc_id, CASE WHEN doc.comp IS NULL THEN doc_id ELSE class_id END AS class_id
+FROM doc LEFT JOIN least_id ON doc.comp = least_id.comp"""
