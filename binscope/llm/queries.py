@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binscope.llm import decontaminate, html, language, neardup, pieces, quality, secrets, toxicity
+from binscope.llm import decontaminate, html, language, neardup, pieces, quality, secrets, suffixes, toxicity
 from binscope.llm.text import crc_bucket
 from binscope.session import ensure_checkpoint_dir, table_path
 
@@ -144,3 +144,26 @@ doc AS (SELECT w.doc_id, w.r, comp.comp FROM w LEFT JOIN t ON w.ws = t.ws LEFT J
 least_id AS (SELECT comp, min(doc_id) AS class_id FROM doc WHERE comp IS NOT NULL GROUP BY comp)
 SELECT doc_id, CASE WHEN doc.comp IS NULL THEN doc_id ELSE class_id END AS class_id
 FROM doc LEFT JOIN least_id ON doc.comp = least_id.comp"""
+
+
+@query
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+# All strings of 200 bytes by their own digest, and the bytes that repeated ones cover.
+ORACLE["op7_suffix_array_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, s, md5(substr(h, CAST(2 * s + 1 AS INT), 400)) AS m
+      FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 199)) AS s FROM d WHERE length(h) >= 400)),
+rep AS (SELECT m FROM w GROUP BY m HAVING count(*) > 1),
+hit AS (SELECT r, s, lag(s) OVER (PARTITION BY r ORDER BY s) AS p FROM w JOIN rep USING (m)),
+grp AS (SELECT r, s, sum(CASE WHEN p IS NULL OR s > p + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY s) AS g FROM hit),
+span AS (SELECT r, g, min(s) AS a, max(s) + 200 AS b FROM grp GROUP BY r, g),
+gap AS (SELECT r, g, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z FROM span),
+kept AS (SELECT r, string_agg(substr(h, CAST(2 * z + 1 AS INT), CAST(2 * (a - z) AS INT)), '' ORDER BY a) AS k,
+           max(b) AS last, sum(b - a) AS n_removed, count(*) AS n_spans FROM gap JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(k || substr(h, CAST(2 * last + 1 AS INT)), h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
