@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binscope.llm import decontaminate, html, language, neardup, pieces, quality, secrets, suffixes, toxicity
+from binscope.llm import decontaminate, html, language, lm, neardup, pieces, quality, secrets, suffixes, toxicity
 from binscope.llm.text import crc_bucket
 from binscope.session import ensure_checkpoint_dir, table_path
 
@@ -167,3 +167,8 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
   CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
   sha256(unhex(coalesce(k || substr(h, CAST(2 * last + 1 AS INT)), h))) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)"""
+
+
+@query
+def op3_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"), crc_bucket(7) == 2)
