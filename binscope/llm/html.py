@@ -10,7 +10,7 @@ divided by the path's blocks: the two tag-path ratios. Both are smoothed over th
 neighbouring blocks with a Gaussian kernel, fused as a product, and blocks whose
 fused value reaches ``SHARE`` of the page's mean are content. The content node is
 found from the body downwards: the walk goes into a child while that child holds
-``DESCEND`` of the content, and stops at an article or where a heading would be
+``DESCEND`` of the content (by its tag), and stops at an article or where a heading would be
 lost. All blocks of that node are the text, but those set aside and lists of links.
 
 Defined results: null and empty pages, and pages without text, give an empty
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from binscope.llm.text import text_column
 
 SHARE = 0.2
-DESCEND = 0.7
+DESCEND = {"": 0.7, "article": 0.5, "main": 0.5}
 SMOOTH = (0.25, 0.5, 0.25)
 LINKS = 0.8
 #: An element set aside by a class word holds less than this share of the page's text.
@@ -217,7 +217,7 @@ def extract(page: str | None) -> str:
     node = nodes[0]
     while node.tag != "article":
         child = max(node.children, key=lambda n: n.content, default=None)
-        if child is None or child.tag not in CONTAINERS or child.content < DESCEND * node.content or not child.content:
+        if child is None or child.tag not in CONTAINERS or child.content < DESCEND.get(child.tag, DESCEND[""]) * node.content or not child.content:
             break
         if node.tag not in ("", "html", "body") and node.headings > child.headings:
             break
