@@ -11,12 +11,14 @@ their weighted shingles. ``BANDS`` bands of ``ROWS`` registers give the buckets.
 Texts with the same words are one node from the start, so copies are never
 paired. In each bucket every node is compared with one leader, not with all
 others. A link is a Jaccard similarity of the shingle sets of ``SIMILARITY`` or
-more, worked out from the texts. Where a bucket's nodes are then in more than one
-component, nodes outside the largest one become leaders in turn, twice as many in
-each round, and are compared with the other components' nodes, until every node
-is in its bucket's largest component or has been a leader. So two nodes of a bucket
-that end up in different components have been compared: no link is lost, and
-nothing is paired that is connected already. A class is a connected component.
+more, worked out from the texts. The texts of buckets whose nodes are then in more than
+one component get new buckets, one for each of their rarest shingles: a prefix filter,
+which no link escapes. In these, nodes outside the largest component become leaders in
+turn, ``LEADERS`` times as many in each round, and are compared with the other
+components' nodes, until every node is in its bucket's largest component or has been a
+leader. So two texts that end up in different components have been compared or cannot
+have a link: none is lost, and nothing is paired that is connected already. A class is
+a connected component.
 
 Intermediate tables are written to the shared checkpoint folder. Defined results:
 texts without words are classes of their own; the class id is the least id in the
@@ -44,6 +46,8 @@ REGISTERS = BANDS * ROWS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPOT = np.uint64(0xD1B54A32D192ED03)
 _SLICE = 4 << 20
+#: Leaders of a bucket in the second round; so many times as many in each later one.
+LEADERS = 4
 #: Points of a process that are drawn at once after the first.
 _DRAW = 16
 
@@ -172,14 +176,13 @@ def components(links: DataFrame) -> DataFrame:
     nothing changes. Labels are written once a round.
     """
     both = cut_lineage(links.union(links.select("b", "a")).toDF("node", "other").distinct(), "links")
-    labels = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("comp"))
-    labels = cut_lineage(labels, "labels")
+    labels = cut_lineage(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("comp")), "labels")
     while True:
         other = labels.toDF("other", "other_comp")
         near = both.join(other, "other").groupBy("node").agg(F.min("other_comp").alias("near"))
         step = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("new"))
         jump = labels.toDF("new", "jump")
-        step = cut_lineage(step.join(jump, "new", "left").select(
+        step = cut_lineage(step.join(jump, "new").select(
             "node", F.least("new", "jump").alias("comp"), (F.least("new", "jump") != F.col("comp")).alias("moved")), "labels")
         labels = step.select("node", "comp")
         if not step.filter("moved").limit(1).count():
@@ -193,7 +196,8 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, __node, class_id) of every row of ``docs``."""
+    """(doc_id, __node, __comp, class_id) of every row of ``docs``: digest of the words, least digest of
+    the class (both null without words), and least id of the class."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType
     signed = cut_lineage(rows.mapInArrow(_sign, f"doc_id {kind.simpleString()}, node binary, bands array<long>"), "signatures")
@@ -210,46 +214,106 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     texts = cut_lineage(bodies.join(wanted, same, "left_semi").select(F.col("__node").alias("node"), "text").dropDuplicates(["node"]), "texts")
 
     first = members.filter(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    links = cut_lineage(_verify(first, texts), "verified")
-    led = members.select("bucket", F.col("lead").alias("node")).distinct()
-    quota = 1
+    comp = components(cut_lineage(_verify(first, texts), "links"))
+    open_ = _open(members.select("bucket", "node"), comp)
+    members = _rare_buckets(texts.join(open_.select("node").distinct(), "node", "left_semi"))
+    led = None
+    quota = LEADERS
     while True:
-        comp = components(links)
-        placed = members.select("bucket", "node").join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-        sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-        top = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("comp", F.struct("n", "comp")).alias("largest")).filter("parts > 1").select("bucket", "largest")
-        open_ = placed.join(top, "bucket")
-        waiting = open_.filter(F.col("comp") != F.col("largest")).join(led, ["bucket", "node"], "left_anti")
+        open_ = cut_lineage(_open(members, comp), "open")
+        waiting = open_.filter(F.col("comp") != F.col("largest"))
+        if led is not None:
+            waiting = waiting.join(led, ["bucket", "node"], "left_anti")
         leaders = cut_lineage(_first(waiting, quota), "leaders")
         if not leaders.limit(1).count():
             return _classes(signed, nodes, comp)
-        pairs = leaders.select("bucket", F.col("node").alias("a"), F.col("comp").alias("comp_a")).join(
-            open_.select("bucket", F.col("node").alias("b"), F.col("comp").alias("comp_b")), "bucket").filter("comp_a != comp_b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = cut_lineage(links.union(_verify(pairs, texts)), "verified")
-        led = cut_lineage(led.union(leaders.select("bucket", "node")), "led")
-        quota *= 2
+        sides = [x.select("bucket", *[F.col(k).alias(f"{k}_{end}") for k in ("node", "comp", "n", "place")]) for x, end in ((leaders, "a"), (open_, "b"))]
+        # in the bucket of the first shingle they share, no more than this one and those behind it are shared
+        most = 1 + F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b"))
+        may = (F.col("comp_a") != F.col("comp_b")) & (most >= SIMILARITY / (1 + SIMILARITY) * F.expr("n_a + n_b") - 1e-9)
+        pairs = sides[0].join(sides[1], (sides[0]["bucket"] == sides[1]["bucket"]) & may)
+        pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+        comp = _merge(comp, cut_lineage(_verify(pairs, texts), "links"))
+        leaders = leaders.select("bucket", "node")
+        led = leaders if led is None else led.union(leaders)
+        quota *= LEADERS
+
+
+def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """``members`` with comp and largest, of the buckets whose nodes are in more than one component."""
+    placed = members.join(comp, "node", "left").select(*members.columns, F.coalesce("comp", "node").alias("comp"))
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("comp", F.struct("n", "comp")).alias("largest"))
+    return placed.join(top.filter("parts > 1").select("bucket", "largest"), "bucket")
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, hi, buf, offs in slices(batch.column(1)):
+            _, _, (row, key), _ = shingles(buf, offs)
+            n = np.bincount(row.astype(np.int64), minlength=hi - lo)
+            take = pa.array(row.astype(np.int64))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).slice(lo, hi - lo).take(take), pa.array(key.view(np.int64)), pa.array(np.repeat(n, n))], names=["node", "shingle", "n"])
+
+
+def _rare_buckets(texts: DataFrame) -> DataFrame:
+    """(bucket, node, n, place): buckets that every two of these texts with a link have in common; n is
+    the size of the text's set, and place that of the bucket's shingle in it, by rarity.
+
+    A similarity of s needs s n of a set's n shingles in both sets, so of the floor((1 - s) n) + 1 that
+    are rarest here one at least is shared (prefix filter). Shingles of one text alone are the rarest;
+    a text that has that many of them can have no link. Sizes of linked sets differ by a factor of s
+    at most, so a text is in the bucket of its own size class and of the next.
+    """
+    rows = texts.select("node", "text").mapInArrow(_shingle_rows, "node binary, shingle long, n long")
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    own = Window.partitionBy("node")
+    ranked = rows.join(shared, "shingle").select(
+        "node", "shingle", "n", F.count("*").over(own).alias("n_shared"), F.row_number().over(own.orderBy("df", "shingle")).alias("rank"))
+    ranked = ranked.select("node", "shingle", "n", (F.col("n") - F.col("n_shared") + F.col("rank")).alias("place"))
+    rare = ranked.filter(F.col("place") <= F.floor(F.col("n") * (1 - SIMILARITY) + 1e-9) + 1)
+    size = F.floor(F.log("n") / float(np.log(1 / SIMILARITY)) + 1e-9)
+    spread = rare.select("node", "n", "place", "shingle", F.explode(F.array(size, size + 1)).alias("size"))
+    return cut_lineage(spread.select(F.xxhash64("shingle", "size").alias("bucket"), "node", "n", "place"), "rare")
+
+
+def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after new links: only the graph of the components that these connect is walked."""
+    if not links.limit(1).count():
+        return comp
+    of = comp.toDF("node", "comp")
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(of.toDF(end, f"comp_{end}"), end, "left").withColumn(end, F.coalesce(f"comp_{end}", end)).drop(f"comp_{end}")
+    moved = components(ends.filter("a != b").select("a", "b").distinct()).toDF("comp", "new")
+    known = of.join(moved, "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
+    # nodes that had no component of their own so far
+    fresh = moved.join(of.select(F.col("node").alias("comp")), "comp", "left_anti").select(F.col("comp").alias("node"), F.col("new").alias("comp"))
+    return cut_lineage(known.union(fresh), "components")
 
 
 def _first(waiting: DataFrame, quota: int) -> DataFrame:
     """The first ``quota`` waiting nodes of each bucket."""
     order = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-    return waiting.select("bucket", "node", "comp", order.alias("rank")).filter(F.col("rank") <= quota).drop("rank")
+    return waiting.select("bucket", "node", "comp", "n", "place", order.alias("rank")).filter(F.col("rank") <= quota).drop("rank")
 
 
 def _classes(signed: DataFrame, nodes: DataFrame, comp: DataFrame) -> DataFrame:
     placed = nodes.select("node", "rep").join(comp, "node", "left").select("node", "rep", F.coalesce("comp", "node").alias("comp"))
     least = placed.groupBy("comp").agg(F.min("rep").alias("class_id"))
-    of_node = placed.join(least, "comp").select("node", "class_id")
+    of_node = placed.join(least, "comp").select("node", "comp", "class_id")
     out = signed.select("doc_id", "node").join(of_node, "node", "left")
-    return out.select("doc_id", F.col("node").alias("__node"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    return out.select("doc_id", F.col("node").alias("__node"), F.col("comp").alias("__comp"),
+                      F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each class, that of the least id, with the columns of ``docs``; all without words stay."""
-    found = near_duplicate_classes(docs).filter(F.col("__node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id")))
-    # of texts of one class with the same id the first by digest
-    keep = found.groupBy(F.col("doc_id").alias("__id")).agg(F.min("__node").alias("__key"))
+    found = near_duplicate_classes(docs).filter(F.col("__node").isNotNull())
+    # the least id, and of texts with the same id the first by digest
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__node").alias("node"))).alias("first")
+    keep = found.groupBy("__comp").agg(first).select(F.col("first.id").alias("__id"), F.col("first.node").alias("__key"))
     names = [F.col(f"`{c}`") for c in docs.columns]
     rows = with_node(docs)
     kept = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__key")), "left_semi")
