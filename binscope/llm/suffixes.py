@@ -38,7 +38,7 @@ from binscope.session import cut_lineage
 LENGTH = 200
 GRAM = 64
 #: Records of one anchor key that one task sorts.
-HOT = 2000
+HOT = 20_000
 #: Records of a bucket, in the mean.
 BUCKET_RECORDS = 20_000
 #: Leading bytes that a splitter has, and records in the sample of splitters.
