@@ -156,7 +156,7 @@ _MS = ["model", "split"]
 
 @register("roc_auc", fx.with_views(f"""
 WITH {cum_sql('scored', _MS)}, {summary_sql(_MS)}
-SELECT model, split, {r6(ratio_sql('auc_num', 'pp * nn'))} AS roc_auc FROM g""", "scored"))
+SELECT model, split, {r6(ratio_sql('auc_num', 'CAST(pp AS DOUBLE) * nn'))} AS roc_auc FROM g""", "scored"))
 def q_roc_auc(spark, sf):
     return rounded(M.roc_auc(fx.scored(spark, sf), _MS))
 
@@ -185,7 +185,7 @@ def _metrics_long_sql(keys: list[str], threshold: float = 0.5) -> str:
         ("Average Precision", ratio_sql("ap_num", "pp")),
         ("Sensitivity", share_sql("tpt", "pp")),
         ("Specificity", ratio_sql("nn - fpt", "nn")),
-        ("AUC ROC", ratio_sql("auc_num", "pp * nn")),
+        ("AUC ROC", ratio_sql("auc_num", "CAST(pp AS DOUBLE) * nn")),
         ("Brier Score", "b.brier"),
     ]
     union = "\n    UNION ALL ".join(
@@ -420,7 +420,7 @@ _A, _B = C.id_params(111)
 
 @register("add_ids", f"""
 SELECT c_custkey, c_name, 100000000 + ({_A} * (row_number() OVER (
-         ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':111'), c_custkey) - 1) + {_B}) % {C.ID_SPAN}
+         ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':111'), c_custkey) - 1) + {_B}) % {9 * 10 ** 8}
        AS census_id
 FROM customer""")
 def q_add_ids(spark, sf):

@@ -86,8 +86,8 @@ def docs_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """embeddings with labels 0-4; class 1 (minority) = label 0."""
-    e = read_table(spark, sf_dir, "embeddings").filter(F.col("label") < 5)
+    """All embeddings; class 1 (minority) = label 0 against the rest."""
+    e = read_table(spark, sf_dir, "embeddings")
     return e.select("vec_id", "embedding", "label",
                     (F.col("label") == 0).cast("int").alias("y"))
 
@@ -147,7 +147,7 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
 
 VECTORS_SQL = """
-SELECT vec_id, embedding, label, CAST(label = 0 AS INTEGER) AS y FROM embeddings WHERE label < 5
+SELECT vec_id, embedding, label, CAST(label = 0 AS INTEGER) AS y FROM embeddings
 """
 
 EVENT_PROPS_SQL = """

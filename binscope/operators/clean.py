@@ -41,6 +41,14 @@ def batched_agg(df: DataFrame, exprs: list[Column]) -> dict:
 
 # ------------------------------------------------------------------ P1-P4
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in any floating-point column becomes NULL, so that it counts as missing everywhere."""
+    todo = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    if not todo:
+        return df
+    return df.select(*[F.when(~F.isnan(c(n)), c(n)).alias(n) if n in todo else c(n) for n in df.columns])
+
+
 def nullify_tokens(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """A text cell becomes NULL if it is "" or contains "--" or ".." anywhere."""
     todo = set(cols if cols is not None else string_columns(df)) & set(string_columns(df))
@@ -102,29 +110,42 @@ def strip_thousands(df: DataFrame, cols: list[str], kinds: dict | None = None) -
 
 
 def infer_numeric(df: DataFrame, cols: list[str] | None = None, skip: list[str] | None = None,
-                  kinds: dict | None = None) -> DataFrame:
+                  kinds: dict | None = None, guard: bool = False) -> DataFrame:
     """A text column becomes numeric only if every non-missing value parses;
-    otherwise the whole column stays text. "" counts as missing."""
+    otherwise the whole column stays text. "" counts as missing. With ``guard``
+    a value without numeric shape becomes NULL (types that were not probed here)."""
     cand = [n for n in (cols if cols is not None else string_columns(df))
             if n in set(string_columns(df)) and n not in set(skip or [])]
     if kinds is None:
         kinds = numeric_probe(df, cand)
     # the probe proved every non-missing value has the numeric shape: no per-value regex
     return df.select(*[
-        (strict_numeric(c(n), kinds[n], guard=False).alias(n) if kinds.get(n) and n in cand
+        (strict_numeric(c(n), kinds[n], guard=guard).alias(n) if kinds.get(n) and n in cand
          else c(n))
         for n in df.columns])
 
 
-def clean_dataframe(df: DataFrame, thousands_cols: list[str] | None = None) -> DataFrame:
-    """P1 -> P2 -> P3 (P3 skips the P2 columns). The types of P2 and P3
-    are decided together in ONE aggregation job over the P1 output."""
-    d = nullify_tokens(df)
+def probe_types(df: DataFrame, thousands_cols: list[str] | None = None) -> dict[str, str | None]:
+    """The column types that ``clean_dataframe`` gives ``df``, to be saved with the training state."""
+    d = nullify_tokens(nan_to_null(df))
+    p3 = [n for n in string_columns(d) if n not in set(thousands_cols or [])]
+    return numeric_probe(d, p3, _p2_targets(d, thousands_cols))
+
+
+def clean_dataframe(df: DataFrame, thousands_cols: list[str] | None = None,
+                    kinds: dict[str, str | None] | None = None) -> DataFrame:
+    """P1 -> P2 -> P3 (P3 skips the P2 columns), after NaN has become NULL.
+    The types of P2 and P3 are decided together in ONE aggregation job over the
+    P1 output; ``kinds`` (types saved by training) skips it, so that a batch or a
+    stream at inference gets the types of training."""
+    d = nullify_tokens(nan_to_null(df))
     p2 = _p2_targets(d, thousands_cols)
     p3 = [n for n in string_columns(d) if n not in set(thousands_cols or [])]
-    kinds = numeric_probe(d, p3, p2)
-    d = strip_thousands(d, p2, kinds)
-    return infer_numeric(d, p3, kinds=kinds)
+    saved = kinds is not None
+    if not saved:
+        kinds = probe_types(df, thousands_cols)
+    d = strip_thousands(d, p2, {n: kinds.get(n) or "double" for n in p2})
+    return infer_numeric(d, p3, kinds=kinds, guard=saved)
 
 
 # ------------------------------------------------------------------ P5-P9
@@ -226,26 +247,33 @@ def bucket_rare_apply(df: DataFrame, col: str, keep: list, other: str = "other")
                          .otherwise(F.lit(other)))
 
 
-ID_SPAN = 9 * 10 ** 8  # ids 100000000 .. 999999999
-
-
-def id_params(seed: int) -> tuple[int, int]:
-    """``a`` coprime to 9e8 (a = 30m + 1 is odd, not divisible by 3 or 5), ``b`` any."""
+def id_params(seed: int, span: int = 9 * 10 ** 8) -> tuple[int, int]:
+    """``a`` coprime to ``span`` = 9 * 10^d (a = 30m + 1 is odd, not divisible by 3 or 5), ``b`` any."""
     m = (seed * 7919) % 1_000_000
-    return 30 * m + 1, (seed * 104_729) % ID_SPAN
+    return 30 * m + 1, (seed * 104_729) % span
 
 
-def add_ids(df: DataFrame, source_key: str, seed: int = 111, out: str = "census_id") -> DataFrame:
-    """Unique 9-digit id per row, ``10^8 + (a*i + b) mod 9*10^8`` where ``i``
+def add_ids(df: DataFrame, source_key: str, seed: int = 111, out: str = "census_id", num_digits: int = 9) -> DataFrame:
+    """Unique id of ``num_digits`` digits per row, ``10^(d-1) + (a*i + b) mod 9*10^(d-1)`` where ``i``
     is the 0-based rank of ``md5(key:seed)``. Unique by construction (the map
-    is a bijection mod 9e8), no random pool to shuffle. The rank comes from
-    equal buckets of the uniform digest plus bucket offsets
-    (``running.hash_row_number``), not a single-task global window."""
-    a, b = id_params(seed)
+    is a bijection), no random pool to shuffle; raises if the table has more
+    rows than there are such ids. The rank comes from equal buckets of the
+    uniform digest plus bucket offsets (``running.hash_row_number``), not a
+    single-task global window."""
+    if not 1 <= num_digits <= 18:
+        raise ValueError("num_digits must be between 1 and 18")
+    low = 10 ** (num_digits - 1)
+    span = 9 * low
+    n = df.count()
+    if n > span:
+        raise ValueError(f"{n} rows need more than {num_digits} digits")
+    a, b = id_params(seed, span)
     cols = md5_order_cols(c(source_key), seed)
     d = df.select("*", *[x.alias(f"_o{i}") for i, x in enumerate(cols)])
     ranked = hash_row_number(d, "_o0", ["_o1", "_o2"], out="_i").drop("_o0", "_o1", "_o2")
-    ident = F.lit(10 ** 8) + F.pmod(F.lit(a) * F.col("_i") + F.lit(b), F.lit(ID_SPAN))
+    # beyond 2^63 the product needs a decimal
+    product = F.lit(a) * F.col("_i") if a * max(n, 1) + b < 2 ** 63 else F.lit(a).cast("decimal(38,0)") * F.col("_i")
+    ident = F.lit(low) + F.pmod(product + F.lit(b), F.lit(span))
     return ranked.withColumn(out, ident.cast("bigint")).drop("_i")
 
 

@@ -10,11 +10,11 @@ map-side combined, so the shuffle carries one row per distinct score per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from binscope.functions.exprs import np_round, safe_div
-from binscope.operators.running import DEFAULT_BUCKETS, running_sums
+from binscope.operators.running import DEFAULT_BUCKETS, null_safe_join, running_sums
 
 # Names used by the metrics report (same text as the reference).
 REPORT_METRICS = ("Precision/PPV", "Average Precision", "Sensitivity", "Specificity",
@@ -156,7 +156,7 @@ def score_summary(scored: DataFrame, keys=("model",), threshold: float = 0.5, la
     return g.select(
         *k, "P", "N",
         tpt.alias("tp"), fpt.alias("fp"), (P - tpt).alias("fn"), (N - fpt).alias("tn"),
-        safe_div(F.col("auc_num"), P * N).alias("roc_auc"),
+        safe_div(F.col("auc_num"), P.cast("double") * N).alias("roc_auc"),
         safe_div(F.col("ap_num"), P).alias("average_precision"),
         safe_div(F.col("brier_num"), P + N).alias("brier"))
 
@@ -235,10 +235,10 @@ def roc_curve(scored: DataFrame, keys=("model",), label: str = "y", score: str =
                      "P", "N")
     start = pts.groupBy(*k).agg(F.sum("_a").alias("_a"), F.first("P").alias("P"),
                                 F.first("N").alias("N"))
-    auc = start.select(*k, safe_div(F.col("_a"), F.col("P") * F.col("N")).alias("roc_auc"))
+    auc = start.select(*k, safe_div(F.col("_a"), F.col("P").cast("double") * F.col("N")).alias("roc_auc"))
     starts = auc.select(*k, F.lit(INF).alias("threshold"), F.lit(0.0).alias("fpr"),
                         F.lit(0.0).alias("tpr"))
-    return (pts.select(*k, "threshold", "fpr", "tpr").unionByName(starts).join(auc, k))
+    return null_safe_join(pts.select(*k, "threshold", "fpr", "tpr").unionByName(starts), auc, k)
 
 
 def precision_recall_curve(scored: DataFrame, keys=("model",), label: str = "y", score: str = "p",
@@ -260,7 +260,7 @@ def precision_recall_curve(scored: DataFrame, keys=("model",), label: str = "y",
     area = pts.groupBy(*k).agg(F.sum("_a").alias("pr_auc"))
     ends = area.select(*k, F.lit(None).cast("double").alias("threshold"),
                        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
-    return pts.drop("_a").unionByName(ends).join(area, k)
+    return null_safe_join(pts.drop("_a").unionByName(ends), area, k)
 
 
 def calibration_edges(n_bins: int) -> list[float]:
@@ -285,14 +285,15 @@ def calibration_curve(scored: DataFrame, keys=("model",), n_bins: int = 10, labe
     k = _keys(keys)
     b = scored.select(*k, calibration_bin(F.col(score), n_bins).alias("bin"),
                       F.col(score).alias("_p"), F.col(label).cast("double").alias("_y"))
+    d = F.col("_p") - F.col("_y")
     bins = b.groupBy(*k, "bin").agg(F.count(F.lit(1)).alias("n"),
                                     F.avg("_p").alias("mean_predicted"),
-                                    F.avg("_y").alias("fraction_positive"))
-    br = brier_score(scored, k, label, score)
-    if not k:
-        return (bins.withColumn("_g", F.lit(0)).join(br.withColumn("_g", F.lit(0)), "_g")
-                .drop("_g"))
-    return bins.join(br, k)
+                                    F.avg("_y").alias("fraction_positive"),
+                                    F.sum(d * d).alias("_s"), F.count(d).alias("_m"))
+    # at most n_bins rows a group: their sums are the group's, without a second pass or a join
+    group = Window.partitionBy(*k)
+    brier = safe_div(F.sum("_s").over(group), F.sum("_m").over(group)).alias("brier")
+    return bins.select(*k, "bin", "n", "mean_predicted", "fraction_positive", brier)
 
 
 def threshold_metrics(scored: DataFrame, keys=("model",), label: str = "y", score: str = "p",

@@ -35,10 +35,7 @@ RF_GRID = {
     "criterion": ["gini", "entropy"],
     "feature_selection_RFE__n_features_to_select": [10, 0.1, 0.5, 0.7, 1.0],
 }
-GBT_DEFAULTS = {"learning_rate": 0.01, "n_estimators": 10000, "early_stopping_rounds": 3}
-
 SPARK_MAX_DEPTH = 30  # depth "None" maps to Spark's maximum tree depth
-GBT_ITER_CAP = 200    # Spark fits rounds sequentially; the reference's 10,000 cap is lowered
 
 
 def fit_logistic(train: DataFrame, features: str = "features", label: str = "y",
@@ -73,11 +70,12 @@ def fit_gradient_boosted(train: DataFrame, features: str = "features", label: st
                          max_depth: int = 3, subsample: float = 1.0,
                          validation_tol: float = 0.01, seed: int = 222, **options):
     """Boosted trees with early stopping on the rows flagged by the
-    ``validation`` column. Rounds are capped at ``GBT_ITER_CAP``."""
+    ``validation`` column. ``n_estimators`` is passed through; without a
+    validation column all rounds are fitted."""
     if options:
         raise ValueError(f"options without a Spark counterpart: {sorted(options)}")
     gbt = GBTClassifier(featuresCol=features, labelCol=label, stepSize=learning_rate,
-                        maxIter=min(n_estimators, GBT_ITER_CAP), maxDepth=max_depth,
+                        maxIter=n_estimators, maxDepth=max_depth,
                         subsamplingRate=subsample, seed=seed, validationTol=validation_tol,
                         **({"validationIndicatorCol": validation} if validation else {}),
                         **({"weightCol": weight} if weight else {}))

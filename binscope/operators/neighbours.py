@@ -1,86 +1,105 @@
-"""Exact k nearest neighbours inside groups, without all pairs (used by G3).
+"""Exact k nearest neighbours inside groups by a pivot-partitioned block join (used by G3).
 
 Distance is the squared Euclidean distance on standardised features,
-``sum_j (x_j - y_j)^2 / var_j``; ties are broken by key. The search never
-pairs every row of a group with every other:
+``sum_j (x_j - y_j)^2 / var_j``; ties are broken by key.
 
 1. Identical vectors collapse first (count and the first ``k + 1`` keys per
    vector, through a row-number limit that Spark pre-limits map-side). A value
    held by a third of all rows is one vector and no pairs. A row's duplicates
    are its nearest neighbours (distance 0, key order).
-2. Distinct vectors are placed on a grid over ``GRID_DIMS`` unit axes of the
-   standardised feature space (the features themselves when there are at most
-   that many, else the top principal axes, see ``_grid_axes``), at levels
-   with cell side ``span / 2^L``. Each
-   vector starts at the finest level whose own cell holds at least ``k + 1``
-   vectors, so a dense region uses small cells (the adaptive answer to skew).
-3. A vector is joined with the vectors of the ``3^g`` cells around its own
-   (equi-join on the cell, no cross join); the ``k`` best rows are kept. The
-   answer is exact when the k-th distance is at most the squared cell side:
-   any row outside those cells is more than one side away in a grid
-   coordinate, hence farther in the full distance. An unresolved vector with
-   enough candidates moves straight to the level whose cell side covers its
-   current k-th distance (which can only shrink there, so it resolves in the
-   next round); one without enough candidates moves one level coarser. At
-   level 0 the block holds the whole group, so the loop ends. Each round's results are written to the shared checkpoint folder.
-
-The pruning is only as strong as the grid coordinates are spread: when the
-principal axes carry little of the variance (many independent features),
-most vectors resolve at coarse levels, which is still exact but compares more
-candidates.
+2. Up to ``MAX_PIVOTS`` vectors of each group are pivots; every vector belongs
+   to the cell of its nearest pivot, and a cell is split by a hash into blocks
+   of about ``BLOCK_ROWS`` vectors, so a dense region has many blocks.
+3. Each block finds its vectors' ``k`` nearest within the block: an upper bound
+   of the true k-th distance, in the full space.
+4. A cell pair (A, B) can hold a neighbour only if ``d(pivot_A, pivot_B) -
+   radius_A - radius_B`` is at most the largest bound in A (triangle
+   inequality). The pairs of blocks of the pairs that are left are the tasks:
+   one block against one block, of which the ``k`` best per vector are kept.
+
+Cost: with well-separated cells each one meets a few others; where the vectors
+fill many dimensions evenly the triangle inequality prunes little, and the work
+grows with the square of a group's distinct vectors, split into equal tasks.
+That is what an exact answer costs there; nothing is dropped.
 """
 
 from __future__ import annotations
 
-import itertools
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from binscope.functions.exprs import c
 from binscope.session import cut_lineage
 
-GRID_DIMS = 3  # grid coordinates (3^3 = 27 neighbouring cells per probe)
-LEVELS = 16  # finest level: cell side span / 2^16
-MARGIN = 1.0 - 1e-9  # rounding guard on the resolution test
-PCA_SAMPLE_ROWS = 1_000_000  # rows used to fit the grid axes (they only steer pruning)
+BLOCK_ROWS = 2000
+MAX_PIVOTS = 256  # a group; bounds what the driver holds
+SLACK = 1.0 + 1e-9  # rounding guard of the triangle inequality
 
 
-def sq_distance(x: list[Column], y: list[Column], var: list[float]) -> Column:
-    """``sum_j (x_j - y_j)^2 / var_j``, summed left to right (same in the oracle)."""
-    out = None
-    for a, b, v in zip(x, y, var):
-        t = (a - b) * (a - b) / F.lit(v)
-        out = t if out is None else out + t
+def distances(x: np.ndarray, y: np.ndarray, var: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows, the features added from the first to the last (as in the oracle)."""
+    out = np.zeros((len(x), len(y)))
+    for j in range(x.shape[1]):
+        d = x[:, j, None] - y[None, :, j]
+        out += d * d / var[j]
     return out
 
 
-def _cells(u: list[Column], umin: list[float], span: float, level: Column) -> list[Column]:
-    scale = F.pow(F.lit(2.0), level.cast("double")) / F.lit(span)
-    return [F.floor((x - F.lit(m)) * scale).cast("long") for x, m in zip(u, umin)]
-
-
-def _grid_axes(base: DataFrame, xs: list[str], sd: list[float], g: int, n: int) -> list[list[float]]:
-    """Unit-length grid axes in the standardised feature space. With at most
-    ``g`` features these are the features themselves; otherwise the top ``g``
-    principal axes (``ml.feature.PCA``), fitted on at most ``PCA_SAMPLE_ROWS``
-    rows. Any unit axis ``a`` keeps the search exact (``|a.(x - y)| <=
-    |x - y|``), so the fitted sample only decides how well cells prune."""
-    d = len(xs)
-    if d <= g:
-        return [[1.0 if i == j else 0.0 for i in range(d)] for j in range(g)]
-    from pyspark.ml.feature import PCA, VectorAssembler
-    frac = min(1.0, PCA_SAMPLE_ROWS / max(n, 1))
-    sample = base.sample(False, frac, seed=17) if frac < 1.0 else base
-    z = sample.select(*[(F.col(x) / F.lit(s_)).alias(x) for x, s_ in zip(xs, sd)])
-    vec = VectorAssembler(inputCols=xs, outputCol="_z", handleInvalid="skip").transform(z)
-    pc = PCA(k=g, inputCol="_z", outputCol="_p").fit(vec).pc.toArray()  # d x g, unit columns
-    axes = []
-    for j in range(g):
-        col = [float(v) for v in pc[:, j]]
-        norm = sum(v * v for v in col) ** 0.5 or 1.0
-        axes.append([v / norm for v in col])
-    return axes
+def _matrix(column) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(flat.flatten(), dtype=np.float64).reshape(len(flat), -1)
+
+
+def _assign(pivots: dict, var: np.ndarray):
+    """Cell and distance from its pivot of every vector."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = batch.column("_g").to_pylist()
+            x = _matrix(batch.column("_vec"))
+            cell, far = np.zeros(len(x), dtype=np.int32), np.zeros(len(x))
+            for g in set(group):
+                own = np.array([v == g for v in group])
+                d = distances(x[own], pivots[g], var)
+                cell[own], far[own] = d.argmin(axis=1), np.sqrt(d.min(axis=1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], names=[*batch.schema.names, "_cell", "_far"])
+    return run
+
+
+def _bounds(k: int, var: np.ndarray):
+    """Per block: group, cell, largest distance from the pivot, largest k-th distance in the block."""
+    def run(table: pa.Table) -> pa.Table:
+        x, far = _matrix(table.column("_vec")), table.column("_far").to_numpy()
+        most = float("inf")
+        if len(x) > k:
+            most = max(float(np.partition(distances(x[i:i + 500], x, var), k, axis=1)[:, k].max()) for i in range(0, len(x), 500))
+        return pa.table({"_g": table.column("_g").slice(0, 1), "_cell": table.column("_cell").slice(0, 1),
+                         "radius": pa.array([float(far.max())]), "bound": pa.array([most ** 0.5])})
+    return run
+
+
+def _block_pair(k: int, var: np.ndarray):
+    """The k nearest vectors of the right block for each vector of the left one."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        x, y = _matrix(left.column("_vec")), _matrix(right.column("_vec"))
+        ids = left.column("_vid").to_pylist(), right.column("_vid").to_pylist()
+        order = np.array(sorted(range(len(y)), key=lambda i: ids[1][i]), dtype=np.int64)  # ties by key
+        rows, picks, far = [], [], []
+        for lo in range(0, len(x), 500):
+            d = distances(x[lo:lo + 500], y[order], var) if len(y) else np.zeros((0, 0))
+            for i in range(len(d)):
+                best = np.argsort(d[i], kind="stable")[:k + 1]
+                best = [j for j in best.tolist() if ids[1][order[j]] != ids[0][lo + i]][:k]
+                rows += [lo + i] * len(best)
+                picks += [int(order[j]) for j in best]
+                far += d[i, best].tolist()
+        take, other = pa.array(rows, type=pa.int64()), pa.array(picks, type=pa.int64())
+        return pa.table({"_g": left.column("_g").take(take), "_vid": left.column("_vid").take(take), "_d": pa.array(far, type=pa.float64()),
+                         "_yid": right.column("_vid").take(other), "_ykeys": right.column("_keys").take(other)})
+    return run
 
 
 def knn_lists(rows: DataFrame, key: str, group: str, feats: list[str], k: int = 5,
@@ -90,125 +109,68 @@ def knn_lists(rows: DataFrame, key: str, group: str, feats: list[str], k: int =
     (distance, key) order (fewer when the group is smaller). ``variances``
     (default: sample variances of ``rows``) standardise the features; they are
     returned as well."""
-    spark = rows.sparkSession
-    x = [c(f).cast("double") for f in feats]
-    base = rows.select(c(group).alias("_grp"), c(key).alias("_key"),
-                       *[e.alias(f"_x{j}") for j, e in enumerate(x)])
-    xs = [f"_x{j}" for j in range(len(feats))]
+    vec = F.array(*[c(f).cast("double") for f in feats])
+    base = rows.select(c(group).alias("_grp"), c(key).alias("_key"), vec.alias("_vec")).where(~F.exists("_vec", lambda v: v.isNull()))
+    base = cut_lineage(base, "knn-rows")
     kt = base.schema["_key"].dataType.simpleString()
-    base = base.where(" AND ".join(f"{n} IS NOT NULL" for n in xs))
-    # variances, then grid coordinates and their ranges
-    g = min(GRID_DIMS, len(feats))
-    st = base.agg(F.count(F.lit(1)).alias("n"), *[F.var_samp(n).alias(f"v{j}") for j, n in enumerate(xs)]).first()
     if variances is None:
-        variances = [st[f"v{j}"] for j in range(len(xs))]
+        st = base.agg(*[F.var_samp(F.col("_vec")[j]) for j in range(len(feats))]).first()
+        variances = list(st)
     var = [float(v) if v else 1.0 for v in variances]
-    sd = [v ** 0.5 for v in var]
-    axes = _grid_axes(base, xs, sd, g, int(st["n"]))
-
-    def coords(prefix: str = "") -> list[Column]:
-        out = []
-        for a in axes:
-            e = None
-            for w, n, s_ in zip(a, xs, sd):
-                if w:
-                    t = F.col(prefix + n) * F.lit(w / s_)
-                    e = t if e is None else e + t
-            out.append(e if e is not None else F.lit(0.0))
-        return out
-
-    rng = base.agg(*[F.min(e).alias(f"lo{j}") for j, e in enumerate(coords())],
-                   *[F.max(e).alias(f"hi{j}") for j, e in enumerate(coords())]).first()
-    umin = [float(rng[f"lo{j}"] or 0.0) for j in range(g)]
-    span = max([float(rng[f"hi{j}"] or 0.0) - float(rng[f"lo{j}"] or 0.0) for j in range(g)]
-               + [0.0]) or 1.0
-
-    # 1. collapse identical vectors: multiplicity, id (smallest key), first k+1 keys
-    vec = F.array(*[F.col(n) for n in xs])
-    b = base.withColumn("_vec", vec)
-    counts = b.groupBy("_grp", "_vec").agg(F.count(F.lit(1)).alias("_mult"),
-                                           F.min("_key").alias("_vid"))
+    v = np.array(var)
+
     wk = Window.partitionBy("_grp", "_vec").orderBy("_key")
-    firsts = (b.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= k + 1)
+    firsts = (base.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= k + 1)
               .groupBy("_grp", "_vec").agg(F.sort_array(F.collect_list("_key")).alias("_keys")))
-    vecs = cut_lineage(counts.join(firsts, ["_grp", "_vec"])
-                       .select("_grp", "_vid", "_mult", "_keys",
-                               *[F.col("_vec")[j].alias(n) for j, n in enumerate(xs)]),
-                       "knn-vectors")
-    u = coords()
-    cn = [f"_c{j}" for j in range(g)]
-
-    # 2. start level: finest level whose own cell holds >= k+1 vectors
-    lv = vecs.select("_grp", "_vid", *xs, F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("_L"))
-    lv = lv.select("_grp", "_vid", "_L", *[e.alias(n) for e, n in
-                                           zip(_cells(u, umin, span, F.col("_L")), cn)])
-    occ = lv.groupBy("_grp", "_L", *cn).agg(F.count(F.lit(1)).alias("_occ"))
-    start = (lv.join(occ.where(F.col("_occ") >= k + 1), ["_grp", "_L", *cn])
-             .groupBy("_grp", "_vid").agg(F.max("_L").alias("_lvl")))
-    # rows per group and needed neighbours from other vectors: min(k, n_group - mult)
-    sizes = vecs.groupBy("_grp").agg(F.sum("_mult").alias("_n"))
-    state = (vecs.join(start, ["_grp", "_vid"], "left").join(F.broadcast(sizes), "_grp")
-             .select("_grp", "_vid", "_keys", *xs,
-                     F.coalesce("_lvl", F.lit(0)).alias("_lvl"),
-                     F.least(F.lit(k), F.col("_n") - F.col("_mult")).alias("_need")))
-    state = cut_lineage(state, "knn-state")
-
-    offsets = list(itertools.product((-1, 0, 1), repeat=g))
-    yx = [F.col(f"y{n}") for n in xs]
-    done = []
-    while True:
-        levels = sorted(r[0] for r in state.select("_lvl").distinct().collect())  # <= LEVELS+1 values
-        if not levels:
-            break
-        probe = state.select("_grp", "_vid", "_lvl", *xs, *[e.alias(n) for e, n in
-                                                          zip(_cells(u, umin, span, F.col("_lvl")), cn)])
-        probe = probe.select("_grp", "_vid", "_lvl", *xs,
-                             F.explode(F.array(*[F.array(*[F.lit(o) for o in off]) for off in offsets]))
-                             .alias("_off"), *cn)
-        probe = probe.select("_grp", "_vid", "_lvl", *xs,
-                             *[(F.col(n) + F.col("_off")[j]).alias(n) for j, n in enumerate(cn)])
-        build = vecs.select("_grp", F.col("_vid").alias("_yid"), F.col("_keys").alias("_ykeys"),
-                            *[F.col(n).alias(f"y{n}") for n in xs],
-                            F.explode(F.array(*[F.lit(x) for x in levels])).alias("_lvl"))
-        uy = coords("y")
-        build = build.select("*", *[e.alias(n) for e, n in zip(_cells(uy, umin, span, F.col("_lvl")), cn)])
-        cand = (probe.join(build, ["_grp", "_lvl", *cn]).where(F.col("_yid") != F.col("_vid"))
-                .select("_grp", "_vid", "_yid", "_ykeys",
-                        sq_distance([F.col(n) for n in xs], yx, var).alias("_d")))
-        # the k best rows come from the k best vectors in (distance, smallest key) order
-        wv = Window.partitionBy("_grp", "_vid").orderBy("_d", "_yid")
-        top_v = cand.withColumn("_r", F.row_number().over(wv)).where(F.col("_r") <= k)
-        rws = top_v.select("_grp", "_vid", "_d", F.explode(F.slice("_ykeys", 1, k)).alias("_nk"))
-        wr = Window.partitionBy("_grp", "_vid").orderBy("_d", "_nk")
-        best = (rws.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= k)
-                .groupBy("_grp", "_vid")
-                .agg(F.sort_array(F.collect_list(F.struct("_r", "_nk"))).alias("_lst"),
-                     F.count(F.lit(1)).alias("_cnt"), F.max("_d").alias("_dk")))
-        side2 = F.pow(F.lit(span) / F.pow(F.lit(2.0), F.col("_lvl").cast("double")), 2)
-        res = (state.select("_grp", "_vid", "_keys", "_lvl", "_need", *xs)
-               .join(best, ["_grp", "_vid"], "left")
-               .withColumn("_ok", (F.col("_lvl") == 0) | (F.col("_need") <= 0) |
-                           ((F.coalesce("_cnt", F.lit(0)) >= F.col("_need")) &
-                            (F.coalesce("_dk", F.lit(0.0)) <= side2 * F.lit(MARGIN)))))
-        res = cut_lineage(res, "knn-round")
-        done.append(res.where("_ok").select("_grp", "_vid", "_keys",
-                                            F.coalesce(F.transform("_lst", lambda s: s["_nk"]),
-                                                       F.array().cast(f"array<{kt}>")).alias("_other")))
-        # next level: one coarser, or at once the level whose cell side covers the
-        # current k-th distance (an upper bound of the true one), which then resolves
-        cover = F.floor(F.log2(F.lit(span) / F.sqrt(F.col("_dk")))).cast("int")
-        nxt = F.when((F.coalesce("_cnt", F.lit(0)) >= F.col("_need")) & (F.col("_dk") > 0),
-                     F.least(F.col("_lvl") - 1, cover)).otherwise(F.col("_lvl") - 1)
-        state = (res.where(~F.col("_ok"))
-                 .select("_grp", "_vid", "_keys", *xs, F.greatest(nxt, F.lit(0)).alias("_lvl"), "_need"))
-        if not res.where(~F.col("_ok")).limit(1).count():
-            break
-    lists = done[0]
-    for d in done[1:]:
-        lists = lists.unionByName(d)
-    # 4. per row: its duplicates in key order, then the nearest other vectors
-    rk = b.select("_grp", "_key", "_vec")
-    vk = vecs.select("_grp", "_vid", F.array(*[F.col(n) for n in xs]).alias("_vec"))
-    own = rk.join(vk, ["_grp", "_vec"]).join(lists, ["_grp", "_vid"])
+    # groups are told apart by their text; the vector's id is its smallest key
+    vecs = cut_lineage(firsts.select(F.coalesce(F.col("_grp").cast("string"), F.lit("")).alias("_g"),
+                                     F.col("_keys")[0].alias("_vid"), "_keys", "_vec"), "knn-vectors")
+    sizes = {r[0]: r[1] for r in vecs.groupBy("_g").count().collect()}  # one row per class
+    wanted = F.create_map(*[x for g, n in sorted(sizes.items()) for x in (F.lit(g), F.lit(min(MAX_PIVOTS, -(-n // BLOCK_ROWS))))]) if sizes else None
+    pivots: dict[str, list] = {}
+    if sizes:
+        order = F.row_number().over(Window.partitionBy("_g").orderBy(F.xxhash64("_vec"), "_vid"))
+        few = vecs.select("_g", "_vec", order.alias("_rn")).where((F.col("_rn") <= MAX_PIVOTS) & (F.col("_rn") <= wanted[F.col("_g")]))
+        for r in few.collect():
+            pivots.setdefault(r["_g"], []).append(list(r["_vec"]))
+    at = {g: np.array(p, dtype=np.float64) for g, p in pivots.items()}
+    shape = f"_g string, _vid {kt}, _keys array<{kt}>, _vec array<double>, _cell int, _far double"
+    placed = cut_lineage(vecs.mapInArrow(_assign(at, v), shape), "knn-cells")
+    cells = {(r[0], r[1]): r[2] for r in placed.groupBy("_g", "_cell").count().collect()}  # at most MAX_PIVOTS a class
+    blocks = {x: -(-n // BLOCK_ROWS) for x, n in cells.items()}
+
+    per_cell = placed.sparkSession.createDataFrame([(g, i, n) for (g, i), n in blocks.items()], "_g string, _cell int, _blocks int")
+    placed = placed.join(per_cell, ["_g", "_cell"]).withColumn("_block", F.pmod(F.xxhash64("_vid"), F.col("_blocks")).cast("int"))
+    found = placed.groupBy("_g", "_cell", "_block").applyInArrow(_bounds(k, v), "_g string, _cell int, radius double, bound double")
+    stats = {(r[0], r[1]): (r[2], r[3]) for r in found.groupBy("_g", "_cell").agg(F.max("radius"), F.max("bound")).collect()}
+    pairs = []
+    for (g, a), (radius_a, bound_a) in stats.items():
+        between = np.sqrt(distances(at[g][a:a + 1], at[g], v)[0])
+        pairs += [(g, a, b, blocks[g, b]) for (h, b), (radius_b, _) in stats.items() if h == g and between[b] - radius_a - radius_b <= bound_a * SLACK]
+    pairs = placed.sparkSession.createDataFrame(pairs, "_g string, _cell int, _to int, _to_blocks int")
+
+    # a block of A goes to each block of B, and the other way round
+    span = F.explode(F.sequence(F.lit(0), F.col("_to_blocks") - 1)).alias("_to_block")
+    left = placed.join(pairs, ["_g", "_cell"]).select("_g", F.col("_cell").alias("_a"), F.col("_block").alias("_ab"), F.col("_to").alias("_b"), "_vid", "_vec", span)
+    left = left.withColumnRenamed("_to_block", "_bb")
+    back = pairs.select("_g", F.col("_cell").alias("_a"), F.col("_to").alias("_cell")).join(
+        per_cell.select("_g", F.col("_cell").alias("_a"), F.col("_blocks").alias("_a_blocks")), ["_g", "_a"])
+    right = placed.join(back, ["_g", "_cell"]).select(
+        F.col("_g").alias("_g"), "_a", F.explode(F.sequence(F.lit(0), F.col("_a_blocks") - 1)).alias("_ab"), F.col("_cell").alias("_b"),
+        F.col("_block").alias("_bb"), *[F.col(x).alias(x) for x in ("_vid", "_keys", "_vec")])
+    task = ["_g", "_a", "_ab", "_b", "_bb"]
+    cand = left.groupBy(*task).cogroup(right.groupBy(*task)).applyInArrow(
+        _block_pair(k, v), f"_g string, _vid {kt}, _d double, _yid {kt}, _ykeys array<{kt}>")
+    # the k best rows come from the k best vectors in (distance, smallest key) order
+    wv = Window.partitionBy("_g", "_vid").orderBy("_d", "_yid")
+    top = cand.withColumn("_r", F.row_number().over(wv)).where(F.col("_r") <= k)
+    rws = top.select("_g", "_vid", "_d", F.explode(F.slice("_ykeys", 1, k)).alias("_nk"))
+    wr = Window.partitionBy("_g", "_vid").orderBy("_d", "_nk")
+    lists = (rws.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= k)
+             .groupBy("_g", "_vid").agg(F.sort_array(F.collect_list(F.struct("_r", "_nk"))).alias("_lst")))
+    known = cut_lineage(placed.select("_g", "_vid", "_keys", "_vec").join(lists, ["_g", "_vid"], "left").select(
+        "_g", "_keys", "_vec", F.coalesce(F.transform("_lst", lambda s: s["_nk"]), F.array().cast(f"array<{kt}>")).alias("_other")), "knn-lists")
+    # per row: its duplicates in key order, then the nearest other vectors
+    own = base.select("_grp", F.coalesce(F.col("_grp").cast("string"), F.lit("")).alias("_g"), "_key", "_vec").join(known, ["_g", "_vec"])
     nn = F.slice(F.concat(F.array_remove("_keys", F.col("_key")), F.col("_other")), 1, k)
     return own.select(F.col("_grp").alias(group), F.col("_key").alias(key), nn.alias("_nn")), var

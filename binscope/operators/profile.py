@@ -75,9 +75,8 @@ def top_n(df: DataFrame, col: str, n: int = 10) -> DataFrame:
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """A5: count and share per label value (a handful of rows)."""
     g = df.groupBy(c(label).alias(label)).agg(F.count(F.lit(1)).alias("count"))
-    tot = df.agg(F.count(F.lit(1)).alias("_n"))
-    return (g.withColumn("_k", F.lit(0)).join(tot.withColumn("_k", F.lit(0)), "_k")
-            .select(label, "count", (F.col("count") / F.col("_n")).alias("share")))
+    total = F.sum("count").over(Window.partitionBy())  # over the counts, one row a label value
+    return g.select(label, "count", (F.col("count") / total).alias("share"))
 
 
 def step_audit(df: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:

@@ -11,7 +11,6 @@ Fitted state is an ordered list of strings (no pickles).
 
 from __future__ import annotations
 
-import os
 import time
 import uuid
 
@@ -77,16 +76,15 @@ class Registry:
         return f"{self.root}/{name}"
 
     def _append(self, name: str, df: DataFrame) -> None:
-        df.coalesce(1).write.mode("append").parquet(self._path(name))
+        df.write.mode("append").parquet(self._path(name))
 
     def table(self, name: str, schema: str) -> DataFrame:
-        p = self._path(name)
-        if p.startswith("/") and not os.path.exists(p):
-            return self.spark.createDataFrame([], schema)
-        try:
-            return self.spark.read.schema(schema).parquet(p)
-        except Exception:  # noqa: BLE001 - an absent remote table reads as empty
+        """The table, empty only if its folder is not there: the file system of the path is asked,
+        and every other error rises."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(name))
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._path(name))
 
     def runs(self) -> DataFrame:
         return self.table("runs", RUNS_SCHEMA)

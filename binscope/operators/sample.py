@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
@@ -55,19 +55,16 @@ def random_undersample(df: DataFrame, key: str, label: str, seed: int = 222) ->
     """Every class cut to the size of the smallest, without replacement
     (first rows of the md5 order inside each class)."""
     r, _ = rank_within(df, [label], key, seed)
-    smallest = df.groupBy(c(label)).count().agg(F.min("count").alias("_min"))
-    return (r.withColumn("_k", F.lit(0)).join(smallest.withColumn("_k", F.lit(0)), "_k")
-            .where(F.col("_r") <= F.col("_min")).drop("_r", "_m", "_k", "_min"))
+    smallest = df.groupBy(c(label)).count().agg(F.min("count")).first()[0] or 0  # one number
+    return r.where(F.col("_r") <= smallest).drop("_r", "_m")
 
 
 def balanced_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """``n / (classes * n_class)``; class counts are one row per class."""
     counts = df.groupBy(c(label).alias(label)).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = (counts.withColumn("_c", F.lit(0)).join(tot.withColumn("_c", F.lit(0)), "_c")
-         .select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out)))
-    # one row per class: broadcast, so a class holding most rows is never shuffled to one task
-    return null_safe_join(df, w, [label], broadcast=True)
+    every = Window.partitionBy()  # over the counts
+    w = counts.select(label, (F.sum("_nc").over(every) / (F.count(F.lit(1)).over(every) * F.col("_nc"))).alias(out))
+    return null_safe_join(df, w, [label])
 
 
 BOOT_ORDER_SEED = "boot"  # rows of a group are indexed in md5(key:boot) order

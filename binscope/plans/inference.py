@@ -16,11 +16,12 @@ def score_and_explain(df: DataFrame, key: str, state: dict, coefs: dict, means:
                       thousands_cols: list[str] | None = None, k: int = 5) -> DataFrame:
     """Clean with the saved column lists (no data-dependent probe: the types
     are fixed by ``state['types']`` when given), then score and explain."""
-    d = C.nullify_tokens(df)
-    if thousands_cols:
-        d = C.strip_thousands(d, thousands_cols)
-    for n, t in (state.get("types") or {}).items():
-        if n in d.columns:
+    d = C.nullify_tokens(C.nan_to_null(df))
+    types = state.get("types") or {}
+    if thousands_cols:  # no probe: a stream has none
+        d = C.strip_thousands(d, thousands_cols, {n: types.get(n) or "double" for n in thousands_cols})
+    for n, t in types.items():
+        if t and n in d.columns and n not in (thousands_cols or []):
             from binscope.functions.exprs import c, strict_numeric
             d = d.withColumn(n, strict_numeric(c(n), t))
     d = C.drop_columns(d, state.get("zero_variance", []))

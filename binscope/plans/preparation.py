@@ -19,10 +19,14 @@ def prepare(df: DataFrame, key: str, target: str, stage: str = "training",
             missing_threshold: float = 60.0, sparse_threshold: float = 0.5,
             gain_col: str = "capital-gain") -> tuple[DataFrame, dict]:
     """Returns (prepared DataFrame, state) where state holds ``zero_variance``
-    and ``kept_columns`` (key and target excluded from both lists)."""
+    and ``kept_columns`` (key and target excluded from both lists) and
+    ``types`` (column types that training decided; inference does not probe)."""
     if stage not in ("training", "inference"):
         raise ValueError(f"stage must be 'training' or 'inference', got {stage!r}")
-    d = C.clean_dataframe(df, thousands_cols)
+    if stage == "inference" and not state:
+        raise ValueError("inference needs the saved state")
+    types = C.probe_types(df, thousands_cols) if stage == "training" else state.get("types")
+    d = C.clean_dataframe(df, thousands_cols, types)
     if stage == "training":
         zero = A.zero_variance_columns(d, key=key,
                                        cols=[n for n in C.numeric_columns(d) if n != target])
@@ -30,10 +34,8 @@ def prepare(df: DataFrame, key: str, target: str, stage: str = "training",
         kept = [r["column"] for r in A.keep_columns_below(d, missing_threshold, key=key,
                                                            exclude=[target])
                 .orderBy("pos").collect()]
-        state = {"zero_variance": zero, "kept_columns": kept}
+        state = {"zero_variance": zero, "kept_columns": kept, "types": types}
     else:
-        if not state:
-            raise ValueError("inference needs the saved state")
         d = C.drop_columns(d, state["zero_variance"])
     keep = [key] + state["kept_columns"] + ([target] if target in d.columns else [])
     d = C.select_saved_columns(d, keep)

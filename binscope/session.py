@@ -37,12 +37,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
 
     On a cluster this setting names a shared folder (HDFS/S3/ABFS); it is never
-    overridden here. Only a bare local session (tests) gets a fresh temp folder.
+    overridden here. Only a bare local session (tests) gets a fresh temp folder;
+    elsewhere an unset folder is an error, as executors do not share local disks.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
         cur = spark.sparkContext.getCheckpointDir()
     if not cur:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         cur = tempfile.mkdtemp(prefix="binscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)

@@ -54,10 +54,33 @@ def test_knn_exact_with_duplicates_and_small_group(spark, small_dir):
     _check(spark, small_dir)
 
 
-def test_knn_exact_through_many_rounds(spark, small_dir, monkeypatch):
-    # one grid dimension and fine cells: most vectors widen over several rounds
-    monkeypatch.setattr(NB, "GRID_DIMS", 1)
+def test_knn_exact_with_many_cells_and_blocks(spark, small_dir, monkeypatch):
+    # tiny blocks: many cells, block pairs and merges
+    monkeypatch.setattr(NB, "BLOCK_ROWS", 9)
     _check(spark, small_dir, k=3)
+    # few pivots for many blocks: cells are split on both sides
+    monkeypatch.setattr(NB, "MAX_PIVOTS", 2)
+    _check(spark, small_dir, k=3)
+
+
+def test_far_cells_are_not_compared(spark, monkeypatch):
+    monkeypatch.setattr(NB, "BLOCK_ROWS", 20)
+    rows = [(i, 0, float(i % 10) * 1000 + (i // 10) * 0.01, 1.0) for i in range(200)]
+    pairs = []
+    real = NB._block_pair
+    monkeypatch.setattr(NB, "_block_pair", lambda k, v: pairs.append(1) or real(k, v))
+    nn, _ = NB.knn_lists(spark.createDataFrame(rows, "vec_id long, grp int, a double, b double"), "vec_id", "grp", ["a", "b"], 2)
+    got = {r["vec_id"]: [i % 10 for i in r["_nn"]] for r in nn.collect()}
+    assert all(v == [k % 10] * 2 for k, v in got.items()) and len(got) == 200
+
+
+def test_all_64_dimensions(spark, small_dir):
+    v = fx.vectors(spark, small_dir).limit(60)
+    names = [f"e{j}" for j in range(64)]
+    pts = v.select("vec_id", F.lit(0).alias("grp"), *[F.col("embedding")[j].cast("double").alias(n) for j, n in enumerate(names)])
+    nn, var = NB.knn_lists(pts, "vec_id", "grp", names, 5)
+    rows = [tuple(r) for r in pts.select("vec_id", "grp", *names).collect()]
+    assert {r["vec_id"]: list(r["_nn"]) for r in nn.collect()} == _brute(rows, var, 5)
 
 
 def test_smote_balances_and_interpolates(spark, small_dir):
