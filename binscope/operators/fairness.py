@@ -34,7 +34,7 @@ def group_slices(scored: DataFrame, group_cols: list[str]) -> DataFrame:
 
 
 def group_metrics(slices: DataFrame, keys: list[str], threshold: float = 0.5, label: str = "y",
-                  score: str = "p", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  score: str = "p", n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """K2: the ten group metrics per key (e.g. model, attribute, value)."""
     s = M.score_summary(slices, keys, threshold, label, score, n_buckets)
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
@@ -75,7 +75,7 @@ def group_disparities(gm: DataFrame, keys: list[str], reference: dict[str, str],
 
 
 def group_curves(slices: DataFrame, keys: list[str], n_bins: int = 10, label: str = "y",
-                 score: str = "p", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 score: str = "p", n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """K3: ROC, PR and calibration points per group value (long form)."""
     b = M.evaluation_bundle(slices, keys, 0.5, n_bins, label, score, n_buckets)
     return b.where(F.col("curve").isin("roc", "pr", "calibration"))
@@ -119,7 +119,7 @@ def _grid_index_down(x, grid: int):
 
 def bootstrap_curves(boot: DataFrame, keys: list[str], grid: int = 100, n_bins: int = 5,
                      label: str = "y", score: str = "p",
-                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """K7: per group, ROC / PR / calibration averaged over bootstraps on a
     common grid ``x = i / grid``. ROC: tpr at x = largest tpr among points with
     fpr <= x (step curve, start point (0, 0) included). PR: interpolated

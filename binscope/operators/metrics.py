@@ -44,7 +44,7 @@ def score_counts(scored: DataFrame, keys=("model",), label: str = "y", score: st
 
 
 def cumulative_counts(scored: DataFrame, keys=("model",), label: str = "y", score: str = "p",
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Score table plus ``tp``/``fp`` = counts with score >= this score and the
     group totals ``P``/``N``."""
     k = _keys(keys)
@@ -143,7 +143,7 @@ def _summary_aggs(threshold: float):
 
 
 def score_summary(scored: DataFrame, keys=("model",), threshold: float = 0.5, label: str = "y",
-                  score: str = "p", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  score: str = "p", n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Per group: P, N, confusion at ``threshold``, AUC, AP and Brier from one
     score-grouped aggregate and one running sum."""
     k = _keys(keys)
@@ -162,13 +162,13 @@ def score_summary(scored: DataFrame, keys=("model",), threshold: float = 0.5, la
 
 
 def roc_auc(scored: DataFrame, keys=("model",), label: str = "y", score: str = "p",
-            n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """M4: area under ROC, tied scores count half; NULL for a one-class group."""
     return score_summary(scored, keys, 0.5, label, score, n_buckets).select(*_keys(keys), "roc_auc")
 
 
 def average_precision(scored: DataFrame, keys=("model",), label: str = "y", score: str = "p",
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """M5: step-wise AP = sum over distinct scores (descending) of dRecall * precision."""
     return score_summary(scored, keys, 0.5, label, score, n_buckets).select(
         *_keys(keys), "average_precision")
@@ -182,7 +182,7 @@ def brier_score(scored: DataFrame, keys=("model",), label: str = "y", score: str
 
 
 def metrics_long(scored: DataFrame, keys=("model",), threshold: float = 0.5, label: str = "y",
-                 score: str = "p", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 score: str = "p", n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """The six report metrics per group in long form ``(keys, metric, value)``."""
     k = _keys(keys)
     s = score_summary(scored, k, threshold, label, score, n_buckets)
@@ -213,7 +213,7 @@ def pivot_metrics(long: DataFrame, column: str = "model", values: list[str] | No
 
 def metrics_report(scored: DataFrame, keys=("model",), threshold: float = 0.5, label: str = "y",
                    score: str = "p", models: list[str] | None = None,
-                   n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """M7: the six metrics per model at ``threshold`` pivoted with a ``Mean`` column."""
     k = _keys(keys)
     long = metrics_long(scored, k, threshold, label, score, n_buckets)
@@ -223,7 +223,7 @@ def metrics_report(scored: DataFrame, keys=("model",), threshold: float = 0.5, l
 # ------------------------------------------------------------------ curves M8-M11
 
 def roc_curve(scored: DataFrame, keys=("model",), label: str = "y", score: str = "p",
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """M8: ``(keys, threshold, fpr, tpr, roc_auc)``; every distinct score is a
     threshold, plus the start point (0, 0) at +infinity."""
     k = _keys(keys)
@@ -242,7 +242,7 @@ def roc_curve(scored: DataFrame, keys=("model",), label: str = "y", score: str =
 
 
 def precision_recall_curve(scored: DataFrame, keys=("model",), label: str = "y", score: str = "p",
-                           n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                           n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """M9: ``(keys, threshold, precision, recall, pr_auc)`` at every distinct
     score plus the end point (recall 0, precision 1, threshold NULL). ``pr_auc``
     is the trapezoid area over the points, not average precision."""
@@ -297,7 +297,7 @@ def calibration_curve(scored: DataFrame, keys=("model",), n_bins: int = 10, labe
 
 
 def threshold_metrics(scored: DataFrame, keys=("model",), label: str = "y", score: str = "p",
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Precision, recall, F1 = 2pr/(p+r+1e-9) and specificity at every
     distinct score, "positive" meaning score >= threshold."""
     k = _keys(keys)
@@ -314,7 +314,7 @@ def threshold_metrics(scored: DataFrame, keys=("model",), label: str = "y", scor
 # ------------------------------------------------------------------ M12, M13
 
 def split_metrics(scored: DataFrame, keys=("model",), split: str = "split", threshold: float = 0.5,
-                  label: str = "y", score: str = "p", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  label: str = "y", score: str = "p", n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Report metrics for every split at once, named ``"<split> <metric>"``
     and rounded to 3 (half to even)."""
     k = _keys(keys)
@@ -325,7 +325,7 @@ def split_metrics(scored: DataFrame, keys=("model",), split: str = "split", thre
 
 def evaluation_bundle(scored: DataFrame, keys=("model", "split"), threshold: float = 0.5,
                       n_bins: int = 10, label: str = "y", score: str = "p",
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """ROC, PR, threshold-metric, confusion and calibration points in one
     long table ``(keys, curve, x_name, x, y_name, y, threshold)``; the curve
     tables share one cumulative aggregate."""
@@ -378,7 +378,7 @@ def fbeta_expr(prec, rec, beta: float):
 def optimal_threshold(scored: DataFrame, keys=("model",), target_precision: float = 0.5,
                       delta: float = 0.01, betas: list[float] | None = None,
                       default_threshold: float = 0.5, label: str = "y", score: str = "p",
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """For each beta, the threshold maximising F-beta over the distinct
     scores (largest threshold on ties); then the smallest beta whose precision
     at that threshold is within ``delta`` of ``target_precision``. No beta

@@ -3,41 +3,45 @@
 A window ``partitionBy(group).orderBy(score)`` puts every row of a group into a
 single task; at scale one model's distinct scores can number in the billions,
 and one stratum can hold a third of all rows. These helpers split each group
-into ``n_buckets`` ranges of the order column, with boundaries from
-``percentile_approx`` (a small per-group table). They compute bucket totals and
-their exclusive prefix (a window over groups x buckets), then run the window
-inside each (group, bucket). The result is exact: the buckets only decide
-which task does the work, never which rows are counted.
-
-The bounds table is used by several branches of the plan, and
-``percentile_approx`` depends on the order in which rows arrive. It is
-therefore fixed once: rebuilt from a bounded fetch when it has at most 10,000
-groups (one row each), otherwise written to the shared checkpoint folder and
-read back. Every branch, and every recomputation after an executor loss, then
-sees the same buckets. The row count is known either way, so broadcasting it
-is a checked decision, not a guess.
+into ranges of the order column, about ``ROWS_PER_BUCKET`` rows each and as many
+as the group's size asks for, with boundaries from ``percentile_approx`` (one
+row a group). They compute bucket totals and their exclusive prefix (a window
+over groups x buckets), then run the window inside each (group, bucket). The
+result is exact: the buckets only decide which task does the work, never which
+rows are counted.
+
+The input is written once to the shared checkpoint folder, so that its sizes,
+bounds, totals and rows come from one computation, and so is the bounds table:
+``percentile_approx`` depends on the order in which rows arrive, and every
+branch of the plan, and every recomputation after an executor loss, must see
+the same buckets. All sizes take the same path, and joins are left to Spark,
+which broadcasts a side only if its bytes allow it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DEFAULT_BUCKETS = 256  # upper bound per group; small groups use fewer (see _thin)
-BROADCAST_GROUPS = 200_000  # groups whose bounds/offsets tables are broadcast
+from binscope.session import cut_lineage
+
+DEFAULT_BUCKETS = None  # as many as the largest group needs
 
 
 def bucket_of(x: Column, bounds: Column, m: int) -> Column:
-    """Number of the ``m`` sorted ``bounds`` that are below ``x``, as a binary
-    search unrolled into nested CASE WHEN on array elements: log2(m)
-    comparisons per row, compiled into whole-stage codegen (a higher-order
-    ``aggregate`` over the array would be interpreted per row)."""
+    """Number of the sorted ``bounds``, ``m`` at most, that are below ``x``.
+
+    Up to 255 bounds this is a binary search unrolled into nested CASE WHEN on
+    array elements (log2(m) comparisons per row in whole-stage codegen); beyond
+    that the unrolled tree would be larger than what it saves."""
+    if m > 255:
+        return F.size(F.filter(bounds, lambda b: b < x))
+
     def node(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(x > bounds[mid - 1], node(mid, hi)).otherwise(node(lo, mid - 1))
+        return F.when(x > F.get(bounds, F.lit(mid - 1)), node(mid, hi)).otherwise(node(lo, mid - 1))
     return node(0, m)
 
 
@@ -56,55 +60,38 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_j{i}" for i in range(len(cols))])
 
 
-DRIVER_GROUPS = 10_000  # bounds of at most this many groups (~5 MB) are fixed on the driver
-ROWS_PER_BUCKET = 1_000_000  # adaptive bucketing: about this many rows per (group, bucket)
-
-
-def _thin(bounds: list | None, n_rows: int, n_buckets: int) -> list | None:
-    """Keep only as many of the ``n_buckets - 1`` percentile bounds as a group
-    of ``n_rows`` rows needs (about ``ROWS_PER_BUCKET`` rows per bucket); the
-    unused slots become NULL, which ``bucket_of`` treats as +infinity."""
-    if bounds is None:
-        return None
-    b = max(1, min(n_buckets, -(-n_rows // ROWS_PER_BUCKET)))
-    keep = [bounds[round(j * n_buckets / b) - 1] for j in range(1, b)]
-    return keep + [None] * (len(bounds) - len(keep))
-
-
-def _materialized_bounds(base: DataFrame, grp: list[str], o: Column, n_buckets: int,
-                         extra: list[Column]) -> tuple[DataFrame, bool]:
-    """Per-group bucket bounds (plus ``extra`` aggregates), fixed once; also
-    returns whether the table is small enough to broadcast (row count known).
-
-    Up to ``DRIVER_GROUPS`` groups, the small table (one row per group) is
-    fetched with a bounded ``limit`` and rebuilt as a local DataFrame: one job,
-    fixed values, exact size. The exact group sizes come with it, so each
-    group keeps only as many buckets as it needs (one for a small group, up to
-    ``n_buckets`` for a huge one). Beyond that it is written to the shared
-    checkpoint folder and read back, with all ``n_buckets`` buckets."""
-    from binscope.session import cut_lineage
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    b = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 1000).alias("_bounds"),
-                               F.count(F.lit(1)).alias("_gn"), *extra)
-    rows = b.limit(DRIVER_GROUPS + 1).collect()
-    if len(rows) <= DRIVER_GROUPS:
-        fixed = []
-        for r in rows:
-            d = r.asDict()
-            d["_bounds"] = _thin(d["_bounds"], d["_gn"], n_buckets)
-            fixed.append(d)
-        schema = T.StructType([
-            T.StructField(f.name, T.ArrayType(f.dataType.elementType, True), True)
-            if f.name == "_bounds" else f for f in b.schema.fields])
-        out = base.sparkSession.createDataFrame(
-            [tuple(d[f] for f in b.schema.names) for d in fixed], schema)
-        return out.drop("_gn"), True
-    b = cut_lineage(b.drop("_gn"), "bucket-bounds")
-    return b, b.count() <= BROADCAST_GROUPS
+ROWS_PER_BUCKET = 1_000_000  # rows of one (group, bucket), about
+
+
+def _materialized_bounds(base: DataFrame, grp: list[str], o: Column, n_buckets: int | None,
+                         extra: list[Column]) -> tuple[DataFrame, int]:
+    """Per-group bucket bounds ``_bounds`` (plus ``extra`` aggregates), written once,
+    and how many bounds a group has at most.
+
+    The largest group's size gives the number of quantiles; each group keeps as
+    many of them, evenly spaced, as its own size needs (a small group none).
+    ``n_buckets`` fixes the number for the largest group."""
+    sizes = base.groupBy(*grp).agg(F.count(F.lit(1)).alias("_gn"), *extra)
+    largest = sizes.agg(F.max("_gn")).first()[0] or 0  # one number
+    n = n_buckets or max(1, -(-largest // ROWS_PER_BUCKET))
+    if n == 1:
+        none = F.array().cast("array<double>").alias("_bounds")
+        return cut_lineage(sizes.select(*grp, none, *_names(sizes, grp)), "bucket-bounds"), 0
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    cuts = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 10 * n).alias("_all"),
+                                  F.count(F.lit(1)).alias("_gn"), *extra)
+    need = F.least(F.lit(n), F.ceil(F.col("_gn") / ROWS_PER_BUCKET)).cast("int")
+    places = F.when(need > 1, F.sequence(F.lit(1), need - 1)).otherwise(F.array().cast("array<int>"))
+    kept = F.transform(places, lambda j: F.get("_all", F.round(j * F.lit(n) / need).cast("int") - 1))
+    return cut_lineage(cuts.select(*grp, kept.alias("_bounds"), *_names(cuts, grp)), "bucket-bounds"), n - 1
+
+
+def _names(df: DataFrame, grp: list[str]) -> list[str]:
+    return [x for x in df.columns if x not in (*grp, "_all", "_gn")]
 
 
 def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
-                 descending: bool = True, n_buckets: int = DEFAULT_BUCKETS,
+                 descending: bool = True, n_buckets: int | None = DEFAULT_BUCKETS,
                  prefix: str = "cum_", totals_prefix: str | None = "tot_") -> DataFrame:
     """Add ``prefix + v`` = sum of ``v`` over rows of the same group whose order
     value comes at or before this row's (descending or ascending), and, unless
@@ -112,25 +99,25 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
 
     ``df`` should hold at most one row per (keys, order value); ties would be
     ordered arbitrarily otherwise. ``n_buckets=1`` is the plain window (fine when
-    each group is known to be small). Raise ``n_buckets`` with the data: each
-    (group, bucket) window task holds about 1/n_buckets of a group.
+    each group is known to be small); by default the sizes decide.
     """
     keys = list(keys)
     o: Column = -F.col(order_col) if descending else F.col(order_col)
     grp = keys if keys else ["_g"]
     base = df if keys else df.withColumn("_g", F.lit(0))
     tot_cols = [] if totals_prefix is None else value_cols
-    if n_buckets <= 1:
+    if n_buckets == 1:
         w = Window.partitionBy(*grp).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
         wt = Window.partitionBy(*grp)
         out = base.select("*", *[F.sum(v).over(w).alias(prefix + v) for v in value_cols],
                           *[F.sum(v).over(wt).alias(totals_prefix + v) for v in tot_cols])
         return out.drop("_g") if not keys else out
 
-    bounds, small = _materialized_bounds(base, grp, o, n_buckets,
-                                         [F.sum(v).alias("_gt_" + v) for v in value_cols])
-    with_b = (null_safe_join(base, bounds, grp, broadcast=small)
-              .withColumn("_bucket", bucket_of(o, F.col("_bounds"), n_buckets - 1))
+    base = cut_lineage(base, "running")
+    bounds, m = _materialized_bounds(base, grp, o, n_buckets,
+                                     [F.sum(v).alias("_gt_" + v) for v in value_cols])
+    with_b = (null_safe_join(base, bounds, grp)
+              .withColumn("_bucket", bucket_of(o, F.col("_bounds"), m))
               .drop("_bounds"))
     totals = with_b.groupBy(*grp, "_bucket").agg(*[F.sum(v).alias("_t_" + v) for v in value_cols])
     wb = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -139,7 +126,7 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
     wr = (Window.partitionBy(*grp, "_bucket").orderBy(o)
           .rowsBetween(Window.unboundedPreceding, 0))
     keep = [c for c in with_b.columns if c != "_bucket" and not c.startswith("_gt_")]
-    out = (null_safe_join(with_b, offsets, grp + ["_bucket"], broadcast=small)
+    out = (null_safe_join(with_b, offsets, grp + ["_bucket"])
            .select(*keep,
                    *[(F.sum(v).over(wr) + F.col("_o_" + v)).alias(prefix + v) for v in value_cols],
                    *[F.col("_gt_" + v).alias(totals_prefix + v) for v in tot_cols]))
@@ -147,7 +134,7 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
 
 
 def rank_in_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                   out: str = "_r", size: str = "_m", n_buckets: int = DEFAULT_BUCKETS
+                   out: str = "_r", size: str = "_m", n_buckets: int | None = DEFAULT_BUCKETS
                    ) -> tuple[DataFrame, DataFrame]:
     """1-based rank of each row inside its group by ``order_cols`` (the first
     one numeric; together unique within a group) plus the group size; also
@@ -156,23 +143,24 @@ def rank_in_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
     Same bucketing as ``running_sums``: each group is cut into percentile
     ranges of the first order column, rows are counted per (group, bucket),
     and the rank is the bucket's offset plus ``row_number`` inside the
-    (group, bucket). A group holding a third of the rows is spread over
-    ``n_buckets`` tasks. NULL group values form a group of their own.
+    (group, bucket), so a group holding a third of the rows is spread over many
+    tasks. NULL group values form a group of their own.
     """
     grp = list(group_cols) if group_cols else ["_g"]
     base = df if group_cols else df.withColumn("_g", F.lit(0))
     o = F.col(order_cols[0])
-    bounds, small = _materialized_bounds(base, grp, o, n_buckets,
-                                         [F.count(F.lit(1)).alias(size)])
-    with_b = (null_safe_join(base, bounds, grp, broadcast=small)
-              .withColumn("_bucket", bucket_of(o, F.col("_bounds"), n_buckets - 1))
+    base = cut_lineage(base, "ranked")
+    bounds, m = _materialized_bounds(base, grp, o, n_buckets,
+                                     [F.count(F.lit(1)).alias(size)])
+    with_b = (null_safe_join(base, bounds, grp)
+              .withColumn("_bucket", bucket_of(o, F.col("_bounds"), m))
               .drop("_bounds"))
     counts = with_b.groupBy(*grp, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
     wb = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*grp, "_bucket",
                             F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_off"))
     wr = Window.partitionBy(*grp, "_bucket").orderBy(*order_cols)
-    ranked = (null_safe_join(with_b, offsets, grp + ["_bucket"], broadcast=small)
+    ranked = (null_safe_join(with_b, offsets, grp + ["_bucket"])
               .withColumn(out, (F.row_number().over(wr) + F.col("_off")).cast("long"))
               .drop("_bucket", "_off"))
     sizes = bounds.select(*grp, size)

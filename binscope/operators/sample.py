@@ -146,9 +146,6 @@ def bootstrap_weights(df: DataFrame, key: str, num_bootstraps: int = 10,
                     w.alias("weight"))
 
 
-BROADCAST_BASE_ROWS = 100_000  # base/neighbour tables up to this many rows are broadcast
-
-
 def smote_oversample(df: DataFrame, key: str, label: str, features: list[str], k: int = 5,
                      seed: int = 222) -> DataFrame:
     """Every class smaller than the largest grows to its size with synthetic
@@ -214,16 +211,14 @@ def smote_oversample(df: DataFrame, key: str, label: str, features: list[str], k
              .withColumn("_b", F.pmod(F.col("synth_no"), F.col("_m")))
              .withColumn("_h", F.md5(F.concat_ws(":", F.col(label).cast("string"),
                                                  F.col("synth_no").cast("string"), F.lit(str(seed))))))
-    small = sum(mc for _, _, mc in plan) <= BROADCAST_BASE_ROWS  # counted above
-    bj = F.broadcast(bases) if small else bases
-    d = draws.join(bj, [label, "_b"])
+    d = draws.join(bases, [label, "_b"])
     h1 = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint")
     h2 = F.conv(F.substring("_h", 9, 8), 16, 10).cast("bigint")
     d = d.select("*", F.when(F.size("_nn") > 0, F.element_at("_nn", (F.pmod(h1, F.size("_nn")) + 1).cast("int")))
                  .alias("nn_key"), (h2.cast("double") / F.lit(4294967296.0)).alias("_lam"))
     nb = minority.select(F.col(label), F.col(key).alias("nn_key"),
                          *[F.col(f).alias(f"_n{j}") for j, f in enumerate(features)])
-    d = d.join(F.broadcast(nb) if small else nb, [label, "nn_key"], "left")
+    d = d.join(nb, [label, "nn_key"], "left")
     numeric = isinstance(kt, (LongType, IntegerType, ShortType, ByteType))
     new_key = (-(F.col("_id") + 1)).cast(kt) if numeric else F.lit(None).cast(kt)
     synth = d.select(new_key.alias(key), F.col(label),

@@ -84,9 +84,21 @@ def test_running_sums_bucketed_equals_plain_window(spark, small_buckets):
     b = {(r.g, r.v): r.cum_w for r in running_sums(df, ["g"], "v", ["w"], n_buckets=32).collect()}
     assert a == b
     from binscope.operators import running
-    bounds, _ = running._materialized_bounds(df, ["g"], F.col("v"), 32, [])
-    kept = [sum(x is not None for x in r["_bounds"]) for r in bounds.collect()]
-    assert kept == [31, 31]          # 700 rows / 7 per bucket -> all 32 buckets used
+    for fixed, most in ((32, 31), (None, 99)):   # 700 rows / 7 per bucket
+        bounds, m = running._materialized_bounds(df, ["g"], F.col("v"), fixed, [])
+        assert m == most and [len(r["_bounds"]) for r in bounds.collect()] == [most, most]
+
+
+def test_running_sums_of_many_groups_and_buckets(spark, monkeypatch):
+    from binscope.operators import running
+    monkeypatch.setattr(running, "ROWS_PER_BUCKET", 3)
+    df = spark.range(10_100).select((F.col("id") % 10_001).cast("string").alias("g"), F.col("id").cast("double").alias("v"), F.lit(1).alias("w"))
+    big = spark.range(1_500).select(F.lit(None).cast("string").alias("g"), F.col("id").cast("double").alias("v"), F.lit(1).alias("w"))
+    got = running_sums(df.union(big), ["g"], "v", ["w"])
+    assert got.count() == 11_600
+    big = got.where("g IS NULL").collect()
+    assert all(r.cum_w == 1500 - r.v and r.tot_w == 1500 for r in big)   # 500 buckets
+    assert got.where("g IS NOT NULL").agg(F.max("cum_w")).first()[0] == 2
 
 
 def test_curves_and_calibration(spark):
