@@ -668,10 +668,13 @@ def bundle_sql(source: str, keys: list[str], curves=("roc", "pr", "threshold", "
     k = ", ".join(keys)
     parts = {
         "roc": [f"SELECT {k}, 'roc' AS curve, 'fpr' AS x_name, fpr AS x, 'tpr' AS y_name, rec AS y, "
-                "t AS threshold FROM c"],
-        "pr": [f"SELECT {k}, 'pr', 'recall', rec, 'precision', prec, t FROM c"],
-        "threshold": [f"SELECT {k}, 'threshold', 'threshold', t, 'f1', "
-                      "2 * prec * rec / (prec + rec + 1e-9), t FROM c"],
+                "t AS threshold FROM c",
+                f"SELECT {k}, 'roc', 'fpr', 0.0, 'tpr', 0.0, 'infinity'::DOUBLE FROM conf"],
+        "pr": [f"SELECT {k}, 'pr', 'recall', rec, 'precision', prec, t FROM c",
+               f"SELECT {k}, 'pr', 'recall', 0.0, 'precision', 1.0, NULL::DOUBLE FROM conf"],
+        "threshold": [f"SELECT {k}, 'threshold', 'threshold', t, '{n}', {e}, t FROM c" for n, e in (
+            ("precision", "prec"), ("recall", "rec"), ("specificity", "spec"),
+            ("f1", "2 * prec * rec / (prec + rec + 1e-9)"))],
         "calibration": [f"SELECT {k}, 'calibration', 'mean_predicted', mp, 'fraction_positive', fpos, "
                         "NULL::DOUBLE FROM cal"],
         "confusion": [f"SELECT {k}, 'confusion', 'cell', {float(i)}, '{n}', CAST({n} AS DOUBLE), "
@@ -681,7 +684,8 @@ def bundle_sql(source: str, keys: list[str], curves=("roc", "pr", "threshold", "
     return f"""
 WITH {cum_sql(source, keys)},
 c AS (SELECT {k}, score AS t, {ratio_sql('tp', 'tp + fp')} AS prec,
-             {ratio_sql('tp', 'tot_p')} AS rec, {ratio_sql('fp', 'tot_n')} AS fpr FROM cum),
+             {ratio_sql('tp', 'tot_p')} AS rec, {ratio_sql('fp', 'tot_n')} AS fpr,
+             {ratio_sql('tot_n - fp', 'tot_n')} AS spec FROM cum),
 conf AS ({conf_sql(source, keys)}),
 cal AS (SELECT {k}, avg(p) AS mp, avg(CAST(y AS DOUBLE)) AS fpos
         FROM {source} GROUP BY {k}, {calib_bin_sql('p', n_bins)}),

@@ -327,8 +327,9 @@ def evaluation_bundle(scored: DataFrame, keys=("model", "split"), threshold: flo
                       n_bins: int = 10, label: str = "y", score: str = "p",
                       n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """ROC, PR, threshold-metric, confusion and calibration points in one
-    long table ``(keys, curve, x_name, x, y_name, y, threshold)``; the curve
-    tables share one cumulative aggregate."""
+    long table ``(keys, curve, x_name, x, y_name, y, threshold)``, with the start
+    of the ROC and the end of the PR curve; the curve tables share one cumulative
+    aggregate."""
     k = _keys(keys)
     cum = cumulative_counts(scored, k, label, score, n_buckets)
     tp, fp, P, N = (F.col(x) for x in ("tp", "fp", "P", "N"))
@@ -341,9 +342,10 @@ def evaluation_bundle(scored: DataFrame, keys=("model", "split"), threshold: flo
                  F.lit("tpr").alias("y_name"), rec.alias("y"), t.alias("threshold")),
         F.struct(F.lit("pr").alias("curve"), F.lit("recall").alias("x_name"), rec.alias("x"),
                  F.lit("precision").alias("y_name"), prec.alias("y"), t.alias("threshold")),
-        F.struct(F.lit("threshold").alias("curve"), F.lit("threshold").alias("x_name"), t.alias("x"),
-                 F.lit("f1").alias("y_name"),
-                 (2 * prec * rec / (prec + rec + F.lit(1e-9))).alias("y"), t.alias("threshold")))
+        *[F.struct(F.lit("threshold").alias("curve"), F.lit("threshold").alias("x_name"), t.alias("x"),
+                   F.lit(name).alias("y_name"), y.alias("y"), t.alias("threshold"))
+          for name, y in (("precision", prec), ("recall", rec), ("specificity", safe_div(N - fp, N)),
+                          ("f1", 2 * prec * rec / (prec + rec + F.lit(1e-9))))])
     curves = cum.select(*k, F.inline(rows))
     cal = calibration_curve(scored, k, n_bins, label, score).select(
         *k, F.lit("calibration").alias("curve"), F.lit("mean_predicted").alias("x_name"),
@@ -355,7 +357,16 @@ def evaluation_bundle(scored: DataFrame, keys=("model", "split"), threshold: flo
                  F.lit(float(i)).alias("x"), F.lit(name).alias("y_name"),
                  F.col(name).cast("double").alias("y"), F.col("threshold").alias("threshold"))
         for i, name in enumerate(("tn", "fp", "fn", "tp"))])))
-    return curves.unionByName(cal).unionByName(conf)
+
+    def point(curve: str, x_name: str, x: float, y_name: str, y: float, threshold: float | None):
+        return F.struct(F.lit(curve).alias("curve"), F.lit(x_name).alias("x_name"), F.lit(x).alias("x"),
+                        F.lit(y_name).alias("y_name"), F.lit(y).alias("y"),
+                        F.lit(threshold).cast("double").alias("threshold"))
+
+    # the points that no score gives: nothing predicted positive
+    ends = cm.select(*k, F.inline(F.array(point("roc", "fpr", 0.0, "tpr", 0.0, INF),
+                                          point("pr", "recall", 0.0, "precision", 1.0, None))))
+    return curves.unionByName(cal).unionByName(conf).unionByName(ends)
 
 
 # ------------------------------------------------------------------ T6
