@@ -171,8 +171,7 @@ def rfe_select(df: DataFrame, features: list[str], label: str, n_features: int |
     """Recursive feature elimination with a logistic model: drop the
     ``step`` share of the ORIGINAL feature count with the smallest squared
     coefficient, refit, until ``n_features`` remain (an int, or a fraction of
-    the original count). Each round is one distributed fit on the cached,
-    assembled input; the loop itself is a handful of driver iterations."""
+    the original count). Each round is one distributed fit; the loop itself is a handful of driver iterations."""
     from pyspark.ml.classification import LogisticRegression
 
     total = len(features)

@@ -32,3 +32,25 @@ def test_training_frame_weights_and_split(spark, small_dir):
     splits = {r.split for r in tf.select("split").distinct().collect()}
     assert splits == {"train", "valid", "test"}
     assert tf.where(F.col("y").isNull()).count() == 0
+
+
+def test_the_six_training_pipelines(spark, small_dir):
+    import itertools
+
+    raw = fx.wide_raw(spark, small_dir)
+    cl = C.encode_label(C.clean_dataframe(raw, ["money_text"]), "income", "y")
+    seen = {}
+    for how, rfe in itertools.product(("orig", "smote", "under"), (False, True)):
+        tf, names = training_frame(cl, "row_id", "y", ["amount", "balance"], ["race", "sex"], "lr", rfe=rfe,
+                                   smote=how == "smote", undersample=how == "under", n_features=3)
+        n = {(r["split"], r["y"]): r["count"] for r in tf.groupBy("split", "y").count().collect()}
+        seen[how, rfe] = n
+        assert len(names) == (3 if rfe else len(names)) and (rfe or len(names) > 3)
+        assert len(tf.first()["features"]) == len(names)
+    orig, smote, under = (seen[h, False] for h in ("orig", "smote", "under"))
+    assert all(seen[h, True] == seen[h, False] for h in ("orig", "smote", "under"))
+    train = {y: n for (s, y), n in orig.items() if s == "train"}
+    assert {n for (s, _), n in smote.items() if s == "train"} == {max(train.values())}
+    assert {n for (s, _), n in under.items() if s == "train"} == {min(train.values())}
+    for other in (smote, under):
+        assert {k: v for k, v in other.items() if k[0] != "train"} == {k: v for k, v in orig.items() if k[0] != "train"}
