@@ -71,23 +71,17 @@ def _materialized_bounds(base: DataFrame, grp: list[str], o: Column, n_buckets:
     The largest group's size gives the number of quantiles; each group keeps as
     many of them, evenly spaced, as its own size needs (a small group none).
     ``n_buckets`` fixes the number for the largest group."""
-    sizes = base.groupBy(*grp).agg(F.count(F.lit(1)).alias("_gn"), *extra)
+    sizes = base.groupBy(*grp).agg(F.count(F.lit(1)).alias("_gn"))
     largest = sizes.agg(F.max("_gn")).first()[0] or 0  # one number
-    n = n_buckets or max(1, -(-largest // ROWS_PER_BUCKET))
-    if n == 1:
-        none = F.array().cast("array<double>").alias("_bounds")
-        return cut_lineage(sizes.select(*grp, none, *_names(sizes, grp)), "bucket-bounds"), 0
+    n = n_buckets or max(2, -(-largest // ROWS_PER_BUCKET))
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
     cuts = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 10 * n).alias("_all"),
                                   F.count(F.lit(1)).alias("_gn"), *extra)
     need = F.least(F.lit(n), F.ceil(F.col("_gn") / ROWS_PER_BUCKET)).cast("int")
     places = F.when(need > 1, F.sequence(F.lit(1), need - 1)).otherwise(F.array().cast("array<int>"))
     kept = F.transform(places, lambda j: F.get("_all", F.round(j * F.lit(n) / need).cast("int") - 1))
-    return cut_lineage(cuts.select(*grp, kept.alias("_bounds"), *_names(cuts, grp)), "bucket-bounds"), n - 1
-
-
-def _names(df: DataFrame, grp: list[str]) -> list[str]:
-    return [x for x in df.columns if x not in (*grp, "_all", "_gn")]
+    rest = [x for x in cuts.columns if x not in (*grp, "_all", "_gn")]
+    return cut_lineage(cuts.select(*grp, kept.alias("_bounds"), *rest), "bucket-bounds"), n - 1
 
 
 def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
