@@ -40,6 +40,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     overridden here. Only a bare local session (tests) gets a fresh temp folder;
     elsewhere an unset folder is an error, as executors do not share local disks.
     """
+    share_package(spark)
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
         cur = spark.sparkContext.getCheckpointDir()
@@ -52,6 +53,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver did, whatever the working
+    folder is; a cluster that installs the package on its machines is not affected."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read
     it back: the lineage is cut, the result survives executor loss, and unlike
