@@ -47,7 +47,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPOT = np.uint64(0xD1B54A32D192ED03)
 _SLICE = 1 << 20
 #: Leaders of a bucket in the second round; so many times as many in each later one.
-LEADERS = 4
+LEADERS = 64
 #: Points of a process that are drawn at once after the first.
 _DRAW = 8
 
