@@ -1,56 +1,55 @@
-"""LM scoring (operator 3): a word trigram model in an Elias-Fano trie.
+"""LM scoring (operator 3): a word trigram model in Elias-Fano levels.
 
 Unigrams are complete: the probability of a token is (c + 1) / (N + V + 1). Above
-them stand the bigrams and trigrams of frequent words (relative frequency of
-``WORD_SHARE`` or more) whose own relative frequency is ``GRAM_SHARE`` or more, with
-absolute discounting: P(w|h) = max(c - D, 0) / c(h) + back(h) P(w|h'), where back(h)
-takes what discounts and pruned n-grams leave. The two shares bound the words by
-1 / WORD_SHARE and the n-grams of an order by 1 / GRAM_SHARE, so the trie may be sent
-to every task, at whatever corpus size. All counts are over all training texts.
-
-Trie: the children of a node lie side by side in the next level. A level has the
-pointers to its children, and the children's words, made monotone by adding the
-last value before them, both in Elias-Fano code. A trigram's word is stored as its
-rank among the successors of the middle word, which the query knows from the bigram
-level (context-relative), and is found by successor search in the node's range.
-Probabilities and back-off weights are quantised to a byte each by quantiles. Tasks
-map the levels into memory from an unlinked temporary file.
-
-The unigram counts are not sent anywhere whole. Texts are dealt into blocks by a
-hash; each block lists its words with their counts, sums over the words come back
-to the blocks that asked, and a block is scored with its own words alone.
+them stand all bigrams and trigrams, of all words, that are ``LEAST_COUNT`` times in
+the training texts, with absolute discounting: P(w|h) = max(c - D, 0) / c(h) + back(h)
+P(w|h'), where back(h) takes what discounts and n-grams seen less often leave. All
+counts are exact, over all training texts, and the model grows with them.
+
+Nothing of the model is sent anywhere whole. Texts are dealt into blocks by a hash.
+Each block lists its words with their counts; sums over the words come back to the
+blocks that asked. Then each block sends its distinct n-grams with their counts to
+shards by their context; a shard adds up, builds its level and answers every block
+for what it sent, and a block is scored with these answers. An n-gram with a word that
+is in the training texts less than LEAST_COUNT times cannot be kept: its word is sent
+as none. The bigrams of a word that is there more than ``SPLIT`` times are spread over
+several shards, which are all asked, and their sums add up.
+
+Level: the words under a context lie side by side. A level has the pointers to its
+contexts' words, and the words, made monotone by adding the last value before them,
+both in Elias-Fano code, and is searched for successors in the context's range.
+``Trie`` joins two such levels in one process, with context-relative ids and quantised
+probabilities.
 
 Defined results: null is an empty text (one end token); a null id counts as an empty
 text in the fold; with no training texts N = V = 0; repeated rows count and are
-scored each. Words are known by a 64-bit hash.
+scored each. Words and pairs of words are known by a 64-bit hash.
 """
 
 from __future__ import annotations
 
 import tempfile
-import uuid
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from binscope.llm.text import NONSPACE, slices, words
+from binscope.llm.text import NONSPACE, mix64, slices, words
 from binscope.session import cut_lineage
 
-WORD_SHARE = 1e-4
-GRAM_SHARE = 1e-7
 LEAST_COUNT = 2
 BLOCK_BYTES = 16 << 20
-#: Smallest hashes that are kept to estimate the number of distinct words before it is known.
-KMV = 1024
-#: Text bytes after which a task hands on its counts.
-FLUSH = 48 << 20
+#: Occurrences of a word for which one shard holds all its bigrams.
+SPLIT = 1 << 20
 
 END = np.uint64(0x5851F42D4C957F2D)
-_BITS = 21
+#: The word of an n-gram whose own word is too rare to be kept.
+NONE = np.uint64(0)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
 
 
 class EliasFano:
@@ -115,6 +114,63 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code.astype(np.uint8), mean.astype(np.float32)
 
 
+def find(pointer: EliasFano, level: EliasFano, node: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Place of ``word`` among the children of ``node``, or -1."""
+    lo, hi = pointer[node], pointer[node + 1]
+    start, end = lo, hi
+    base = np.zeros(len(node), dtype=np.int64)
+    some = np.flatnonzero(lo > 0)
+    base[some] = level[lo[some] - 1]
+    target = base + word + 1
+    lo, hi = lo.copy(), hi.copy()
+    while (todo := np.flatnonzero(lo < hi)).size:  # the first value that is not less
+        mid = (lo[todo] + hi[todo]) // 2
+        less = level[mid] < target[todo]
+        lo[todo] = np.where(less, mid + 1, lo[todo])
+        hi[todo] = np.where(less, hi[todo], mid)
+    out = np.full(len(node), -1, dtype=np.int64)
+    inside = np.flatnonzero((lo < end) & (lo >= start))
+    hit = inside[level[lo[inside]] == target[inside]]
+    out[hit] = lo[hit]
+    return out
+
+
+class Level:
+    """The kept n-grams of some contexts, from (context, word, count) that may repeat."""
+
+    def __init__(self, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> None:
+        self.contexts, node = np.unique(context, return_inverse=True)
+        self.total = np.bincount(node, weights=n, minlength=len(self.contexts)).astype(np.int64)
+        order = np.lexsort((word, node))
+        node, word, n = node[order], word[order], n[order]
+        new = np.ones(len(node), dtype=bool)
+        new[1:] = (node[1:] != node[:-1]) | (word[1:] != word[:-1])
+        first = np.flatnonzero(new)
+        node, word, n = node[first], word[first], np.add.reduceat(n, first) if len(first) else n
+        rare = word == NONE  # n-grams of count 1, as many as they are
+        self.once, self.twice = int(n[rare].sum() + (n[~rare] == 1).sum()), int((n[~rare] == 2).sum())
+        keep = ~rare & (n >= LEAST_COUNT)
+        node, word, self.n = node[keep], word[keep], n[keep]
+        self.words, own = np.unique(word, return_inverse=True)
+        bounds = np.searchsorted(node, np.arange(len(self.contexts) + 1))
+        self.kept = np.diff(bounds)
+        self.kept_n = np.bincount(node, weights=self.n, minlength=len(self.contexts)).astype(np.int64)
+        self.pointer, self.level = EliasFano(bounds), EliasFano(_monotone(own + 1, bounds))
+
+    def counts(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Counts of the n-grams, 0 for those that are not kept; the contexts must be the level's."""
+        out = np.zeros(len(context), dtype=np.int64)
+        if not len(self.words):
+            return out
+        node = np.searchsorted(self.contexts, context)
+        own = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
+        ask = np.flatnonzero((self.words[own] == word) & (self.kept[node] > 0))
+        for some in np.array_split(ask, len(ask) // (1 << 18) + 1):
+            at = find(self.pointer, self.level, node[some], own[some])
+            out[some] = np.where(at >= 0, self.n[at], 0)
+        return out
+
+
 @dataclass
 class Trie:
     """Words by hash (the end token last), bigram and trigram levels."""
@@ -161,24 +217,7 @@ class Trie:
         return self
 
     def find(self, pointer: EliasFano, level: EliasFano, node: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Place of ``word`` among the children of ``node``, or -1."""
-        lo, hi = pointer[node], pointer[node + 1]
-        start, end = lo, hi
-        base = np.zeros(len(node), dtype=np.int64)
-        some = np.flatnonzero(lo > 0)
-        base[some] = level[lo[some] - 1]
-        target = base + word + 1
-        lo, hi = lo.copy(), hi.copy()
-        while (todo := np.flatnonzero(lo < hi)).size:  # the first value that is not less
-            mid = (lo[todo] + hi[todo]) // 2
-            less = level[mid] < target[todo]
-            lo[todo] = np.where(less, mid + 1, lo[todo])
-            hi[todo] = np.where(less, hi[todo], mid)
-        out = np.full(len(node), -1, dtype=np.int64)
-        inside = np.flatnonzero((lo < end) & (lo >= start))
-        hit = inside[level[lo[inside]] == target[inside]]
-        out[hit] = lo[hit]
-        return out
+        return find(pointer, level, node, word)
 
     def gains(self, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What contexts (a, b) add to the log10 unigram probability of w, and whether an n-gram gave
@@ -246,44 +285,9 @@ def _tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, upto + np.arange(len(offs))
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of every stretch of texts: words of at least half of WORD_SHARE there, the least hashes, its tokens.
-
-    A word that has WORD_SHARE of the whole has it in some stretch, and half of it where most of it is.
-    """
-    def hand_on(u: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        total = int(n.sum())
-        often = n >= WORD_SHARE / 2 * total
-        least = u[:KMV]  # sorted
-        kind = np.concatenate((np.zeros(often.sum()), np.ones(len(least)), [2])).astype(np.int32)
-        key = np.concatenate((u[often], least, np.zeros(1, np.uint64))).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key), pa.array(np.concatenate((n[often], np.zeros(len(least), np.int64), [total])))], names=["kind", "key", "n"])
-
-    keys, counts, size = [], [], 0
-    for batch in batches:
-        for _, _, buf, offs in slices(batch.column(0)):
-            u, n = np.unique(_tokens(buf, offs)[0], return_counts=True)
-            keys.append(u)
-            counts.append(n)
-            size += len(buf)
-            if size >= FLUSH:
-                yield hand_on(*_sum_by(keys, counts))
-                keys, counts, size = [], [], 0
-    if keys:
-        yield hand_on(*_sum_by(keys, counts))
-
-
-def _ids(hashes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Places in the sorted hashes; their number for the end, -1 for other words."""
-    if not len(hashes):
-        return np.where(tokens == END, 0, -1)
-    at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
-    return np.where(tokens == END, len(hashes), np.where(hashes[at] == tokens, at, -1))
-
-
-def _contexts(tokens: np.ndarray, upto: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _contexts(upto: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids one and two tokens before, in the same text; -1 if there is none."""
-    one, two = np.full(len(ids), -1), np.full(len(ids), -1)
+    one, two = np.full(len(ids), -1, dtype=ids.dtype), np.full(len(ids), -1, dtype=ids.dtype)
     one[1:], two[2:] = ids[:-1], ids[:-2]
     first = upto[:-1]
     one[first] = -1
@@ -293,71 +297,6 @@ def _contexts(tokens: np.ndarray, upto: np.ndarray, ids: np.ndarray) -> tuple[np
     return one, two
 
 
-def _count_grams(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = sent.value
-        keys, counts, size = [], [], 0
-
-        def hand_on() -> pa.RecordBatch:
-            u, n = _sum_by(keys, counts)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], names=["key", "n"])
-
-        for batch in batches:
-            for _, _, buf, offs in slices(batch.column(0)):
-                tokens, upto = _tokens(buf, offs)
-                w = _ids(hashes, tokens)
-                b, a = _contexts(tokens, upto, w)
-                shift = np.int64(_BITS)
-                one = w[w >= 0] + 1
-                two = ((b + 1) << shift | (w + 1))[(w >= 0) & (b >= 0)]
-                three = ((a + 1) << 2 * shift | (b + 1) << shift | (w + 1))[(w >= 0) & (b >= 0) & (a >= 0)]
-                u, n = np.unique(np.concatenate((one, two, three)).astype(np.uint64), return_counts=True)
-                keys.append(u)
-                counts.append(n)
-                size += len(buf)
-                if size >= FLUSH:
-                    yield hand_on()
-                    keys, counts, size = [], [], 0
-        if keys:
-            yield hand_on()
-
-    return run
-
-
-def fit_trie(training: DataFrame) -> tuple[Trie, int]:
-    """The trie of all texts of ``training`` (one column, text), and N."""
-    spark = training.sparkSession
-    seen = cut_lineage(training.mapInArrow(_frequent, "kind int, key long, n long"), "frequent")
-    n_tokens = int(seen.filter("kind = 2").agg(F.sum("n")).first()[0] or 0)
-    # what is missing of a word is less than half of WORD_SHARE of the texts that did not list it
-    likely = seen.filter("kind = 0").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= WORD_SHARE / 2 * n_tokens)
-    hashes = np.sort(np.array([r[0] for r in likely.select("key").collect()], dtype=np.int64).view(np.uint64))  # at most 2 / WORD_SHARE
-    hashes = hashes[hashes != END]
-    least = [r[0] & ((1 << 64) - 1) for r in seen.filter("kind = 1").select("key").distinct().orderBy(F.col("key") < 0, "key").limit(KMV).collect()]
-    distinct = len(least) if len(least) < KMV else round((KMV - 1) / (max(least) / 2.0 ** 64))
-
-    counted = training.mapInArrow(_count_grams(spark.sparkContext.broadcast(hashes)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    counted = cut_lineage(counted, "grams")
-    one = 1 << _BITS
-    order = F.when(F.col("key") < one, 1).when(F.col("key") < one * one, 2).otherwise(3)
-    few = {(r["k"], r["n"]): r["c"] for r in counted.filter("n <= 2").groupBy(order.alias("k"), "n").agg(F.count("*").alias("c")).collect()}
-    discounts = tuple(n1 / (n1 + 2 * few.get((k, 2), 0)) if (n1 := few.get((k, 1), 0)) else 0.5 for k in (2, 3))
-    kept = counted.filter((order == 1) | (F.col("n") >= max(LEAST_COUNT, GRAM_SHARE * n_tokens))).toPandas()  # at most 1 / GRAM_SHARE an order
-    key, n = kept["key"].to_numpy().astype(np.int64), kept["n"].to_numpy()
-    part = [(key >> (_BITS * k) & (one - 1)) - 1 for k in (2, 1, 0)]
-    k = np.where(key < one, 1, np.where(key < one * one, 2, 3))
-    count = np.zeros(len(hashes) + 1, dtype=np.int64)
-    count[part[2][k == 1]] = n[k == 1]
-    use = np.append(count[:-1] >= WORD_SHARE * n_tokens, True)
-    new = np.where(use, np.cumsum(use) - 1, -1)  # ids of the words that are frequent indeed
-    trie = Trie(hashes[use[:-1]], count[use], float(n_tokens + distinct + 1))
-    two, three = k == 2, k == 3
-    two &= (new[part[1]] >= 0) & (new[part[2]] >= 0)
-    three &= (new[part[0]] >= 0) & (new[part[1]] >= 0) & (new[part[2]] >= 0)
-    trie.build((new[part[1][two]], new[part[2][two]], n[two]), (new[part[0][three]], new[part[1][three]], new[part[2][three]], n[three]), discounts)
-    return trie, n_tokens
-
-
 def _block_words(table: pa.Table) -> pa.Table:
     """Distinct words of a block and how often they are in its training texts."""
     keys, counts = [], []
@@ -372,46 +311,156 @@ def _block_words(table: pa.Table) -> pa.Table:
     return pa.table({"word": pa.array(u.view(np.int64)), "block": pa.array(np.full(len(u), block, dtype=np.int32)), "n": pa.array(n)})
 
 
-_MAPPED: dict[str, Trie] = {}
+def _pack(x: np.ndarray) -> bytes:
+    return len(x).to_bytes(8, "little") + pa.compress(x.tobytes(), codec="zstd", asbytes=True)
 
 
-def _score(sent):
-    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        if sent.id not in _MAPPED:
-            _MAPPED.clear()
-            _MAPPED[sent.id] = sent.value.mapped()
-        trie = _MAPPED[sent.id]
+def _unpack(x: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(x[:8], "little") * np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(x[8:], size, codec="zstd", asbytes=True), dtype=kind)
+
+
+@dataclass
+class _Grams:
+    """Distinct n-grams of one order of a block, by shard and context."""
+
+    tokens: np.ndarray  # places whose n-gram is asked for
+    gram: np.ndarray  # its number in the arrays below
+    context: np.ndarray  # number of the context in ``hashes``
+    hashes: np.ndarray
+    word: np.ndarray
+    n: np.ndarray
+    shard: np.ndarray
+    once: int  # training n-grams of contexts that are there but once
+
+    def starts(self) -> np.ndarray:
+        """First n-gram of every context in every shard."""
+        new = np.ones(len(self.context), dtype=bool)
+        new[1:] = (self.context[1:] != self.context[:-1]) | (self.shard[1:] != self.shard[:-1])
+        return np.flatnonzero(new)
+
+
+class _Block:
+    """The tokens of a block's texts as places in its sorted words."""
+
+    def __init__(self, texts: pa.Table, counts: pa.Table) -> None:
         word = counts.column("word").to_numpy().view(np.uint64)
         order = np.argsort(word)
-        word, c = word[order], counts.column("c").to_numpy()[order]
-        own = counts.column("own").to_numpy(zero_copy_only=False)
-        n_own = int(c[own[order]].sum()) if len(c) else 0
-        v_own = int((c[own[order]] > 0).sum()) if len(c) else 0
-        log_c = np.log10(c + 1.0)
-        rows: list[list[np.ndarray]] = [[], [], [], [], []]
+        self.word, self.c = word[order], counts.column("c").to_numpy()[order]
+        ids, upto = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
         for _, _, buf, offs in slices(texts.column("text").combine_chunks()):
-            tokens, upto = _tokens(buf, offs)
-            at = np.searchsorted(word, tokens)
-            w = _ids(trie.hashes, tokens)
-            b, a = _contexts(tokens, upto, w)
-            gain, kept = np.zeros(len(w)), np.zeros(len(w), dtype=bool)
-            after = np.flatnonzero(b >= 0)
-            if len(after):
-                key = (a[after] + 1) << 2 * _BITS | (b[after] + 1) << _BITS | (w[after] + 1)
-                u, back = np.unique(key, return_inverse=True)
-                mask = (1 << _BITS) - 1
-                g, k = trie.gains((u >> 2 * _BITS) - 1, (u >> _BITS & mask) - 1, (u & mask) - 1)
-                gain[after], kept[after] = g[back], k[back]
-            for r, x in zip(rows, (np.ones(len(w), dtype=np.int64), (c[at] > 0).astype(np.int64), log_c[at], gain, kept.astype(np.int64))):
-                total = np.concatenate((np.zeros(1, x.dtype), np.cumsum(x)))
-                r.append(total[upto[1:]] - total[upto[:-1]])
-        n = texts.num_rows
-        owned = np.zeros((2, n), dtype=np.int64)
-        if n:
-            owned[:, 0] = n_own, v_own  # each word counts in one block
-        merged = [np.concatenate(r) if r else np.zeros(0) for r in rows]
-        return pa.table([texts.column("doc_id"), texts.column("held_out"), *map(pa.array, merged), pa.array(owned[0]), pa.array(owned[1])],
-                        names=["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "gain", "n_kept", "own_n", "own_v"])
+            tokens, ends = _tokens(buf, offs)
+            ids.append(np.searchsorted(self.word, tokens).astype(np.int32))
+            upto.append(ends[1:] + upto[-1][-1])
+        self.ids, self.upto = np.concatenate(ids), np.concatenate(upto)
+        self.b, self.a = _contexts(self.upto, self.ids)
+        self.train = np.repeat(~texts.column("held_out").to_numpy(zero_copy_only=False), np.diff(self.upto))
+
+    def grams(self, order: int, n_shards: int, split_at: int) -> _Grams:
+        often, none = self.c >= LEAST_COUNT, len(self.word)
+        ok = (self.b >= 0) & often[self.b]
+        there = self.b >= 0
+        if order == 3:
+            ok &= (self.a >= 0) & often[self.a]
+            there &= self.a >= 0
+        once = int((there & ~ok & self.train).sum())
+        tokens = np.flatnonzero(ok)
+        if order == 2:
+            owner, context = np.unique(self.b[tokens], return_inverse=True)
+            hashes = self.word[owner]
+        else:
+            owner, context = np.unique(self.a[tokens] * np.int64(none) + self.b[tokens], return_inverse=True)
+            hashes = mix64(mix64(self.word[owner // max(none, 1)] + _STEP) * _STEP + self.word[owner % max(none, 1)])
+        w = self.ids[tokens]
+        key, gram = np.unique(context * np.int64(none + 1) + np.where(often[w], w, none), return_inverse=True)
+        n = np.bincount(gram, weights=self.train[tokens], minlength=len(key)).astype(np.int64)
+        del w
+        context, word = key // (none + 1), np.append(self.word, NONE)[key % (none + 1)]
+        salt = np.zeros(len(key), dtype=np.uint64)
+        if order == 2:
+            parts = np.maximum(-(-self.c[owner] // split_at), 1)
+            salt = np.where(word == NONE, 0, mix64(word) % parts[context].astype(np.uint64)).astype(np.uint64)
+            split = np.flatnonzero(parts > 1)  # every part is asked, for its sums
+            context = np.concatenate((context, np.repeat(split, parts[split])))
+            word = np.concatenate((word, np.full(int(parts[split].sum()), NONE)))
+            salt = np.concatenate((salt, *[np.arange(p, dtype=np.uint64) for p in parts[split]]))
+            n = np.concatenate((n, np.zeros(len(word) - len(n), np.int64)))
+        shard = (mix64(hashes[context] + salt * _STEP) % np.uint64(n_shards)).astype(np.int64)
+        to = np.lexsort((word, context, shard))
+        place = np.empty(len(to), dtype=np.int64)
+        place[to] = np.arange(len(to))
+        return _Grams(tokens, place[gram], context[to], hashes, word[to], n[to], shard[to], once)
+
+
+def _ask(n_shards: int, split_at: int):
+    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        rows: list[tuple] = []
+        if texts.num_rows:
+            block, number = _Block(texts, counts), texts.column("block")[0].as_py()
+            for order in (2, 3):
+                g = block.grams(order, n_shards, split_at)
+                starts = g.starts()
+                cuts = np.searchsorted(g.shard, np.arange(n_shards + 1))
+                for shard in np.flatnonzero(np.diff(cuts)).tolist():
+                    lo, hi = cuts[shard], cuts[shard + 1]
+                    own = starts[slice(*np.searchsorted(starts, (lo, hi)))]
+                    rows.append((order, shard, number, g.once if not len(rows) or rows[-1][0] != order else 0, _pack(g.hashes[g.context[own]]),
+                                 _pack(np.diff(np.append(own, hi)).astype(np.int32)), _pack(g.word[lo:hi]), _pack(g.n[lo:hi].astype(np.int32))))
+                if g.once and not len(g.shard):
+                    empty = _pack(np.zeros(0, np.int32))
+                    rows.append((order, 0, number, g.once, empty, empty, empty, empty))
+        return pa.Table.from_arrays([pa.array([r[i] for r in rows], type=t.type) for i, t in enumerate(_ASKED)], schema=_ASKED)
+
+    return run
+
+
+_ASKED = pa.schema([("order", pa.int32()), ("shard", pa.int32()), ("block", pa.int32()), ("once", pa.int64()),
+                    ("contexts", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("n", pa.binary())])
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """The counts of a shard's n-grams for every block that asked, and its contexts' sums."""
+    asked = []
+    for contexts, sizes, word, n in zip(*[table.column(k).to_pylist() for k in ("contexts", "sizes", "words", "n")]):
+        asked.append((np.repeat(_unpack(contexts, np.uint64), _unpack(sizes, np.int32)), _unpack(word, np.uint64), _unpack(n, np.int32)))
+    level = Level(*[np.concatenate(x) for x in zip(*asked)])
+    rows: list[list[bytes]] = [[], []]
+    for (context, word, _), contexts in zip(asked, table.column("contexts").to_pylist()):
+        node = np.searchsorted(level.contexts, _unpack(contexts, np.uint64))
+        rows[0].append(_pack(level.counts(context, word)))
+        rows[1].append(_pack(np.concatenate((level.kept[node], level.kept_n[node], level.total[node]))))
+    first = np.arange(table.num_rows) == 0
+    once = table.column("once").to_numpy() + np.where(first, level.once, 0)
+    return pa.table([table.column("order"), table.column("shard"), table.column("block"), pa.array(once), pa.array(np.where(first, level.twice, 0)),
+                     pa.array(rows[0], type=pa.binary()), pa.array(rows[1], type=pa.binary())],
+                    names=["order", "shard", "block", "once", "twice", "counts", "sums"])
+
+
+def _score(n_shards: int, split_at: int, total: float, discounts: dict[int, float]):
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        answers = known.filter(pa.compute.greater(known.column("order"), 1)).sort_by("shard")
+        block = _Block(texts, known.filter(pa.compute.equal(known.column("order"), 1)))
+        c = block.c[block.ids]
+        p = (c + 1) / total
+        for order in (2, 3):
+            mine = answers.filter(pa.compute.equal(answers.column("order"), order))
+            g = block.grams(order, n_shards, split_at)
+            if not len(g.tokens):
+                continue
+            count = np.concatenate([_unpack(x, np.int64) for x in mine.column("counts").to_pylist()])
+            sums = np.concatenate([_unpack(x, np.int64).reshape(3, -1) for x in mine.column("sums").to_pylist()], axis=1)
+            of = g.context[g.starts()]
+            kept, kept_n, seen = (np.bincount(of, weights=x, minlength=len(g.hashes)) for x in sums)
+            d = discounts[order]
+            seen = np.maximum(seen, 1)
+            back = np.maximum(1 - (kept_n - d * kept) / seen, 1e-9)
+            context, n = g.context[g.gram], count[g.gram]
+            p[g.tokens] = np.where(n > 0, n - d, 0) / seen[context] + back[context] * p[g.tokens]
+        rows = []
+        for x in (np.ones(len(c), dtype=np.int64), (c > 0).astype(np.int64), np.log10(c + 1.0), np.log10(p)):
+            upto = np.concatenate((np.zeros(1, x.dtype), np.cumsum(x)))
+            rows.append(pa.array(upto[block.upto[1:]] - upto[block.upto[:-1]]))
+        return pa.table([texts.column("doc_id"), texts.column("held_out"), *rows], names=["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"])
 
     return run
 
@@ -421,34 +470,26 @@ def score_texts(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "
     the model learns from rows where the column ``held_out`` is false."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out.alias("held_out"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    trie, _ = fit_trie(rows.filter(~F.col("held_out")).select("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = -(-int(size) // BLOCK_BYTES) or 1
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")
     dealt = rows.withColumn("block", block)
     listed = dealt.groupBy("block").applyInArrow(_block_words, "word long, block int, n long")
     by_word = Window.partitionBy("word")
-    counts = listed.select("word", "block", F.sum("n").over(by_word).alias("c"), (F.min("block").over(by_word) == F.col("block")).alias("own"))
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, log_counts double, gain double, n_kept long, own_n long, own_v long"
-    sent = docs.sparkSession.sparkContext.broadcast(trie)
-    scored = dealt.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_score(_Shared(sent, uuid.uuid4().hex)), schema)
-    scored = cut_lineage(scored, "scored")
-    n, v = scored.agg(F.sum("own_n"), F.sum("own_v")).first()
+    counts = cut_lineage(listed.select("word", "block", F.sum("n").over(by_word).alias("c"), (F.min("block").over(by_word) == F.col("block")).alias("own")), "words")
+    n, v = counts.filter("own").agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     n, v = int(n or 0), int(v or 0)
-    total = float(np.log10(n + v + 1))
-    base = F.col("log_counts") - F.col("n_tokens") * total
-    # kept n-grams were measured against the estimate of V
-    shift = total - float(np.log10(trie.total))
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"),
-                         (base + F.col("gain") + F.col("n_kept") * shift).alias("score"))
-
-
-class _Shared:
-    """A broadcast and a name by which a worker knows that it has mapped it."""
-
-    def __init__(self, sent, name: str) -> None:
-        self.sent, self.id = sent, name
 
-    @property
-    def value(self):
-        return self.sent.value
+    asked = dealt.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(
+        _ask(n_blocks, SPLIT), "order int, shard int, block int, once long, contexts binary, sizes binary, words binary, n binary")
+    answers = cut_lineage(asked.groupBy("order", "shard").applyInArrow(
+        _answer, "order int, shard int, block int, once long, twice long, counts binary, sums binary"), "grams")
+    few = {r["order"]: (r["once"], r["twice"]) for r in answers.groupBy("order").agg(F.sum("once").alias("once"), F.sum("twice").alias("twice")).collect()}
+    discounts = {k: few[k][0] / (few[k][0] + 2 * few[k][1]) if few.get(k, (0, 0))[0] else 0.5 for k in (2, 3)}
+
+    known = counts.select("block", F.lit(1).alias("order"), "word", "c").unionByName(
+        answers.select("block", "order", "shard", "counts", "sums"), allowMissingColumns=True)
+    scored = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+        _score(n_blocks, SPLIT, float(n + v + 1), discounts), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
+    base = F.col("log_counts") - F.col("n_tokens") * float(np.log10(n + v + 1))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

@@ -111,3 +111,43 @@ def test_awkward_rows_and_empty_tables(spark):
     assert L.score_texts(empty(spark), crc_bucket(7) == 2).count() == 0
     none = L.score_texts(docs, F.lit(True)).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0 and r["score"] == 0 for r in none)
+
+
+def brute_scores(rows):
+    """Scores by definition: all n-grams of all words that are there twice."""
+    train = [tokens(t) for i, t in rows if not held(i)]
+    count = [Counter(tuple(w[i:i + k]) for w in train for i in range(len(w) - k + 1)) for k in (1, 2, 3)]
+    total = sum(count[0].values()) + len(count[0]) + 1
+    d, under, seen = [0, 0, 0], [None, {}, {}], [None, Counter(), Counter()]
+    for k in (1, 2):
+        once, twice = (sum(c == x for c in count[k].values()) for x in (1, 2))
+        d[k] = once / (once + 2 * twice) if once else 0.5
+        for g, c in count[k].items():
+            seen[k][g[:-1]] += c
+            under[k][g[:-1]] = under[k].get(g[:-1], 0) + (c - d[k] if c >= 2 else 0)
+
+    def p(g):
+        k = len(g) - 1
+        if not k:
+            return (count[0][g] + 1) / total
+        n, h = count[k][g], max(seen[k][g[:-1]], 1)
+        return (n - d[k] if n >= 2 else 0) / h + max(1 - under[k].get(g[:-1], 0) / h, 1e-9) * p(g[1:])
+
+    return [(i, held(i), sum(math.log10(p(tuple(w[max(0, j - 2):j + 1]))) for j in range(len(w)))) for i, w in ((i, tokens(t)) for i, t in rows)]
+
+
+@pytest.mark.parametrize("split", [1 << 20, 40])
+def test_scores_match_brute_force_for_all_words(spark, monkeypatch, split):
+    """Also words below 1 in 10,000, and words whose bigrams are in several shards."""
+    r = np.random.default_rng(5)
+    rare = [f"r{i}" for i in range(9000)]
+    rows = []
+    for i in range(400):
+        w = [str(x) for x in r.zipf(1.5, 60) % 500]
+        at = int(r.integers(0, 4000))
+        rows.append((i, " ".join([*w, *rare[at:at + 20], *w[:5]])))
+    monkeypatch.setattr(L, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(L, "SPLIT", split)
+    got = L.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), crc_bucket(7) == 2).collect()
+    for a, b in zip(by_row(tuple(r[k] for k in ("doc_id", "held_out", "score")) for r in got), by_row(brute_scores(rows))):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-9)
