@@ -6,7 +6,10 @@ a Poisson process of that rate whose points fall on ``REGISTERS`` registers; a
 register keeps the element of its first point, and an element stops as soon as
 its next point comes after the latest first point of all registers (early
 termination). Two texts agree in a register with the probability Jaccard of
-their weighted shingles. ``BANDS`` bands of ``ROWS`` registers give the buckets.
+their weighted shingles. ``BANDS`` bands of ``ROWS`` registers give the buckets. A text
+with repeated shingles is also in the buckets of its shingle set (weights of 1, for which
+that probability is the Jaccard similarity of the sets), so that repetitions, however
+many, cannot keep a link out of common buckets.
 
 Texts with the same words are one node from the start, so copies are never
 paired. In each bucket every node is compared with one leader, not with all
@@ -115,17 +118,27 @@ def _nodes(h: np.ndarray, upto: np.ndarray) -> list[bytes | None]:
     return [both[i].tobytes() if k else None for i, k in enumerate(n.tolist())]
 
 
+def _bands(signature: np.ndarray) -> np.ndarray:
+    band = np.zeros((len(signature), BANDS), dtype=np.uint64)
+    for r in range(ROWS):
+        band = mix64(band * _STEP + signature[:, r::ROWS])
+    return mix64(band + np.arange(BANDS, dtype=np.uint64) * _SPOT).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, buf, offs in slices(batch.column(1), _SLICE):
             h, upto, (row, key), count = shingles(buf, offs)
             signature = probminhash(row, key, 1 + np.log(count), hi - lo)
-            band = np.zeros((hi - lo, BANDS), dtype=np.uint64)
-            for r in range(ROWS):
-                band = mix64(band * _STEP + signature[:, r::ROWS])
-            band = mix64(band + np.arange(BANDS, dtype=np.uint64) * _SPOT).view(np.int64)
+            bands = list(_bands(signature))
+            row = row.astype(np.int64)
+            repeated = np.unique(row[count > 1])
+            own = np.isin(row, repeated)
+            plain = _bands(probminhash(np.searchsorted(repeated, row[own]), key[own], np.ones(own.sum()), len(repeated)))
+            for i, b in zip(repeated.tolist(), plain):
+                bands[i] = np.unique(np.concatenate((bands[i], b)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), pa.array(_nodes(h, upto), type=pa.binary()), pa.array(list(band), type=pa.list_(pa.int64()))],
+                [batch.column(0).slice(lo, hi - lo), pa.array(_nodes(h, upto), type=pa.binary()), pa.array(bands, type=pa.list_(pa.int64()))],
                 names=["doc_id", "node", "bands"])
 
 

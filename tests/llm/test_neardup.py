@@ -122,6 +122,17 @@ def test_a_bucket_is_compared_until_nothing_is_open(spark, monkeypatch):
     assert classes(spark, rows) == brute(rows)
 
 
+def test_repeated_passages_do_not_hide_links(spark):
+    """A text and the same with a passage repeated many times: sets 0.8 alike, weighted shingles 0.45."""
+    rows = []
+    for k in range(80):
+        text = [f"p{k}_{i}" for i in range(104)]
+        advert = [f"a{k}_{i}" for i in range(20)] * 50
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text + advert))]
+    got = classes(spark, rows)
+    assert got == brute(rows) and len({c for _, c in got}) == 80
+
+
 def test_awkward_rows_and_empty_tables(spark):
     rows = awkward_rows()
     got = N.near_duplicate_classes(awkward(spark)).select("doc_id", "class_id")
