@@ -1,9 +1,9 @@
 """Secret scans (operator 9) in DataFrame functions only: fixed patterns and a randomness test battery.
 
 Base spans come from three patterns. The method adds spans of kind ``random``:
-runs of 20 or more characters of ``[A-Za-z0-9+/=_-]`` with a letter and a digit
-are candidates. For each, the encoding is inferred (hex, base32 or base64) and
-its symbols, as numbers, go through three tests of being drawn uniformly and
+runs of 20 or more characters of ``[A-Za-z0-9+/=_-]`` with a letter and two of the
+classes lower, upper and digit are candidates. For each, the encoding is inferred
+(hex, base32, base36 of one case, base62 or base64) and its symbols, as numbers, go through three tests of being drawn uniformly and
 independently: chi-squared over the alphabet, runs above and below the middle,
 and serial correlation at lag one. A candidate that one of them rejects (level
 ``BATTERY_LEVEL``, Bonferroni over the three) is not random.
@@ -31,7 +31,7 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 )
-CANDIDATE = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]*[0-9])(?=[0-9+/=_-]*[A-Za-z])[A-Za-z0-9+/=_-]{20,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/=_-])(?=[0-9+/=_-]*[A-Za-z])(?=[a-z+/=_-]*[A-Z0-9])(?=[A-Z+/=_-]*[a-z0-9])[A-Za-z0-9+/=_-]{20,}"
 BATTERY_LEVEL = 0.001
 FDR = 0.001
 STAY = 0.9
@@ -141,7 +141,7 @@ def _evidence(x: Column) -> Column:
 
     def step(a: Column, k: Column) -> Column:
         # to and from signs a written word has no preference, so they say nothing
-        others = F.when(x["k"] == 64, 2.0).otherwise(1.0)
+        others = F.when(x["k"] >= 62, 2.0).otherwise(1.0)
         written = F.when((a["last"] == 3) & (k < 4) & (k > 1), 0.45).when(a["last"] == k, STAY).otherwise((1 - STAY) / others)
         gain = F.when((k == 0) | (a["last"] <= 0), 0.0).otherwise(F.log(share(k) / written))
         return F.struct(k.alias("last"), (a["sum"] + gain).alias("sum"))
@@ -152,6 +152,7 @@ def _evidence(x: Column) -> Column:
 
 _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
 _HEX = "0123456789abcdef"
 
 
@@ -161,9 +162,10 @@ def _judged(text: Column, spans: Column) -> Column:
         F.substr(text, s["start"] + 1, s["end"] - s["start"]), "=", "").alias("raw")))
     tokens = _also(
         tokens,
-        k=lambda x: F.when(x["raw"].rlike("^([0-9a-f]+|[0-9A-F]+)$"), 16.0).when(x["raw"].rlike("^[A-Z2-7]+$"), 32.0).otherwise(64.0),
-        symbols=lambda x: F.when(x["k"] == 16, F.lower(x["raw"])).otherwise(F.translate(x["raw"], "-_", "+/")),
-        alphabet=lambda x: F.when(x["k"] == 16, _HEX).when(x["k"] == 32, _BASE32).otherwise(_BASE64),
+        k=lambda x: F.when(x["raw"].rlike("^([0-9a-f]+|[0-9A-F]+)$"), 16.0).when(x["raw"].rlike("^[A-Z2-7]+$"), 32.0)
+        .when(x["raw"].rlike("^([0-9a-z]+|[0-9A-Z]+)$"), 36.0).when(x["raw"].rlike("^[0-9A-Za-z]+$"), 62.0).otherwise(64.0),
+        symbols=lambda x: F.when(x["k"].isin(16.0, 36.0), F.lower(x["raw"])).otherwise(F.translate(x["raw"], "-_", "+/")),
+        alphabet=lambda x: F.when(x["k"] == 16, _HEX).when(x["k"] == 32, _BASE32).when(x["k"] == 36, _BASE36).otherwise(_BASE64),  # base62 is the first 62 of it
         codes=lambda x: F.transform(_characters(x["symbols"]), lambda c: F.instr(x["alphabet"], c) - 1))
     return F.transform(_also(_battery(tokens), e=_evidence), lambda x: F.struct(x["span"].alias("span"), x["n"].alias("n"), x["p"].alias("p"), x["e"].alias("e")))
 

@@ -45,6 +45,27 @@ def test_randomness_battery(spark):
     assert sum(x == "random:2:32" for x in mixed) > 54
 
 
+def test_every_alphabet_at_every_length(spark):
+    r = random.Random(6)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    kinds = {"hex": "0123456789abcdef", "base32": up + "234567", "lower36": low + digits, "upper36": up + digits, "base62": low + up + digits, "base64": low + up + digits + "+/"}
+    rows = [((a, n, i), f"v {''.join(r.choices(s, k=n))} end") for a, s in kinds.items() for n in (20, 32, 64, 96, 128) for i in range(50)]
+    rows += [(("letters", n, i), f"v {''.join(r.choices(low + up, k=n))} end") for n in (32, 64) for i in range(50)]  # no digit
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    found = dict(listed(S.find_secrets(docs), "spans"))
+    share = {}
+    for i, ((a, n, _), _) in enumerate(rows):
+        share[a, n] = share.get((a, n), 0) + (f":2:{n + 2}" in found[i]) / 50
+    assert all(x >= (0.4 if n == 20 else 0.6 if a == "letters" and n == 32 else 0.75 if n == 32 else 0.9) for (a, n), x in share.items()), sorted(share.items(), key=lambda x: x[1])[:12]
+
+
+def test_words_with_numbers_are_no_secrets(spark):
+    words = ["INTERNATIONALIZATION2018GUIDE", "internationalization2018guide", "someveryLongCamelCaseIdentifierName", "getUserByIdFromTableWithName",
+             "JavaScriptFrameworkComparison", "summerolympicgames2028losangeles", "ORDERCONFIRMATION20190801", "/docs/TheQuickBrownFox/JumpsOverTheLazyDog"]
+    docs = spark.createDataFrame([(i, f"see {w} now") for i, w in enumerate(words)], "doc_id long, text string")
+    assert {words[i]: x for i, x in listed(S.find_secrets(docs), "spans") if x} == {}
+
+
 def test_no_python_in_the_plan(spark):
     plan = S.find_secrets(awkward(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
