@@ -3,13 +3,14 @@
 A page is read once into text blocks, each with its root-to-leaf path of block
 tags (with class names) and its link characters. Blocks inside elements that
 never hold the article (navigation, page headers and footers, sidebars, forms,
-adverts, notices, comments, by tag, role or class word) are set aside.
+adverts, notices, comments, by tag, role or class name) are set aside, however much text
+they hold; of those known by a class name, wrappers of an article, main or h1 element stay.
 
 For the others, text length and punctuation are added up for each path and
 divided by the path's blocks: the two tag-path ratios. Both are smoothed over the
 neighbouring blocks with a Gaussian kernel, fused as a product, and blocks whose
 fused value reaches ``SHARE`` of the page's mean are content. The content node is
-found from the body downwards: the walk goes into a child while that child holds
+the only article element, or the only one with an h1; else it is found from the body downwards: the walk goes into a child while that child holds
 ``DESCEND`` of the content (by its tag), and stops at an article or where a heading would be
 lost. All blocks of that node are the text, but those set aside and lists of links.
 
@@ -37,8 +38,6 @@ SHARE = 0.2
 DESCEND = {"": 0.7, "article": 0.5, "main": 0.5}
 SMOOTH = (0.25, 0.5, 0.25)
 LINKS = 0.8
-#: An element set aside by a class word holds less than this share of the page's text.
-MOST_ASIDE = 0.75
 
 # Element names and class words.
 BLOCKS = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
@@ -51,6 +50,9 @@ ASIDE_WORDS = set("""ad ads adv advert adverts advertisement advertising adsbygo
 navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside footer masthead topbar comment comments disqus reply
 replies respond cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup
 share sharing social related recommended recommendations widget pagination pager toolbar login search skip hidden""".split())
+#: Words that may stand beside those in a class name; any other ('has-sidebar') says that it is something else.
+BESIDE_WORDS = set("""area bar block body bottom box btn button buttons container content footer form group header icons id inner item items
+left link links list main menu outer page post posts primary right row secondary section site slot thread top unit user wrap wrapper""".split())
 PAGE_HEADER = {"header"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = BLOCKS - set("p h1 h2 h3 h4 h5 h6 li dd dt td th pre figcaption legend summary caption title hr".split())
@@ -76,13 +78,21 @@ class Node:
     path: int  # hash of the tags and class names from the root to here
     parent: Node | None
     inside: bool = False  # an article or main element, or in one
-    aside: int = 0  # 1: by tag, 2: by class word
+    aside: int = 0  # 1: by tag, 2: by class name
+    holds: bool = False  # an article, main or h1 element that is not set aside itself
     children: list[Node] = field(default_factory=list)
     chars: int = 0
     content: int = 0
     headings: int = 0
+    h1: int = 0
     out: bool = False
 
+    def inside_article(self) -> bool:
+        node = self
+        while node is not None and node.tag != "article":
+            node = node.parent
+        return node is not None
+
 
 @dataclass
 class Block:
@@ -98,10 +108,14 @@ def _aside(tag: str, attributes: dict[str, str], inside: bool) -> int:
         return 1
     if tag in PAGE_HEADER and not inside:
         return 1
-    if tag in ("html", "body", "main", "article"):
+    if tag in ("html", "body", "main"):
         return 0
-    words = {w.lower() for k in ("class", "id") for w in _CLASS_WORD.findall(attributes.get(k, ""))}
-    return 2 if words & ASIDE_WORDS or (not inside and words & PAGE_HEADER) else 0
+    own = ASIDE_WORDS if inside else ASIDE_WORDS | PAGE_HEADER
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = {w.lower() for w in _CLASS_WORD.findall(name)}
+        if words & own and words <= own | BESIDE_WORDS:
+            return 2
+    return 0
 
 
 def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
@@ -189,13 +203,15 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     nodes, blocks = read_blocks(page)
-    total = sum(len(b.text) for b in blocks) or 1
     for b in blocks:
         b.node.chars += len(b.text)
     for n in reversed(nodes[1:]):
         n.parent.chars += n.chars
+    for n in reversed(nodes[1:]):
+        n.holds = n.chars > 0 and (n.holds or n.tag in ("article", "main", "h1")) and n.aside != 1 and not (n.aside == 2 and n.tag == "article")
+        n.parent.holds |= n.holds
     for n in nodes[1:]:
-        n.out = n.parent.out or n.aside == 1 or (n.aside == 2 and n.chars < MOST_ASIDE * total)
+        n.out = n.parent.out or n.aside == 1 or (n.aside == 2 and (not n.holds or n.tag == "article"))
     blocks = [b for b in blocks if not b.node.out]
     paths: dict[int, list[Block]] = {}
     for b in blocks:
@@ -211,10 +227,16 @@ def extract(page: str | None) -> str:
     for b, chosen in zip(blocks, content):
         b.node.content += len(b.text) if chosen else 0
         b.node.headings += b.node.tag in ("h1", "h2")
+        b.node.h1 += b.node.tag == "h1"
     for n in reversed(nodes[1:]):
         n.parent.content += n.content
         n.parent.headings += n.headings
-    node = nodes[0]
+        n.parent.h1 += n.h1
+    articles = [n for n in nodes if n.tag == "article" and not n.out and n.chars and not n.parent.inside_article()]
+    headed = [n for n in articles if n.h1]
+    # the only article, or the only one with an h1, comes before any share
+    chosen = articles if len(articles) == 1 else headed
+    node = chosen[0] if len(chosen) == 1 else nodes[0]
     while node.tag != "article":
         child = max(node.children, key=lambda n: n.content, default=None)
         if child is None or child.tag not in CONTAINERS or child.content < DESCEND.get(child.tag, DESCEND[""]) * node.content or not child.content:

@@ -32,6 +32,17 @@ def test_article_is_preferred_and_its_header_stays():
     assert H.extract(page) == "Head\nLong text, with words. More."
 
 
+def test_asides_of_any_size_and_wrappers():
+    short, thread = "<p>Short text, of the article.</p>", "<p>A long comment, with many words. And more.</p>" * 60
+    assert H.extract(f"<body><article>{short}</article><div id=comments>{thread}</div></body>") == "Short text, of the article."
+    assert H.extract(f"<body><div class=post-text>{short}</div><div class='comment-list'>{thread}</div></body>") == "Short text, of the article."
+    assert H.extract(f"<body><article>{short}</article><div class=zone>{thread}</div></body>") == "Short text, of the article."
+    other = "<p>Other text, elsewhere.</p>" * 2
+    for name in ("has-sidebar", "no-sidebar"):
+        assert H.extract(f"<body><div class={name}><div>{short * 9}</div></div><div>{other}</div></body>").startswith("Short text")
+    assert H.extract(f"<body><div class=sidebar><article>{short}</article></div><div>{thread}</div></body>") == "Short text, of the article."
+
+
 def test_generated_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     rows = H.extract_pages(pages).collect()
