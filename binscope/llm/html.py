@@ -16,7 +16,8 @@ lost. All blocks of that node are the text, but those set aside and lists of lin
 
 Defined results: null and empty pages, and pages without text, give an empty
 text; unclosed and stray tags are closed as browsers do it for paragraphs, list
-items and cells; an unclosed comment or script runs to the end of the page;
+items and cells; an unclosed comment, script, style, textarea or template runs to the end
+of the page; other skipped elements (button, video) that are not closed end with their parent;
 repeated rows are extracted each.
 """
 
@@ -43,7 +44,8 @@ LINKS = 0.8
 BLOCKS = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th
 thead title tr ul caption""".split())
-SKIPPED = "script style noscript template textarea select button iframe svg math object canvas audio video datalist".split()
+RAW = "script style textarea template".split()  # to their end tag, or the end of the page
+SKIPPED = "noscript select button iframe svg math object canvas audio video datalist".split()
 ASIDE_TAGS = {"nav", "aside", "footer", "form", "menu", "dialog", "head", "title"}
 ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 ASIDE_WORDS = set("""ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner nav
@@ -63,9 +65,9 @@ CLOSES = {
     "tbody": ({"thead", "tbody"}, {"table"}), "tfoot": ({"tbody"}, {"table"}),
 }
 
-_SKIP = "|".join(SKIPPED)
+_SKIP_END = re.compile(rf"</({'|'.join(SKIPPED)})\s*>", re.I)
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_SKIP})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*|/)?)>",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*|/)?)>",
     re.S | re.I)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -79,6 +81,8 @@ class Node:
     parent: Node | None
     inside: bool = False  # an article or main element, or in one
     aside: int = 0  # 1: by tag, 2: by class name
+    outer: Node | None = None  # in a skipped element: the element around that
+    ended: bool = False  # a skipped element with an end tag
     holds: bool = False  # an article, main or h1 element that is not set aside itself
     children: list[Node] = field(default_factory=list)
     chars: int = 0
@@ -123,26 +127,27 @@ def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
     root = Node("", 0, None)
     nodes, at, blocks, parts, links, anchors = [root], root, [], [], 0, 0
 
-    def flush() -> None:
+    def flush(to: Node) -> None:
         nonlocal parts, links
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                blocks.append(Block(at, text, min(links, len(text))))
+                blocks.append(Block(to, text, min(links, len(text))))
             parts, links = [], 0
 
     def close(tags: set[str], until: set[str]) -> None:
         nonlocal at
         node = at
-        while node is not root and node.tag not in until:
+        while node is not root and node.tag not in until and not node.ended:
             if node.tag in tags:
                 at = node.parent
                 return
             node = node.parent
 
+    ends = {m[1].lower(): m.start() for m in _SKIP_END.finditer(page)}  # the last of each
     place, seen = 0, set()
     for m in _TOKEN.finditer(page):
-        if m.start() > place:
+        if m.start() > place and at.outer is None:
             piece = page[place:m.start()]
             parts.append(piece)
             links += len(piece) if anchors else 0
@@ -152,11 +157,24 @@ def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
             continue
         if tag == "a":
             anchors = 0 if m["end"] else 1
-        if tag == "br":
+        if tag == "br" and at.outer is None:
             parts.append(" ")
+        if tag in SKIPPED:  # in the line: the text around it stays one block
+            node = at
+            if not m["end"] and not m["rest"].endswith("/"):
+                at = Node(tag, at.path, at, at.inside, 1, at.outer or at, ends.get(tag, -1) >= m.end())
+                node.children.append(at)
+                nodes.append(at)
+            elif m["end"]:
+                while node is not root and node.tag != tag:
+                    node = node.parent
+                at = node.parent if node is not root and node.outer is not None else at
+            continue
         if tag not in BLOCKS:
             continue
-        flush()
+        around = at.outer
+        if around is None:
+            flush(at)
         anchors = 0
         if m["end"]:
             node = at
@@ -164,6 +182,8 @@ def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
                 node = node.parent
             if node is not root and tag not in ("html", "body"):
                 at = node.parent
+            if around is not None and at.outer is None:
+                flush(around)
             continue
         if tag in ("html", "body"):
             if tag in seen:
@@ -175,18 +195,21 @@ def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
             close(*CLOSES[tag])
         if tag == "body":
             close({"head"}, {"html"})
+        if around is not None and at.outer is None:
+            flush(around)
         if tag == "hr":
             continue
         attributes = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(m["rest"] or "")}
         inside = at.inside or tag in ("article", "main")
         path = hash((at.path, tag, *sorted(attributes.get("class", "").split())))
-        new = Node(tag, path, at, inside, _aside(tag, attributes, at.inside))
+        new = Node(tag, path, at, inside, _aside(tag, attributes, at.inside), at.outer)
         at.children.append(new)
         nodes.append(new)
         if not m["rest"].endswith("/"):
             at = new
-    parts.append(page[place:])
-    flush()
+    if at.outer is None:
+        parts.append(page[place:])
+    flush(at.outer or at)
     return nodes, blocks
 
 

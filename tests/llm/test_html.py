@@ -43,6 +43,15 @@ def test_asides_of_any_size_and_wrappers():
     assert H.extract(f"<body><div class=sidebar><article>{short}</article></div><div>{thread}</div></body>") == "Short text, of the article."
 
 
+def test_skipped_elements_end_with_their_parent():
+    for tag in ("video-player", "svg-icon", "button-group", "object-x"):
+        assert H.extract(f"<body><p>Before, one.</p><{tag}></{tag}><p>After, two.</p></body>") == "Before, one.\nAfter, two."
+    for tag in ("button", "select", "iframe", "object", "canvas", "audio"):
+        assert H.extract(f"<body><div><p>Before, one.</p><div><{tag}>x</div><p>After, two.</p></div></body>") == "Before, one.\nAfter, two."
+        assert H.extract(f"<body><p>Before, one <{tag}>x<p>After, two.</p></body>") == "Before, one\nAfter, two."
+    assert H.extract("<body><p>One <button>x<p>y</p></button>two.</p><svg><title>z</title></svg><noscript><p>no</p></noscript></body>") == "One two."
+
+
 def test_generated_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     rows = H.extract_pages(pages).collect()
