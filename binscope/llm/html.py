@@ -12,7 +12,7 @@ neighbouring blocks with a Gaussian kernel, fused as a product, and blocks whose
 fused value reaches ``SHARE`` of the page's mean are content. The content node is
 the only article element, or the only one with an h1; else it is found from the body downwards: the walk goes into a child while that child holds
 ``DESCEND`` of the content (by its tag), and stops at an article or where a heading would be
-lost. All blocks of that node are the text, but those set aside and lists of links.
+lost. All blocks of that node are the text, but those set aside and, outside article and main elements, lists of links.
 
 Defined results: null and empty pages, and pages without text, give an empty
 text; unclosed and stray tags are closed as browsers do it for paragraphs, list
@@ -240,7 +240,7 @@ def extract(page: str | None) -> str:
     for b in blocks:
         paths.setdefault(b.node.path, []).append(b)
     linked = {p for p, bs in paths.items() if bs[0].node.tag in ("li", "div", "td", "dd", "ul") and sum(b.links for b in bs) >= LINKS * sum(len(b.text) for b in bs)}
-    blocks = [b for b in blocks if b.node.path not in linked]
+    blocks = [b for b in blocks if b.node.inside or b.node.path not in linked]
     if not blocks:
         return ""
     length = {p: sum(len(b.text) - b.links for b in bs) / len(bs) for p, bs in paths.items()}

@@ -52,6 +52,12 @@ def test_skipped_elements_end_with_their_parent():
     assert H.extract("<body><p>One <button>x<p>y</p></button>two.</p><svg><title>z</title></svg><noscript><p>no</p></noscript></body>") == "One two."
 
 
+def test_lists_of_links_in_an_article_stay():
+    links = "<ul><li><a href=1>Source one</a><li><a href=2>Source two</a></ul>"
+    page = f"<body>{links}<article><h1>Head</h1><p>Text, with words.</p>{links}</article>{links}</body>"
+    assert H.extract(page) == "Head\nText, with words.\nSource one\nSource two"
+
+
 def test_generated_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     rows = H.extract_pages(pages).collect()
