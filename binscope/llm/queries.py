@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binscope.llm import decontaminate, html, language, lm, neardup, pieces, quality, secrets, suffixes, toxicity
+from binscope.llm import (decontaminate, html, language, lm, neardup, periodic, pieces, quality, secrets, spelling, suffixes, token_counts,
+                          toxicity)
 from binscope.llm.text import crc_bucket
 from binscope.session import ensure_checkpoint_dir, table_path
 
@@ -172,3 +173,105 @@ FROM d LEFT JOIN kept USING (r)"""
 @query
 def op3_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"), crc_bucket(7) == 2)
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(docs, change=spelling.drop_one)
+
+
+# crc32 in SQL: a step of the register for one byte, and the table that its rule gives.
+_CRC_TABLE = """crc AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    octets = f"list_transform(range(strlen({text})), lambda i: CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS INT), 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295)"
+
+
+# Near words by the strings that they become without one code point.
+ORACLE["op11_spelling_variants"] = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+run AS (
+  SELECT id, run, count(*) AS k FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text,
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc32("(id || ':' || run)")} AS h FROM run, crc),
+changed AS (
+  SELECT k, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) + 2 AS INT))
+    ELSE run END AS word FROM hashed),
+word AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM changed WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, CAST(i - 1 AS INT)) || substr(word, CAST(i + 1 AS INT)) AS s
+         FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)),
+pair AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.s = b.s AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN word b ON a.s = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN word b ON a.s = b.word),
+about AS (SELECT word, count(*) AS n_near, max(near_n) AS top FROM pair GROUP BY word),
+best AS (SELECT p.word, min(near) AS form, min(top) AS form_n FROM pair p JOIN about a ON p.word = a.word AND near_n = top
+         WHERE near_n >= 5 * n GROUP BY p.word),
+chain AS (SELECT word, word AS root, 0 AS d FROM word
+          UNION ALL SELECT chain.word, best.form, d + 1 FROM chain JOIN best ON chain.root = best.word),
+root AS (SELECT word, arg_max(root, d) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, form_n
+FROM word JOIN root USING (word) LEFT JOIN about USING (word) LEFT JOIN best USING (word)"""
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.find_runs(docs, keep=["doc_id"], loop=periodic.planted_loop)
+    runs = F.col("_periodic.runs")
+    ranked = F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    longest = F.when(F.size(runs) > 0, F.array_max(ranked))
+    listed = F.transform(runs, lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+
+    def digest(text: Column) -> Column:
+        return F.sha2(text.cast("binary"), 256)
+
+    return found.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), (-longest["s"]).alias("start"), longest["length"].alias("length"),
+        (-longest["p"]).alias("period"), F.floor(1000 * longest["length"] / -longest["p"]).alias("exponent_milli"),
+        digest(F.array_join(listed, "")).alias("runs_sha256"), digest(F.col("_periodic.collapsed")).alias("collapsed_sha256"))
+
+
+# Runs by definition: places whose word is the same q words further on, consecutive ones merged, the least q of each stretch.
+ORACLE["op12_periodic_runs"] = rf"""
+WITH {_CRC_TABLE},
+split AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws,
+    {_crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h FROM documents, crc),
+loop AS (
+  SELECT r, doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS looped,
+    CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a, 3 + (h // 10) % 8 AS parts FROM split),
+doc AS (
+  SELECT r, doc_id, CASE WHEN looped THEN list_transform(range(n),
+    lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END + 1]) ELSE ws END AS ws FROM loop),
+place AS (SELECT r, unnest(range(len(ws))) AS i, unnest(ws) AS w FROM doc),
+same AS (SELECT x.r, x.i, y.i - x.i AS q FROM place x JOIN place y ON x.r = y.r AND x.w = y.w AND x.i < y.i),
+island AS (SELECT r, q, min(i) AS start, max(i) + 1 - min(i) + q AS length
+           FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM same) GROUP BY r, q, g),
+run AS (SELECT r, start, length, min(q) AS q FROM island WHERE length >= greatest(12, 2 * q) GROUP BY r, start, length),
+listed AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS l,
+             arg_max(struct_pack(start, length, q), struct_pack(length, b := -start, c := -q)) AS top FROM run GROUP BY r),
+dropped AS (SELECT DISTINCT r, i FROM (SELECT r, unnest(range(start + q, start + length)) AS i FROM run)),
+kept AS (SELECT r, string_agg(w, ' ' ORDER BY i) AS t FROM place ANTI JOIN dropped USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, top.start AS start, top.length AS length, top.q AS period,
+  CAST(1000 * top.length // top.q AS BIGINT) AS exponent_milli, sha256(coalesce(l, '')) AS runs_sha256,
+  sha256(coalesce(t, '')) AS collapsed_sha256
+FROM doc LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)"""
+
+
+#: Tokens that a document may have.
+TOKEN_LIMIT = 2048
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_counts.count_tokens(docs, tokenizer_path("word_bpe_49k.json"), keep=["doc_id"])
+    return found.select("doc_id", "_tokens.*", (F.col("_tokens.n_tokens") > TOKEN_LIMIT).alias("over_limit"))
