@@ -11,7 +11,8 @@ A place is stable if no token can reach across it, whatever stands before and be
 space, which the pre-tokeniser's pattern never matches; between ASCII characters of different class
 (letter, digit, other) and beside an ASCII digit, where every match of the pattern ends. Not behind an
 apostrophe, as its contractions depend on what is before it. An ASCII character composes with nothing before it,
-so normalising does not reach across either. A special string has such places inside, but the zone of the
+so normalising does not reach across either. For the same reason the library is asked once for each distinct
+piece between white space; a worker remembers its count. A special string has such places inside, but the zone of the
 marks is longer than any, so one of the two chunks has it whole, and no mark in it.
 
 So the count is that of the whole text: the tokens of the last chunk, and at each border what the left chunk
@@ -41,40 +42,96 @@ from binscope.session import cut_lineage
 CHUNK, OVERLAP = 1 << 14, 1 << 8
 #: Marks that a chunk gives for a border, the nearest ones.
 MARKS = 16
+#: Pieces whose counts a worker keeps.
+MEMO = 600_000
 #: How much wider the next overlap, and longer the next chunk, is.
 WIDER = 4
-
+_BLANK = re.compile(r"[ \t\n\x0b\x0c\r]")
 _SPACE, _OTHER = r" \t\n\x0b\x0c\r", r"!-/:-@\[-`{-~"
 _STABLE = re.compile(
     rf"(?<=[{_SPACE}])(?=.)|(?<=.)(?=[{_SPACE}])"
     rf"|(?<=[0-9])(?=[!-~])|(?<=[A-Za-z])(?=[0-9{_OTHER}])"
     rf"|(?<=[{_OTHER}])(?<!')(?=[0-9A-Za-z])", re.DOTALL)
 
-_TOKENIZERS: dict = {}
 
+class Encoder:
+    """The library's tokenizer of a file, for vocabularies that drop white space, and token counts of pieces
+    between white space, and of parts of them between stable places, that it has given."""
 
-def tokenizer(path: str):
-    """The library's tokenizer of a file, once for each worker and without threads of its own."""
-    if path not in _TOKENIZERS:
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path] = t = Tokenizer.from_file(path)
+        self.library = t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-    return _TOKENIZERS[path]
-
-
-def marks(text: str, starts: list[int], ends: list[int], ids: list[int], border: int, reach: int) -> list[dict]:
-    """The ``MARKS`` stable places nearest to ``border``, at most ``reach`` away, where a token ends and another
-    begins: place, tokens before it, ids of the tokens beside it."""
+        self.special = [a.content for a in t.get_added_tokens_decoder().values()]
+        if any(re.search(rf"[{_SPACE}]", x) for x in self.special):
+            raise ValueError("special strings with white space are not covered")
+        for probe in ("a b", " a  b ", "it's 12\nb2b, (c)-d e.", "x\t'\u0301s y"):
+            parts = [i for part in probe.split() for i in self.ids(part)]
+            if self.ids(probe) != parts or parts != [i for part in _STABLE.split(probe) for i in self.ids(part)]:
+                raise ValueError("tokens of this vocabulary reach across white space or classes of characters")
+        self.known: dict[bytes, int] = {}
+
+    def ids(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Counts of new pieces, all in one call of the library."""
+        parts = [[x] if any(a in x for a in self.special) else _STABLE.split(x) for x in (p.decode() for p in pieces)]
+        known = self.known
+        new = [x for x in {x for own in parts for x in own} if x.encode() not in known]
+        counts = {x: len(e) for x, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False))}
+        for piece, own in zip(pieces, parts):
+            known[piece] = sum([counts[x] if x in counts else known[x.encode()] for x in own])
+        known.update((x.encode(), n) for x, n in counts.items())
+
+    def count(self, texts: list[str]) -> list[int]:
+        """Number of tokens of each text."""
+        split = [t.encode().split() for t in texts]  # by the six ASCII white-space characters
+        known = self.known
+        new = [p for p in set().union(*split) if p not in known]
+        before = len(known)
+        if new:
+            self._learn(new)
+        out = [sum(map(known.__getitem__, words)) for words in split]
+        for _ in range(max(0, len(known) - max(before, MEMO))):
+            known.popitem()  # the latest first: frequent pieces come early
+        return out
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder for each worker and file."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
+def _spaced(text: str, lo: int, hi: int) -> tuple[int, int]:
+    """The least range around [lo, hi) that begins and ends at white space or at an end of the text."""
+    before = max(text.rfind(c, 0, lo) for c in " \t\n\x0b\x0c\r")
+    behind = _BLANK.search(text, hi)
+    return before + 1, behind.start() if behind else len(text)
+
+
+def marks(e: Encoder, text: str, border: int, reach: int) -> list[dict]:
+    """The ``MARKS`` stable places nearest to ``border``, less than ``reach`` away, where a token ends and another
+    begins: place, tokens of the text before it, ids of the tokens beside it."""
     lo, hi = max(0, border - reach), min(len(text), border + reach)
+    begin, end = _spaced(text, lo, hi)
+    found = e.library.encode(text[begin:end], add_special_tokens=False)
+    ids, starts, ends = found.ids, [begin + a for a, _ in found.offsets], [begin + b for _, b in found.offsets]
+    earlier = e.count([text[:begin]])[0]
     out = []
-    near = sorted((abs(x - border), x) for x in (m.start() for m in _STABLE.finditer(text, max(0, lo - 1), min(len(text), hi + 1))) if lo < x < hi)
-    for _, x in near:
+    places = (m.start() for m in _STABLE.finditer(text, max(0, lo - 1), min(len(text), hi + 1)))
+    for _, x in sorted((abs(x - border), x) for x in places if lo < x < hi):
         n = bisect.bisect_left(starts, x)
         if 0 < n < len(ids) and ends[n - 1] <= x:
-            out.append({"place": x, "n": n, "before": ids[n - 1], "behind": ids[n]})
+            out.append({"place": x, "n": earlier + n, "before": ids[n - 1], "behind": ids[n]})
             if len(out) == MARKS:
                 break
     return out
@@ -83,7 +140,7 @@ def marks(text: str, starts: list[int], ends: list[int], ids: list[int], border:
 def _first(path: str, text: str, names: list[str], chunk: int):
     """Adds bytes, tokens of texts of up to ``chunk`` code points, and a key and the text of longer ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizer(path)
+        e = encoder(path)
         for batch in batches:
             cols = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
             column = text_column(cols[text])
@@ -96,7 +153,7 @@ def _first(path: str, text: str, names: list[str], chunk: int):
                 part = column.slice(at, end - at)
                 texts = part.to_pylist()
                 short = [len(x) <= chunk for x in texts]
-                counts = iter([len(e) for e in t.encode_batch_fast([x for x, s in zip(texts, short) if s], add_special_tokens=False)])
+                counts = iter(e.count([x for x, s in zip(texts, short) if s]))
                 own = {k: c.slice(at, end - at) for k, c in cols.items()}
                 own["__n_bytes"] = pc.binary_length(part).cast(pa.int64())
                 own["__n_tokens"] = pa.array([next(counts) if s else None for s in short], pa.int64())
@@ -132,21 +189,18 @@ def _encode(path: str, chunk: int, overlap: int):
     kind = pa.list_(pa.struct([(k, pa.int64()) for k in ("place", "n", "before", "behind")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizer(path)
+        e = encoder(path)
         for batch in batches:
             rows: list[tuple] = []
             for key, seq, last, begin, text in zip(*[c.to_pylist() for c in batch.columns[:4]], batch.column(4)):
                 text = text.as_py()
-                found = t.encode(text, add_special_tokens=False)
-                ids = found.ids
-                starts, ends = [a for a, _ in found.offsets], [b for _, b in found.offsets]
                 for border, on_left in ((seq, False), (seq + 1, True)):
                     if border == 0 or (on_left and last):
                         continue
-                    own = marks(text, starts, ends, ids, border * chunk - begin, overlap)
+                    own = marks(e, text, border * chunk - begin, overlap)
                     rows.append((key, border, on_left, [m | {"place": m["place"] + begin} for m in own], None))
                 if last:
-                    rows.append((key, None, None, None, len(ids)))
+                    rows.append((key, None, None, None, e.count([text])[0]))
             columns = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.bool_(), kind, pa.int64()))],
                                              names=["key", "border", "on_left", "marks", "n"])
@@ -173,7 +227,7 @@ def count_long(long_texts: DataFrame, path: str, chunk: int = CHUNK, overlap: in
     while True:
         chunks = long_texts.select("key", "text").mapInArrow(_cut(chunk, overlap), "key string, seq long, last boolean, begin long, text string")
         ends = chunks.repartition("key", "seq").mapInArrow(_encode(path, chunk, overlap), _ENDS)
-        found = cut_lineage(_splice(ends), "spliced")
+        found = cut_lineage(_splice(cut_lineage(ends, "ends")), "spliced")
         good = found.filter("aligned").select("key", "n_tokens")
         done = good if done is None else done.union(good)
         failed = found.filter("not aligned").select("key")
