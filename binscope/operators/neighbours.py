@@ -51,7 +51,8 @@ def distances(x: np.ndarray, y: np.ndarray, var: np.ndarray) -> np.ndarray:
 
 def _matrix(column) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.asarray(flat.flatten(), dtype=np.float64).reshape(len(flat), -1)
+    values = np.asarray(flat.flatten(), dtype=np.float64)
+    return values.reshape(len(flat), len(values) // len(flat) if len(flat) else 0)
 
 
 def _assign(pivots: dict, var: np.ndarray):
