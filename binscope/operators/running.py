@@ -2,20 +2,21 @@
 
 A window ``partitionBy(group).orderBy(score)`` puts every row of a group into a
 single task; at scale one model's distinct scores can number in the billions,
-and one stratum can hold a third of all rows. These helpers split each group
-into ranges of the order column, about ``ROWS_PER_BUCKET`` rows each and as many
-as the group's size asks for, with boundaries from ``percentile_approx`` (one
-row a group). They compute bucket totals and their exclusive prefix (a window
-over groups x buckets), then run the window inside each (group, bucket). The
-result is exact: the buckets only decide which task does the work, never which
-rows are counted.
-
-The input is written once to the shared checkpoint folder, so that its sizes,
-bounds, totals and rows come from one computation, and so is the bounds table:
-``percentile_approx`` depends on the order in which rows arrive, and every
-branch of the plan, and every recomputation after an executor loss, must see
-the same buckets. All sizes take the same path, and joins are left to Spark,
-which broadcasts a side only if its bytes allow it.
+and one stratum can hold a third of all rows. Here the rows are dealt once by a
+range exchange on (group, order): Spark samples its bounds, and every task gets
+one contiguous range of all groups' rows, whatever their sizes. Sorted there,
+they are numbered in passing and written to the shared checkpoint folder; the
+number divided by ``ROWS_PER_BUCKET`` is the bucket. So a row finds its bucket by
+where the exchange put it: no table of bounds, no search and no array in a row, and
+a group may have any number of buckets. Bucket totals and their exclusive prefix
+(a window over groups x buckets) are the offsets; the window then runs inside
+each (group, bucket). The result is exact: the buckets only decide which task
+does the work, never which rows are counted.
+
+The numbers are drawn once, before the table is written, so every branch of the
+plan, and every recomputation after an executor loss, sees the same buckets. All sizes
+take the same path, and joins are left to Spark, which broadcasts a side only if
+its bytes allow it.
 """
 
 from __future__ import annotations
@@ -28,23 +29,6 @@ from binscope.session import cut_lineage
 DEFAULT_BUCKETS = None  # as many as the largest group needs
 
 
-def bucket_of(x: Column, bounds: Column, m: int) -> Column:
-    """Number of the sorted ``bounds``, ``m`` at most, that are below ``x``.
-
-    Up to 255 bounds this is a binary search unrolled into nested CASE WHEN on
-    array elements (log2(m) comparisons per row in whole-stage codegen); beyond
-    that the unrolled tree would be larger than what it saves."""
-    if m > 255:
-        return F.size(F.filter(bounds, lambda b: b < x))
-
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(x > F.get(bounds, F.lit(mid - 1)), node(mid, hi)).otherwise(node(lo, mid - 1))
-    return node(0, m)
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner",
                    broadcast: bool = False) -> DataFrame:
     """Equi-join on ``cols`` where NULL matches NULL (group values may be missing)."""
@@ -60,28 +44,19 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_j{i}" for i in range(len(cols))])
 
 
-ROWS_PER_BUCKET = 1_000_000  # rows of one (group, bucket), about
+ROWS_PER_BUCKET = 1_000_000  # rows of one (group, bucket), at most
 
 
-def _materialized_bounds(base: DataFrame, grp: list[str], o: Column, n_buckets: int | None,
-                         extra: list[Column]) -> tuple[DataFrame, int]:
-    """Per-group bucket bounds ``_bounds`` (plus ``extra`` aggregates), written once,
-    and how many bounds a group has at most.
+def in_buckets(df: DataFrame, group_cols: list[str], order: list[Column], n_ranges: int | None = None) -> DataFrame:
+    """``df`` with ``_place`` (ascending by group and ``order``) and ``_bucket``, written once: each (group,
+    bucket) is one stretch of at most ``ROWS_PER_BUCKET`` rows of the group's order.
 
-    The largest group's size gives the number of quantiles; each group keeps as
-    many of them, evenly spaced, as its own size needs (a small group none).
-    ``n_buckets`` fixes the number for the largest group."""
-    sizes = base.groupBy(*grp).agg(F.count(F.lit(1)).alias("_gn"))
-    largest = sizes.agg(F.max("_gn")).first()[0] or 0  # one number
-    n = n_buckets or max(2, -(-largest // ROWS_PER_BUCKET))
-    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    cuts = base.groupBy(*grp).agg(F.percentile_approx(o, probs, 10 * n).alias("_all"),
-                                  F.count(F.lit(1)).alias("_gn"), *extra)
-    need = F.least(F.lit(n), F.ceil(F.col("_gn") / ROWS_PER_BUCKET)).cast("int")
-    places = F.when(need > 1, F.sequence(F.lit(1), need - 1)).otherwise(F.array().cast("array<int>"))
-    kept = F.transform(places, lambda j: F.get("_all", F.round(j * F.lit(n) / need).cast("int") - 1))
-    rest = [x for x in cuts.columns if x not in (*grp, "_all", "_gn")]
-    return cut_lineage(cuts.select(*grp, kept.alias("_bounds"), *rest), "bucket-bounds"), n - 1
+    ``order`` must tell the rows of a group apart. ``n_ranges`` fixes the number of tasks; by
+    default it is the session's number of shuffle partitions."""
+    by = [*map(F.col, group_cols), *order]
+    ranges = df.repartitionByRange(n_ranges, *by) if n_ranges else df.repartitionByRange(*by)
+    placed = ranges.sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id())
+    return cut_lineage(placed.withColumn("_bucket", F.expr(f"_place div {ROWS_PER_BUCKET}")), "buckets")
 
 
 def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
@@ -107,21 +82,15 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
                           *[F.sum(v).over(wt).alias(totals_prefix + v) for v in tot_cols])
         return out.drop("_g") if not keys else out
 
-    base = cut_lineage(base, "running")
-    bounds, m = _materialized_bounds(base, grp, o, n_buckets,
-                                     [F.sum(v).alias("_gt_" + v) for v in value_cols])
-    with_b = (null_safe_join(base, bounds, grp)
-              .withColumn("_bucket", bucket_of(o, F.col("_bounds"), m))
-              .drop("_bounds"))
+    with_b = in_buckets(base, grp, [o], n_buckets)
     totals = with_b.groupBy(*grp, "_bucket").agg(*[F.sum(v).alias("_t_" + v) for v in value_cols])
-    wb = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*grp, "_bucket", *[
-        F.coalesce(F.sum("_t_" + v).over(wb), F.lit(0)).alias("_o_" + v) for v in value_cols])
-    wr = (Window.partitionBy(*grp, "_bucket").orderBy(o)
-          .rowsBetween(Window.unboundedPreceding, 0))
-    keep = [c for c in with_b.columns if c != "_bucket" and not c.startswith("_gt_")]
+    whole = Window.partitionBy(*grp)
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*grp, "_bucket", *[F.coalesce(F.sum("_t_" + v).over(before), F.lit(0)).alias("_o_" + v) for v in value_cols],
+                            *[F.sum("_t_" + v).over(whole).alias("_gt_" + v) for v in tot_cols])
+    wr = Window.partitionBy(*grp, "_bucket").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     out = (null_safe_join(with_b, offsets, grp + ["_bucket"])
-           .select(*keep,
+           .select(*base.columns,
                    *[(F.sum(v).over(wr) + F.col("_o_" + v)).alias(prefix + v) for v in value_cols],
                    *[F.col("_gt_" + v).alias(totals_prefix + v) for v in tot_cols]))
     return out.drop("_g") if not keys else out
@@ -134,30 +103,24 @@ def rank_in_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
     one numeric; together unique within a group) plus the group size; also
     returns the group-size table.
 
-    Same bucketing as ``running_sums``: each group is cut into percentile
-    ranges of the first order column, rows are counted per (group, bucket),
-    and the rank is the bucket's offset plus ``row_number`` inside the
-    (group, bucket), so a group holding a third of the rows is spread over many
-    tasks. NULL group values form a group of their own.
+    Same bucketing as ``running_sums``: a range exchange deals the rows, they are
+    counted per (group, bucket), and the rank is the bucket's offset plus
+    ``row_number`` inside the (group, bucket), so a group holding a third of the
+    rows is spread over many tasks. NULL group values form a group of their own.
     """
     grp = list(group_cols) if group_cols else ["_g"]
     base = df if group_cols else df.withColumn("_g", F.lit(0))
-    o = F.col(order_cols[0])
-    base = cut_lineage(base, "ranked")
-    bounds, m = _materialized_bounds(base, grp, o, n_buckets,
-                                     [F.count(F.lit(1)).alias(size)])
-    with_b = (null_safe_join(base, bounds, grp)
-              .withColumn("_bucket", bucket_of(o, F.col("_bounds"), m))
-              .drop("_bounds"))
+    with_b = in_buckets(base, grp, [F.col(n) for n in order_cols], n_buckets)
     counts = with_b.groupBy(*grp, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
-    wb = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*grp, "_bucket",
-                            F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_off"))
-    wr = Window.partitionBy(*grp, "_bucket").orderBy(*order_cols)
-    ranked = (null_safe_join(with_b, offsets, grp + ["_bucket"])
+    whole = Window.partitionBy(*grp)
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*grp, "_bucket", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_c").over(whole).alias(size))
+    wr = Window.partitionBy(*grp, "_bucket").orderBy("_place")
+    ranked = (null_safe_join(with_b, offsets.drop(size), grp + ["_bucket"])
               .withColumn(out, (F.row_number().over(wr) + F.col("_off")).cast("long"))
-              .drop("_bucket", "_off"))
-    sizes = bounds.select(*grp, size)
+              .drop("_bucket", "_place", "_off"))
+    sizes = offsets.select(*grp, size).distinct()
     if not group_cols:
         return ranked.drop("_g"), sizes.drop("_g")
     return ranked, sizes

@@ -84,9 +84,21 @@ def test_running_sums_bucketed_equals_plain_window(spark, small_buckets):
     b = {(r.g, r.v): r.cum_w for r in running_sums(df, ["g"], "v", ["w"], n_buckets=32).collect()}
     assert a == b
     from binscope.operators import running
-    for fixed, most in ((32, 31), (None, 99)):   # 700 rows / 7 per bucket
-        bounds, m = running._materialized_bounds(df, ["g"], F.col("v"), fixed, [])
-        assert m == most and [len(r["_bounds"]) for r in bounds.collect()] == [most, most]
+    placed = running.in_buckets(df, ["g"], [F.col("v")], 3)
+    sizes = placed.groupBy("g", "_bucket").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("g", "_bucket").collect()
+    assert len(sizes) >= 200 and max(r.n for r in sizes) <= 7
+    assert all(x.hi < y.lo for x, y in zip(sizes, sizes[1:]) if x.g == y.g)   # stretches of the order
+
+
+def test_running_sums_with_10000_buckets_a_group(spark, monkeypatch):
+    from binscope.operators import running
+    monkeypatch.setattr(running, "ROWS_PER_BUCKET", 3)
+    df = spark.range(60_000).select((F.col("id") % 2).alias("g"), F.xxhash64("id").alias("v"), (F.col("id") % 10).alias("w"))
+    got = running_sums(df, ["g"], "v", ["w"], descending=False)
+    assert "array" not in got._jdf.queryExecution().toString().lower()   # no bounds in any row
+    assert running.in_buckets(df, ["g"], [F.col("v")]).filter("g = 0").select("_bucket").distinct().count() >= 10_000
+    plain = running_sums(df, ["g"], "v", ["w"], descending=False, n_buckets=1)
+    assert got.exceptAll(plain).count() == 0 and got.count() == 60_000
 
 
 def test_running_sums_of_many_groups_and_buckets(spark, monkeypatch):
