@@ -922,8 +922,10 @@ _SEEDS_SQL = "SELECT * FROM (VALUES " + ", ".join(f"({i}, {s})" for i, s in enum
     ") t(bootstrap, seed)"
 
 
-def boot_sql(source: str, keys: list[str], key: str = "id", size: int = 2000) -> str:
+def boot_sql(source: str, keys: list[str], key: str = "id", size: int = 2000, balanced: bool = False) -> str:
     k = ", ".join(keys)
+    w = ", ".join(keys[:-1])
+    share = f"floor({size} / tot.g)" if balanced else f"floor({size} * c.ng / tot.n)"
     hx = " || ':' || ".join(["CAST(d.seed AS VARCHAR)"] + [f"CAST(d.{x} AS VARCHAR)" for x in keys]
                             + ["CAST(d.draw AS VARCHAR)"])
     on = " AND ".join(f"r.{x} = dr.{x}" for x in keys)
@@ -931,10 +933,10 @@ def boot_sql(source: str, keys: list[str], key: str = "id", size: int = 2000) ->
                                  ORDER BY md5(CAST({key} AS VARCHAR) || ':boot'), {key}) AS idx
            FROM {source}),
 counts AS (SELECT {k}, count(*) AS ng FROM {source} GROUP BY {k}),
-tot AS (SELECT sum(ng) AS n FROM counts),
+tot AS (SELECT {w}, sum(ng) AS n, count(*) AS g FROM counts GROUP BY {w}),
 seeds AS ({_SEEDS_SQL}),
-d0 AS (SELECT c.*, s.bootstrap, s.seed, CAST(floor({size} * c.ng / tot.n) AS BIGINT) AS mg
-       FROM counts c, tot, seeds s),
+d0 AS (SELECT c.*, s.bootstrap, s.seed, CAST({share} AS BIGINT) AS mg
+       FROM counts c JOIN tot USING ({w}), seeds s),
 d AS (SELECT *, unnest(generate_series(1, mg)) AS draw FROM d0 WHERE mg >= 1),
 dr AS (SELECT {', '.join('d.' + x for x in keys)}, d.bootstrap, d.draw,
               1 + CAST(floor(('0x' || substr(md5({hx}), 1, 8))::BIGINT / 4294967296.0 * d.ng) AS BIGINT) AS idx
@@ -942,8 +944,8 @@ dr AS (SELECT {', '.join('d.' + x for x in keys)}, d.bootstrap, d.draw,
 boot AS (SELECT r.* EXCLUDE (idx), dr.bootstrap, dr.draw FROM ranked r JOIN dr ON {on} AND r.idx = dr.idx)"""
 
 
-def _boot(spark, sf):
-    return K.bootstrap_slices(_slices(spark, sf), "id", _GK, 10, 2000)
+def _boot(spark, sf, balanced: bool = False):
+    return K.bootstrap_slices(_slices(spark, sf), "id", _GK, 10, 2000, balanced)
 
 
 @register("bootstrap_sample", fx.with_views(f"""
@@ -954,6 +956,14 @@ def q_bootstrap_sample(spark, sf):
     return rounded(_boot(spark, sf))
 
 
+@register("bootstrap_sample_balanced", fx.with_views(f"""
+WITH slices AS ({_SLICES_SQL}), {boot_sql('slices', _GK, balanced=True)}
+SELECT id, model, split, y, {r6('p')} AS p, attribute, attribute_value, bootstrap, draw FROM boot""",
+                                                     "scored"))
+def q_bootstrap_sample_balanced(spark, sf):
+    return rounded(_boot(spark, sf, balanced=True))
+
+
 _GKB = _GK + ["bootstrap"]
 
 

@@ -83,8 +83,9 @@ def group_curves(slices: DataFrame, keys: list[str], n_bins: int = 10, label: st
 
 def bootstrap_slices(slices: DataFrame, key: str, keys: list[str], num_bootstraps: int = 10,
                      size: int = 2000, balanced: bool = False) -> DataFrame:
-    """G5 applied per slice group (e.g. model, attribute, value)."""
-    return bootstrap_sample(slices, key, keys, num_bootstraps, size, balanced=balanced)
+    """G5 applied per slice group: ``keys`` end with the attribute's value, and ``size`` draws a
+    bootstrap are those of all values of one attribute (and model)."""
+    return bootstrap_sample(slices, key, keys, num_bootstraps, size, balanced=balanced, within=keys[:-1])
 
 
 def bootstrap_group_metrics(boot: DataFrame, keys: list[str], **kw) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Wide profiles are one aggregate over all columns (batched at 200 expressions);
 long profiles unpivot to ``(variable, value)`` and aggregate with map-side
-combine. Exact order statistics (median) come from value counts plus a
-distributed running count, never from collecting a column into one buffer.
+combine. Exact medians come from distributed selection: wide aggregates that
+bracket the middle ranks, never from sorting or shuffling a column's cells.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from binscope.functions.exprs import c, safe_div
 from binscope.operators.clean import batched_agg, numeric_columns, string_columns
-from binscope.operators.running import running_sums
+from binscope.session import cut_lineage
 
 
 def _unpivot(df: DataFrame, cols: list[str], cast: str | None = None) -> DataFrame:
@@ -99,26 +99,103 @@ def step_audit(df: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
 
 # ------------------------------------------------------------------ A7-A9
 
-def value_counts_long(df: DataFrame, cols: list[str], cast: str | None = None) -> DataFrame:
-    """``(variable, value, cnt)`` over non-missing cells, map-side combined."""
-    return (_unpivot(df, cols, cast).where(F.col("value").isNotNull())
-            .groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt")))
+#: Rank error of a bracket around a middle value, as a share of the values it is drawn from.
+SKETCH = 10_000
+#: Values of a column's bracket that are gathered; a wider bracket is narrowed first.
+GATHER = 20_000
+
+
+def _inside(x: Column, lo: float, hi: float) -> Column:
+    return (x > F.lit(lo)) & (x < F.lit(hi))
+
+
+def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(variable, median)`` by selection: the mean of the two middle values.
+
+    One wide aggregate brackets the middle ranks of every column by sketched
+    quantiles (rank error at most 1 / ``SKETCH``), the next counts exactly what is
+    below, on and between the brackets, and the few values between are either
+    gathered (``GATHER`` at most) or bracketed again. Each round is one scan with
+    map-side partials and shrinks a bracket some thousandfold, so 10^11 values take
+    two; no cell is ever shuffled. Copies of a value cost nothing: they are
+    counted on the bracket's ends. The driver holds some numbers for each column."""
+    spark = df.sparkSession
+    medians: dict[str, float | None] = dict.fromkeys(cols)
+    spread = 2.0 / SKETCH
+    x = {n: c(n).cast("double") for n in cols}
+    state: dict[str, dict] = {}
+    if cols:
+        first = [e for i, n in enumerate(cols) for e in (
+            F.count(x[n]).alias(f"n{i}"), F.min(x[n]).alias(f"lo{i}"), F.max(x[n]).alias(f"hi{i}"),
+            F.percentile_approx(x[n], F.array(F.lit(0.5 - spread), F.lit(0.5 + spread)), SKETCH).alias(f"q{i}"))]
+        r = batched_agg(df, first)
+        for i, n in enumerate(cols):
+            if r[f"n{i}"]:
+                size = r[f"n{i}"]
+                state[n] = {"ranks": ((size + 1) // 2, size // 2 + 1), "ends": (r[f"lo{i}"], r[f"hi{i}"]),
+                            "lo": r[f"q{i}"][0], "hi": r[f"q{i}"][1], "most": size * 3 * spread + 4}
+    while state:
+        names = list(state)
+        exprs = []
+        for i, n in enumerate(names):
+            lo, hi = state[n]["lo"], state[n]["hi"]
+            exprs += [F.sum((x[n] < F.lit(lo)).cast("long")).alias(f"b{i}"), F.sum((x[n] == F.lit(lo)).cast("long")).alias(f"l{i}"),
+                      F.sum(_inside(x[n], lo, hi).cast("long")).alias(f"m{i}"), F.sum((x[n] == F.lit(hi)).cast("long")).alias(f"h{i}")]
+            if state[n]["most"] <= GATHER:
+                exprs.append(F.sort_array(F.collect_list(F.when(_inside(x[n], lo, hi), x[n]))).alias(f"v{i}"))
+        r = batched_agg(df, exprs)
+        narrower = []
+        for i, n in enumerate(names):
+            s = state[n]
+            below, at_lo, within, at_hi = (r[f"{k}{i}"] for k in "blmh")
+            if s["lo"] == s["hi"]:
+                at_hi = 0
+            last = below + at_lo + within + at_hi
+            if s["ranks"][0] <= below or s["ranks"][1] > last:  # the sketch missed: take the side up to the end
+                lo = s["ends"][0] if s["ranks"][0] <= below else s["lo"]
+                hi = s["ends"][1] if s["ranks"][1] > last else s["hi"]
+                state[n] = s | {"lo": lo, "hi": hi, "most": float("inf")}
+                continue
+            open_ranks = [k - below - at_lo for k in s["ranks"] if below + at_lo < k <= below + at_lo + within]
+            if open_ranks and f"v{i}" not in r and within > GATHER:
+                state[n] = s | {"within": within, "at": open_ranks}
+                narrower.append(n)
+                continue
+            if open_ranks and f"v{i}" not in r:  # few after all: gather them in the next round
+                state[n] = s | {"most": within}
+                continue
+            picked = [s["lo"] if k <= below + at_lo else s["hi"] if k > below + at_lo + within else r[f"v{i}"][k - below - at_lo - 1] for k in s["ranks"]]
+            medians[n] = (picked[0] + picked[1]) / 2
+            del state[n]
+        if narrower:
+            exprs = [F.percentile_approx(F.when(_inside(x[n], state[n]["lo"], state[n]["hi"]), x[n]), F.array(*[F.lit(p) for p in (
+                max(0.0, min(state[n]["at"]) / state[n]["within"] - spread), min(1.0, max(state[n]["at"]) / state[n]["within"] + spread))]), SKETCH).alias(f"q{i}")
+                for i, n in enumerate(narrower)]
+            r = batched_agg(df, exprs)
+            for i, n in enumerate(narrower):
+                s = state[n]
+                state[n] = {"ranks": s["ranks"], "ends": s["ends"], "lo": r[f"q{i}"][0], "hi": r[f"q{i}"][1], "most": s["within"] * 3 * spread + 4}
+    return spark.createDataFrame(list(medians.items()), "variable string, median double")
+
+
+def modes(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(variable, mode)``: largest count, then smallest value. One aggregate a column, each over a scan of
+    that column alone, with map-side counts of its distinct values."""
+    out = df.sparkSession.createDataFrame([], "variable string, mode double")
+    for n in cols:
+        counts = df.select(c(n).cast("double").alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("cnt"))
+        out = out.union(counts.agg(F.min_by("value", F.struct(-F.col("cnt"), F.col("value"))).alias("mode")).select(F.lit(n).alias("variable"), "mode"))
+    return out
 
 
 def exact_median_and_mode(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``(variable, median, mode)``: exact median (mean of the two middle values
-    for an even count) from a distributed running count over distinct values;
-    mode = largest count, then smallest value."""
-    vc = value_counts_long(df, cols, "double")
-    cum = running_sums(vc, ["variable"], "value", ["cnt"], descending=False)
-    tot = vc.groupBy("variable").agg(F.sum("cnt").alias("_n"))
-    j = cum.join(tot, "variable")
-    k1 = F.floor((F.col("_n") + 1) / 2)
-    k2 = F.floor(F.col("_n") / 2) + 1
-    return j.groupBy("variable").agg(
-        ((F.min(F.when(F.col("cum_cnt") >= k1, F.col("value")))
-          + F.min(F.when(F.col("cum_cnt") >= k2, F.col("value")))) / 2).alias("median"),
-        F.min_by("value", F.struct(-F.col("cnt"), F.col("value"))).alias("mode"))
+    """``(variable, median, mode)`` of the columns, which are written once, so that every pass
+    reads them alone and nothing in front of them runs again."""
+    narrow = cut_lineage(df.select(*[c(n).cast("double").alias(f"v{i}") for i, n in enumerate(cols)]), "columns")
+    back = df.sparkSession.createDataFrame([(f"v{i}", n) for i, n in enumerate(cols)], "variable string, name string")
+    names = narrow.columns
+    found = exact_medians(narrow, names).join(modes(narrow, names), "variable", "left").join(back, "variable")
+    return found.select(F.col("name").alias("variable"), "median", "mode")
 
 
 def wide_moments(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -246,7 +323,7 @@ def histogram_density(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def histogram_stats(df: DataFrame, col: str) -> DataFrame:
     """A10 lines: mean, exact median and mean +/- 1, 2, 3 sample sd."""
     mom = df.agg(F.avg(c(col)).alias("mean"), F.stddev_samp(c(col)).alias("sd"))
-    med = exact_median_and_mode(df, [col]).select("median")
+    med = exact_medians(df, [col]).select("median")
     j = mom.withColumn("_k", F.lit(0)).join(med.withColumn("_k", F.lit(0)), "_k")
     return j.select("mean", "median", "sd",
                     *[(F.col("mean") + k * F.col("sd")).alias(f"plus_{k}sd") for k in (1, 2, 3)],

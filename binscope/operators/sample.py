@@ -4,8 +4,8 @@ Randomness is md5 of text, so Spark and DuckDB draw the same rows and a rerun
 after an executor loss draws them again. Ranks inside a stratum come from
 ``running.rank_by_hash``: rows are ordered by an md5 digest, whose top bits cut
 every stratum into 4,096 equal buckets without a statistics job, so a stratum
-that holds a third of all rows is still spread over many tasks. Draw tables are generated in Spark
-from the per-group counts.
+that holds a third of all rows is still spread over many tasks. The bootstrap selects single ranks of that
+order without ranking all rows. Draw tables are generated in Spark from the per-group counts.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from binscope.functions.exprs import c, md5_order_cols
-from binscope.operators.running import null_safe_join, rank_by_hash
+from binscope.operators.running import HASH_BITS, null_safe_join, rank_by_hash
 from binscope.session import cut_lineage
 
 
@@ -78,46 +78,110 @@ def bootstrap_seeds(num_bootstraps: int = 10, lo: float = 200, hi: float = 300)
     return [int(lo + i * step) if i < num_bootstraps - 1 else int(hi) for i in range(num_bootstraps)]
 
 
+SELECT_BITS = 12  # buckets of a group by the first bits of its rows' digests
+WINDOW = 8.0  # half width of a target's digest window, in standard deviations of its place
+
+
+def bootstrap_draws(sizes: DataFrame, groups: list[str], seeds: list[int], size: int, balanced: bool, within: list[str]) -> DataFrame:
+    """(groups, bootstrap, draw, _idx): the rows that are drawn, by their place in the group.
+
+    ``sizes`` has ``_ng`` rows of each group. Among the groups that share ``within``, ``size`` draws a
+    bootstrap are dealt out by share, or evenly if ``balanced``."""
+    share = Window.partitionBy(*[c(n) for n in within])
+    m = (F.floor(F.lit(size) / F.count(F.lit(1)).over(share)) if balanced
+         else F.floor(F.lit(size) * F.col("_ng") / F.sum("_ng").over(share)))
+    boots = F.explode(F.array(*[F.struct(F.lit(b).alias("bootstrap"), F.lit(s).alias("seed")) for b, s in enumerate(seeds)]))
+    dealt = sizes.select(*groups, "_ng", m.cast("long").alias("_mg")).where("_mg >= 1").select("*", boots.alias("_b"))
+    draws = dealt.select(*groups, "_ng", F.col("_b.bootstrap").alias("bootstrap"), F.col("_b.seed").alias("_seed"),
+                         F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mg"))).alias("draw"))
+    hx = F.concat_ws(":", F.col("_seed").cast("string"),
+                     *[F.coalesce(c(g).cast("string"), F.lit("")) for g in groups], F.col("draw").cast("string"))
+    u = F.conv(F.substring(F.md5(hx), 1, 8), 16, 10).cast("bigint").cast("double") / 4294967296.0
+    return draws.select(*groups, "bootstrap", "draw", (F.lit(1) + F.floor(u * F.col("_ng"))).cast("long").alias("_idx"))
+
+
+def _targets(counts: DataFrame, draws: DataFrame, groups: list[str]) -> DataFrame:
+    """Draws with the bucket that holds their row, its size and the row's rank in it: each draw takes the last
+    bucket that begins at or before it. A group has 2^SELECT_BITS buckets and its draws here, no rows."""
+    grp = [c(g) for g in groups]
+    before = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    begin = counts.select(*groups, (F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1).alias("_idx"), F.lit(0).alias("_kind"),
+                          F.lit(None).cast("int").alias("bootstrap"), F.lit(None).cast("long").alias("draw"), "_bucket", "_c")
+    asked = draws.select(*groups, "_idx", F.lit(1).alias("_kind"), "bootstrap", "draw", F.lit(None).cast("long").alias("_bucket"), F.lit(None).cast("long").alias("_c"))
+    upto = Window.partitionBy(*grp).orderBy("_idx", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    at = F.last(F.when(F.col("_kind") == 0, F.struct("_bucket", "_c", "_idx")), ignorenulls=True).over(upto)
+    found = begin.union(asked).select(*groups, "_idx", "_kind", "bootstrap", "draw", at.alias("_at")).where("_kind = 1")
+    return found.select(*groups, "bootstrap", "draw", F.col("_at._bucket").alias("_bucket"), F.col("_at._c").alias("_c"),
+                        (F.col("_idx") - F.col("_at._idx") + 1).alias("_rank"))
+
+
+def _windows(targets: DataFrame, groups: list[str], spread: float | None) -> DataFrame:
+    """(groups, _bucket, _windows): the disjoint digest ranges in which a bucket's targets lie (all of it without
+    ``spread``). Digests are uniform: the r-th of m is about r/m into the bucket, give or take sqrt(m)/m."""
+    span = 2.0 ** (HASH_BITS - SELECT_BITS)
+    base = F.shiftleft(F.col("_bucket"), HASH_BITS - SELECT_BITS)
+    half = F.lit(span) if spread is None else (spread * F.sqrt("_c") + 16) / F.col("_c") * span
+    middle = F.col("_rank") / F.col("_c") * span
+    lo = base + F.greatest(middle - half, F.lit(0.0)).cast("long")
+    hi = base + F.least(middle + half, F.lit(span)).cast("long")
+    own = [*[c(g) for g in groups], F.col("_bucket")]
+    ranges = targets.select(*groups, "_bucket", lo.alias("_lo"), hi.alias("_hi")).distinct()
+    earlier = Window.partitionBy(*own).orderBy("_lo", "_hi").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*own).orderBy("_lo", "_hi").rowsBetween(Window.unboundedPreceding, 0)
+    fresh = F.when(F.col("_lo") <= F.max("_hi").over(earlier), 0).otherwise(1)
+    islands = ranges.withColumn("_new", fresh).withColumn("_island", F.sum("_new").over(upto))
+    merged = islands.groupBy(*own, "_island").agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
+    return merged.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("_windows"))
+
+
 def bootstrap_sample(df: DataFrame, key: str, groups: list[str], num_bootstraps: int = 10,
                      size: int = 2000, seeds: list[int] | None = None, balanced: bool = False,
-                     broadcast_limit: int = 2_000_000, materialize: bool = True) -> DataFrame:
+                     within: list[str] | None = None) -> DataFrame:
     """Draws with replacement, ``bootstrap`` (0-based) and ``draw`` columns added.
 
-    Per bootstrap ``b`` and group ``g`` of ``n_g`` rows: ``floor(size * n_g / n)``
-    draws (``balanced=False``) or ``size // groups`` draws (``balanced=True``);
-    draw ``j`` takes row ``1 + floor(u * n_g)`` of the group in
-    ``md5(key:boot)`` order,
-    ``u`` = md5 of ``seed:g...:j``. The draw table has at most
-    ``num_bootstraps * size`` rows (a bound fixed by the parameters), so it is
-    broadcast when that bound is below ``broadcast_limit``.
-
-    The sample is reused by every per-bootstrap metric, so by default it is
-    written once with a reliable checkpoint (shared ``spark.checkpoint.dir``);
-    its size is bounded by ``num_bootstraps * size`` rows."""
+    Per bootstrap ``b``, of the ``n`` rows of ``G`` groups that share the values of
+    ``within`` (none: all of them), group ``g`` of ``n_g`` rows gets
+    ``floor(size * n_g / n)`` draws (``balanced=False``) or ``size // G``
+    (``balanced=True``); draw ``j`` takes row ``1 + floor(u * n_g)`` of the group in
+    ``md5(key:boot)`` order, ``u`` = md5 of ``seed:g...:j``.
+
+    Nothing is sorted in full. The digest's first bits cut every group into equal
+    buckets, which are counted map-side; draws are mapped to (bucket, rank). As the
+    digests of a bucket are uniform too, the row of a rank lies in a narrow digest
+    window: one more pass counts the rows below and between the windows, and only the
+    rows inside them are shuffled and ranked (at 10^11 rows and 20,000 draws about
+    one in a hundred; in a small table all). A draw outside its window, as good as
+    impossible, would be missed by the row count, and all is done again with
+    whole buckets. The sample is written once, as every metric of a bootstrap reads it; it has
+    at most ``num_bootstraps * size`` rows for each value of ``within``."""
     seeds = seeds or bootstrap_seeds(num_bootstraps)
-    ranked, counts = rank_within(df, groups, key, BOOT_ORDER_SEED, out="_idx", size="_ng")
-    tot = counts.agg(F.sum("_ng").alias("_n"), F.count(F.lit(1)).alias("_G"))
-    cg = counts.withColumn("_c", F.lit(0)).join(tot.withColumn("_c", F.lit(0)), "_c").drop("_c")
-    m = (F.floor(F.lit(size) / F.col("_G")) if balanced
-         else F.floor(F.lit(size) * F.col("_ng") / F.col("_n")))
-    boots = F.explode(F.array(*[F.struct(F.lit(b).alias("bootstrap"), F.lit(s).alias("seed"))
-                                for b, s in enumerate(seeds)]))
-    draws = (cg.select(*groups, "_ng", m.cast("int").alias("_mg"), boots.alias("_b"))
-             .select(*groups, "_ng", F.col("_b.bootstrap").alias("bootstrap"),
-                     F.col("_b.seed").alias("_seed"),
-                     F.explode(F.sequence(F.lit(1).cast("long"),
-                                          F.greatest(F.col("_mg"), F.lit(1)).cast("long")))
-                     .alias("draw"), "_mg")
-             .where(F.col("draw") <= F.col("_mg")))
-    hx = F.concat_ws(":", F.col("_seed").cast("string"),
-                     *[F.coalesce(c(g).cast("string"), F.lit("")) for g in groups],
-                     F.col("draw").cast("string"))
-    u = F.conv(F.substring(F.md5(hx), 1, 8), 16, 10).cast("bigint").cast("double") / 4294967296.0
-    draws = draws.select(*groups, "bootstrap", "draw",
-                         (F.lit(1) + F.floor(u * F.col("_ng"))).cast("long").alias("_idx"))
-    out = null_safe_join(ranked.drop("_ng"), draws, groups + ["_idx"],
-                         broadcast=num_bootstraps * size <= broadcast_limit).drop("_idx")
-    return cut_lineage(out) if materialize else out
+    names = list(df.columns)
+    order = md5_order_cols(c(key), BOOT_ORDER_SEED)
+    rows = df.select(*[c(n) for n in names], *[x.alias(f"_o{i}") for i, x in enumerate(order)])
+    rows = rows.withColumn("_bucket", F.shiftright("_o0", HASH_BITS - SELECT_BITS))
+    grp = [c(g) for g in groups]
+    counts = cut_lineage(rows.groupBy(*grp, "_bucket").agg(F.count(F.lit(1)).alias("_c")), "bucket-counts")
+    sizes = counts.groupBy(*grp).agg(F.sum("_c").alias("_ng"))
+    draws = bootstrap_draws(sizes, groups, seeds, size, balanced, within or [])
+    targets = cut_lineage(_targets(counts, draws, groups), "targets")
+    n_draws = targets.count()
+    for spread in (WINDOW, None):
+        asked = null_safe_join(rows, _windows(targets, groups, spread), [*groups, "_bucket"])
+        # slot 2j: in front of window j, 2j+1: in it
+        h = F.col("_o0")
+        passed = F.size(F.filter("_windows", lambda w: w["hi"] < h))
+        held = F.coalesce(F.get("_windows", passed)["lo"] <= h, F.lit(False))
+        slotted = asked.withColumn("_slot", 2 * passed + held.cast("int")).drop("_windows")
+        per_slot = slotted.groupBy(*grp, "_bucket", "_slot").agg(F.count(F.lit(1)).alias("_n"))
+        earlier = Window.partitionBy(*grp, "_bucket").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_slot.select(*groups, "_bucket", "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+        place = F.row_number().over(Window.partitionBy(*grp, "_bucket", "_slot").orderBy("_o0", "_o1", "_o2"))
+        ranked = null_safe_join(slotted.where("_slot % 2 = 1").withColumn("_row", place), offsets, [*groups, "_bucket", "_slot"])
+        ranked = ranked.select(*[c(n) for n in names], "_bucket", (F.col("_row") + F.col("_off")).alias("_rank"))
+        wanted = targets.select(*groups, "_bucket", "_rank", "bootstrap", "draw")
+        out = cut_lineage(null_safe_join(ranked, wanted, [*groups, "_bucket", "_rank"]).drop("_bucket", "_rank"), "bootstrap")
+        if spread is None or out.count() == n_draws:
+            return out
 
 
 def _poisson1_cdf(kmax: int = 20) -> list[float]:

@@ -46,12 +46,43 @@ def test_undersample_and_weights(spark):
 
 def test_bootstrap_sizes_and_membership(spark):
     df = spark.range(0, 300).select(F.col("id").alias("k"), (F.col("id") % 3).cast("string").alias("g"))
-    b = G.bootstrap_sample(df, "k", ["g"], num_bootstraps=4, size=90, materialize=False)
+    b = G.bootstrap_sample(df, "k", ["g"], num_bootstraps=4, size=90)
     per = {(r.bootstrap, r.g): r["count"] for r in b.groupBy("bootstrap", "g").count().collect()}
     assert all(v == 30 for v in per.values()) and len(per) == 12
     assert b.join(df, ["k", "g"], "left_anti").count() == 0
 
 
+def _brute_bootstrap(rows, size, balanced, boots):
+    """rows: (k, m, g); size per m. Draws by the definition, on sorted lists."""
+    from hashlib import md5
+    groups: dict = {}
+    for k, m, g in rows:
+        groups.setdefault((m, g), []).append(k)
+    out = []
+    for (m, g), ks in groups.items():
+        ks.sort(key=lambda k: (md5(f"{k}:boot".encode()).hexdigest(), k))
+        mine = [v for (mm, _), v in groups.items() if mm == m]
+        n = size // len(mine) if balanced else size * len(ks) // sum(map(len, mine))
+        for b, seed in enumerate(G.bootstrap_seeds(boots)):
+            for j in range(1, n + 1):
+                x = ":".join([str(seed), m or "", g or "", str(j)])
+                u = int(md5(x.encode()).hexdigest()[:8], 16) / 4294967296.0
+                out.append((ks[int(u * len(ks))], m, g, b, j))
+    return sorted(out, key=repr)
+
+
+def test_bootstrap_equals_the_definition_with_narrow_windows(spark, monkeypatch):
+    rows = [(i, "ab"[i % 2], None if i % 7 == 0 else "x" if i % 5 else "y") for i in range(9000)]
+    df = spark.createDataFrame(rows, "k long, m string, g string")
+    monkeypatch.setattr(G, "SELECT_BITS", 1)   # thousands of rows a bucket, so windows are parts of it
+    for balanced in (False, True):
+        got = G.bootstrap_sample(df, "k", ["m", "g"], 3, 40, balanced=balanced, within=["m"])
+        assert sorted(map(tuple, got.select("k", "m", "g", "bootstrap", "draw").collect()), key=repr) == _brute_bootstrap(rows, 40, balanced, 3)
+    monkeypatch.setattr(G, "WINDOW", -0.9)   # windows that miss: the row count tells, whole buckets follow
+    got = G.bootstrap_sample(df, "k", ["m", "g"], 3, 40, within=["m"])
+    assert sorted(map(tuple, got.select("k", "m", "g", "bootstrap", "draw").collect()), key=repr) == _brute_bootstrap(rows, 40, False, 3)
+
+
 def test_poisson_weights_mean_near_one(spark):
     df = spark.range(0, 20000).select(F.col("id").alias("k"))
     w = G.bootstrap_weights(df, "k", 2).agg(F.avg("weight")).collect()[0][0]
