@@ -1460,8 +1460,8 @@ def q_fit_gradient_boosted(spark, sf):
     fit_rows = tf.where(F.col("split") != "test").withColumn(
         "is_valid", F.col("split") == "valid")
     model = T.fit_gradient_boosted(fit_rows, weight="weight", validation="is_valid",
-                                   learning_rate=0.1, n_estimators=30, max_depth=3)
-    return T.score_model(model, tf, keep=["row_id"])
+                                   learning_rate=0.1, n_estimators=10_000, max_depth=3, patience=3)
+    return T.score_model(model, tf, keep=["row_id"]).withColumn("rounds", F.lit(model.getNumTrees))
 
 
 @register("random_grid_search")

@@ -13,12 +13,12 @@ import itertools
 import math
 import random
 
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
+                                       LogisticRegression, RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from binscope.operators import metrics as M
@@ -64,22 +64,69 @@ def fit_random_forest(train: DataFrame, features: str = "features", label: str =
     return rf.fit(train)
 
 
+FIRST_ROUNDS = 32  # trees of the first ensemble that is grown for early stopping
+
+
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """Number of rounds with the least validation loss (the first of them), looking no further than ``patience``
+    rounds without a lesser one, and whether such a stop was reached."""
+    best, at = math.inf, -1
+    for i, x in enumerate(losses):
+        if x < best:
+            best, at = x, i
+        elif i - at >= patience:
+            return at + 1, True
+    return at + 1, False
+
+
+def first_trees(model, rounds: int):
+    """The boosted model of the first ``rounds`` trees."""
+    spark = SparkSession.getActiveSession()
+    gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+    java = model._java_obj
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], float(java.treeWeights()[i])
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    for name in ("featuresCol", "labelCol", "predictionCol", "probabilityCol", "rawPredictionCol"):
+        cut.set(name, java.getOrDefault(java.getParam(name)))
+    return GBTClassificationModel(cut)
+
+
 def fit_gradient_boosted(train: DataFrame, features: str = "features", label: str = "y",
                          weight: str | None = None, validation: str | None = None,
                          learning_rate: float = 0.01, n_estimators: int = 10000,
-                         max_depth: int = 3, subsample: float = 1.0,
-                         validation_tol: float = 0.01, seed: int = 222, **options):
-    """Boosted trees with early stopping on the rows flagged by the
-    ``validation`` column. ``n_estimators`` is passed through; without a
-    validation column all rounds are fitted."""
+                         max_depth: int = 3, subsample: float = 1.0, patience: int = 3,
+                         seed: int = 222, **options):
+    """Boosted trees that stop after ``patience`` rounds without a lesser loss on the rows
+    flagged by the ``validation`` column, with at most ``n_estimators`` rounds; without a
+    validation column all rounds are fitted.
+
+    Spark grows an ensemble of a fixed size, and one of more rounds begins with the
+    same trees (a tree depends on the trees before it and the seed). So an ensemble of
+    ``FIRST_ROUNDS`` trees is grown, the validation loss of every prefix is taken in one pass
+    over the rows (``evaluateEachIteration``), and where the stop lies beyond them the size is
+    doubled: at most twice the trees of the last ensemble, one pass of the
+    validation rows for each size. The model is cut to the best round."""
     if options:
         raise ValueError(f"options without a Spark counterpart: {sorted(options)}")
-    gbt = GBTClassifier(featuresCol=features, labelCol=label, stepSize=learning_rate,
-                        maxIter=n_estimators, maxDepth=max_depth,
-                        subsamplingRate=subsample, seed=seed, validationTol=validation_tol,
-                        **({"validationIndicatorCol": validation} if validation else {}),
-                        **({"weightCol": weight} if weight else {}))
-    return gbt.fit(train)
+
+    def grow(rows: DataFrame, rounds: int):
+        return GBTClassifier(featuresCol=features, labelCol=label, stepSize=learning_rate,
+                             maxIter=rounds, maxDepth=max_depth, subsamplingRate=subsample, seed=seed,
+                             **({"weightCol": weight} if weight else {})).fit(rows)
+
+    if validation is None:
+        return grow(train, n_estimators)
+    fitted, held = train.where(~F.col(validation)), train.where(validation)
+    rounds = min(FIRST_ROUNDS, n_estimators)
+    while True:
+        model = grow(fitted, rounds)
+        best, stopped = best_round(model.evaluateEachIteration(held), patience)
+        if stopped or rounds >= n_estimators:
+            return first_trees(model, max(best, 1))
+        rounds = min(rounds * 2, n_estimators)
 
 
 def score_model(model, df: DataFrame, threshold: float | dict | None = None,
