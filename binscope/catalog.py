@@ -1483,6 +1483,27 @@ def q_calibrate_scores(spark, sf):
     return cal(scored_rows).select("row_id", "predicted_probas", "calibrated")
 
 
+# The isotonic fit by its max-min formula: the largest, over starts a <= i, of the least mean of a..b with b >= i.
+@register("calibrate_isotonic", fx.with_views(f"""
+WITH c AS (SELECT model, p, count(*) AS w, sum(y) AS y FROM scored WHERE split = 'valid' GROUP BY model, p),
+n AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY p) AS i,
+             sum(w) OVER (PARTITION BY model ORDER BY p) AS cw, sum(y) OVER (PARTITION BY model ORDER BY p) AS cy FROM c),
+m AS (SELECT a.model, a.i AS a, b.i AS b, (b.cy - a.cy + a.y) / CAST(b.cw - a.cw + a.w AS DOUBLE) AS mean
+      FROM n a JOIN n b ON a.model = b.model AND b.i >= a.i),
+least_mean AS (SELECT model, b, min(mean) OVER (PARTITION BY model, a ORDER BY b DESC) AS v FROM m),
+fit AS (SELECT model, b AS i, max(v) AS v FROM least_mean GROUP BY model, b)
+SELECT model, {r6('p')} AS p, {r6('v')} AS calibrated FROM n JOIN fit USING (model, i)""", "scored"))
+def q_calibrate_isotonic(spark, sf):
+    scored_rows = fx.scored(spark, sf).where("split = 'valid'")
+    out = None
+    for name in ("a", "b"):
+        own = scored_rows.where(F.col("model") == name)
+        cal = T.calibrate_scores(own, "isotonic", score="p")
+        part = cal(own.select("model", "p").distinct()).select("model", "p", "calibrated")
+        out = part if out is None else out.union(part)
+    return rounded(out)
+
+
 @register("rfe_select")
 def q_rfe_select(spark, sf):
     tf, names = _train_frame(spark, sf)

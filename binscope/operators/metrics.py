@@ -10,6 +10,11 @@ map-side combined, so the shuffle carries one row per distinct score per task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -386,6 +391,38 @@ def fbeta_expr(prec, rec, beta: float):
     return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
 
 
+def _hull(fp: np.ndarray, tp: np.ndarray) -> list[int]:
+    """Places of the points that are not below a line between two others (and of some beside such a line:
+    the products are rounded, and a point is left out only where that does not matter)."""
+    out: list[int] = []
+    for i in np.lexsort((tp, fp)).tolist():
+        x, y = fp[i], tp[i]
+        while len(out) > 1:
+            ax, ay, mx, my = fp[out[-2]], tp[out[-2]], fp[out[-1]], tp[out[-1]]
+            above, across = (mx - ax) * (y - ay), (my - ay) * (x - ax)
+            if above - across <= 1e-9 * (abs(above) + abs(across)):
+                break
+            out.pop()
+        out.append(i)
+    return out
+
+
+def _hull_rows(keys: list[str]):
+    """Keeps the rows of every batch that are on the upper hull of their group's (fp, tp) points there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = np.zeros(batch.num_rows, dtype=np.int64)
+            for n in keys:
+                codes = pc.dictionary_encode(batch.column(n), null_encoding="encode")
+                group = np.unique(group * (len(codes.dictionary) + 1) + codes.indices.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            fp, tp = (batch.column(n).to_numpy(zero_copy_only=False).astype(np.float64) for n in ("_fp", "_tp"))
+            order = np.argsort(group, kind="stable")
+            ends = np.cumsum(np.bincount(group)) if batch.num_rows else []
+            keep = [own[_hull(fp[own], tp[own])] for own in np.split(order, ends[:-1])] if batch.num_rows else []
+            yield batch.take(pa.array(np.sort(np.concatenate(keep)))) if keep else batch
+    return run
+
+
 def optimal_threshold(scored: DataFrame, keys=("model",), target_precision: float = 0.5,
                       delta: float = 0.01, betas: list[float] | None = None,
                       default_threshold: float = 0.5, label: str = "y", score: str = "p",
@@ -395,13 +432,17 @@ def optimal_threshold(scored: DataFrame, keys=("model",), target_precision: floa
     at that threshold is within ``delta`` of ``target_precision``. No beta
     qualifies -> ``default_threshold`` and NULL beta.
 
-    Each threshold row is expanded to the beta grid in place (a fixed
-    ``len(betas)``-way ``explode`` inside the map stage, followed by a partial
-    ``max_by`` aggregate in the same codegen stage), so the expansion never
-    crosses a shuffle; then one small row per (group, beta) is ranked."""
+    F-beta is a ratio of linear functions of (fp, tp), so whatever beta is, a vertex
+    of the points' upper convex hull maximises it. Every Arrow batch of thresholds
+    first keeps its own hull, a handful of its rows; what is a vertex of all
+    is one of its batch. Only those meet the ``len(betas)`` values, and one row per
+    (group, beta), the best of all batches, is ranked."""
     k = _keys(keys)
     betas = betas or beta_grid()
-    tm = threshold_metrics(scored, k, label, score, n_buckets)
+    cum = cumulative_counts(scored, k, label, score, n_buckets)
+    points = cum.select(*k, F.col("score").alias("threshold"), safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+                        safe_div(F.col("tp"), F.col("P")).alias("recall"), F.col("fp").alias("_fp"), F.col("tp").alias("_tp"))
+    tm = points.mapInArrow(_hull_rows(k), points.schema)
     prec, rec, thr = F.col("precision"), F.col("recall"), F.col("threshold")
     grid = F.explode(F.array(*[F.lit(float(b)) for b in betas])).alias("beta")
     b2 = F.col("beta") * F.col("beta")
