@@ -17,7 +17,7 @@ others. A link is a Jaccard similarity of the shingle sets of ``SIMILARITY`` or
 more, worked out from the texts. The texts of buckets whose nodes are then in more than
 one component get new buckets, one for each of their rarest shingles: a prefix filter,
 which no link escapes. In these, nodes outside the largest component become leaders in
-turn, ``LEADERS`` times as many in each round, and are compared with the other
+turn, one first, then ``LEADERS`` times as many in each round, and are compared with the other
 components' nodes, until every node is in its bucket's largest component or has been a
 leader. So two texts that end up in different components have been compared or cannot
 have a link: none is lost, and nothing is paired that is connected already. A class is
@@ -49,8 +49,8 @@ REGISTERS = BANDS * ROWS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPOT = np.uint64(0xD1B54A32D192ED03)
 _SLICE = 1 << 20
-#: Leaders of a bucket in the second round; so many times as many in each later one.
-LEADERS = 64
+#: So many times as many leaders of a bucket in each round, after one in the first.
+LEADERS = 4
 #: Points of a process that are drawn at once after the first.
 _DRAW = 8
 
@@ -231,7 +231,7 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     open_ = _open(members.select("bucket", "node"), comp)
     members = _rare_buckets(texts.join(open_.select("node").distinct(), "node", "left_semi"))
     led = None
-    quota = LEADERS
+    quota = 1
     while True:
         open_ = cut_lineage(_open(members, comp), "open")
         waiting = open_.filter(F.col("comp") != F.col("largest"))
