@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binscope.functions.exprs import c, safe_div
-from binscope.operators.clean import batched_agg, numeric_columns, string_columns
+from binscope.operators.clean import AGG_BATCH, batched_agg, numeric_columns, string_columns
 from binscope.session import cut_lineage
 
 
@@ -332,27 +332,32 @@ def histogram_stats(df: DataFrame, col: str) -> DataFrame:
 
 def kde_curve(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     """Gaussian KDE on a ``points`` grid over [min - 3h, max + 3h] with
-    h = sd * n^(-1/5). Data is first reduced to distinct values with counts;
-    each distinct value then contributes to every grid point (``points`` rows
-    per distinct value, generated in place, summed per grid point)."""
-    st = df.agg(F.min(c(col)).alias("mn"), F.max(c(col)).alias("mx"),
-                F.count(c(col)).alias("n"), F.stddev_samp(c(col)).alias("sd"))
-    vals = df.where(c(col).isNotNull()).groupBy(c(col).cast("double").alias("x")).agg(
-        F.count(F.lit(1)).alias("w"))
-    h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    lo = F.col("mn") - 3 * h
-    step = ((F.col("mx") + 3 * h) - lo) / F.lit(float(points - 1))
-    j = (vals.withColumn("_k", F.lit(0)).join(st.withColumn("_k", F.lit(0)), "_k")
-         .select("x", "w", "n", h.alias("h"), lo.alias("lo"), step.alias("step"),
-                 F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")))
-    g = F.col("lo") + F.col("i") * F.col("step")
-    z = (g - F.col("x")) / F.col("h")
-    contrib = F.col("w") * F.exp(-z * z / 2)
-    norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
-    return (j.groupBy("i").agg(F.first(g).alias("x"), F.sum(contrib).alias("_s"),
-                               F.first(norm).alias("_norm"))
-            .select(F.lit(col).alias("variable"), F.col("i").alias("point"), "x",
-                    (F.col("_s") / F.col("_norm")).alias("density")))
+    h = sd * n^(-1/5): one aggregate for the range and h, one row to the driver, and
+    one with a kernel sum for each grid point, which is a literal. Both are
+    summed map-side in one scan each; no value is multiplied or shuffled. Without values
+    there are no points; without spread (sd 0 or missing) densities are NULL."""
+    x = c(col).cast("double")
+    st = df.agg(F.min(x), F.max(x), F.count(x), F.stddev_samp(x)).first()
+    least, most, n, sd = st
+    shape = "variable string, point int, x double, density double"
+    if not n:
+        return df.sparkSession.createDataFrame([], shape)
+    if not sd:
+        return df.sparkSession.createDataFrame([(col, i, None if sd is None else least, None) for i in range(points)], shape)
+    h = sd * n ** -0.2
+    lo = least - 3 * h
+    step = (most + 3 * h - lo) / (points - 1)
+    norm = n * h * math.sqrt(2 * math.pi)
+    grid = [lo + i * step for i in range(points)]
+    out = None
+    for start in range(0, points, AGG_BATCH):
+        some = list(enumerate(grid))[start:start + AGG_BATCH]
+        z = {i: (F.lit(g) - x) / F.lit(h) for i, g in some}
+        row = df.agg(*[F.sum(F.exp(-z[i] * z[i] / 2)).alias(f"k{i}") for i, _ in some])
+        part = row.select(F.inline(F.array(*[F.struct(F.lit(col).alias("variable"), F.lit(i).alias("point"), F.lit(g).alias("x"),
+                                                      (F.col(f"k{i}") / F.lit(norm)).alias("density")) for i, g in some])))
+        out = part if out is None else out.union(part)
+    return out
 
 
 # ------------------------------------------------------------------ A12

@@ -46,3 +46,20 @@ def test_no_cell_is_unpivoted(spark):
     assert {r.variable: r.median for r in found.collect()} == {"a.b": 2.0, "c": 2.0}
     assert A.exact_median_and_mode(df.filter("c > 100"), ["c"]).collect()[0].median is None
     assert "Generate" not in A.modes(df.select(F.col("c")), ["c"])._jdf.queryExecution().toString()
+
+
+def test_density_curve(spark):
+    import math
+    xs = [0.0, 1.0, 1.0, 2.5, 7.0, None]
+    df = spark.createDataFrame([(v,) for v in xs], "v double").repartition(3)
+    got = A.kde_curve(df, "v", 30).orderBy("point").collect()
+    known = [v for v in xs if v is not None]
+    h = statistics.stdev(known) * len(known) ** -0.2
+    grid = [-3 * h + i * (7 + 6 * h) / 29 for i in range(30)]
+    for r, g in zip(got, grid):
+        want = sum(math.exp(-((g - v) / h) ** 2 / 2) for v in known) / (len(known) * h * math.sqrt(2 * math.pi))
+        assert math.isclose(r.x, g, abs_tol=1e-9) and math.isclose(r.density, want, rel_tol=1e-9)
+    assert A.kde_curve(df.filter("v > 100"), "v").count() == 0
+    flat = A.kde_curve(df.filter("v = 1"), "v", 3).collect()
+    assert [(r.x, r.density) for r in flat] == [(1.0, None)] * 3
+    assert A.kde_curve(df.filter("v = 7"), "v", 3).collect()[0].x is None
