@@ -1,9 +1,8 @@
 """Token counts by overlap resynchronisation (operator 13).
 
-Texts of up to ``chunk`` code points are encoded whole, in slices of about 1 MB. A longer one is cut into cores of
-``chunk`` code points; each core is encoded with ``overlap`` code points on both sides, in a row, and so a task,
-of its own, with the offsets of its tokens. Around the border of two cores both encodings give the nearest marks:
-places that are *stable* and at which a token ends and the next begins, with the ids of the two tokens.
+Texts of up to ``chunk`` code points are counted whole, in slices of about 1 MB. A longer one is cut into cores of
+``chunk`` code points; each core has a row, and so a task, of its own, with ``overlap`` code points on both sides.
+Around the border of two cores both chunks are encoded with the offsets of their tokens and give the nearest marks: places that are *stable* and at which a token ends and the next begins, with the ids of the two tokens.
 Chunks are spliced at the first mark that both have. Where none is common, the overlap of that
 text is widened fourfold (and the chunk with it), until its chunks align or it is a chunk itself.
 
