@@ -1,98 +1,107 @@
-"""LM scoring (operator 3): a word trigram model in Elias-Fano levels.
+"""LM scoring (operator 3): a word trigram model in sharded Elias-Fano tries.
 
 Unigrams are complete: the probability of a token is (c + 1) / (N + V + 1). Above
 them stand all bigrams and trigrams, of all words, that are ``LEAST_COUNT`` times in
-the training texts, with absolute discounting: P(w|h) = max(c - D, 0) / c(h) + back(h)
-P(w|h'), where back(h) takes what discounts and n-grams seen less often leave. All
-counts are exact, over all training texts, and the model grows with them.
-
-Nothing of the model is sent anywhere whole. Texts are dealt into blocks by a hash.
-Each block lists its words with their counts; sums over the words come back to the
-blocks that asked. Then each block sends its distinct n-grams with their counts to
-shards by their context; a shard adds up, builds its level and answers every block
-for what it sent, and a block is scored with these answers. An n-gram with a word that
-is in the training texts less than LEAST_COUNT times cannot be kept: its word is sent
-as none. The bigrams of a word that is there more than ``SPLIT`` times are spread over
-several shards, which are all asked, and their sums add up.
-
-Level: the words under a context lie side by side. A level has the pointers to its
-contexts' words, and the words, made monotone by adding the last value before them,
-both in Elias-Fano code, and is searched for successors in the context's range.
-``Trie`` joins two such levels in one process, with context-relative ids and quantised
-probabilities.
+the training texts, with absolute discounting: P(w|h) = max(q(c) - D, 0) / c(h) +
+back(h) P(w|h'), where q is the one-byte quantisation of ``quantise`` (it rounds down)
+and back(h) takes what discounts, rounding and n-grams seen less often leave, so that
+the probabilities of a context sum to one. Counts are exact, over all training texts,
+and the model grows with them.
+
+Texts are tokenised once, where they are read, into blocks of about ``BLOCK_BYTES`` that
+are written. Nothing of the model is sent anywhere whole: each block sends its words
+to shards of words, which add up and answer with the words' ids (the more frequent, the
+smaller) and counts. Then it sends its distinct n-grams with their counts to shards of
+contexts; a shard adds up, builds its trie, memory-mapped, and answers every block for
+what it sent with one-byte codes and the sums of contexts, by which the block is scored.
+An n-gram with a word that is in the training texts less than LEAST_COUNT times cannot
+be kept: its word is sent as none. The contexts before a word that is there more than
+``SPLIT`` times are spread over shards by the word before it, and the successors of a
+context whose words are all that frequent over shards that are all asked, and their sums
+add up. There are as many shards as blocks, and a message for each pair of them.
+
+Trie: a first level of words, under each its successors and its predecessors (the
+contexts of trigrams), under each predecessor the third words as ranks among the
+successors. Ranges are pointers, and the words of ranges, made monotone by adding the
+last value before them, successors to be searched for; all in Elias-Fano code.
 
 Defined results: null is an empty text (one end token); a null id counts as an empty
 text in the fold; with no training texts N = V = 0; repeated rows count and are
-scored each. Words and pairs of words are known by a 64-bit hash.
+scored each. Words are known by a 64-bit hash.
 """
 
 from __future__ import annotations
 
 import tempfile
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from binscope.llm.text import NONSPACE, mix64, slices, words
 from binscope.session import cut_lineage
 
 LEAST_COUNT = 2
-BLOCK_BYTES = 16 << 20
-#: Occurrences of a word for which one shard holds all its bigrams.
+BLOCK_BYTES = 8 << 20
+#: Occurrences of a word beyond which what stands under it is spread over shards.
 SPLIT = 1 << 20
 
 END = np.uint64(0x5851F42D4C957F2D)
-#: The word of an n-gram whose own word is too rare to be kept.
-NONE = np.uint64(0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
+#: Codes up to EXACT are the counts themselves, then there are eight to an octave.
+EXACT = 16
+VALUES = np.concatenate((np.arange(EXACT + 1), np.floor(EXACT * 2.0 ** (np.arange(1, 256 - EXACT) / 8)))).astype(np.int64)
+
+
+def quantise(n: np.ndarray) -> np.ndarray:
+    """The code of the greatest of ``VALUES`` that is not above the count."""
+    return (np.searchsorted(VALUES, n, "right") - 1).astype(np.uint8)
 
 
 class EliasFano:
     """A monotone sequence: low bits packed, high bits in unary with a directory of ones."""
 
-    BLOCK = 32
+    BLOCK = 8
 
     def __init__(self, values: np.ndarray) -> None:
         values = values.astype(np.uint64)
         self.n = len(values)
         top = int(values[-1]) + 1 if self.n else 1
-        self.l = max(0, (top // max(1, self.n)).bit_length() - 1)
-        low = values & np.uint64((1 << self.l) - 1)
-        bits = (low[:, None] >> np.arange(self.l, dtype=np.uint64)) & np.uint64(1)
-        self.low = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
+        self.l = min(56, max(0, (top // max(1, self.n)).bit_length() - 1))
+        bit = np.arange(self.l, dtype=np.uint64)
+        packed = [np.packbits(((part[:, None] >> bit) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+                  for part in np.split(values, range(1 << 15, self.n, 1 << 15))]
+        self.low = np.concatenate((*packed, np.zeros(8, np.uint8)))
         high = (values >> np.uint64(self.l)).astype(np.int64) + np.arange(self.n)
         size = (int(high[-1]) + 1 if self.n else 0)
         size += -size % (8 * self.BLOCK) or 8 * self.BLOCK
         unary = np.zeros(size, dtype=np.uint8)
         unary[high] = 1
         self.high = np.packbits(unary, bitorder="little")
-        ones = unary.reshape(-1, 8 * self.BLOCK).sum(axis=1, dtype=np.int64)
+        ones = _ONES[self.high].reshape(-1, self.BLOCK).sum(axis=1)
         self.before = np.concatenate(([0], np.cumsum(ones)))[:-1].astype(np.uint32)
-        self.low = np.concatenate((self.low, np.zeros(8, np.uint8)))
 
     def arrays(self) -> list[str]:
         return ["low", "high", "before"]
 
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
-        block = np.searchsorted(self.before, i, "right") - 1
+        block = np.searchsorted(self.before, i.astype(np.uint32), "right") - 1
         left = i - self.before[block].astype(np.int64)
         body = self.high.reshape(-1, self.BLOCK)[block]
         upto = np.cumsum(_ONES[body], axis=1)
         at = (upto > left[:, None]).argmax(axis=1)
         own = np.arange(len(i))
-        rank = left - (upto[own, at] - _ONES[body[own, at]])
-        place = (block * self.BLOCK + at) * 8 + _SELECT[body[own, at], rank]
-        value = (place - i) << self.l
+        byte = body[own, at]
+        place = (block * self.BLOCK + at) * 8 + _SELECT[byte, left - (upto[own, at] - _ONES[byte])]
         bit = i * self.l
-        for k in range(self.l):
-            b = bit + k
-            value |= ((self.low[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(np.int64) << k
-        return value
+        wide = np.ndarray(len(self.low) - 7, dtype="<u8", buffer=self.low, strides=(1,))
+        low = (wide[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.l) - 1)
+        return ((place - i) << self.l) | low.astype(np.int64)
 
 
 _ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.int64)
@@ -102,150 +111,99 @@ for _b in range(256):
     _SELECT[_b, :len(_places)] = _places
 
 
-def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A byte for each value and the 256 values they stand for: means of equal shares."""
-    if not len(x):
-        return np.zeros(0, np.uint8), np.zeros(256, np.float32)
-    order = np.argsort(x, kind="stable")
-    code = np.empty(len(x), dtype=np.int64)
-    code[order] = np.arange(len(x)) * 256 // len(x)
-    n = np.bincount(code, minlength=256)
-    mean = np.bincount(code, weights=x, minlength=256) / np.maximum(n, 1)
-    return code.astype(np.uint8), mean.astype(np.float32)
-
-
-def find(pointer: EliasFano, level: EliasFano, node: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Place of ``word`` among the children of ``node``, or -1."""
-    lo, hi = pointer[node], pointer[node + 1]
-    start, end = lo, hi
-    base = np.zeros(len(node), dtype=np.int64)
-    some = np.flatnonzero(lo > 0)
-    base[some] = level[lo[some] - 1]
-    target = base + word + 1
-    lo, hi = lo.copy(), hi.copy()
-    while (todo := np.flatnonzero(lo < hi)).size:  # the first value that is not less
-        mid = (lo[todo] + hi[todo]) // 2
-        less = level[mid] < target[todo]
-        lo[todo] = np.where(less, mid + 1, lo[todo])
-        hi[todo] = np.where(less, hi[todo], mid)
-    out = np.full(len(node), -1, dtype=np.int64)
-    inside = np.flatnonzero((lo < end) & (lo >= start))
-    hit = inside[level[lo[inside]] == target[inside]]
-    out[hit] = lo[hit]
-    return out
+def _monotone(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Increasing positive values in each range, made increasing over all: plus the value before the range."""
+    last = np.where(bounds[1:] > bounds[:-1], values[np.maximum(bounds[1:], 1) - 1] if len(values) else 0, 0)
+    base = np.cumsum(last) - last
+    return values + np.repeat(base, np.diff(bounds))
 
 
 class Level:
-    """The kept n-grams of some contexts, from (context, word, count) that may repeat."""
-
-    def __init__(self, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> None:
-        self.contexts, node = np.unique(context, return_inverse=True)
-        self.total = np.bincount(node, weights=n, minlength=len(self.contexts)).astype(np.int64)
-        order = np.lexsort((word, node))
-        node, word, n = node[order], word[order], n[order]
-        new = np.ones(len(node), dtype=bool)
-        new[1:] = (node[1:] != node[:-1]) | (word[1:] != word[:-1])
-        first = np.flatnonzero(new)
-        node, word, n = node[first], word[first], np.add.reduceat(n, first) if len(first) else n
-        rare = word == NONE  # n-grams of count 1, as many as they are
-        self.once, self.twice = int(n[rare].sum() + (n[~rare] == 1).sum()), int((n[~rare] == 2).sum())
-        keep = ~rare & (n >= LEAST_COUNT)
-        node, word, self.n = node[keep], word[keep], n[keep]
-        self.words, own = np.unique(word, return_inverse=True)
-        bounds = np.searchsorted(node, np.arange(len(self.contexts) + 1))
-        self.kept = np.diff(bounds)
-        self.kept_n = np.bincount(node, weights=self.n, minlength=len(self.contexts)).astype(np.int64)
-        self.pointer, self.level = EliasFano(bounds), EliasFano(_monotone(own + 1, bounds))
-
-    def counts(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Counts of the n-grams, 0 for those that are not kept; the contexts must be the level's."""
-        out = np.zeros(len(context), dtype=np.int64)
-        if not len(self.words):
-            return out
-        node = np.searchsorted(self.contexts, context)
-        own = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
-        ask = np.flatnonzero((self.words[own] == word) & (self.kept[node] > 0))
-        for some in np.array_split(ask, len(ask) // (1 << 18) + 1):
-            at = find(self.pointer, self.level, node[some], own[some])
-            out[some] = np.where(at >= 0, self.n[at], 0)
-        return out
+    """Ranges of increasing numbers: pointers to the ranges, and the numbers."""
+
+    def __init__(self, bounds: np.ndarray, numbers: np.ndarray) -> None:
+        self.pointer, self.numbers = EliasFano(bounds), EliasFano(_monotone(numbers + 1, bounds))
+
+    def find(self, node: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of ``number`` in the range of ``node``, or -1, and where that range begins."""
+        start, end = self.pointer[node], self.pointer[node + 1]
+        target = number + 1
+        some = np.flatnonzero(start > 0)
+        target[some] += self.numbers[start[some] - 1]
+        lo, hi = start.copy(), end.copy()
+        while (todo := np.flatnonzero(lo < hi)).size:  # the first value that is not less
+            mid = (lo[todo] + hi[todo]) // 2
+            less = self.numbers[mid] < target[todo]
+            lo[todo] = np.where(less, mid + 1, lo[todo])
+            hi[todo] = np.where(less, hi[todo], mid)
+        out = np.full(len(node), -1, dtype=np.int64)
+        inside = np.flatnonzero(lo < end)
+        hit = inside[self.numbers[lo[inside]] == target[inside]]
+        out[hit] = lo[hit]
+        return out, start
+
+
+def _changes(*keys: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    new = np.zeros(len(keys[0]), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return new
+
+
+def _before(group: np.ndarray, n: int) -> np.ndarray:
+    """Bounds of ``n`` groups in their sorted numbers."""
+    return np.searchsorted(group, np.arange(n + 1))
 
 
-@dataclass
 class Trie:
-    """Words by hash (the end token last), bigram and trigram levels."""
-
-    hashes: np.ndarray  # sorted; ids are places in it, the end's id is their number
-    counts: np.ndarray  # of the words and the end
-    total: float  # N + V + 1 as estimated when the trie was built
-
-    def build(self, two: tuple[np.ndarray, ...], three: tuple[np.ndarray, ...], discounts: tuple[float, float]) -> Trie:
-        """``two``: first and second word and count of the kept bigrams; ``three`` likewise."""
-        n_words = len(self.hashes)
-        self.log_p1 = np.log10((self.counts + 1) / self.total)
-        b, w, c = two
-        order = np.lexsort((w, b))
-        b, w, c = b[order], w[order], c[order].astype(np.float64)
-        seen = np.maximum(self.counts[:n_words].astype(np.float64), 1)
-        share = np.maximum(c - discounts[0], 0) / seen[b]
-        back = np.maximum(1 - np.bincount(b, weights=share, minlength=n_words), 1e-9)
-        p2 = share + back[b] * (self.counts[w] + 1) / self.total
-        self.back1, self.back1_values = quantise(np.log10(back))
-        self.p2, self.p2_values = quantise(np.log10(p2))
-        self.pointer1 = EliasFano(np.searchsorted(b, np.arange(n_words + 1)))
-        self.words2 = EliasFano(_monotone(w + 1, np.searchsorted(b, np.arange(n_words + 1))))
-
-        x, y, z, k = three
-        base = np.int64(n_words + 1)
-        pair = b * base + w
-        parent, tail = np.searchsorted(pair, x * base + y), np.searchsorted(pair, y * base + z)
-        ok = np.zeros(len(x), dtype=bool)
-        if len(pair):
-            ok = (pair[np.minimum(parent, len(pair) - 1)] == x * base + y) & (pair[np.minimum(tail, len(pair) - 1)] == y * base + z)
-        parent, tail, y, k = parent[ok], tail[ok], y[ok], k[ok].astype(np.float64)
-        rank = tail - np.searchsorted(b, y)  # among the successors of the middle word
-        order = np.lexsort((rank, parent))
-        parent, tail, rank, k = parent[order], tail[order], rank[order], k[order]
-        share = np.maximum(k - discounts[1], 0) / c[parent]
-        back = np.maximum(1 - np.bincount(parent, weights=share, minlength=len(b)), 1e-9)
-        p3 = share + back[parent] * p2[tail]
-        self.back2, self.back2_values = quantise(np.log10(back))
-        self.p3, self.p3_values = quantise(np.log10(p3))
-        bounds = np.searchsorted(parent, np.arange(len(b) + 1))
-        self.pointer2 = EliasFano(bounds)
-        self.words3 = EliasFano(_monotone(rank + 1, bounds))
-        return self
+    """The kept bigrams (b, w) or trigrams (a, b, w), in order of b, a, w; ``a`` is None for bigrams."""
 
-    def find(self, pointer: EliasFano, level: EliasFano, node: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return find(pointer, level, node, word)
-
-    def gains(self, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What contexts (a, b) add to the log10 unigram probability of w, and whether an n-gram gave
-        it. Ids; -1 is none of the trie's words; b must be one."""
-        gain = self.back1_values[self.back1[b]].astype(np.float64)
-        kept = np.zeros(len(b), dtype=bool)
-        tail = np.full(len(b), -1, dtype=np.int64)
-        known = np.flatnonzero(w >= 0)
-        tail[known] = self.find(self.pointer1, self.words2, b[known], w[known])
-        two = np.flatnonzero(tail >= 0)
-        gain[two] = self.p2_values[self.p2[tail[two]]] - self.log_p1[w[two]]
-        kept[two] = True
-        first = np.flatnonzero(a >= 0)
-        parent = np.full(len(b), -1, dtype=np.int64)
-        parent[first] = self.find(self.pointer1, self.words2, a[first], b[first])
-        deep = np.flatnonzero(parent >= 0)
-        gain[deep] += self.back2_values[self.back2[parent[deep]]]
-        deep = deep[tail[deep] >= 0]
-        rank = tail[deep] - self.pointer1[b[deep]]
-        at = self.find(self.pointer2, self.words3, parent[deep], rank)
-        three = deep[at >= 0]
-        gain[three] = self.p3_values[self.p3[at[at >= 0]]] - self.log_p1[w[three]]
-        return gain, kept
+    def __init__(self, b: np.ndarray, a: np.ndarray | None, w: np.ndarray, n: np.ndarray) -> None:
+        new = _changes(b)
+        self.firsts, node = b[new], np.cumsum(new) - 1
+        if a is None:
+            self.successors = Level(_before(node, len(self.firsts)), w)
+        else:
+            order = np.lexsort((w, node))
+            own = _changes(node[order], w[order])
+            after = node[order][own]
+            bounds = _before(after, len(self.firsts))
+            self.successors = Level(bounds, w[order][own])
+            rank = np.empty(len(w), dtype=np.int64)
+            rank[order] = np.cumsum(own) - 1
+            rank -= bounds[node]
+            context = _changes(node, a)
+            self.predecessors = Level(_before(node[context], len(self.firsts)), a[context])
+            self.thirds = Level(_before(np.cumsum(context) - 1, int(context.sum())), rank)
+        self.trigrams = a is not None
+        self.code = quantise(n)
+
+    def codes(self, b: np.ndarray, a: np.ndarray | None, w: np.ndarray) -> np.ndarray:
+        """The codes of n-grams, 0 for those that are not kept."""
+        out = np.zeros(len(b), dtype=np.uint8)
+        if not len(self.firsts):
+            return out
+        for lo in range(0, len(b), 1 << 18):
+            node = np.minimum(np.searchsorted(self.firsts, b[lo:lo + (1 << 18)]), len(self.firsts) - 1)
+            todo = lo + np.flatnonzero(self.firsts[node] == b[lo:lo + (1 << 18)])
+            node = node[todo - lo]
+            at, start = self.successors.find(node, w[todo])
+            if self.trigrams:
+                two = np.flatnonzero(at >= 0)
+                todo, rank = todo[two], (at - start)[two]
+                context, _ = self.predecessors.find(node[two], a[todo])
+                there = np.flatnonzero(context >= 0)
+                todo = todo[there]
+                at, _ = self.thirds.find(context[there], rank[there])
+            out[todo[at >= 0]] = self.code[at[at >= 0]]
+        return out
 
     def mapped(self) -> Trie:
         """The same trie with its levels in a memory-mapped temporary file that has no name."""
-        holders = [(self, k) for k in ("p2", "back1", "p3", "back2")] + [
-            (e, k) for e in (self.pointer1, self.words2, self.pointer2, self.words3) for k in e.arrays()]
+        levels = [self.successors, *((self.predecessors, self.thirds) if self.trigrams else ())]
+        holders = [(self, "firsts"), (self, "code")] + [(e, k) for x in levels for e in (x.pointer, x.numbers) for k in e.arrays()]
         with tempfile.TemporaryFile() as f:
             places = []
             for holder, name in holders:
@@ -261,28 +219,13 @@ class Trie:
         return self
 
 
-def _monotone(words_: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Increasing positive values in each range, made increasing over all: plus the value before the range."""
-    last = np.where(bounds[1:] > bounds[:-1], words_[np.maximum(bounds[1:], 1) - 1] if len(words_) else 0, 0)
-    base = np.cumsum(last) - last
-    return words_ + np.repeat(base, np.diff(bounds))
-
-
-def _sum_by(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    key, n = np.concatenate(keys), np.concatenate(counts)
-    u, at = np.unique(key, return_inverse=True)
-    return u, np.bincount(at, weights=n, minlength=len(u)).astype(np.int64)
-
-
 def _tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes with the end token behind every text, and tokens before each text."""
+    """Token hashes with the end token behind every text, and the number of tokens of each text."""
     _, _, h, upto = words(buf, offs, NONSPACE, lower=True)
     rows = np.arange(len(offs) - 1)
     out = np.full(len(h) + len(rows), END, dtype=np.uint64)
     out[np.arange(len(h)) + np.repeat(rows, np.diff(upto))] = h
-    return out, upto + np.arange(len(offs))
+    return out, np.diff(upto) + 1
 
 
 def _contexts(upto: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -297,170 +240,257 @@ def _contexts(upto: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return one, two
 
 
-def _block_words(table: pa.Table) -> pa.Table:
-    """Distinct words of a block and how often they are in its training texts."""
-    keys, counts = [], []
-    train = ~table.column("held_out").to_numpy(zero_copy_only=False)
-    for lo, hi, buf, offs in slices(table.column("text").combine_chunks()):
-        tokens, upto = _tokens(buf, offs)
-        u, at = np.unique(tokens, return_inverse=True)
-        keys.append(u)
-        counts.append(np.bincount(at, weights=np.repeat(train[lo:hi], np.diff(upto)), minlength=len(u)))
-    u, n = _sum_by(keys, counts)
-    block = table.column("block")[0].as_py()
-    return pa.table({"word": pa.array(u.view(np.int64)), "block": pa.array(np.full(len(u), block, dtype=np.int32)), "n": pa.array(n)})
+def _pack(x: np.ndarray) -> bytes:
+    """An array's bytes, all first ones, then all second ones and so on, compressed."""
+    planes = x.view(np.uint8).reshape(-1, x.itemsize).T
+    return len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(x: bytes, kind: type = np.int64) -> np.ndarray:
+    n, wide = int.from_bytes(x[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(x[8:], n * wide, codec="zstd", asbytes=True), dtype=np.uint8).reshape(wide, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_arrays([pa.array([r[i] for r in rows], type=k.type) for i, k in enumerate(schema)], schema=schema)
+
+
+_BLOCK = "block long, doc_id array<{}>, held_out array<boolean>, sizes binary, words binary, n binary, ids binary"
+
+
+def _deal(block_bytes: int):
+    """Tokenise the texts of a partition into blocks: distinct words, how often each is in training
+    texts, and the tokens as places in the words."""
+
+    def close(number: int, ids: list, held: list, sizes: list, hashes: list) -> pa.RecordBatch:
+        tokens, size, doc, out = np.concatenate(hashes), np.concatenate(sizes), pa.concat_arrays(ids), pa.concat_arrays(held)
+        word, at = np.unique(tokens, return_inverse=True)
+        train = np.repeat(~out.to_numpy(zero_copy_only=False), size)
+        n = np.bincount(at, weights=train, minlength=len(word)).astype(np.int64)
+        one = [np.array([0, len(doc)], dtype=np.int32)] * 2
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), pa.ListArray.from_arrays(one[0], doc), pa.ListArray.from_arrays(one[1], out),
+             *[pa.array([_pack(x)], pa.binary()) for x in (size, word, n, at.astype(np.int32))]],
+            names=["block", "doc_id", "held_out", "sizes", "words", "n", "ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        parts: tuple[list, ...] = ([], [], [], [])
+        held = 0
+        for batch in batches:
+            for lo, hi, buf, offs in slices(batch.column("text")):
+                tokens, size = _tokens(buf, offs)
+                for part, x in zip(parts, (batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), size, tokens)):
+                    part.append(x)
+                held += len(buf) + hi - lo
+                if held >= block_bytes:
+                    yield close(number, *parts)
+                    parts, held, number = ([], [], [], []), 0, number + 1
+        if parts[0]:
+            yield close(number, *parts)
 
+    return run
 
-def _pack(x: np.ndarray) -> bytes:
-    return len(x).to_bytes(8, "little") + pa.compress(x.tobytes(), codec="zstd", asbytes=True)
 
+_WORDS = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("n", pa.binary())])
 
-def _unpack(x: bytes, kind: type) -> np.ndarray:
-    size = int.from_bytes(x[:8], "little") * np.dtype(kind).itemsize
-    return np.frombuffer(pa.decompress(x[8:], size, codec="zstd", asbytes=True), dtype=kind)
 
+def _ask_words(n_shards: int):
+    """The words of a block with their counts, to shards by ranges of the hash."""
 
-@dataclass
-class _Grams:
-    """Distinct n-grams of one order of a block, by shard and context."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, word, n in zip(*[batch.column(k).to_pylist() for k in ("block", "words", "n")]):
+                word, n = _unpack(word, np.uint64), _unpack(n)
+                cuts = np.searchsorted((word >> np.uint64(32)) * np.uint64(n_shards) >> np.uint64(32), np.arange(n_shards + 1).astype(np.uint64))
+                rows = [(s, block, _pack(word[cuts[s]:cuts[s + 1]]), _pack(n[cuts[s]:cuts[s + 1]])) for s in np.flatnonzero(np.diff(cuts)).tolist()]
+                yield from _table(rows, _WORDS).to_batches()
+
+    return run
+
+
+def _add_words(n_shards: int):
+    """Counts of a shard's words, and their ids: one of every ``n_shards`` numbers, by falling count."""
+
+    def run(table: pa.Table) -> pa.Table:
+        asked = [_unpack(x, np.uint64) for x in table.column("words").to_pylist()]
+        word, at = np.unique(np.concatenate(asked), return_inverse=True)
+        c = np.bincount(at, weights=np.concatenate([_unpack(x) for x in table.column("n").to_pylist()]), minlength=len(word)).astype(np.int64)
+        number = np.empty(len(word), dtype=np.int64)
+        number[np.argsort(-c, kind="stable")] = np.arange(len(word)) * n_shards + table.column("shard")[0].as_py()
+        ends = np.cumsum([len(x) for x in asked])
+        parts = np.split(at, ends[:-1])
+        first = np.arange(len(parts)) == 0
+        return pa.table([table.column("block"), pa.array(np.ones(len(parts), np.int32)), table.column("shard"),
+                         pa.array(np.where(first, c.sum(), 0)), pa.array(np.where(first, (c > 0).sum(), 0)),
+                         pa.array([_pack(number[x]) for x in parts], pa.binary()), pa.array([_pack(c[x]) for x in parts], pa.binary())],
+                        names=["block", "order", "shard", "x", "y", "codes", "sums"])
+
+    return run
 
-    tokens: np.ndarray  # places whose n-gram is asked for
-    gram: np.ndarray  # its number in the arrays below
-    context: np.ndarray  # number of the context in ``hashes``
-    hashes: np.ndarray
-    word: np.ndarray
-    n: np.ndarray
-    shard: np.ndarray
-    once: int  # training n-grams of contexts that are there but once
 
-    def starts(self) -> np.ndarray:
-        """First n-gram of every context in every shard."""
-        new = np.ones(len(self.context), dtype=bool)
-        new[1:] = (self.context[1:] != self.context[:-1]) | (self.shard[1:] != self.shard[:-1])
-        return np.flatnonzero(new)
+#: What shards answer. Words: ids in ``codes``, counts in ``sums``, x = N and y = V of the shard (in one row).
+#: N-grams: x n-grams that are there once, y that are there twice.
+_ANSWER = "block long, order int, shard int, x long, y long, codes binary, sums binary"
+
+
+class _Grams:
+    """Distinct n-grams of one order of a block, in order of shard, context and word."""
+
+    def __init__(self, block: _Block, order: int, n_shards: int, split_at: int) -> None:
+        v, gid, c = len(block.gid), block.gid, block.c
+        often = c >= LEAST_COUNT
+        there = block.b >= 0 if order == 2 else block.a >= 0
+        ok = there & often[block.b]
+        if order == 3:
+            ok &= often[block.a]
+        self.once = int((there & ~ok & block.train).sum())
+        self.tokens = np.flatnonzero(ok)
+        w, b = block.ids[self.tokens], block.b[self.tokens].astype(np.int64)
+        w = np.where(often[w], w, v)
+        a = block.a[self.tokens].astype(np.int64) if order == 3 else np.zeros(len(b), np.int64)
+        n = block.train[self.tokens]
+        spread = -(-c // split_at)
+        parts = spread[b] if order == 2 else np.minimum(spread[a], spread[b])
+        mixed = mix64((np.append(gid, 0) + 1).view(np.uint64))
+        salt = np.where(w < v, mixed[w] % np.maximum(parts, 1).astype(np.uint64), 0).astype(np.uint64)
+        split = np.flatnonzero(parts > 1)
+        if len(split):  # every part of a context is asked, for its sums
+            _, first = np.unique(a[split] * v + b[split], return_index=True)
+            times = parts[split[first]]
+            more = np.repeat(split[first], times)
+            a, b, w = np.append(a, a[more]), np.append(b, b[more]), np.append(w, np.full(len(more), v))
+            salt = np.append(salt, np.concatenate([np.arange(k, dtype=np.uint64) for k in times]))
+            n = np.append(n, np.zeros(len(more), bool))
+        to = mixed[b] + salt * _STEP
+        if order == 3:
+            to += mixed[a] % np.maximum(spread[b], 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        shard = (mix64(to) % np.uint64(n_shards)).astype(np.int64)
+        key, at = np.unique((shard * v + b) * v + a, return_inverse=True)
+        gram, self.gram = np.unique(at * np.int64(v + 1) + w, return_inverse=True)
+        self.n = np.bincount(self.gram, weights=n, minlength=len(gram)).astype(np.int64)
+        self.context, w = gram // (v + 1), gram % (v + 1)
+        self.word = np.append(gid + 1, 0)[w]  # 0: none
+        self.a, self.b, self.shard = gid[key % max(v, 1)], gid[key // max(v, 1) % max(v, 1)], key // max(v * v, 1)
+        self.sizes = np.bincount(self.context, minlength=len(key))
+        #: Parts of one context have one number.
+        self.whole = np.unique(key % max(v * v, 1), return_inverse=True)[1] if len(split) else np.arange(len(key))
+        self.gram = self.gram[:len(self.tokens)]
+
+    def messages(self, order: int, block: int) -> list[tuple]:
+        rows = []
+        ends = np.append(0, np.cumsum(self.sizes))
+        new = np.flatnonzero(_changes(self.shard))
+        for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(self.shard)]):
+            x, y = ends[lo], ends[hi]
+            rows.append((block, order, int(self.shard[lo]), 0 if rows else self.once, *[_pack(z.astype(np.int64)) for z in (
+                np.diff(self.b[lo:hi], prepend=0), self.a[lo:hi] if order == 3 else self.a[:0], self.sizes[lo:hi], self.word[x:y], self.n[x:y])]))
+        if self.once and not rows:
+            rows.append((block, order, 0, self.once, *[_pack(np.zeros(0, np.int64))] * 5))
+        return rows
 
 
 class _Block:
-    """The tokens of a block's texts as places in its sorted words."""
-
-    def __init__(self, texts: pa.Table, counts: pa.Table) -> None:
-        word = counts.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(word)
-        self.word, self.c = word[order], counts.column("c").to_numpy()[order]
-        ids, upto = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
-        for _, _, buf, offs in slices(texts.column("text").combine_chunks()):
-            tokens, ends = _tokens(buf, offs)
-            ids.append(np.searchsorted(self.word, tokens).astype(np.int32))
-            upto.append(ends[1:] + upto[-1][-1])
-        self.ids, self.upto = np.concatenate(ids), np.concatenate(upto)
+    """The tokens of a block as places in its words in order of their ids."""
+
+    def __init__(self, block: pa.Table, known: pa.Table) -> None:
+        first = known.filter(pa.compute.equal(known.column("order"), 1)).sort_by("shard")
+        gid, c = ([_unpack(x) for x in first.column(k).to_pylist()] for k in ("codes", "sums"))
+        gid, c = np.concatenate(gid), np.concatenate(c)
+        order = np.argsort(gid)
+        place = np.empty(len(order), dtype=np.int32)
+        place[order] = np.arange(len(order))
+        self.gid, self.c = gid[order], c[order]
+        self.ids = place[_unpack(block.column("ids")[0].as_py(), np.int32)]
+        sizes = _unpack(block.column("sizes")[0].as_py())
+        self.upto = np.append(0, np.cumsum(sizes))
         self.b, self.a = _contexts(self.upto, self.ids)
-        self.train = np.repeat(~texts.column("held_out").to_numpy(zero_copy_only=False), np.diff(self.upto))
+        self.held_out = block.column("held_out").combine_chunks().flatten()
+        self.train = np.repeat(~self.held_out.to_numpy(zero_copy_only=False), sizes)
 
-    def grams(self, order: int, n_shards: int, split_at: int) -> _Grams:
-        often, none = self.c >= LEAST_COUNT, len(self.word)
-        ok = (self.b >= 0) & often[self.b]
-        there = self.b >= 0
-        if order == 3:
-            ok &= (self.a >= 0) & often[self.a]
-            there &= self.a >= 0
-        once = int((there & ~ok & self.train).sum())
-        tokens = np.flatnonzero(ok)
-        if order == 2:
-            owner, context = np.unique(self.b[tokens], return_inverse=True)
-            hashes = self.word[owner]
-        else:
-            owner, context = np.unique(self.a[tokens] * np.int64(none) + self.b[tokens], return_inverse=True)
-            hashes = mix64(mix64(self.word[owner // max(none, 1)] + _STEP) * _STEP + self.word[owner % max(none, 1)])
-        w = self.ids[tokens]
-        key, gram = np.unique(context * np.int64(none + 1) + np.where(often[w], w, none), return_inverse=True)
-        n = np.bincount(gram, weights=self.train[tokens], minlength=len(key)).astype(np.int64)
-        del w
-        context, word = key // (none + 1), np.append(self.word, NONE)[key % (none + 1)]
-        salt = np.zeros(len(key), dtype=np.uint64)
-        if order == 2:
-            parts = np.maximum(-(-self.c[owner] // split_at), 1)
-            salt = np.where(word == NONE, 0, mix64(word) % parts[context].astype(np.uint64)).astype(np.uint64)
-            split = np.flatnonzero(parts > 1)  # every part is asked, for its sums
-            context = np.concatenate((context, np.repeat(split, parts[split])))
-            word = np.concatenate((word, np.full(int(parts[split].sum()), NONE)))
-            salt = np.concatenate((salt, *[np.arange(p, dtype=np.uint64) for p in parts[split]]))
-            n = np.concatenate((n, np.zeros(len(word) - len(n), np.int64)))
-        shard = (mix64(hashes[context] + salt * _STEP) % np.uint64(n_shards)).astype(np.int64)
-        to = np.lexsort((word, context, shard))
-        place = np.empty(len(to), dtype=np.int64)
-        place[to] = np.arange(len(to))
-        return _Grams(tokens, place[gram], context[to], hashes, word[to], n[to], shard[to], once)
+
+_ASKED = pa.schema([("block", pa.int64()), ("order", pa.int32()), ("shard", pa.int32()), ("once", pa.int64()),
+                    ("b", pa.binary()), ("a", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("n", pa.binary())])
 
 
 def _ask(n_shards: int, split_at: int):
-    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
+    def run(table: pa.Table, known: pa.Table) -> pa.Table:
         rows: list[tuple] = []
-        if texts.num_rows:
-            block, number = _Block(texts, counts), texts.column("block")[0].as_py()
+        if table.num_rows:
+            block, number = _Block(table, known), table.column("block")[0].as_py()
             for order in (2, 3):
-                g = block.grams(order, n_shards, split_at)
-                starts = g.starts()
-                cuts = np.searchsorted(g.shard, np.arange(n_shards + 1))
-                for shard in np.flatnonzero(np.diff(cuts)).tolist():
-                    lo, hi = cuts[shard], cuts[shard + 1]
-                    own = starts[slice(*np.searchsorted(starts, (lo, hi)))]
-                    rows.append((order, shard, number, g.once if not len(rows) or rows[-1][0] != order else 0, _pack(g.hashes[g.context[own]]),
-                                 _pack(np.diff(np.append(own, hi)).astype(np.int32)), _pack(g.word[lo:hi]), _pack(g.n[lo:hi].astype(np.int32))))
-                if g.once and not len(g.shard):
-                    empty = _pack(np.zeros(0, np.int32))
-                    rows.append((order, 0, number, g.once, empty, empty, empty, empty))
-        return pa.Table.from_arrays([pa.array([r[i] for r in rows], type=t.type) for i, t in enumerate(_ASKED)], schema=_ASKED)
+                rows += _Grams(block, order, n_shards, split_at).messages(order, number)
+        return _table(rows, _ASKED)
 
     return run
 
 
-_ASKED = pa.schema([("order", pa.int32()), ("shard", pa.int32()), ("block", pa.int32()), ("once", pa.int64()),
-                    ("contexts", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("n", pa.binary())])
-
-
 def _answer(table: pa.Table) -> pa.Table:
-    """The counts of a shard's n-grams for every block that asked, and its contexts' sums."""
-    asked = []
-    for contexts, sizes, word, n in zip(*[table.column(k).to_pylist() for k in ("contexts", "sizes", "words", "n")]):
-        asked.append((np.repeat(_unpack(contexts, np.uint64), _unpack(sizes, np.int32)), _unpack(word, np.uint64), _unpack(n, np.int32)))
-    level = Level(*[np.concatenate(x) for x in zip(*asked)])
-    rows: list[list[bytes]] = [[], []]
-    for (context, word, _), contexts in zip(asked, table.column("contexts").to_pylist()):
-        node = np.searchsorted(level.contexts, _unpack(contexts, np.uint64))
-        rows[0].append(_pack(level.counts(context, word)))
-        rows[1].append(_pack(np.concatenate((level.kept[node], level.kept_n[node], level.total[node]))))
+    """The codes of a shard's n-grams for every block that asked, and its contexts' sums."""
+    order = table.column("order")[0].as_py()
+    asked, ends = [], []
+    for b, a, sizes, word, n in zip(*[table.column(k).to_pylist() for k in ("b", "a", "sizes", "words", "n")]):
+        sizes = _unpack(sizes)
+        b = np.repeat(np.cumsum(_unpack(b)), sizes)
+        asked.append((b, np.repeat(_unpack(a), sizes) if order == 3 else b[:0], _unpack(word), _unpack(n)))
+        ends.append(np.append(0, np.cumsum(sizes)))
+    lengths = [len(x[0]) for x in asked]
+    b, a, w, n = (np.concatenate(x) for x in zip(*asked))
+    del asked
+    keys = (b, a, w) if order == 3 else (b, w)
+    to = np.lexsort(keys[::-1])
+    keys, n = [k[to] for k in keys], n[to]
+    new = _changes(*keys)
+    gram = np.empty(len(to), dtype=np.int64)
+    gram[to] = np.cumsum(new) - 1
+    n = np.add.reduceat(n, np.flatnonzero(new)) if len(n) else n
+    keys = [k[new] for k in keys]
+    none = keys[-1] == 0
+    once, twice = int(n[none].sum() + (n[~none] == 1).sum()), int((n[~none] == 2).sum())
+    kept = np.flatnonzero(~none & (n >= LEAST_COUNT))
+    b, w, a = keys[0][kept], keys[-1][kept], keys[1][kept] if order == 3 else None
+    trie = Trie(b, a, w, n[kept]).mapped()
+    code = np.zeros(len(n), dtype=np.uint8)
+    code[kept] = trie.codes(b, a, w)
+
+    start = _changes(*keys[:-1])
+    context = np.cumsum(start) - 1
+    sums = [np.bincount(context, weights=x, minlength=int(start.sum())).astype(np.int64) for x in (code > 0, VALUES[code], n)]
+    codes, back = [], []
+    for part, bounds in zip(np.split(gram, np.cumsum(lengths)[:-1]), ends):
+        codes.append(_pack(code[part]))
+        mine = context[part[bounds[:-1]]]
+        back.append(_pack(np.concatenate([x[mine] for x in sums])))
     first = np.arange(table.num_rows) == 0
-    once = table.column("once").to_numpy() + np.where(first, level.once, 0)
-    return pa.table([table.column("order"), table.column("shard"), table.column("block"), pa.array(once), pa.array(np.where(first, level.twice, 0)),
-                     pa.array(rows[0], type=pa.binary()), pa.array(rows[1], type=pa.binary())],
-                    names=["order", "shard", "block", "once", "twice", "counts", "sums"])
+    return pa.table([table.column("block"), table.column("order"), table.column("shard"),
+                     pa.array(table.column("once").to_numpy() + np.where(first, once, 0)), pa.array(np.where(first, twice, 0)),
+                     pa.array(codes, pa.binary()), pa.array(back, pa.binary())], names=["block", "order", "shard", "x", "y", "codes", "sums"])
 
 
 def _score(n_shards: int, split_at: int, total: float, discounts: dict[int, float]):
-    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        answers = known.filter(pa.compute.greater(known.column("order"), 1)).sort_by("shard")
-        block = _Block(texts, known.filter(pa.compute.equal(known.column("order"), 1)))
+    def run(table: pa.Table, known: pa.Table) -> pa.Table:
+        block = _Block(table, known)
         c = block.c[block.ids]
         p = (c + 1) / total
         for order in (2, 3):
-            mine = answers.filter(pa.compute.equal(answers.column("order"), order))
-            g = block.grams(order, n_shards, split_at)
+            mine = known.filter(pa.compute.equal(known.column("order"), order)).sort_by("shard")
+            g = _Grams(block, order, n_shards, split_at)
             if not len(g.tokens):
                 continue
-            count = np.concatenate([_unpack(x, np.int64) for x in mine.column("counts").to_pylist()])
-            sums = np.concatenate([_unpack(x, np.int64).reshape(3, -1) for x in mine.column("sums").to_pylist()], axis=1)
-            of = g.context[g.starts()]
-            kept, kept_n, seen = (np.bincount(of, weights=x, minlength=len(g.hashes)) for x in sums)
+            n = VALUES[np.concatenate([_unpack(x, np.uint8) for x in mine.column("codes").to_pylist()])]
+            sums = np.concatenate([_unpack(x).reshape(3, -1) for x in mine.column("sums").to_pylist()], axis=1)
+            kept, kept_n, seen = (np.bincount(g.whole, weights=x) for x in sums)
             d = discounts[order]
             seen = np.maximum(seen, 1)
             back = np.maximum(1 - (kept_n - d * kept) / seen, 1e-9)
-            context, n = g.context[g.gram], count[g.gram]
+            context, n = g.whole[g.context[g.gram]], n[g.gram]
             p[g.tokens] = np.where(n > 0, n - d, 0) / seen[context] + back[context] * p[g.tokens]
         rows = []
         for x in (np.ones(len(c), dtype=np.int64), (c > 0).astype(np.int64), np.log10(c + 1.0), np.log10(p)):
-            upto = np.concatenate((np.zeros(1, x.dtype), np.cumsum(x)))
-            rows.append(pa.array(upto[block.upto[1:]] - upto[block.upto[:-1]]))
-        return pa.table([texts.column("doc_id"), texts.column("held_out"), *rows], names=["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"])
+            rows.append(pa.array(np.add.reduceat(x, block.upto[:-1])))
+        return pa.table([table.column("doc_id").combine_chunks().flatten(), block.held_out, *rows],
+                        names=["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"])
 
     return run
 
@@ -471,25 +501,21 @@ def score_texts(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out.alias("held_out"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = -(-int(size) // BLOCK_BYTES) or 1
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")
-    dealt = rows.withColumn("block", block)
-    listed = dealt.groupBy("block").applyInArrow(_block_words, "word long, block int, n long")
-    by_word = Window.partitionBy("word")
-    counts = cut_lineage(listed.select("word", "block", F.sum("n").over(by_word).alias("c"), (F.min("block").over(by_word) == F.col("block")).alias("own")), "words")
-    n, v = counts.filter("own").agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
+    n_shards = -(-int(size) // BLOCK_BYTES) or 1
+    blocks = cut_lineage(rows.mapInArrow(_deal(BLOCK_BYTES), _BLOCK.format(kind)), "blocks")
+    asked = blocks.select("block", "words", "n").mapInArrow(_ask_words(n_shards), "shard int, block long, words binary, n binary")
+    known = cut_lineage(asked.groupBy("shard").applyInArrow(_add_words(n_shards), _ANSWER), "words")
+    n, v = known.agg(F.sum("x"), F.sum("y")).first()
     n, v = int(n or 0), int(v or 0)
 
-    asked = dealt.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(
-        _ask(n_blocks, SPLIT), "order int, shard int, block int, once long, contexts binary, sizes binary, words binary, n binary")
-    answers = cut_lineage(asked.groupBy("order", "shard").applyInArrow(
-        _answer, "order int, shard int, block int, once long, twice long, counts binary, sums binary"), "grams")
-    few = {r["order"]: (r["once"], r["twice"]) for r in answers.groupBy("order").agg(F.sum("once").alias("once"), F.sum("twice").alias("twice")).collect()}
+    texts = blocks.select("block", "held_out", "sizes", "ids")
+    asked = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+        _ask(n_shards, SPLIT), "block long, order int, shard int, once long, b binary, a binary, sizes binary, words binary, n binary")
+    answers = cut_lineage(asked.groupBy("order", "shard").applyInArrow(_answer, _ANSWER), "grams")
+    few = {r["order"]: (r["x"], r["y"]) for r in answers.groupBy("order").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()}
     discounts = {k: few[k][0] / (few[k][0] + 2 * few[k][1]) if few.get(k, (0, 0))[0] else 0.5 for k in (2, 3)}
 
-    known = counts.select("block", F.lit(1).alias("order"), "word", "c").unionByName(
-        answers.select("block", "order", "shard", "counts", "sums"), allowMissingColumns=True)
-    scored = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        _score(n_blocks, SPLIT, float(n + v + 1), discounts), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
+    scored = blocks.select("block", "doc_id", "held_out", "sizes", "ids").groupBy("block").cogroup(known.unionByName(answers).groupBy("block")).applyInArrow(
+        _score(n_shards, SPLIT, float(n + v + 1), discounts), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
     base = F.col("log_counts") - F.col("n_tokens") * float(np.log10(n + v + 1))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

@@ -42,56 +42,32 @@ def test_elias_fano_round_trip(values):
     assert code[np.arange(len(values))].tolist() == values
 
 
-def test_quantiles_keep_order_and_are_near():
-    x = np.random.default_rng(2).normal(size=5000)
-    code, value = L.quantise(x)
-    assert np.abs(value[code] - x).mean() < 0.02
-    assert (np.diff(code[np.argsort(x, kind="stable")].astype(int)) >= 0).all()
+def test_codes_round_counts_down():
+    n = np.unique(np.concatenate((np.arange(1, 3000), 2 ** np.arange(12, 33))))
+    value = L.VALUES[L.quantise(n)]
+    assert (np.diff(L.VALUES) > 0).all() and (value <= n).all() and (n < value * 2 ** (1 / 8) + 1).all()
+    assert (value[n <= L.EXACT] == n[n <= L.EXACT]).all()
 
 
-def small_trie(seed=4):
+def grams(seed=4):
     r = np.random.default_rng(seed)
-    n_words = 12
-    text = r.integers(0, n_words, 4000) % r.integers(1, n_words + 1, 4000)
-    text = [*text.tolist(), n_words]
-    one, two, three = Counter(text), Counter(zip(text, text[1:])), Counter(zip(text, text[1:], text[2:]))
-    two, three = {k: c for k, c in two.items() if c > 2}, {k: c for k, c in three.items() if c > 2}
-    three = {k: c for k, c in three.items() if k[:2] in two and k[1:] in two}
-    counts = np.array([one[i] for i in range(n_words + 1)])
-    trie = L.Trie(np.arange(100, 100 + n_words, dtype=np.uint64), counts, float(sum(one.values()) + len(one) + 1))
-    columns = lambda grams: [np.array([k[i] for k in grams]) for i in range(len(next(iter(grams))))] + [np.array(list(grams.values()))]
-    return trie.build(tuple(columns(two)), tuple(columns(three)), (0.6, 0.7)), one, two, three, n_words
-
-
-def test_trie_finds_exactly_the_kept_ngrams():
-    trie, one, two, three, n = small_trie()
-    for mapped in (False, True):
-        t = trie.mapped() if mapped else trie
-        b, w = (x.ravel() for x in np.meshgrid(np.arange(n), np.arange(n + 1)))
-        at = t.find(t.pointer1, t.words2, b, w)
-        order = sorted(two)
-        assert [(order[i] if i >= 0 else None) for i in at.tolist()] == [((x, y) if (x, y) in two else None) for x, y in zip(b.tolist(), w.tolist())]
-        found = set()
-        for x, y in two:
-            if y == n:
-                continue
-            parent = t.find(t.pointer1, t.words2, np.array([x]), np.array([y]))
-            for z in range(n + 1):
-                tail = t.find(t.pointer1, t.words2, np.array([y]), np.array([z]))
-                if tail[0] >= 0 and t.find(t.pointer2, t.words3, parent, tail - t.pointer1[np.array([y])])[0] >= 0:
-                    found.add((x, y, z))
-        assert found == set(three)
-
-
-def test_probabilities_of_a_context_sum_to_one():
-    trie, one, two, three, n = small_trie()
-    p1 = (trie.counts + 1) / trie.total
-    rest = 1 - p1.sum()  # of words that are in no training text
-    for a, b in [(-1, 0), (-1, 3), (0, 0), (1, 2), (0, 1), (5, 4)]:
-        words = np.arange(n + 1)
-        gain, _ = trie.gains(np.full(n + 1, a), np.full(n + 1, b), words)
-        other, _ = trie.gains(np.array([a]), np.array([b]), np.array([-1]))
-        assert (p1 * 10 ** gain).sum() + rest * 10 ** other[0] == pytest.approx(1, abs=0.02)
+    text = (r.integers(0, 12, 4000) % r.integers(1, 13, 4000)).tolist()
+    return [{k: c for k, c in Counter(zip(*[text[i:] for i in range(order)])).items() if c > 2} for order in (2, 3)]
+
+
+@pytest.mark.parametrize("mapped", [False, True])
+def test_trie_finds_exactly_the_kept_ngrams(mapped):
+    two, three = grams()
+    for kept in (two, three, {}, dict([max(three.items())])):
+        order = len(next(iter(kept), (0, 0)))
+        by = sorted(kept, key=lambda k: (k[-2], k[0], k[-1]))
+        column = lambda at: np.array([k[at] for k in by], dtype=np.int64)
+        trie = L.Trie(column(-2), column(0) if order == 3 else None, column(-1), np.array([kept[k] for k in by], dtype=np.int64))
+        trie = trie.mapped() if mapped else trie
+        ask = [x.ravel() for x in np.meshgrid(*[np.arange(14)] * order)]
+        got = trie.codes(ask[-2], ask[0] if order == 3 else None, ask[-1])
+        want = [int(L.quantise(np.array([kept.get(k, 0)]))[0]) for k in zip(*[x.tolist() for x in ask])]
+        assert got.tolist() == want
 
 
 def test_base_scores_match_brute_force_and_the_model_is_better(spark, monkeypatch):
@@ -100,7 +76,7 @@ def test_base_scores_match_brute_force_and_the_model_is_better(spark, monkeypatc
     got = L.score_texts(docs, crc_bucket(7) == 2).collect()
     check_base(got, [(r[0], r[1]) for r in docs.collect()])
     unseen = [r for r in got if r["held_out"]]
-    assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen) * 0.995
+    assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen) * 0.95
     assert all(r["score"] < 0 for r in got)
 
 
@@ -114,8 +90,9 @@ def test_awkward_rows_and_empty_tables(spark):
 
 
 def brute_scores(rows):
-    """Scores by definition: all n-grams of all words that are there twice."""
+    """Scores by definition: all n-grams of all words that are there twice, by their codes."""
     train = [tokens(t) for i, t in rows if not held(i)]
+    code = lambda n: int(L.VALUES[L.quantise(np.array([n]))][0])
     count = [Counter(tuple(w[i:i + k]) for w in train for i in range(len(w) - k + 1)) for k in (1, 2, 3)]
     total = sum(count[0].values()) + len(count[0]) + 1
     d, under, seen = [0, 0, 0], [None, {}, {}], [None, Counter(), Counter()]
@@ -124,14 +101,16 @@ def brute_scores(rows):
         d[k] = once / (once + 2 * twice) if once else 0.5
         for g, c in count[k].items():
             seen[k][g[:-1]] += c
-            under[k][g[:-1]] = under[k].get(g[:-1], 0) + (c - d[k] if c >= 2 else 0)
+            one, all_n = under[k].get(g[:-1], (0, 0))
+            under[k][g[:-1]] = (one + 1, all_n + code(c)) if c >= 2 else (one, all_n)
 
     def p(g):
         k = len(g) - 1
         if not k:
             return (count[0][g] + 1) / total
         n, h = count[k][g], max(seen[k][g[:-1]], 1)
-        return (n - d[k] if n >= 2 else 0) / h + max(1 - under[k].get(g[:-1], 0) / h, 1e-9) * p(g[1:])
+        kept, kept_n = under[k].get(g[:-1], (0, 0))
+        return (code(n) - d[k] if n >= 2 else 0) / h + max(1 - (kept_n - d[k] * kept) / h, 1e-9) * p(g[1:])
 
     return [(i, held(i), sum(math.log10(p(tuple(w[max(0, j - 2):j + 1]))) for j in range(len(w)))) for i, w in ((i, tokens(t)) for i, t in rows)]
 
@@ -145,7 +124,8 @@ def test_scores_match_brute_force_for_all_words(spark, monkeypatch, split):
     for i in range(400):
         w = [str(x) for x in r.zipf(1.5, 60) % 500]
         at = int(r.integers(0, 4000))
-        rows.append((i, " ".join([*w, *rare[at:at + 20], *w[:5]])))
+        pair = [x for k in range(10) for x in ("of", "the", str(k * 7 + i % 90))]  # a hot pair with many successors
+        rows.append((i, " ".join([*w, *rare[at:at + 20], *w[:5], *pair])))
     monkeypatch.setattr(L, "BLOCK_BYTES", 20_000)
     monkeypatch.setattr(L, "SPLIT", split)
     got = L.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), crc_bucket(7) == 2).collect()
