@@ -133,3 +133,21 @@ def test_compare_tables_reference_cases(spark):
     assert verdict == "content"
     assert [(r.A, r.column, r.left, r.right) for r in cells.collect()] == [(3, "B", "6", "9")]
     assert A.compare_tables(a, b)[0] == "content"
+
+
+def test_compare_tables_reads_only_buckets_that_differ(spark):
+    rows = [(i, None if i % 7 == 0 else f"v{i}", None if i % 5 == 0 else f"v{i}", float("nan") if i % 11 == 0 else -0.0 if i % 2 else i / 3) for i in range(3000)]
+    shape = "id long, x string, y string, z double"
+    a = spark.createDataFrame(rows, shape)
+    shuffled = spark.createDataFrame([(i, x, y, 0.0 if z == 0 else z) for i, x, y, z in reversed(rows)], shape)
+    assert A.compare_tables(a, shuffled)[0] == A.compare_tables(a, shuffled, key="id")[0] == "equal"
+    assert A.compare_tables(a, shuffled, key="id")[1].columns == ["id", "column", "left", "right"]
+    swapped = spark.createDataFrame([(i, y, x, z) if i == 35 * 20 + 7 else (i, x, y, z) for i, x, y, z in rows], shape)  # x null, y not
+    verdict, cells = A.compare_tables(a, swapped, key="id")
+    assert verdict == "content" and sorted(tuple(r) for r in cells.collect()) == [(707, "x", None, "v707"), (707, "y", "v707", None)]
+    assert A.compare_tables(a, swapped)[1].count() == 2
+    # as multisets: the same rows in other numbers
+    twice = lambda i, j: spark.createDataFrame([(i, "a"), (i, "a"), (j, "b"), (j, "b")], "id long, x string")
+    assert A.compare_tables(twice(1, 2), spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, "b")], "id long, x string"))[0] == "content"
+    empty = a.where("false")
+    assert A.compare_tables(empty, empty)[0] == A.compare_tables(empty, empty, key="id")[0] == "equal"
