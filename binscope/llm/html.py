@@ -24,6 +24,8 @@ repeated rows are extracted each.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -66,9 +68,9 @@ CLOSES = {
 }
 
 _SKIP_END = re.compile(rf"</({'|'.join(SKIPPED)})\s*>", re.I)
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*|/)?)>",
-    re.S | re.I)
+_START = re.compile(rf"<(?:(?P<other>!--|[!?])|(?P<raw>{'|'.join(RAW)})(?=[\s/>])|(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?=[\s/>]))", re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+_QUOTES = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _MARKS = re.compile(r"[.,;:!?…。、，！？；：]")
@@ -83,6 +85,7 @@ class Node:
     aside: int = 0  # 1: by tag, 2: by class name
     outer: Node | None = None  # in a skipped element: the element around that
     ended: bool = False  # a skipped element with an end tag
+    in_article: bool = False  # an article element, or in one
     holds: bool = False  # an article, main or h1 element that is not set aside itself
     children: list[Node] = field(default_factory=list)
     chars: int = 0
@@ -91,11 +94,6 @@ class Node:
     h1: int = 0
     out: bool = False
 
-    def inside_article(self) -> bool:
-        node = self
-        while node is not None and node.tag != "article":
-            node = node.parent
-        return node is not None
 
 
 @dataclass
@@ -105,6 +103,56 @@ class Block:
     links: int
 
 
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of ``>`` and quotes, and where a tag ends that goes on there outside of quotes (-1: nowhere)."""
+    places = [m.start() for m in _QUOTES.finditer(page)]
+    ends = [-1] * (len(places) + 1)
+    after: dict[str, int] = {}  # of each quote: the number of the place behind the next one
+    for k in range(len(places) - 1, -1, -1):
+        mark = page[places[k]]
+        if mark == ">":
+            ends[k] = places[k] + 1
+        else:
+            ends[k] = ends[after.get(mark, -1)]
+            after[mark] = k + 1
+    return places, ends
+
+
+def read_tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, tag, whether it is an end tag, what stands behind the name) of comments, raw
+    elements (tag "") and tags, in time in proportion to the page whatever is left unclosed in it."""
+    places, ends = _tag_ends(page)
+    last = page.rfind(">")
+    at = 0
+    while m := _START.search(page, at):
+        at = m.end()
+        if m["other"] == "!--":
+            end = page.find("-->", at)
+            at = end + 3 if end >= 0 else len(page)
+            yield m.start(), at, "", False, ""
+        elif at > last:  # no tag ends behind this place
+            at = m.start() + 1
+        elif m["other"]:
+            at = page.find(">", at) + 1
+            yield m.start(), at, "", False, ""
+        elif m["raw"]:
+            close = page.find(">", at)
+            if page[close - 1] == "/" and close > at:
+                at = close + 1
+            else:
+                end = _RAW_END[m["raw"].lower()].search(page, close + 1)
+                at = end.end() if end else len(page)
+            yield m.start(), at, "", False, ""
+        else:
+            if page[at].isspace():
+                end = ends[bisect_left(places, at)]
+            else:
+                end = at + 1 if page[at] == ">" else at + 2 if page[at:at + 2] == "/>" else -1
+            if end > 0:
+                yield m.start(), end, m["tag"].lower(), bool(m["end"]), page[at:end - 1]
+                at = end
+
+
 def _aside(tag: str, attributes: dict[str, str], inside: bool) -> int:
     if tag in ASIDE_TAGS or attributes.get("role", "").lower() in ASIDE_ROLES:
         return 1
@@ -126,6 +174,7 @@ def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
     """The block elements of a page, parents first, and its text blocks in order."""
     root = Node("", 0, None)
     nodes, at, blocks, parts, links, anchors = [root], root, [], [], 0, 0
+    opened: Counter[str] = Counter()  # elements from the root to here, by tag
 
     def flush(to: Node) -> None:
         nonlocal parts, links
@@ -135,40 +184,51 @@ def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
                 blocks.append(Block(to, text, min(links, len(text))))
             parts, links = [], 0
 
-    def close(tags: set[str], until: set[str]) -> None:
+    def up(to: Node) -> None:
         nonlocal at
+        while at is not to:
+            opened[at.tag] -= 1
+            at = at.parent
+
+    def down(to: Node) -> None:
+        nonlocal at
+        opened[to.tag] += 1
+        at = to
+
+    def close(tags: set[str], until: set[str]) -> None:
+        if not any(opened[t] for t in tags):
+            return
         node = at
         while node is not root and node.tag not in until and not node.ended:
             if node.tag in tags:
-                at = node.parent
-                return
+                return up(node.parent)
             node = node.parent
 
     ends = {m[1].lower(): m.start() for m in _SKIP_END.finditer(page)}  # the last of each
     place, seen = 0, set()
-    for m in _TOKEN.finditer(page):
-        if m.start() > place and at.outer is None:
-            piece = page[place:m.start()]
+    for start, end, tag, is_end, rest in read_tokens(page):
+        if start > place and at.outer is None:
+            piece = page[place:start]
             parts.append(piece)
             links += len(piece) if anchors else 0
-        place = m.end()
-        tag = (m["tag"] or "").lower()
+        place = end
         if not tag:
             continue
         if tag == "a":
-            anchors = 0 if m["end"] else 1
+            anchors = 0 if is_end else 1
         if tag == "br" and at.outer is None:
             parts.append(" ")
         if tag in SKIPPED:  # in the line: the text around it stays one block
-            node = at
-            if not m["end"] and not m["rest"].endswith("/"):
-                at = Node(tag, at.path, at, at.inside, 1, at.outer or at, ends.get(tag, -1) >= m.end())
-                node.children.append(at)
-                nodes.append(at)
-            elif m["end"]:
-                while node is not root and node.tag != tag:
+            if not is_end and not rest.endswith("/"):
+                new = Node(tag, at.path, at, at.inside, 1, at.outer or at, ends.get(tag, -1) >= end, at.in_article)
+                at.children.append(new)
+                nodes.append(new)
+                down(new)
+            elif is_end and opened[tag]:
+                node = at
+                while node.tag != tag:
                     node = node.parent
-                at = node.parent if node is not root and node.outer is not None else at
+                up(node.parent)
             continue
         if tag not in BLOCKS:
             continue
@@ -176,12 +236,12 @@ def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
         if around is None:
             flush(at)
         anchors = 0
-        if m["end"]:
-            node = at
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root and tag not in ("html", "body"):
-                at = node.parent
+        if is_end:
+            if opened[tag] and tag not in ("html", "body"):
+                node = at
+                while node.tag != tag:
+                    node = node.parent
+                up(node.parent)
             if around is not None and at.outer is None:
                 flush(around)
             continue
@@ -199,14 +259,14 @@ def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
             flush(around)
         if tag == "hr":
             continue
-        attributes = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(m["rest"] or "")}
+        attributes = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(rest)}
         inside = at.inside or tag in ("article", "main")
         path = hash((at.path, tag, *sorted(attributes.get("class", "").split())))
-        new = Node(tag, path, at, inside, _aside(tag, attributes, at.inside), at.outer)
+        new = Node(tag, path, at, inside, _aside(tag, attributes, at.inside), at.outer, in_article=at.in_article or tag == "article")
         at.children.append(new)
         nodes.append(new)
-        if not m["rest"].endswith("/"):
-            at = new
+        if not rest.endswith("/"):
+            down(new)
     if at.outer is None:
         parts.append(page[place:])
     flush(at.outer or at)
@@ -255,7 +315,7 @@ def extract(page: str | None) -> str:
         n.parent.content += n.content
         n.parent.headings += n.headings
         n.parent.h1 += n.h1
-    articles = [n for n in nodes if n.tag == "article" and not n.out and n.chars and not n.parent.inside_article()]
+    articles = [n for n in nodes if n.tag == "article" and not n.out and n.chars and not n.parent.in_article]
     headed = [n for n in articles if n.h1]
     # the only article, or the only one with an h1, comes before any share
     chosen = articles if len(articles) == 1 else headed

@@ -1,5 +1,8 @@
 import html
 import re
+import time
+
+import numpy as np
 
 from binscope.llm import html as H
 
@@ -77,3 +80,29 @@ def test_broken_and_empty_pages(spark):
     assert got.columns == ["page_id", "html", "text", "n_chars", "_main"]
     assert by_row((r["page_id"], r["_main"]["text"]) for r in got.collect()) == by_row(list(enumerate(cases.values())) * 2)
     assert H.extract_pages(df.limit(0)).count() == 0
+
+
+#: The same tokens by one expression, in quadratic time on pages with unclosed quotes.
+TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(H.RAW)})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*|/)?)>",
+    re.S | re.I)
+
+
+def test_tokens_are_those_of_the_expression():
+    r = np.random.default_rng(7)
+    parts = ["<p", "<a ", "<script", "</script>", "<!--", "-->", "<!", "<?x", "</", "div", ">", "/>", "/", '"', "'", " ", "=x", "\n", "<STYLE >", "text", "<b>", "<p class='a'>", "\xa0", "<"]
+    for _ in range(20000):
+        page = "".join(parts[i] for i in r.integers(0, len(parts), r.integers(1, 25)))
+        want = [(m.start(), m.end(), (m["tag"] or "").lower(), bool(m["end"]), m["rest"] or "") for m in TOKEN.finditer(page)]
+        assert list(H.read_tokens(page)) == want, page
+
+
+def test_bad_markup_takes_time_in_proportion():
+    n = 1 << 20
+    for piece in ("<p class='x>a \"</p>", "<p title=\"a>b</p>'", "<script ", "<!", "<p ", "<!-- ", "<div></span></p></li>", "<h1><td>", "<button><p>", "</a", "<li><div>"):
+        t = time.process_time()
+        H.extract(piece * (n // len(piece)))
+        assert time.process_time() - t < 20, piece
+    t = time.process_time()
+    assert H.extract("<div>" * 100_000 + "<article>deep, text.</article>" + "</p></b></form>" * 100_000).startswith("deep, text.")
+    assert time.process_time() - t < 20
