@@ -1,9 +1,10 @@
 """Language identification (operator 8): interpolated Kneser-Ney character models.
 
 Letters are lower-cased, everything else is one blank between words, and three
-empty characters stand before a text. A 4-gram is its four characters at 16 bits
-each, in a sorted 64-bit array; contexts and lower orders are arrays of the same
-kind, by their last characters. For each language the order-4 model uses counts
+empty characters stand before a text. A character is its 16-bit number in an alphabet:
+the letters of the learning texts by falling count (of more than 65,533 the first), with one
+number for all others. A 4-gram is its four numbers in a sorted 64-bit array; contexts and
+lower orders are arrays of the same kind, by their last characters. For each language the order-4 model uses counts
 and the lower orders continuation counts, with the discount n1 / (n1 + 2 n2) of
 each order, down to a uniform distribution.
 
@@ -38,6 +39,9 @@ REJECT_SHARE = 0.005
 UNKNOWN = "und"
 _SLICE = 1 << 19
 _SPACE = 32
+#: Numbers of blanks and of letters that are not in the alphabet; its own begin behind them. 0 is padding.
+_BLANK, _OTHER = 1, 2
+MOST_LETTERS = (1 << 16) - 1 - _OTHER
 
 _letters: np.ndarray | None = None
 
@@ -49,13 +53,26 @@ def _is_letter() -> np.ndarray:
     return _letters
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """4-grams of all texts, 4-grams before each text (n + 1), and whether it has a letter."""
+def code_points(texts: list[str]) -> np.ndarray:
+    """The lower-cased letters of texts, other characters as blanks, with padding around every text."""
     pad = "\0" * (ORDER - 1)
     joined = pad + pad.join(t.replace("\0", " ").lower() for t in texts) + pad
     c = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32)
-    letter = _is_letter()[c]
-    c = np.where(letter | (c == 0), c, _SPACE).astype(np.uint64)
+    return np.where(_is_letter()[c] | (c == 0), c, _SPACE)
+
+
+def numbering(alphabet: np.ndarray) -> np.ndarray:
+    """The number of every code point, from the letters of an alphabet in order."""
+    table = np.full(0x110000, _OTHER, dtype=np.uint16)
+    table[0], table[_SPACE] = 0, _BLANK
+    table[alphabet] = np.arange(len(alphabet)) + _OTHER + 1
+    return table
+
+
+def grams(texts: list[str], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """4-grams of all texts, 4-grams before each text (n + 1), and whether it has a letter."""
+    c = code_points(texts)
+    letter = (c != 0) & (c != _SPACE)
     keep = np.ones(len(c), dtype=bool)
     keep[1:] = (c[1:] != _SPACE) | (c[:-1] != _SPACE)
     # the place where each text ends: where a run of padding begins, by length, as texts can be empty
@@ -65,7 +82,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.concatenate(([0], np.cumsum(keep)))
     ends = at[ends]
     starts = np.concatenate(([at[0]], ends[:-1])) if len(ends) else ends
-    c = c & np.uint64(0xFFFF)
+    c = numbers[c].astype(np.uint64)
     key = c.copy()
     for k in range(1, ORDER):
         key[k:] |= c[:-k] << np.uint64(16 * k)
@@ -85,6 +102,7 @@ class CharacterModels:
     """Log probabilities of all languages side by side, in sorted arrays by order."""
 
     languages: list[str]
+    alphabet: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     floor: float = 0.0
     keys: dict[int, np.ndarray] = field(default_factory=dict)
     log_p: dict[int, np.ndarray] = field(default_factory=dict)
@@ -93,6 +111,14 @@ class CharacterModels:
     temperature: float = 1.0
     reject_above: float = float("inf")
 
+    def numbers(self) -> np.ndarray:
+        if self.__dict__.get("_numbers") is None:
+            self._numbers = numbering(self.alphabet)
+        return self._numbers
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_numbers"}
+
     def lookup(self, order: int, keys: np.ndarray) -> np.ndarray:
         if order == 0:
             return np.full((len(keys), len(self.languages)), self.floor, dtype=np.float32)
@@ -113,7 +139,7 @@ class CharacterModels:
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per character of every text and language; whether the text has a letter."""
-        keys, upto, letters = grams(texts)
+        keys, upto, letters = grams(texts, self.numbers())
         total = np.zeros((len(keys) + 1, len(self.languages)))
         if len(keys):
             np.cumsum(self.lookup(ORDER, keys), axis=0, out=total[1:], dtype=np.float64)
@@ -166,16 +192,30 @@ def _slices(column: pa.Array) -> Iterator[list[str]]:
         yield texts
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """4-grams of each language and how often they are there, summed over a slice."""
+def _letters_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Letters and how often they are there, summed over a slice."""
     for batch in batches:
-        language = np.array(batch.column(0).to_pylist(), dtype=object)
-        for name in sorted(set(language)):
-            column = batch.column(1).filter(pa.array(language == name))
-            for texts in _slices(column):
-                key, n = np.unique(grams(texts)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(key)), pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "key", "n"])
+        for texts in _slices(batch.column(0)):
+            letter, n = np.unique(code_points(texts), return_counts=True)
+            ok = (letter != 0) & (letter != _SPACE)
+            yield pa.RecordBatch.from_arrays([pa.array(letter[ok].astype(np.int32)), pa.array(n[ok].astype(np.int64))], names=["letter", "n"])
+
+
+def _count(alphabet: np.ndarray):
+    """4-grams of each language and how often they are there, summed over a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = numbering(alphabet)
+        for batch in batches:
+            language = np.array(batch.column(0).to_pylist(), dtype=object)
+            for name in sorted(set(language)):
+                column = batch.column(1).filter(pa.array(language == name))
+                for texts in _slices(column):
+                    key, n = np.unique(grams(texts, numbers)[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(key)), pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "key", "n"])
+
+    return run
 
 
 def fit_languages(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> CharacterModels:
@@ -189,13 +229,16 @@ def fit_languages(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE)
     share = F.element_at(F.create_map(*[x for k, n in sorted(sizes.items()) for x in (F.lit(k), F.lit(min(1.0, per_language / n)))]), F.col("lang"))
     sample = rows.filter(spread < share)
     held = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit("held")), F.lit(4)) == 0
-    counts = sample.filter(~held).select("lang", "text").mapInArrow(_count, "lang string, key long, n long")
+    learned = sample.filter(~held).select("lang", "text")
+    letters = learned.select("text").mapInArrow(_letters_of, "letter int, n long").groupBy("letter").agg(F.sum("n").alias("n"))
+    alphabet = letters.orderBy(F.desc("n"), "letter").limit(MOST_LETTERS).toPandas()["letter"].to_numpy().astype(np.int64)
+    counts = learned.mapInArrow(_count(alphabet), "lang string, key long, n long")
     found = counts.groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()  # bounded by the sample
     names = sorted(set(found["lang"]))
     if not names:
         return CharacterModels([])
     place = {k: i for i, k in enumerate(names)}
-    model = CharacterModels(names).fit(found["key"].to_numpy().view(np.uint64), found["lang"].map(place).to_numpy(), found["n"].to_numpy())
+    model = CharacterModels(names, alphabet).fit(found["key"].to_numpy().view(np.uint64), found["lang"].map(place).to_numpy(), found["n"].to_numpy())
     sent = labelled.sparkSession.sparkContext.broadcast(model)
 
     def entropies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
