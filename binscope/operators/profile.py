@@ -302,22 +302,17 @@ def detect_variable_types(df: DataFrame, cols: list[str] | None = None,
 
 def histogram_density(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """A10: equal-width bins over [min, max] (last bin closed on the right):
-    ``bin, lo, hi, count, density = count / (n * width)``."""
-    st = df.agg(F.min(c(col)).alias("mn"), F.max(c(col)).alias("mx"),
-                F.count(c(col)).alias("n"))
-    width = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
-    b = F.least(F.floor((F.col("_x") - F.col("mn")) / F.nullif(width, F.lit(0.0))),
-                F.lit(bins - 1))
-    binned = (df.where(c(col).isNotNull()).select(c(col).cast("double").alias("_x"))
-              .withColumn("_k", F.lit(0)).join(st.withColumn("_k", F.lit(0)), "_k")
-              .select(F.coalesce(b, F.lit(0)).cast("int").alias("bin"), "mn", "mx", "n"))
-    g = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.first("mn").alias("mn"),
-                                  F.first("mx").alias("mx"), F.first("n").alias("n"))
-    w = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
+    ``bin, lo, hi, count, density = count / (n * width)``. Range and number of values are
+    one aggregate and one row to the driver; they are literals in the second."""
+    x = c(col).cast("double")
+    least, most, n = df.agg(F.min(x), F.max(x), F.count(x)).first()
+    mn, w = F.lit(least).cast("double"), F.lit((most - least) / float(bins) if n else None).cast("double")
+    b = F.least(F.floor((x - mn) / F.nullif(w, F.lit(0.0))), F.lit(bins - 1))
+    g = df.where(c(col).isNotNull()).groupBy(F.coalesce(b, F.lit(0)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     return g.select(F.lit(col).alias("variable"), "bin",
-                    (F.col("mn") + F.col("bin") * w).alias("lo"),
-                    (F.col("mn") + (F.col("bin") + 1) * w).alias("hi"), "count",
-                    safe_div(F.col("count"), F.col("n") * w).alias("density"))
+                    (mn + F.col("bin") * w).alias("lo"),
+                    (mn + (F.col("bin") + 1) * w).alias("hi"), "count",
+                    safe_div(F.col("count"), F.lit(n) * w).alias("density"))
 
 
 def histogram_stats(df: DataFrame, col: str) -> DataFrame:
