@@ -6,9 +6,9 @@ positions where a benchmark window could begin. Every test suffix is then
 binary-searched in it: the range of equal suffixes gives the locations, and
 each is extended word by word to the longest verbatim match.
 
-Nothing is shuffled. The benchmark goes to the tasks in blocks of a fixed text
+No document is shuffled. The distinct benchmark items go to the tasks in blocks of a fixed text
 size, one narrow pass over the documents per block, so what is sent at once has
-a bound, however large the benchmark is.
+a bound, however large the benchmark is and however often it repeats an item.
 
 Defined results: null and empty texts have no words; an item without words has
 no windows; repeated items count once per distinct id; an item whose id is null
@@ -195,14 +195,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     (word ranges inside benchmark windows, merged), ``items`` (distinct ids) and ``longest`` (the
     longest verbatim match and its place)."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("text")).filter(F.length("text") > 0).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = -(-int(total) // block_bytes) or 1
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
     kept = docs.columns if keep is None else keep
     out = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.lit(None).cast(t).alias(k) for k, t in _STATE])
     for b in range(n_blocks):
-        rows = [(r[0], r[1]) for r in items.filter(block == b).collect()]  # one block: bounded
+        rows = sorted(((r[0], r[1]) for r in items.filter(block == b).collect()), key=lambda r: (r[0] is None, *map(str, r)))  # one block: bounded
         sent = spark.sparkContext.broadcast(TestSuffixes(rows, window))
         if b == n_blocks - 1:
             shown = out.select(*[F.col(f"`{c}`") for c in kept], *[k for k, _ in _STATE]).schema

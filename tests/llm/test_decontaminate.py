@@ -69,6 +69,16 @@ def test_longest_match_goes_beyond_the_window(spark):
     assert got[0]["_leak"]["longest"].asDict() == {"item_id": "7", "item_word": 1, "doc_word": 3, "n_words": 40}
 
 
+def test_repeated_items_are_sent_once(spark, monkeypatch):
+    sent = []
+    build = D.TestSuffixes.__init__
+    monkeypatch.setattr(D.TestSuffixes, "__init__", lambda self, rows, window: sent.append(len(rows)) or build(self, rows, window))
+    rows = [(1, "a b c d e"), (2, "c d")]
+    items = [(5, "c d")] * 400 + [(None, None)] * 400 + [(6, "")] * 400 + [(7, "d e")]
+    got = check(spark, spark.createDataFrame(rows, "doc_id long, text string"), rows, items, block_bytes=100)
+    assert sum(sent) == 2 and [r[1]["longest"]["item_id"] for r in sorted(got)] == ["5", "5"]
+
+
 def test_awkward_rows_and_empty_tables(spark):
     rows = awkward_rows()
     items = [(1, rows[5][1][100:400]), (2, "a"), (3, None)]
