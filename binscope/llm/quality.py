@@ -1,6 +1,6 @@
 """Quality rules (operator 6): hashed n-gram logistic regression on labelled rows.
 
-A text's features are the shares of its hashed byte trigrams and of its hashed
+A text's features are the shares of its hashed trigrams of characters and of its hashed
 words and word pairs. A logistic regression is fitted on a bounded, hash-ordered
 sample of labelled rows (``SAMPLE_PER_CLASS`` per class), its scores are
 calibrated (Platt scaling on a part of the sample that the fit has not seen,
@@ -26,7 +26,7 @@ from binscope.llm.text import NONSPACE, mix64, slices, table_of, windows, words
 
 #: Bound of the labelled sample that the classifier is fitted on.
 SAMPLE_PER_CLASS = 1000
-#: Weights of byte trigrams, and of words and word pairs.
+#: Weights of character trigrams, and of words and word pairs.
 BITS = 14
 #: Texts with a calibrated probability of good quality below it are rejected.
 KEEP_FROM = 0.5
@@ -39,7 +39,7 @@ SYMBOLS = table_of("#*$%&|<>")
 
 @dataclass
 class QualityModel:
-    weights: np.ndarray  # 3 << BITS: byte trigrams, words, word pairs
+    weights: np.ndarray  # 3 << BITS: character trigrams, words, word pairs
     bias: float
     slope: float
     offset: float
@@ -48,15 +48,23 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margin + self.bias) + self.offset, -500, 500)))
 
 
+def _characters(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of every character as one number, and characters before each row."""
+    starts = np.flatnonzero((buf & 0xC0) != 0x80)
+    code = buf[starts].astype(np.uint64)
+    size = np.diff(np.append(starts, len(buf)))
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        code[more] = code[more] << np.uint64(8) | buf[starts[more] + k]
+    return code, np.searchsorted(starts, offs)
+
+
 def _grams(buf: np.ndarray, offs: np.ndarray, h: np.ndarray, upto: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each feature family: hashed feature of every gram, and grams before each row."""
     out = []
-    code = buf.astype(np.uint32)
-    n = max(0, len(code) - 2)
-    g = (code[:n] << 16 | code[1:n + 1] << 8 | code[2:n + 2]) * np.uint32(2654435761)
-    last = np.repeat(offs[1:], np.diff(offs))[:n]
-    at = np.flatnonzero(np.arange(n) + 3 <= last)
-    out.append(((g[at] >> np.uint32(32 - BITS)).astype(np.int64), np.searchsorted(at, offs)))
+    code, chars = _characters(buf, offs)
+    at, g = windows(mix64(code), chars, 3)
+    out.append(((g >> np.uint64(64 - BITS)).astype(np.int64), np.searchsorted(at, chars)))
     out.append(((h >> np.uint64(64 - BITS)).astype(np.int64) + (1 << BITS), upto))
     at, w = windows(h, upto, 2)
     out.append(((w >> np.uint64(64 - BITS)).astype(np.int64) + (2 << BITS), np.searchsorted(at, upto)))

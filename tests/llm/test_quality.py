@@ -1,6 +1,8 @@
 import re
 import zlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from binscope.llm import quality as Q
@@ -39,6 +41,35 @@ def test_base_rules_match_brute_force(spark):
     assert values(Q.score_quality(docs, None, keep=["doc_id"])) == by_row((r[0], *base(r[1])) for r in docs.select("doc_id", "text").collect())
 
 
+def test_trigrams_are_of_characters():
+    texts = ["añb日本😀", "", "ab", "añb", "日本😀日本😀"]
+    for lo, hi, buf, offs in Q.slices(pa.array(texts)):
+        _, _, h, upto = Q.words(buf, offs, Q.NONSPACE, lower=False)
+        feature, bounds = Q._grams(buf, offs, h, upto)[0]
+        assert (lo, hi) == (0, 5) and np.diff(bounds).tolist() == [max(0, len(t) - 2) for t in texts]
+        grams = [t[k:k + 3] for t in texts for k in range(len(t) - 2)]
+        assert len(set(zip(grams, feature.tolist()))) == len(set(grams)) == len(set(feature.tolist()))
+
+
+def test_probabilities_match_brute_force(spark):
+    r = np.random.default_rng(4)
+    size = 3 << Q.BITS
+    model = Q.QualityModel(r.normal(size=size), 0.3, 0.7, -0.2)
+
+    def brute(text):
+        margin = 0.0
+        for _, _, buf, offs in Q.slices(pa.array([text or ""])):
+            _, _, h, upto = Q.words(buf, offs, Q.NONSPACE, lower=False)
+            for feature, _ in Q._grams(buf, offs, h, upto):
+                margin += sum(model.weights[f] for f in feature.tolist()) / max(1, len(feature))
+        return 1 / (1 + np.exp(-(0.7 * (margin + 0.3) - 0.2)))
+
+    got = Q.score_quality(awkward(spark), model, keep=["doc_id", "text"]).collect()
+    for row in got:
+        p, q = brute(row["text"]), row["_quality"]
+        assert abs(p - q["p_good"]) < 1e-9 and q["kept"] == (not q["base_failed"] and p >= Q.KEEP_FROM)
+
+
 def test_classifier_is_right_on_rows_it_has_not_seen(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
