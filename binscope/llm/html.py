@@ -4,13 +4,14 @@ A page is read once into text blocks, each with its root-to-leaf path of block
 tags (with class names) and its link characters. Blocks inside elements that
 never hold the article (navigation, page headers and footers, sidebars, forms,
 adverts, notices, comments, by tag, role or class name) are set aside, however much text
-they hold; of those known by a class name, wrappers of an article, main or h1 element stay.
+they hold; of those known by a class name, wrappers of an article, main or h1 element stay, as do sections
+of an article whose name may be their topic, where half of their text reaches the threshold below.
 
 For the others, text length and punctuation are added up for each path and
 divided by the path's blocks: the two tag-path ratios. Both are smoothed over the
 neighbouring blocks with a Gaussian kernel, fused as a product, and blocks whose
 fused value reaches ``SHARE`` of the page's mean are content. The content node is
-the only article element, or the only one with an h1; else it is found from the body downwards: the walk goes into a child while that child holds
+the only article element that holds blocks whose own path reaches that, or the only such one with an h1; else it is found from the body downwards: the walk goes into a child while that child holds
 ``DESCEND`` of the content (by its tag), and stops at an article or where a heading would be
 lost. All blocks of that node are the text, but those set aside and, outside article and main elements, lists of links.
 
@@ -57,6 +58,8 @@ share sharing social related recommended recommendations widget pagination pager
 #: Words that may stand beside those in a class name; any other ('has-sidebar') says that it is something else.
 BESIDE_WORDS = set("""area bar block body bottom box btn button buttons container content footer form group header icons id inner item items
 left link links list main menu outer page post posts primary right row secondary section site slot thread top unit user wrap wrapper""".split())
+#: Words of ASIDE_WORDS that may also name what a section or heading of an article is about.
+TOPIC_WORDS = {"social", "banner"}
 PAGE_HEADER = {"header"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = BLOCKS - set("p h1 h2 h3 h4 h5 h6 li dd dt td th pre figcaption legend summary caption title hr".split())
@@ -82,7 +85,7 @@ class Node:
     path: int  # hash of the tags and class names from the root to here
     parent: Node | None
     inside: bool = False  # an article or main element, or in one
-    aside: int = 0  # 1: by tag, 2: by class name
+    aside: int = 0  # 1: by tag, 2: by class name, 3: by class name, unless the ratios find half of it to be content
     outer: Node | None = None  # in a skipped element: the element around that
     ended: bool = False  # a skipped element with an end tag
     in_article: bool = False  # an article element, or in one
@@ -90,6 +93,7 @@ class Node:
     children: list[Node] = field(default_factory=list)
     chars: int = 0
     content: int = 0
+    core: int = 0
     headings: int = 0
     h1: int = 0
     out: bool = False
@@ -166,6 +170,8 @@ def _aside(tag: str, attributes: dict[str, str], inside: bool) -> int:
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         words = {w.lower() for w in _CLASS_WORD.findall(name)}
         if words & own and words <= own | BESIDE_WORDS:
+            if inside and words & own <= TOPIC_WORDS and tag in ("section", "h1", "h2", "h3", "h4", "h5", "h6"):
+                return 3 if tag == "section" else 0
             return 2
     return 0
 
@@ -281,6 +287,20 @@ def _smooth(x: np.ndarray) -> np.ndarray:
     return np.convolve(x, k, mode="same") / np.convolve(np.ones(len(x)), k, mode="same")
 
 
+def content_blocks(blocks: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+    """Which blocks are content: both ratios of their paths, smoothed, fused and held against ``SHARE`` of
+    the page's mean; and which reach it by their own path, without the help of their neighbours."""
+    paths: dict[int, list[Block]] = {}
+    for b in blocks:
+        paths.setdefault(b.node.path, []).append(b)
+    length = {p: sum(len(b.text) - b.links for b in bs) / len(bs) for p, bs in paths.items()}
+    marks = {p: sum(len(_MARKS.findall(b.text)) for b in bs) / len(bs) for p, bs in paths.items()}
+    x, y = np.array([length[b.node.path] for b in blocks]), np.array([1 + marks[b.node.path] for b in blocks])
+    fused = _smooth(x) * _smooth(y)
+    least = SHARE * fused.mean()
+    return fused >= least, x * y >= least
+
+
 def extract(page: str | None) -> str:
     """Main text of a page; an empty string if there is none."""
     if not page:
@@ -303,21 +323,21 @@ def extract(page: str | None) -> str:
     blocks = [b for b in blocks if b.node.inside or b.node.path not in linked]
     if not blocks:
         return ""
-    length = {p: sum(len(b.text) - b.links for b in bs) / len(bs) for p, bs in paths.items()}
-    marks = {p: sum(len(_MARKS.findall(b.text)) for b in bs) / len(bs) for p, bs in paths.items()}
-    fused = _smooth(np.array([length[b.node.path] for b in blocks])) * _smooth(np.array([1 + marks[b.node.path] for b in blocks]))
-    content = fused >= SHARE * fused.mean()
-    for b, chosen in zip(blocks, content):
+    for b, chosen, own in zip(blocks, *content_blocks(blocks)):
         b.node.content += len(b.text) if chosen else 0
+        b.node.core += len(b.text) if own else 0
         b.node.headings += b.node.tag in ("h1", "h2")
         b.node.h1 += b.node.tag == "h1"
     for n in reversed(nodes[1:]):
         n.parent.content += n.content
+        n.parent.core += n.core
         n.parent.headings += n.headings
         n.parent.h1 += n.h1
-    articles = [n for n in nodes if n.tag == "article" and not n.out and n.chars and not n.parent.in_article]
+    for n in nodes[1:]:
+        n.out |= n.parent.out or (n.aside == 3 and 2 * n.core < n.chars)
+    # an article element in which the ratios find no content is a teaser, whatever its name says
+    articles = [n for n in nodes if n.tag == "article" and not n.out and n.core and not n.parent.in_article]
     headed = [n for n in articles if n.h1]
-    # the only article, or the only one with an h1, comes before any share
     chosen = articles if len(articles) == 1 else headed
     node = chosen[0] if len(chosen) == 1 else nodes[0]
     while node.tag != "article":
@@ -327,6 +347,7 @@ def extract(page: str | None) -> str:
         if node.tag not in ("", "html", "body") and node.headings > child.headings:
             break
         node = child
+    blocks = [b for b in blocks if not b.node.out]
     for n in nodes:  # from here on: not in the content node
         n.out = n is not node and (n.parent is None or n.parent.out)
     return "\n".join(b.text for b in blocks if not b.node.out)

@@ -46,6 +46,49 @@ def test_asides_of_any_size_and_wrappers():
     assert H.extract(f"<body><div class=sidebar><article>{short}</article></div><div>{thread}</div></body>") == "Short text, of the article."
 
 
+PARA = "<p>This is one paragraph of the article, with commas, and words. It goes on.</p>"
+PLAIN = "This is one paragraph of the article, with commas, and words. It goes on."
+
+
+def test_an_article_element_without_content_is_a_teaser():
+    for teaser in ("<h1>Teaser</h1><p>short</p>", "<h2>Teaser</h2><p>short</p>", "<a href=x>Read this one, now</a>"):
+        for head in ("", "<h1>Head</h1>"):
+            page = f"<body><article>{teaser}</article><div class=main-text>{head}{PARA * 10}</div></body>"
+            assert H.extract(page) == "\n".join(["Head"] * bool(head) + [PLAIN] * 10)
+    assert H.extract("<body><article><h1>Only</h1><p>short</p></article><ul><li><a href=x>More</a></ul></body>") == "Only\nshort"
+
+
+def test_sections_named_by_their_topic_stay_in_an_article():
+    """By the ratios of their paths; blocks of one path are judged alike."""
+    page = (f"<body><article><h1>Head</h1>{PARA * 3}<section class=social><h2 class=banner>Social policy</h2>{PARA * 2}</section>"
+            f"<section class=social><div>Tweet</div></section><div class=share-box>Share this, now.</div>{PARA}</article></body>")
+    assert H.extract(page) == "\n".join(["Head", *[PLAIN] * 3, "Social policy", *[PLAIN] * 3])
+
+
+def test_content_blocks_match_brute_force():
+    r = np.random.default_rng(11)
+    texts = ["a", "menu", "Some words, here. And there!", "A longer text without marks in it " * 3, "One, two; three: four. " * 4]
+    for _ in range(200):
+        nodes = [H.Node("p", int(p), None) for p in r.integers(0, 4, 4)]
+        blocks = []
+        for _ in range(r.integers(1, 15)):
+            t = texts[r.integers(len(texts))].strip()
+            blocks.append(H.Block(nodes[r.integers(4)], t, int(r.integers(0, len(t) + 1)) if r.random() < 0.3 else 0))
+        length, marks = [], []
+        for b in blocks:
+            same = [x for x in blocks if x.node.path == b.node.path]
+            length.append(sum(len(x.text) - x.links for x in same) / len(same))
+            marks.append(1 + sum(c in ".,;:!?" for x in same for c in x.text) / len(same))
+        fused = []
+        for k in range(len(blocks)):
+            near = [(j, w) for j, w in ((k - 1, 0.25), (k, 0.5), (k + 1, 0.25)) if 0 <= j < len(blocks)]
+            total = sum(w for _, w in near)
+            fused.append(sum(length[j] * w for j, w in near) / total * sum(marks[j] * w for j, w in near) / total)
+        least = H.SHARE * sum(fused) / len(fused)
+        for got, want in zip(H.content_blocks(blocks), (fused, [x * y for x, y in zip(length, marks)])):
+            assert all(g == (f >= least) or abs(f - least) < 1e-9 for g, f in zip(got, want, strict=True))
+
+
 def test_skipped_elements_end_with_their_parent():
     for tag in ("video-player", "svg-icon", "button-group", "object-x"):
         assert H.extract(f"<body><p>Before, one.</p><{tag}></{tag}><p>After, two.</p></body>") == "Before, one.\nAfter, two."
