@@ -282,9 +282,7 @@ def read_blocks(page: str) -> tuple[list[Node], list[Block]]:
 def _smooth(x: np.ndarray) -> np.ndarray:
     """Gaussian smoothing over the neighbours; at the ends over those that are there."""
     k = np.array(SMOOTH)
-    if len(x) < 2:
-        return x
-    return np.convolve(x, k, mode="same") / np.convolve(np.ones(len(x)), k, mode="same")
+    return np.convolve(x, k)[1:-1] / np.convolve(np.ones(len(x)), k)[1:-1]
 
 
 def content_blocks(blocks: list[Block]) -> tuple[np.ndarray, np.ndarray]:
