@@ -1419,6 +1419,7 @@ from pyspark.ml.classification import LogisticRegressionModel  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
 from binscope.operators import models as T  # noqa: E402
+from binscope.plans import evaluation as EV  # noqa: E402
 from binscope.plans import training as TR  # noqa: E402
 from binscope.session import cut_lineage  # noqa: E402
 
@@ -1474,6 +1475,14 @@ def q_random_grid_search(spark, sf):
     return tried
 
 
+@register("train_and_evaluate")
+def q_train_and_evaluate(spark, sf):
+    tf, names = _train_frame(spark, sf)
+    reg = N.Registry(spark, scratch_path(spark, "registry"))
+    return EV.train_and_evaluate(tf, names, reg, "income", "lr_rfe_training",
+                                 lambda d, **p: T.fit_logistic(d, weight="weight", **p), T.LR_GRID, n_iter=3, rfe=True)
+
+
 @register("calibrate_scores")
 def q_calibrate_scores(spark, sf):
     tf, _ = _train_frame(spark, sf)

@@ -1,8 +1,8 @@
 """Model fitting, tuning, calibration and scoring (T1-T5, T7 fitted form).
 
 Fits are ``pyspark.ml`` estimators: each one is a distributed job over the
-assembled feature vectors; the tuning loop is a handful of driver iterations
-(one per sampled grid point), each scored by the same distributed average
+assembled feature vectors; the tuning loop is a handful of fits
+(one per sampled grid point, a pool of them at a time), each scored by the same distributed average
 precision as the metric tables. Options the reference exposes that Spark has
 no counterpart for are refused, not silently ignored.
 """
@@ -12,16 +12,19 @@ from __future__ import annotations
 import itertools
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from binscope.operators import metrics as M
+from binscope.operators.features import rfe_select
 
 # The hyper-parameter grids of the reference's model definitions.
 LR_GRID = {
@@ -153,17 +156,57 @@ def sample_grid(grid: dict, n_iter: int = 1, seed: int = 222, exclude_prefix: st
     return random.Random(seed).sample(points, n_iter)
 
 
-def random_grid_search(train: DataFrame, valid: DataFrame, fit_fn, grid: dict, n_iter: int = 1,
-                       seed: int = 222, label: str = "y", key: str | None = None):
+#: Key prefix of the parameters that belong to the feature elimination, and the one that is tuned.
+RFE_PREFIX = "feature_selection"
+RFE_KEY = "feature_selection_RFE__n_features_to_select"
+
+
+def rfe_on_vectors(train: DataFrame, names: list[str], n_features: int | float, features: str = "features",
+                   label: str = "y", weight: str | None = None, step: float = 0.1):
+    """X8 over assembled vectors: the kept names, and a function DataFrame -> DataFrame that
+    cuts ``features`` down to them."""
+    wide = train.select(label, *([weight] if weight else []), vector_to_array(features).alias("_v"))
+    at = {f"f{i}": i for i in range(len(names))}
+    wide = wide.select(label, *([weight] if weight else []), *[F.col("_v")[i].alias(c) for c, i in at.items()])
+    kept = [at[c] for c in rfe_select(wide, list(at), label, n_features, step, weight)]
+    slicer = VectorSlicer(inputCol=features, outputCol="_kept", indices=kept)
+
+    def cut(df: DataFrame) -> DataFrame:
+        return slicer.transform(df).drop(features).withColumnRenamed("_kept", features)
+    return [names[i] for i in kept], cut
+
+
+def random_grid_search(train: DataFrame, valid: DataFrame, fit_fn, grid: dict, n_iter: int | None = 1,
+                       seed: int = 222, label: str = "y", key: str | None = None, select_fn=None, workers: int = 1):
     """T4: fit one model per sampled grid point on ``train``, score ``valid`` by
     step-wise average precision (not Spark's trapezoid ``areaUnderPR``) and keep
-    the best. Returns (best_model, best_params, table of tried points)."""
+    the best (of equals the first point). Returns (best_model, best_params, table of tried points).
+
+    ``n_iter=None`` tries the full grid. With ``select_fn(train, n_features)``, which gives a
+    function DataFrame -> DataFrame, the feature elimination is an inner stage: its key is
+    tuned like the others, each of its settings is fitted once and shared by the points that have it.
+    Without it the elimination's keys are left out. Up to ``workers`` fits run as concurrent Spark jobs; write
+    ``train`` and ``valid`` before (``cut_lineage``), as every fit reads them."""
     spark = train.sparkSession
+    points = sample_grid(grid, n_iter, seed, None if select_fn else RFE_PREFIX)
+
+    def run(work, items: list) -> list:
+        with ThreadPoolExecutor(max(1, workers)) as pool:
+            # the session's local properties go along into the threads
+            return list(pool.map(inheritable_thread_target(spark)(work), items))
+
+    settings = sorted({p[RFE_KEY] for p in points}, key=str) if select_fn and RFE_KEY in grid else []
+    cuts = dict(zip(settings, run(lambda n: select_fn(train, n), settings)))
+
+    def attempt(params: dict):
+        cut = cuts.get(params.get(RFE_KEY), lambda d: d)
+        model = fit_fn(cut(train), **{k: v for k, v in params.items() if not k.startswith(RFE_PREFIX)})
+        s = score_model(model, cut(valid), keep=[label]).withColumn("_m", F.lit("m"))
+        found = M.average_precision(s, ["_m"], label, "predicted_probas").first()
+        return model, found[1] if found else None  # None: no row to score
+
     tried, best = [], (None, None, -math.inf)
-    for i, params in enumerate(sample_grid(grid, n_iter, seed, "feature_selection")):
-        model = fit_fn(train, **params)
-        s = score_model(model, valid, keep=[label]).withColumn("_m", F.lit("m"))
-        ap = M.average_precision(s, ["_m"], label, "predicted_probas").collect()[0][1]
+    for i, (params, (model, ap)) in enumerate(zip(points, run(attempt, points))):
         tried.append((i, repr(params), float(ap) if ap is not None else None))
         if ap is not None and ap > best[2]:
             best = (model, params, ap)
