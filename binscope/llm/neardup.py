@@ -16,7 +16,9 @@ paired. In each bucket every node is compared with one leader, not with all
 others. A link is a Jaccard similarity of the shingle sets of ``SIMILARITY`` or
 more, worked out from the texts. The texts of buckets whose nodes are then in more than
 one component get new buckets, one for each of their rarest shingles: a prefix filter,
-which no link escapes. In these, nodes outside the largest component become leaders in
+which no link escapes. Two texts that share many of them meet in the first alone: a row carries the
+shingles just before its own, and a pair that has one of these in common is left to an earlier
+bucket. In these, nodes outside the largest component become leaders in
 turn, one first, then ``LEADERS`` times as many in each round, and are compared with the other
 components' nodes, until every node is in its bucket's largest component or has been a
 leader. So two texts that end up in different components have been compared or cannot
@@ -53,6 +55,8 @@ _SLICE = 1 << 20
 LEADERS = 4
 #: Points of a process that are drawn at once after the first.
 _DRAW = 8
+#: Shingles before a bucket's own that its rows carry.
+_BEFORE = 8
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -240,18 +244,30 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
         leaders = cut_lineage(_first(waiting, quota), "leaders")
         if not leaders.limit(1).count():
             return _classes(signed, nodes, comp)
-        sides = [x.select("bucket", *[F.col(k).alias(f"{k}_{end}") for k in ("node", "comp", "n", "place")]) for x, end in ((leaders, "a"), (open_, "b"))]
-        # in the bucket of the first shingle they share, no more than this one and those behind it are shared
-        most = 1 + F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b"))
-        may = (F.col("comp_a") != F.col("comp_b")) & (most >= SIMILARITY / (1 + SIMILARITY) * F.expr("n_a + n_b") - 1e-9)
-        pairs = sides[0].join(sides[1], (sides[0]["bucket"] == sides[1]["bucket"]) & may)
-        pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-        comp = _merge(comp, cut_lineage(_verify(pairs, texts), "links"))
+        comp = _merge(comp, cut_lineage(_verify(_candidates(leaders, open_).distinct(), texts), "links"))
         leaders = leaders.select("bucket", "node")
         led = leaders if led is None else led.union(leaders)
+        members = open_.select(*members.columns)  # a bucket in one component stays so
         quota *= LEADERS
 
 
+def _candidates(leaders: DataFrame, open_: DataFrame) -> DataFrame:
+    """(a, b), a < b, of leaders and nodes of other components in their buckets that may have a link.
+
+    A pair is left out of every bucket but the first it shares, as far as the shingles carried tell: one
+    that both have before the bucket's own means that they share an earlier bucket too. Of one size
+    class, they are compared in its buckets and not in those of the next.
+    """
+    sides = [x.select("bucket", *[F.col(k).alias(f"{k}_{end}") for k in ("node", "comp", "n", "place", "own", "before")])
+             for x, end in ((leaders, "a"), (open_, "b"))]
+    # in the bucket of the first shingle they share, no more than this one and those behind it are shared
+    most = 1 + F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b"))
+    may = (F.col("comp_a") != F.col("comp_b")) & (most >= SIMILARITY / (1 + SIMILARITY) * F.expr("n_a + n_b") - 1e-9)
+    first = (F.col("own_a") | F.col("own_b")) & ~F.arrays_overlap("before_a", "before_b")
+    pairs = sides[0].join(sides[1], (sides[0]["bucket"] == sides[1]["bucket"]) & may & first)
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+
 def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
     """``members`` with comp and largest, of the buckets whose nodes are in more than one component."""
     placed = members.join(comp, "node", "left").select(*members.columns, F.coalesce("comp", "node").alias("comp"))
@@ -271,8 +287,9 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _rare_buckets(texts: DataFrame) -> DataFrame:
-    """(bucket, node, n, place): buckets that every two of these texts with a link have in common; n is
-    the size of the text's set, and place that of the bucket's shingle in it, by rarity.
+    """(bucket, node, n, place, own, before): buckets that every two of these texts with a link have in common;
+    n is the size of the text's set, place that of the bucket's shingle in it, by rarity, own whether the bucket
+    is of the text's own size class, and before the shared shingles next before the bucket's in that order.
 
     A similarity of s needs s n of a set's n shingles in both sets, so of the floor((1 - s) n) + 1 that
     are rarest here one at least is shared (prefix filter). Shingles of one text alone are the rarest;
@@ -282,13 +299,16 @@ def _rare_buckets(texts: DataFrame) -> DataFrame:
     rows = texts.select("node", "text").mapInArrow(_shingle_rows, "node binary, shingle long, n long")
     shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
     own = Window.partitionBy("node")
+    by_rarity = own.orderBy("df", "shingle")
     ranked = rows.join(shared, "shingle").select(
-        "node", "shingle", "n", F.count("*").over(own).alias("n_shared"), F.row_number().over(own.orderBy("df", "shingle")).alias("rank"))
-    ranked = ranked.select("node", "shingle", "n", (F.col("n") - F.col("n_shared") + F.col("rank")).alias("place"))
+        "node", "shingle", "n", F.count("*").over(own).alias("n_shared"), F.row_number().over(by_rarity).alias("rank"),
+        F.collect_list("shingle").over(by_rarity.rowsBetween(-_BEFORE, -1)).alias("before"))
+    ranked = ranked.select("node", "shingle", "n", (F.col("n") - F.col("n_shared") + F.col("rank")).alias("place"), "before")
     rare = ranked.filter(F.col("place") <= F.floor(F.col("n") * (1 - SIMILARITY) + 1e-9) + 1)
     size = F.floor(F.log("n") / float(np.log(1 / SIMILARITY)) + 1e-9)
-    spread = rare.select("node", "n", "place", "shingle", F.explode(F.array(size, size + 1)).alias("size"))
-    return cut_lineage(spread.select(F.xxhash64("shingle", "size").alias("bucket"), "node", "n", "place"), "rare")
+    spread = rare.select("node", "n", "place", "shingle", "before", F.explode(F.array(size, size + 1)).alias("size"), size.alias("own_size"))
+    return cut_lineage(spread.select(F.xxhash64("shingle", "size").alias("bucket"), "node", "n", "place",
+                                     (F.col("size") == F.col("own_size")).alias("own"), "before"), "rare")
 
 
 def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
@@ -309,7 +329,7 @@ def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
 def _first(waiting: DataFrame, quota: int) -> DataFrame:
     """The first ``quota`` waiting nodes of each bucket."""
     order = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-    return waiting.select("bucket", "node", "comp", "n", "place", order.alias("rank")).filter(F.col("rank") <= quota).drop("rank")
+    return waiting.withColumn("rank", order).filter(F.col("rank") <= quota).drop("rank")
 
 
 def _classes(signed: DataFrame, nodes: DataFrame, comp: DataFrame) -> DataFrame:

@@ -103,6 +103,28 @@ def test_classes_match_brute_force_on_chains_and_groups(spark):
     assert classes(spark, rows) == brute(rows)
 
 
+def test_a_pair_is_a_candidate_once_however_many_shingles_it_shares(spark):
+    r = random.Random(8)
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for i in range(40):
+        own = list(base)
+        for k in r.sample(range(300), r.choice((2, 6, 9, 12))):
+            own[k] = f"x{i}x{k}"
+        texts.append(" ".join(own[:r.choice((240, 300))]))
+    sets = [shingle_set(t) for t in texts]
+    nodes = [bytes([i]) for i in range(len(texts))]
+    table = spark.createDataFrame(list(zip(nodes, texts)), "node binary, text string")
+    open_ = N._open(N._rare_buckets(table), spark.createDataFrame([], "node binary, comp binary"))
+    rows = [(bytes(p.a), bytes(p.b)) for p in N._candidates(open_, open_).collect()]
+    linked = {(nodes[i], nodes[j]) for j in range(len(nodes)) for i in range(j)
+              if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert len(linked) > 50
+    assert linked <= set(rows)
+    # both ends are leaders here, so each pair comes from either side
+    assert len(rows) <= 2.2 * len(set(rows))
+
+
 def test_a_bucket_is_compared_until_nothing_is_open(spark, monkeypatch):
     """All rows in common buckets: only leaders in turn can find the links."""
     r = random.Random(9)
