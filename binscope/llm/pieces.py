@@ -4,7 +4,8 @@ Encoding: a text's blanks become U+2581 and one is put in front. All adjacent
 symbol pairs whose concatenation is a piece go on an agenda ordered by piece
 score (leftmost first among equals); the best one is merged, its new neighbour
 pairs are put on the agenda, and entries whose symbols have changed meanwhile
-are skipped. What is no piece falls back to its UTF-8 byte pieces.
+are skipped. Of a short text the agenda is the list of its pairs' scores in text order, of which
+the first best one is taken. What is no piece falls back to its UTF-8 byte pieces.
 
 A merge never crosses a boundary between two characters that stand side by side
 in no piece. Texts are cut there into chunks, which are encoded once and kept in
@@ -32,6 +33,9 @@ from binscope.llm.text import text_column
 BLANK = "▁"
 #: Chunks, and parts of them, that a worker keeps; later ones are kept for one slice of texts.
 CACHE_CHUNKS = 300_000
+#: Up to so many characters the agenda is a list; a list's work grows with the square of the length.
+SHORT = 48
+_NEVER = float("inf")
 
 
 class Vocabulary:
@@ -49,6 +53,7 @@ class Vocabulary:
             raise ValueError("vocabularies with unused pieces are not covered")
         self.ids = {p: i for i, p in enumerate(self.pieces) if not special[i]}
         self.rank = {p: (-sp.get_score(i), i) for p, i in self.ids.items()}
+        self.cost = {p: r[0] for p, r in self.rank.items()}
         self.byte_ids = {int(self.pieces[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         if len(self.byte_ids) != 256:
             raise ValueError("the vocabulary has no byte pieces to fall back to")
@@ -58,6 +63,7 @@ class Vocabulary:
         self.bytes_of = [b"" if sp.is_control(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(self.pieces)]
         for b, i in self.byte_ids.items():
             self.bytes_of[i] = bytes([b])
+        self.is_bytes = frozenset(self.byte_ids.values())
         self.joined = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.chunk_ids: dict[str, str] = {}  # ids as text, joined by commas
         self.part_ids: dict[str, list[int]] = {}
@@ -68,6 +74,8 @@ class Vocabulary:
 
     def merge(self, symbols: str) -> list[int]:
         """Ids of a text whose blanks are replaced, by the agenda of adjacent pairs."""
+        if len(symbols) <= SHORT:
+            return self.ids_of(self.merge_short(symbols))
         rank, n = self.rank, len(symbols)
         part = list(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -90,26 +98,36 @@ class Vocabulary:
             h = before[i]
             if h >= 0 and (found := rank.get(new := part[h] + pair)):
                 heapq.heappush(agenda, (found[0], h, i, new))
-        out: list[int] = []
+        return self.ids_of([p for p in part if p])
+
+    def merge_short(self, symbols: str) -> list[str]:
+        """Pieces of a text: ``agenda[i]`` is the score of merging parts i and i + 1, and the leftmost best is next."""
+        cost, part = self.cost.get, list(symbols)
+        agenda = [cost(a + b, _NEVER) for a, b in zip(part, symbols[1:])]
+        while agenda and (best := min(agenda)) < _NEVER:
+            i = agenda.index(best)
+            del agenda[i]
+            pair = part[i] = part[i] + part.pop(i + 1)
+            if i < len(agenda):
+                agenda[i] = cost(pair + part[i + 1], _NEVER)
+            if i:
+                agenda[i - 1] = cost(part[i - 1] + pair, _NEVER)
+        return part
+
+    def ids_of(self, parts: list[str]) -> list[int]:
         ids = self.ids
-        for p in part:
-            if p:
-                i = ids.get(p)
-                if i is None:
-                    out.extend(self.byte_ids[b] for b in p.encode())
-                else:
-                    out.append(i)
-        return out
+        try:
+            return [ids[p] for p in parts]
+        except KeyError:
+            return [i for p in parts for i in ((ids[p],) if p in ids else [self.byte_ids[b] for b in p.encode()])]
 
     def cut(self, chunk: str) -> list[str]:
         """Parts of a chunk between characters that stand side by side in no piece."""
-        joined, at, out = self.joined, 0, []
-        for k in range(1, len(chunk)):
-            if chunk[k - 1:k + 1] not in joined:
-                out.append(chunk[at:k])
-                at = k
-        out.append(chunk[at:])
-        return out
+        joined = self.joined
+        ends = [k for k, (a, b) in enumerate(zip(chunk, chunk[1:]), 1) if a + b not in joined]
+        if not ends:
+            return [chunk]
+        return [chunk[a:b] for a, b in zip([0, *ends], [*ends, len(chunk)])]
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join([self.bytes_of[i] for i in ids])
@@ -155,6 +173,8 @@ class Vocabulary:
                 raise AssertionError(f"encoding of {c!r} differs from the library: {ids} and {right}")
         for c, ids in own.items():
             self.chunk_ids[c] = ",".join(map(str, ids))
+            if self.is_bytes.isdisjoint(ids):
+                continue  # pieces side by side are the chunk
             plain = self.decode_bytes(ids).decode("utf-8", errors="replace")
             if plain != c.replace(BLANK, " "):
                 self.odd[c] = plain

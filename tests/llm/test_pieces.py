@@ -56,3 +56,16 @@ def test_awkward_rows(spark, vocabulary):
     assert P.encode_documents(empty(spark), PATH).count() == 0
     lists = {r["doc_id"]: r["token_ids"] for r in P.encode_ids(awkward(spark).filter("doc_id in (4, 10)"), PATH).collect()}
     assert lists == {i: sp.encode(t) for i, t in awkward_rows() if i in (4, 10)}
+
+
+def test_short_and_long_texts_merge_alike(vocabulary, monkeypatch):
+    """The list of scores and the heap give the same ids, and short texts never go to the heap."""
+    v = vocabulary
+    r = random.Random(4)
+    texts = ["", "a", "aaaaaaa", "▁▁▁▁▁", "\x00\x01", "zażółć", "日本語日本語", "éé"]
+    texts += ["".join(r.choices("▁abcdeilnorstßéж日,.1\n", k=r.randint(1, P.SHORT))) for _ in range(3000)]
+    with monkeypatch.context() as m:
+        m.setattr(P, "SHORT", -1)
+        by_heap = [v.merge(t) for t in texts]
+    monkeypatch.setattr(P.heapq, "heapify", lambda x: 1 / 0)
+    assert [v.merge(t) for t in texts] == by_heap
