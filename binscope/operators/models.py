@@ -56,6 +56,23 @@ def fit_logistic(train: DataFrame, features: str = "features", label: str = "y",
     return lr.fit(train)
 
 
+#: Rows that a task of a fit holds at most.
+ROWS_PER_TASK = 200_000
+
+
+def spread_rows(rows: DataFrame) -> DataFrame:
+    """``rows``, dealt evenly over tasks whose number grows with the rows where one task has more than
+    ``ROWS_PER_TASK`` of them.
+
+    Files of well-compressing columns come in few, uneven splits. The tree learners keep the rows of
+    a task as points that are many times larger than in the file (a forest's with a count for each tree)
+    and read all of them in every pass."""
+    sizes = rows.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count"), F.sum("count")).first()
+    if (sizes[0] or 0) <= ROWS_PER_TASK:
+        return rows
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(sizes[1] / ROWS_PER_TASK)))
+
+
 def fit_random_forest(train: DataFrame, features: str = "features", label: str = "y",
                       weight: str | None = None, n_estimators: int = 100,
                       max_depth: int | None = None, criterion: str = "gini", seed: int = 222):
@@ -64,7 +81,7 @@ def fit_random_forest(train: DataFrame, features: str = "features", label: str =
                                 maxDepth=SPARK_MAX_DEPTH if max_depth is None else max_depth,
                                 impurity=criterion, seed=seed,
                                 **({"weightCol": weight} if weight else {}))
-    return rf.fit(train)
+    return rf.fit(spread_rows(train.select(features, label, *([weight] if weight else []))))
 
 
 FIRST_ROUNDS = 32  # trees of the first ensemble that is grown for early stopping
@@ -115,14 +132,16 @@ def fit_gradient_boosted(train: DataFrame, features: str = "features", label: st
     if options:
         raise ValueError(f"options without a Spark counterpart: {sorted(options)}")
 
+    used = [features, label, *([weight] if weight else [])]
+
     def grow(rows: DataFrame, rounds: int):
         return GBTClassifier(featuresCol=features, labelCol=label, stepSize=learning_rate,
                              maxIter=rounds, maxDepth=max_depth, subsamplingRate=subsample, seed=seed,
                              **({"weightCol": weight} if weight else {})).fit(rows)
 
     if validation is None:
-        return grow(train, n_estimators)
-    fitted, held = train.where(~F.col(validation)), train.where(validation)
+        return grow(spread_rows(train.select(*used)), n_estimators)
+    fitted, held = spread_rows(train.where(~F.col(validation)).select(*used)), train.where(validation)
     rounds = min(FIRST_ROUNDS, n_estimators)
     while True:
         model = grow(fitted, rounds)

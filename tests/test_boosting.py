@@ -52,3 +52,25 @@ def test_rounds_without_validation_and_saved_model(spark, rows, tmp_path):
     again = GBTClassificationModel.load(str(tmp_path / "m"))
     assert again.getNumTrees == 2
     assert T.score_model(again, rows, keep=["id"]).orderBy("id").collect() == T.score_model(two, rows, keep=["id"]).orderBy("id").collect()
+
+
+def test_tree_learners_deal_their_rows_over_tasks(spark, monkeypatch):
+    """One file of rows is one task's; the learners get them in parts that do not grow with the table."""
+    from pyspark.ml.feature import VectorAssembler
+    rows = spark.range(4000, numPartitions=1).selectExpr("id % 7 AS a", "id % 11 AS b", "double(id % 2) AS y", "id % 5 = 0 AS held")
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    seen = []
+    for learner in (T.RandomForestClassifier, T.GBTClassifier):
+        real = learner.fit
+
+        def fit(self, data, params=None, real=real):
+            sizes = [r[1] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+            seen.append((data.count(), max(sizes)))
+            return real(self, data)
+        monkeypatch.setattr(learner, "fit", fit)
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 100)
+    T.fit_random_forest(rows, n_estimators=2, max_depth=2)
+    T.fit_gradient_boosted(rows, n_estimators=2)
+    T.fit_gradient_boosted(rows, validation="held", n_estimators=2)
+    assert [n for n, _ in seen] == [4000, 4000, 3200]
+    assert all(most <= 110 for _, most in seen)
