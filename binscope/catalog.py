@@ -1427,7 +1427,7 @@ from binscope.session import cut_lineage  # noqa: E402
 def _train_frame(spark, sf, model_type: str = "lr"):
     cl = C.encode_label(_clean(spark, sf), "income", "y")
     tf, names = TR.training_frame(cl, "row_id", "y", _FEAT_NUM, _FEAT_CAT, model_type)
-    return cut_lineage(tf), names
+    return cut_lineage(tf, "train_frame", T.ROWS_PER_TASK), names
 
 
 def _train(tf):

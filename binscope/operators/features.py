@@ -9,6 +9,8 @@ per category, arithmetic scaling) stay inside whole-stage codegen; the
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,33 +168,55 @@ def prune_param_grid(pipeline_stages: list[str], grid: dict) -> dict:
 
 # ------------------------------------------------------------------ X8
 
+class Elimination:
+    """The course of X8 over features 0..``total`` - 1, for any number of targets.
+
+    ``fit(kept)`` gives the coefficients of a model of the features ``kept``. A round depends on
+    the features it begins with, not on the target, so targets share their rounds: each is fitted
+    once, whichever target asks first, also when threads ask at the same time."""
+
+    def __init__(self, fit, total: int, step: float = 0.1):
+        self._fit, self._total, self._per_round = fit, total, max(1, int(step * total))
+        self._rounds: list[list[int]] = [list(range(total))]  # kept at the start of each round
+        self._orders: list[list[int]] = []  # the same, in the order in which they would go
+        self._lock = threading.Lock()
+
+    def kept(self, n_features: int | float) -> list[int]:
+        """The features left for ``n_features`` (an int, or a fraction of the original count)."""
+        share = isinstance(n_features, float) and n_features <= 1
+        target = max(1, min(int(n_features * self._total) if share else int(n_features), self._total))
+        with self._lock:
+            i = 0
+            while len(keep := self._rounds[i]) > target:
+                if i == len(self._orders):
+                    coefs = self._fit(keep)
+                    self._orders.append([k for _, k in sorted((c ** 2, k) for c, k in zip(coefs, keep))])
+                drop = min(self._per_round, len(keep) - target)
+                gone = set(self._orders[i][:drop])
+                left = [k for k in keep if k not in gone]
+                if drop < self._per_round:  # the last round of this target only
+                    return left
+                if i + 1 == len(self._rounds):
+                    self._rounds.append(left)
+                i += 1
+            return list(keep)
+
+
 def rfe_select(df: DataFrame, features: list[str], label: str, n_features: int | float = 10,
                step: float = 0.1, weight: str | None = None, max_iter: int = 100) -> list[str]:
     """Recursive feature elimination with a logistic model: drop the
     ``step`` share of the ORIGINAL feature count with the smallest squared
     coefficient, refit, until ``n_features`` remain (an int, or a fraction of
     the original count). Each round is one distributed fit; the loop itself is a handful of driver iterations."""
-    from pyspark.ml.classification import LogisticRegression
-
-    total = len(features)
-    target = int(n_features * total) if isinstance(n_features, float) and n_features <= 1 else int(n_features)
-    target = max(1, min(target, total))
-    per_round = max(1, int(step * total))
-    keep = list(features)
-    data = df.select(*[c(n).cast("double").alias(n) for n in features], c(label).alias("_y"),
-                     *([c(weight).alias("_w")] if weight else []))
-    while len(keep) > target:
-        va = VectorAssembler(inputCols=keep, outputCol="_f", handleInvalid="keep")
-        lr = LogisticRegression(featuresCol="_f", labelCol="_y", maxIter=max_iter,
-                                standardization=False, **({"weightCol": "_w"} if weight else {}))
-        model = lr.fit(va.transform(data))
-        coefs = list(model.coefficients.toArray())
-        drop = min(per_round, len(keep) - target)
-        order = sorted(range(len(keep)), key=lambda i: (coefs[i] ** 2, i))
-        gone = {keep[i] for i in order[:drop]}
-        keep = [n for n in keep if n not in gone]
-    return keep
+    from binscope.operators.models import dealt, elimination_fit
 
+    va = VectorAssembler(inputCols=[f"_{i}" for i in range(len(features))], outputCol="_f", handleInvalid="keep")
+    wide = df.select(*[c(n).cast("double").alias(f"_{i}") for i, n in enumerate(features)], c(label).alias("_y"),
+                     *([c(weight).alias("_w")] if weight else []))
+    rows = va.transform(wide).select("_f", "_y", *(["_w"] if weight else []))
+    with dealt(rows) as data:
+        fit = elimination_fit(data, len(features), "_f", "_y", "_w" if weight else None, max_iter)
+        return [features[i] for i in Elimination(fit, len(features), step).kept(n_features)]
 
 
 def prune_param_grid_table(runs: DataFrame, grid: DataFrame, run_name: str = "run_name"

@@ -12,9 +12,11 @@ from __future__ import annotations
 import itertools
 import math
 import random
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from binscope.operators import metrics as M
-from binscope.operators.features import rfe_select
+from binscope.operators.features import Elimination
 
 # The hyper-parameter grids of the reference's model definitions.
 LR_GRID = {
@@ -41,6 +43,40 @@ RF_GRID = {
 SPARK_MAX_DEPTH = 30  # depth "None" maps to Spark's maximum tree depth
 
 
+#: Rows that a task of a fit holds at most.
+ROWS_PER_TASK = 200_000
+
+
+def spread_rows(rows: DataFrame) -> DataFrame:
+    """``rows``, dealt evenly over tasks whose number grows with the rows (full rounds of the session's
+    cores) where one task has more than ``ROWS_PER_TASK`` of them.
+
+    Files of well-compressing columns come in few, uneven splits. The learners keep the rows of a
+    task as points that are larger than in the file (a forest's many times, with a count for each tree)
+    and read all of them in every pass."""
+    sizes = rows.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count"), F.sum("count")).first()
+    if (sizes[0] or 0) <= ROWS_PER_TASK:
+        return rows
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    # a tenth fewer, as tasks dealt in turn differ by some rows and must not be dealt again
+    return rows.repartition(cores * math.ceil(sizes[1] / (0.9 * ROWS_PER_TASK) / cores))
+
+
+@contextmanager
+def dealt(rows: DataFrame) -> Iterator[DataFrame]:
+    """``rows`` for several fits: where ``spread_rows`` deals them this is done once, and they are kept on the
+    executors' disks meanwhile (memory is for the points of the fits)."""
+    out = spread_rows(rows)
+    if out is rows:
+        yield rows
+        return
+    out.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield out
+    finally:
+        out.unpersist()
+
+
 def fit_logistic(train: DataFrame, features: str = "features", label: str = "y",
                  weight: str | None = None, C: float = 1.0, penalty: str = "l2",
                  max_iter: int = 100):
@@ -48,29 +84,13 @@ def fit_logistic(train: DataFrame, features: str = "features", label: str = "y",
     ``regParam = 1 / (C * sum of weights)`` (Spark averages the loss)."""
     if penalty != "l2":
         raise ValueError("only the l2 penalty is offered")
+    rows = spread_rows(train.select(features, label, *([weight] if weight else [])))
     wsum = (train.agg(F.sum(weight)).collect()[0][0] if weight
             else train.count())
     lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter,
                             regParam=1.0 / (C * float(wsum)), elasticNetParam=0.0,
                             standardization=False, **({"weightCol": weight} if weight else {}))
-    return lr.fit(train)
-
-
-#: Rows that a task of a fit holds at most.
-ROWS_PER_TASK = 200_000
-
-
-def spread_rows(rows: DataFrame) -> DataFrame:
-    """``rows``, dealt evenly over tasks whose number grows with the rows where one task has more than
-    ``ROWS_PER_TASK`` of them.
-
-    Files of well-compressing columns come in few, uneven splits. The tree learners keep the rows of
-    a task as points that are many times larger than in the file (a forest's with a count for each tree)
-    and read all of them in every pass."""
-    sizes = rows.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count"), F.sum("count")).first()
-    if (sizes[0] or 0) <= ROWS_PER_TASK:
-        return rows
-    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(sizes[1] / ROWS_PER_TASK)))
+    return lr.fit(rows)
 
 
 def fit_random_forest(train: DataFrame, features: str = "features", label: str = "y",
@@ -180,19 +200,40 @@ RFE_PREFIX = "feature_selection"
 RFE_KEY = "feature_selection_RFE__n_features_to_select"
 
 
+def elimination_fit(rows: DataFrame, total: int, features: str, label: str, weight: str | None = None, max_iter: int = 100):
+    """A function kept -> coefficients (one distributed logistic fit on these of the ``total`` places of
+    ``features``) for ``Elimination``."""
+    def fit(kept: list[int]) -> list[float]:
+        slicer = VectorSlicer(inputCol=features, outputCol="_kept", indices=kept)
+        part, used = (rows, features) if len(kept) == total else (slicer.transform(rows), "_kept")
+        lr = LogisticRegression(featuresCol=used, labelCol=label, maxIter=max_iter, standardization=False,
+                                **({"weightCol": weight} if weight else {}))
+        return lr.fit(part.select(used, label, *([weight] if weight else []))).coefficients.toArray().tolist()
+    return fit
+
+
+def shared_elimination(train: DataFrame, names: list[str], features: str = "features", label: str = "y",
+                       weight: str | None = None, step: float = 0.1):
+    """X8 over assembled vectors for several settings, which share their rounds (``Elimination``): a function
+    n_features -> kept names, and a function DataFrame -> DataFrame that cuts ``features`` down to them.
+    Every round reads ``train`` (``dealt`` is made for that)."""
+    course = Elimination(elimination_fit(train, len(names), features, label, weight), len(names), step)
+
+    def select(n_features: int | float):
+        kept = course.kept(n_features)
+        slicer = VectorSlicer(inputCol=features, outputCol="_kept", indices=kept)
+
+        def cut(df: DataFrame) -> DataFrame:
+            return slicer.transform(df).drop(features).withColumnRenamed("_kept", features)
+        return [names[i] for i in kept], cut
+    return select
+
+
 def rfe_on_vectors(train: DataFrame, names: list[str], n_features: int | float, features: str = "features",
                    label: str = "y", weight: str | None = None, step: float = 0.1):
-    """X8 over assembled vectors: the kept names, and a function DataFrame -> DataFrame that
-    cuts ``features`` down to them."""
-    wide = train.select(label, *([weight] if weight else []), vector_to_array(features).alias("_v"))
-    at = {f"f{i}": i for i in range(len(names))}
-    wide = wide.select(label, *([weight] if weight else []), *[F.col("_v")[i].alias(c) for c, i in at.items()])
-    kept = [at[c] for c in rfe_select(wide, list(at), label, n_features, step, weight)]
-    slicer = VectorSlicer(inputCol=features, outputCol="_kept", indices=kept)
-
-    def cut(df: DataFrame) -> DataFrame:
-        return slicer.transform(df).drop(features).withColumnRenamed("_kept", features)
-    return [names[i] for i in kept], cut
+    """``shared_elimination`` for one setting."""
+    with dealt(train.select(features, label, *([weight] if weight else []))) as rows:
+        return shared_elimination(rows, names, features, label, weight, step)(n_features)
 
 
 def random_grid_search(train: DataFrame, valid: DataFrame, fit_fn, grid: dict, n_iter: int | None = 1,
@@ -205,7 +246,14 @@ def random_grid_search(train: DataFrame, valid: DataFrame, fit_fn, grid: dict, n
     function DataFrame -> DataFrame, the feature elimination is an inner stage: its key is
     tuned like the others, each of its settings is fitted once and shared by the points that have it.
     Without it the elimination's keys are left out. Up to ``workers`` fits run as concurrent Spark jobs; write
-    ``train`` and ``valid`` before (``cut_lineage``), as every fit reads them."""
+    ``train`` and ``valid`` before (``cut_lineage``), as every fit reads them. The train rows are dealt once
+    for all fits (``dealt``)."""
+    with dealt(train) as rows:
+        return _search(rows, valid, fit_fn, grid, n_iter, seed, label, select_fn, workers)
+
+
+def _search(train: DataFrame, valid: DataFrame, fit_fn, grid: dict, n_iter: int | None, seed: int, label: str,
+            select_fn, workers: int):
     spark = train.sparkSession
     points = sample_grid(grid, n_iter, seed, None if select_fn else RFE_PREFIX)
 
@@ -241,7 +289,7 @@ def calibrate_scores(valid_scored: DataFrame, method: str = "sigmoid", label: st
     va = VectorAssembler(inputCols=[score], outputCol="_s")
     data = va.transform(valid_scored.select(score, label))
     if method == "sigmoid":
-        m = LogisticRegression(featuresCol="_s", labelCol=label, regParam=0.0).fit(data)
+        m = LogisticRegression(featuresCol="_s", labelCol=label, regParam=0.0).fit(spread_rows(data.select("_s", label)))
         a, b = float(m.coefficients[0]), float(m.intercept)
 
         def apply(df: DataFrame) -> DataFrame:

@@ -27,18 +27,19 @@ def train_and_evaluate(frame: DataFrame, names: list[str], registry: Registry, e
     (T6 on the calibrated scores) the valid rows; test rows are only measured. The run's parameters, threshold, metrics,
     model and kept features go to ``registry``. Raises ValueError where no point can be scored (no
     valid row of either class)."""
-    data = cut_lineage(frame, "train_frame")
+    data = cut_lineage(frame, "train_frame", T.ROWS_PER_TASK)
     train, valid = (data.where(F.col("split") == s) for s in ("train", "valid"))
     kept: dict = {}
+    cuts: dict = {}
+    with T.dealt(train) as rows:
+        eliminate = T.shared_elimination(rows, names, weight=weight)
 
-    def select(rows: DataFrame, n_features):
-        kept[n_features], cut = T.rfe_on_vectors(rows, names, n_features, weight=weight)
-        cuts[n_features] = cut
-        return cut
+        def select(_, n_features):
+            kept[n_features], cuts[n_features] = eliminate(n_features)
+            return cuts[n_features]
 
-    cuts: dict = {}
-    model, params, tried = T.random_grid_search(train, valid, fit_fn, grid, n_iter, seed,
-                                                select_fn=select if rfe else None, workers=workers)
+        model, params, tried = T.random_grid_search(rows, valid, fit_fn, grid, n_iter, seed,
+                                                    select_fn=select if rfe else None, workers=workers)
     if model is None:
         raise ValueError("no point of the grid could be scored on the valid rows")
     setting = params.get(T.RFE_KEY)
@@ -49,7 +50,7 @@ def train_and_evaluate(frame: DataFrame, names: list[str], registry: Registry, e
         scored = T.calibrate_scores(scored.where(F.col("split") == "valid"), calibration)(scored)
         score = "calibrated"
     rows = cut_lineage(scored.select(F.lit(run_name).alias("run_name"), F.col(key), F.col("y").cast("int").alias("y"),
-                                     "split", F.col(score).alias("p")), "scored")
+                                     "split", F.col(score).alias("p")), "scored", T.ROWS_PER_TASK)
     best = M.optimal_threshold(rows.where(F.col("split") == "valid"), ["run_name"], target_precision, delta).first()
     out = M.split_metrics(rows, ["run_name"], "split", best["threshold"])
     values = {r["metric"]: r["value"] for r in out.collect()}  # six of each split

@@ -63,14 +63,15 @@ def share_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "table", rows_per_file: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read
     it back: the lineage is cut, the result survives executor loss, and unlike
     ``Dataset.checkpoint(eager=True)`` (an eager count, then a second
-    computation to write) the input is computed exactly once."""
+    computation to write) the input is computed exactly once. ``rows_per_file`` bounds
+    the rows of a file: what many passes read must not come in the few tasks that wrote it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file or 0).parquet(path)
     return spark.read.parquet(path)
 
 

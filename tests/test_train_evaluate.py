@@ -103,3 +103,71 @@ def test_chain_logs_what_it_returns(spark, frame, tmp_path):
 def test_chain_without_valid_rows(spark, frame, tmp_path):
     with pytest.raises(ValueError, match="no point"):
         train_and_evaluate(frame.where("split <> 'valid'"), NAMES, Registry(spark, str(tmp_path)), "e", "lr", fit, {"C": [1.0]}, None)
+
+
+def test_targets_share_the_rounds_of_an_elimination():
+    from binscope.operators.features import Elimination
+    r = random.Random(8)
+    total, step = 23, 0.13
+    fits = []
+
+    def fit(kept):
+        fits.append(tuple(kept))
+        s = random.Random(repr(kept))
+        return [s.choice((-1, 0.5, 1, s.random())) for _ in kept]
+
+    def alone(target):
+        """One target by itself, as the elimination is described."""
+        keep, n = list(range(total)), 0
+        while len(keep) > target:
+            coefs = fit(keep)
+            drop = min(int(step * total), len(keep) - target)
+            order = sorted(range(len(keep)), key=lambda i: (coefs[i] ** 2, i))
+            keep, n = [k for i, k in enumerate(keep) if i not in order[:drop]], n + 1
+        return keep, n
+    targets = [10, 1, 0.5, 1.0, 0.1, 22, 4, 1]
+    r.shuffle(targets)
+    course = Elimination(fit, total, step)
+    got = [course.kept(t) for t in targets]
+    assert len(fits) == len(set(fits))  # no round twice
+    n_shared = len(fits)
+    want = [alone(int(t * total) if isinstance(t, float) else t) for t in targets]
+    assert got == [k for k, _ in want]
+    assert n_shared == max(n for _, n in want) < sum(n for _, n in want)
+
+
+def test_chain_deals_its_rows_over_tasks_and_fits_no_round_twice(frame, spark, monkeypatch, tmp_path):
+    """The written frame is a few splits; every logistic fit gets its rows in parts that do not grow with the table."""
+    from pyspark.ml.classification import LogisticRegression
+    real, seen, lock = LogisticRegression.fit, [], threading.Lock()
+
+    def counted(self, data, params=None):
+        sizes = [r[1] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+        with lock:
+            seen.append((sum(sizes), max(sizes)))
+        return real(self, data)
+    monkeypatch.setattr(LogisticRegression, "fit", counted)
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 50)
+    # all rows in one file
+    train_and_evaluate(frame.coalesce(1), NAMES, Registry(spark, str(tmp_path)), "e", "lr_rfe", fit, {"C": [0.01, 1.0], T.RFE_KEY: [2, 3, 1.0]},
+                       None, rfe=True, workers=2)
+    # four rounds from six features to two, six points, one calibration
+    assert sorted(n for n, _ in seen) == [180] + [540] * 10
+    assert all(most <= 60 for _, most in seen)
+
+
+def test_columns_are_eliminated_over_dealt_rows(frame, spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+
+    from binscope.operators.features import rfe_select
+    real, seen = LogisticRegression.fit, []
+
+    def counted(self, data, params=None):
+        seen.append(max(r[1] for r in data.groupBy(F.spark_partition_id()).count().collect()))
+        return real(self, data)
+    monkeypatch.setattr(LogisticRegression, "fit", counted)
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 100)
+    wide = frame.select("y", *[vector_to_array("features")[i].alias(n) for i, n in enumerate(NAMES)]).coalesce(1)
+    assert rfe_select(wide, NAMES, "y", 2) == ["x0", "x1"]
+    assert len(seen) == 4 and max(seen) <= 120
