@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binscope.llm.text import ALNUM, slices, words
+from binscope.llm.text import ALNUM, giving_back, slices, words
 
 WINDOW = 10
 #: Text bytes of the benchmark that are sent to the tasks at once.
@@ -208,7 +208,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
             shown = out.select(*[F.col(f"`{c}`") for c in kept], *[k for k, _ in _STATE]).schema
         else:
             shown = out.schema
-        out = out.mapInArrow(_scan(sent, text, window, shown.names), shown)
+        out = out.mapInArrow(giving_back(_scan(sent, text, window, shown.names)), shown)
     n, spans, found, longest = (F.col(k) for k, _ in _STATE)
     return out.select(*[F.col(f"`{c}`") for c in kept], F.struct(
         n.alias("n_words"), spans.alias("spans"), F.array_sort(F.array_distinct(found)).alias("items"),

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from binscope.llm.text import ALNUM, mix64, slices, windows, words
+from binscope.llm.text import ALNUM, SMALL_SLICE_BYTES, giving_back, mix64, slices, windows, words
 from binscope.session import cut_lineage
 
 SHINGLE = 5
@@ -50,7 +50,7 @@ REGISTERS = BANDS * ROWS
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPOT = np.uint64(0xD1B54A32D192ED03)
-_SLICE = 1 << 20
+_SLICE = SMALL_SLICE_BYTES
 #: So many times as many leaders of a bucket in each round, after one in the first.
 LEADERS = 4
 #: Points of a process that are drawn at once after the first.
@@ -150,7 +150,7 @@ def _with_node(names: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[bytes | None] = []
-            for _, _, buf, offs in slices(batch.column(batch.schema.get_field_index(text))):
+            for _, _, buf, offs in slices(batch.column(batch.schema.get_field_index(text)), _SLICE):
                 _, _, h, upto = words(buf, offs, ALNUM, lower=True)
                 found += _nodes(h, upto)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, type=pa.binary())], names=[*names, "__node"])
@@ -161,7 +161,7 @@ def _with_node(names: list[str], text: str):
 def with_node(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with column ``__node``, the digest of the words."""
     shown = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.lit(None).cast("binary").alias("__node")).schema
-    return docs.mapInArrow(_with_node(docs.columns, text), shown)
+    return docs.mapInArrow(giving_back(_with_node(docs.columns, text)), shown)
 
 
 def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +209,7 @@ def components(links: DataFrame) -> DataFrame:
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left, right = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
     full = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return full.mapInArrow(_similarity, "a binary, b binary")
+    return full.mapInArrow(giving_back(_similarity), "a binary, b binary")
 
 
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -217,7 +217,7 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     the class (both null without words), and least id of the class."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType
-    signed = cut_lineage(rows.mapInArrow(_sign, f"doc_id {kind.simpleString()}, node binary, bands array<long>"), "signatures")
+    signed = cut_lineage(rows.mapInArrow(giving_back(_sign), f"doc_id {kind.simpleString()}, node binary, bands array<long>"), "signatures")
     known = signed.filter(F.col("node").isNotNull())
     nodes = cut_lineage(known.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "nodes")
     spread = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -278,7 +278,7 @@ def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi, buf, offs in slices(batch.column(1)):
+        for lo, hi, buf, offs in slices(batch.column(1), _SLICE):
             _, _, (row, key), _ = shingles(buf, offs)
             n = np.bincount(row.astype(np.int64), minlength=hi - lo)
             take = pa.array(row.astype(np.int64))
@@ -296,7 +296,7 @@ def _rare_buckets(texts: DataFrame) -> DataFrame:
     a text that has that many of them can have no link. Sizes of linked sets differ by a factor of s
     at most, so a text is in the bucket of its own size class and of the next.
     """
-    rows = texts.select("node", "text").mapInArrow(_shingle_rows, "node binary, shingle long, n long")
+    rows = texts.select("node", "text").mapInArrow(giving_back(_shingle_rows), "node binary, shingle long, n long")
     shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
     own = Window.partitionBy("node")
     by_rarity = own.orderBy("df", "shingle")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binscope.llm.text import text_column
+from binscope.llm.text import giving_back, text_column
 
 BLANK = "▁"
 #: Chunks, and parts of them, that a worker keeps; later ones are kept for one slice of texts.
@@ -66,7 +66,7 @@ class Vocabulary:
         self.is_bytes = frozenset(self.byte_ids.values())
         self.joined = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.chunk_ids: dict[str, str] = {}  # ids as text, joined by commas
-        self.part_ids: dict[str, list[int]] = {}
+        self.part_ids: dict[str, tuple[int, ...]] = {}
         self.odd: dict[str, str] = {}  # chunks that decode to something else than themselves
         #: Cutting before a blank that follows another character, and around line ends, is always safe here.
         self.line_cut = not any("\n" in p and len(p) > 1 for p in self.ids)
@@ -163,7 +163,7 @@ class Vocabulary:
             for part in self.cut(c):
                 got = known.get(part)
                 if got is None:
-                    got = known[part] = merge(part)
+                    got = known[part] = tuple(merge(part))
                 ids += got
             own[c] = ids
         # The library puts a blank in front of every text, so the others are checked behind one.
@@ -245,7 +245,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: list[
     kept = docs.columns if keep is None else keep
     own = ["__pieces_n", "__pieces_ids", "__pieces_text"]
     shown = docs.select(*[F.col(f"`{c}`") for c in kept], *[F.lit(None).cast(t).alias(k) for k, t in zip(own, ("long", "string", "string"))]).schema
-    out = docs.mapInArrow(_scan(path, text, shown.names, own), shown)
+    out = docs.mapInArrow(giving_back(_scan(path, text, shown.names, own)), shown)
     return out.select(*[F.col(f"`{c}`") for c in kept], F.struct(
         *[F.col(k).alias(c) for k, c in zip(own, ("n_tokens", "ids_sha256", "decoded_sha256"))]).alias("_pieces"))
 
@@ -261,4 +261,4 @@ def encode_ids(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             cols["token_ids"] = pa.array([v.encode(t) for t in text_column(cols[text]).to_pylist()], type=pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([cols[k] for k in shown.names], names=shown.names)
 
-    return docs.mapInArrow(run, shown)
+    return docs.mapInArrow(giving_back(run), shown)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binscope.llm.text import NONSPACE, mix64, slices, table_of, windows, words
+from binscope.llm.text import NONSPACE, SMALL_SLICE_BYTES, giving_back, mix64, slices, table_of, windows, words
 
 #: Bound of the labelled sample that the classifier is fitted on.
 SAMPLE_PER_CLASS = 1000
@@ -107,7 +107,7 @@ def _scan(model: QualityModel | None, names: list[str], text: str, statistics: l
         for batch in batches:
             cols = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
             parts: list[list[np.ndarray]] = [[] for _ in statistics]
-            for _, _, buf, offs in slices(cols[text]):
+            for _, _, buf, offs in slices(cols[text], SMALL_SLICE_BYTES):
                 starts, ends, h, upto = words(buf, offs, NONSPACE, lower=False)
                 lead = _sums((buf & 0xC0) != 0x80, offs)  # code points
                 space = _sums(~NONSPACE[buf], offs)
@@ -217,7 +217,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None, text: str = "text
     kept = docs.columns if keep is None else keep
     own = [f"__quality_{c}" for c in STATISTICS]
     shown = docs.select(*[F.col(f"`{c}`") for c in kept], *[F.lit(0).cast("long" if c != "p_good" else "double").alias(k) for c, k in zip(STATISTICS, own)]).schema
-    out = docs.mapInArrow(_scan(model, shown.names, text, own), shown)
+    out = docs.mapInArrow(giving_back(_scan(model, shown.names, text, own)), shown)
     n, repeat, p = (F.col(f"__quality_{c}") for c in ("n_words", "n_repeat_words", "p_good"))
     failed = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
     return out.select(*[F.col(f"`{c}`") for c in kept], F.struct(

@@ -6,7 +6,8 @@ temporaries stay small whatever the batch or text size is.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
+#: Of operators with many temporaries of eight bytes a byte of text; these fit a core's cache.
+SMALL_SLICE_BYTES = 1 << 17
 
 _MASK = (1 << 64) - 1
 
@@ -128,3 +131,25 @@ def windows(h: np.ndarray, upto: np.ndarray, size: int) -> tuple[np.ndarray, np.
 def crc_bucket(n: int, doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def give_back() -> None:
+    """Return what this process has freed to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over the Arrow batches of a task, then ``give_back``.
+
+    Workers are reused: what the temporaries of a task took would else stay with its worker, beside
+    those of later stages and the executor's own memory."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return work

@@ -91,3 +91,31 @@ def test_labels_that_give_no_model(spark):
     assert Q.score_quality(empty(spark), None).count() == 0
     kept = Q.score_quality(awkward(spark), None, keep=["doc_id"]).collect()
     assert all(r[1]["kept"] == (not r[1]["base_failed"]) for r in kept)
+
+
+def test_temporaries_stay_small_and_freed_memory_is_given_back(monkeypatch):
+    """Workers are reused beside an executor's heap: a batch of some MB needs no hundreds of MB, and a task leaves none."""
+    import tracemalloc
+
+    from binscope.llm import neardup as N
+    from binscope.llm import text as T
+    texts = [" ".join(f"w{i * j % 977}x" for j in range(400)) for i in range(1500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    assert batch.nbytes > 3_000_000
+    own = [f"__quality_{c}" for c in Q.STATISTICS]
+    model = Q.QualityModel(np.zeros(3 << Q.BITS), 0.0, 1.0, 0.0)
+    given = []
+    monkeypatch.setattr(T, "give_back", lambda: given.append(True))
+    for run in (Q._scan(model, ["doc_id", *own], "text", own), N._sign):
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in T.giving_back(run)(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == len(texts) and most < 30e6
+    assert len(given) == 2
+
+
+def test_memory_can_be_given_back():
+    from binscope.llm import text as T
+    T.give_back()
+    assert [b.num_rows for b in T.giving_back(lambda b: b)(iter([pa.RecordBatch.from_pydict({"a": [1, 2]})]))] == [2]
