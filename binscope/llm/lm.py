@@ -89,7 +89,24 @@ class EliasFano:
     def arrays(self) -> list[str]:
         return ["low", "high", "before"]
 
+    def span(self, lo: int, hi: int) -> np.ndarray:
+        """The values at ``lo`` to ``hi``, by one scan of their bits."""
+        if lo >= hi:
+            return np.zeros(0, dtype=np.int64)
+        first, end = int(np.searchsorted(self.before, lo, "right")) - 1, int(np.searchsorted(self.before, hi))
+        ones = np.flatnonzero(np.unpackbits(self.high[first * self.BLOCK:end * self.BLOCK], bitorder="little"))
+        i = np.arange(lo, hi)
+        high = ones[lo - int(self.before[first]):][:hi - lo] + first * self.BLOCK * 8 - i
+        i *= self.l
+        return (high << self.l) | self._low(i)
+
+    def _low(self, bit: np.ndarray) -> np.ndarray:
+        wide = np.ndarray(len(self.low) - 7, dtype="<u8", buffer=self.low, strides=(1,))
+        return ((wide[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.l) - 1)).astype(np.int64)
+
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
+        if len(i) and _dense(lo := int(i.min()), hi := int(i.max()) + 1, len(i)):
+            return self.span(lo, hi)[i - lo]
         block = np.searchsorted(self.before, i.astype(np.uint32), "right") - 1
         left = i - self.before[block].astype(np.int64)
         body = self.high.reshape(-1, self.BLOCK)[block]
@@ -98,10 +115,12 @@ class EliasFano:
         own = np.arange(len(i))
         byte = body[own, at]
         place = (block * self.BLOCK + at) * 8 + _SELECT[byte, left - (upto[own, at] - _ONES[byte])]
-        bit = i * self.l
-        wide = np.ndarray(len(self.low) - 7, dtype="<u8", buffer=self.low, strides=(1,))
-        low = (wide[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.l) - 1)
-        return ((place - i) << self.l) | low.astype(np.int64)
+        return ((place - i) << self.l) | self._low(i * self.l)
+
+
+def _dense(lo: int, hi: int, n: int) -> bool:
+    """Whether ``n`` places between two bounds are found faster by a scan than each by itself."""
+    return hi - lo <= 4 * n
 
 
 _ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.int64)
@@ -125,11 +144,26 @@ class Level:
         self.pointer, self.numbers = EliasFano(bounds), EliasFano(_monotone(numbers + 1, bounds))
 
     def find(self, node: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of ``number`` in the range of ``node``, or -1, and where that range begins."""
-        start, end = self.pointer[node], self.pointer[node + 1]
-        target = number + 1
+        """Place of ``number`` in the range of ``node``, or -1, and where that range begins.
+
+        What is asked of one node in a row reads its pointers once; numbers that are close together are scanned."""
+        if not len(node):
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        new = _changes(node)
+        own = node[new]
+        start, end = self.pointer[own], self.pointer[own + 1]
+        base = np.ones(len(own), dtype=np.int64)
         some = np.flatnonzero(start > 0)
-        target[some] += self.numbers[start[some] - 1]
+        base[some] += self.numbers[start[some] - 1]
+        least, most = int(start.min()), int(end.max())
+        at = np.cumsum(new) - 1
+        start, end, target = start[at], end[at], number + base[at]
+        if _dense(least, most, len(node)):
+            values = self.numbers.span(least, most)
+            lo = np.searchsorted(values, target)
+            hit = lo + least < end
+            hit[hit] = values[lo[hit]] == target[hit]
+            return np.where(hit, lo + least, -1), start
         lo, hi = start.copy(), end.copy()
         while (todo := np.flatnonzero(lo < hi)).size:  # the first value that is not less
             mid = (lo[todo] + hi[todo]) // 2
@@ -152,6 +186,23 @@ def _changes(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _ranks(key: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the place of every row's key in them; keys are below ``top``.
+
+    Where there is room, rows are numbered in the low bits of the keys: plain numbers sort several times faster than places."""
+    low = len(key).bit_length()
+    if int(top).bit_length() + low > 63:
+        return np.unique(key, return_inverse=True)
+    x = (key << low) | np.arange(len(key))
+    x.sort()
+    row = x & ((1 << low) - 1)
+    x >>= low
+    new = _changes(x)
+    place = np.empty(len(key), dtype=np.int64)
+    place[row] = np.cumsum(new) - 1
+    return x[new], place
+
+
 def _before(group: np.ndarray, n: int) -> np.ndarray:
     """Bounds of ``n`` groups in their sorted numbers."""
     return np.searchsorted(group, np.arange(n + 1))
@@ -166,13 +217,10 @@ class Trie:
         if a is None:
             self.successors = Level(_before(node, len(self.firsts)), w)
         else:
-            order = np.lexsort((w, node))
-            own = _changes(node[order], w[order])
-            after = node[order][own]
-            bounds = _before(after, len(self.firsts))
-            self.successors = Level(bounds, w[order][own])
-            rank = np.empty(len(w), dtype=np.int64)
-            rank[order] = np.cumsum(own) - 1
+            wide = _bits(w)
+            own, rank = _ranks((node << wide) | w, len(self.firsts) << wide)
+            bounds = _before(own >> wide, len(self.firsts))
+            self.successors = Level(bounds, own & ((1 << wide) - 1))
             rank -= bounds[node]
             context = _changes(node, a)
             self.predecessors = Level(_before(node[context], len(self.firsts)), a[context])
@@ -240,23 +288,40 @@ def _contexts(upto: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return one, two
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """An array's bytes, all first ones, then all second ones and so on, compressed."""
-    planes = x.view(np.uint8).reshape(-1, x.itemsize).T
-    return len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+def _bits(x: np.ndarray) -> int:
+    """Bits of the largest of some numbers, none of them negative."""
+    return int(x.max()).bit_length() if len(x) else 0
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers, each as all first bytes, then all second ones and so on as far as there are any, compressed."""
+    head, planes = [], []
+    for x in arrays:
+        wide = -(-_bits(x) // 8)
+        head += [len(x), wide]
+        planes += [(x >> x.dtype.type(8 * k)).astype(np.uint8) for k in range(wide)]
+    body = np.concatenate(planes) if planes else np.zeros(0, np.uint8)
+    return np.array(head, dtype=np.int64).tobytes() + pa.compress(body, codec="zstd", asbytes=True)
 
 
-def _unpack(x: bytes, kind: type = np.int64) -> np.ndarray:
-    n, wide = int.from_bytes(x[:8], "little"), np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(x[8:], n * wide, codec="zstd", asbytes=True), dtype=np.uint8).reshape(wide, n)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+def _unpack(x: bytes, arrays: int) -> list[np.ndarray]:
+    head = np.frombuffer(x, dtype=np.int64, count=2 * arrays).reshape(-1, 2)
+    planes = np.frombuffer(pa.decompress(x[head.nbytes:], int(head.prod(axis=1).sum()), codec="zstd", asbytes=True), dtype=np.uint8)
+    out, at = [], 0
+    for n, wide in head.tolist():
+        own = np.zeros((n, 8), dtype=np.uint8)
+        for k in range(wide):
+            own[:, k] = planes[at:at + n]
+            at += n
+        out.append(own.view(np.int64).ravel())
+    return out
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], type=k.type) for i, k in enumerate(schema)], schema=schema)
 
 
-_BLOCK = "block long, doc_id array<{}>, held_out array<boolean>, sizes binary, words binary, n binary, ids binary"
+_BLOCK = "block long, doc_id array<{}>, held_out array<boolean>, words binary, tokens binary"
 
 
 def _deal(block_bytes: int):
@@ -265,14 +330,16 @@ def _deal(block_bytes: int):
 
     def close(number: int, ids: list, held: list, sizes: list, hashes: list) -> pa.RecordBatch:
         tokens, size, doc, out = np.concatenate(hashes), np.concatenate(sizes), pa.concat_arrays(ids), pa.concat_arrays(held)
-        word, at = np.unique(tokens, return_inverse=True)
+        coded = pa.array(tokens).dictionary_encode()
+        word, place = np.unique(coded.dictionary.to_numpy(), return_inverse=True)
+        at = place[coded.indices.to_numpy()]
         train = np.repeat(~out.to_numpy(zero_copy_only=False), size)
         n = np.bincount(at, weights=train, minlength=len(word)).astype(np.int64)
         one = [np.array([0, len(doc)], dtype=np.int32)] * 2
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.ListArray.from_arrays(one[0], doc), pa.ListArray.from_arrays(one[1], out),
-             *[pa.array([_pack(x)], pa.binary()) for x in (size, word, n, at.astype(np.int32))]],
-            names=["block", "doc_id", "held_out", "sizes", "words", "n", "ids"])
+             *[pa.array([_pack(*x)], pa.binary()) for x in ((word, n), (size, at))]],
+            names=["block", "doc_id", "held_out", "words", "tokens"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -293,7 +360,7 @@ def _deal(block_bytes: int):
     return run
 
 
-_WORDS = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("n", pa.binary())])
+_WORDS = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("words", pa.binary())])
 
 
 def _ask_words(n_shards: int):
@@ -301,10 +368,11 @@ def _ask_words(n_shards: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, word, n in zip(*[batch.column(k).to_pylist() for k in ("block", "words", "n")]):
-                word, n = _unpack(word, np.uint64), _unpack(n)
+            for block, packed in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist()):
+                word, n = _unpack(packed, 2)
+                word = word.view(np.uint64)
                 cuts = np.searchsorted((word >> np.uint64(32)) * np.uint64(n_shards) >> np.uint64(32), np.arange(n_shards + 1).astype(np.uint64))
-                rows = [(s, block, _pack(word[cuts[s]:cuts[s + 1]]), _pack(n[cuts[s]:cuts[s + 1]])) for s in np.flatnonzero(np.diff(cuts)).tolist()]
+                rows = [(s, block, _pack(word[cuts[s]:cuts[s + 1]], n[cuts[s]:cuts[s + 1]])) for s in np.flatnonzero(np.diff(cuts)).tolist()]
                 yield from _table(rows, _WORDS).to_batches()
 
     return run
@@ -314,25 +382,24 @@ def _add_words(n_shards: int):
     """Counts of a shard's words, and their ids: one of every ``n_shards`` numbers, by falling count."""
 
     def run(table: pa.Table) -> pa.Table:
-        asked = [_unpack(x, np.uint64) for x in table.column("words").to_pylist()]
-        word, at = np.unique(np.concatenate(asked), return_inverse=True)
-        c = np.bincount(at, weights=np.concatenate([_unpack(x) for x in table.column("n").to_pylist()]), minlength=len(word)).astype(np.int64)
+        asked, counts = zip(*[_unpack(x, 2) for x in table.column("words").to_pylist()])
+        word, at = np.unique(np.concatenate(asked).view(np.uint64), return_inverse=True)
+        c = np.bincount(at, weights=np.concatenate(counts), minlength=len(word)).astype(np.int64)
         number = np.empty(len(word), dtype=np.int64)
         number[np.argsort(-c, kind="stable")] = np.arange(len(word)) * n_shards + table.column("shard")[0].as_py()
-        ends = np.cumsum([len(x) for x in asked])
-        parts = np.split(at, ends[:-1])
+        parts = np.split(at, np.cumsum([len(x) for x in asked])[:-1])
         first = np.arange(len(parts)) == 0
         return pa.table([table.column("block"), pa.array(np.ones(len(parts), np.int32)), table.column("shard"),
                          pa.array(np.where(first, c.sum(), 0)), pa.array(np.where(first, (c > 0).sum(), 0)),
-                         pa.array([_pack(number[x]) for x in parts], pa.binary()), pa.array([_pack(c[x]) for x in parts], pa.binary())],
-                        names=["block", "order", "shard", "x", "y", "codes", "sums"])
+                         pa.array([_pack(number[x], c[x]) for x in parts], pa.binary())],
+                        names=["block", "order", "shard", "x", "y", "answer"])
 
     return run
 
 
-#: What shards answer. Words: ids in ``codes``, counts in ``sums``, x = N and y = V of the shard (in one row).
-#: N-grams: x n-grams that are there once, y that are there twice.
-_ANSWER = "block long, order int, shard int, x long, y long, codes binary, sums binary"
+#: What shards answer. Words: ids and counts, x = N and y = V of the shard (in one row).
+#: N-grams: codes, and sums of contexts; x n-grams that are there once, y that are there twice.
+_ANSWER = "block long, order int, shard int, x long, y long, answer binary"
 
 
 class _Grams:
@@ -347,35 +414,56 @@ class _Grams:
             ok &= often[block.a]
         self.once = int((there & ~ok & block.train).sum())
         self.tokens = np.flatnonzero(ok)
-        w, b = block.ids[self.tokens], block.b[self.tokens].astype(np.int64)
-        w = np.where(often[w], w, v)
-        a = block.a[self.tokens].astype(np.int64) if order == 3 else np.zeros(len(b), np.int64)
+        w, b = block.ids[self.tokens], block.b[self.tokens]
+        a = block.a[self.tokens] if order == 3 else np.zeros(len(b), np.int32)
+        w = np.where(often, np.arange(v, dtype=np.int32), np.int32(v))[w]
         n = block.train[self.tokens]
-        spread = -(-c // split_at)
-        parts = spread[b] if order == 2 else np.minimum(spread[a], spread[b])
         mixed = mix64((np.append(gid, 0) + 1).view(np.uint64))
-        salt = np.where(w < v, mixed[w] % np.maximum(parts, 1).astype(np.uint64), 0).astype(np.uint64)
-        split = np.flatnonzero(parts > 1)
-        if len(split):  # every part of a context is asked, for its sums
-            _, first = np.unique(a[split] * v + b[split], return_index=True)
-            times = parts[split[first]]
-            more = np.repeat(split[first], times)
-            a, b, w = np.append(a, a[more]), np.append(b, b[more]), np.append(w, np.full(len(more), v))
-            salt = np.append(salt, np.concatenate([np.arange(k, dtype=np.uint64) for k in times]))
-            n = np.append(n, np.zeros(len(more), bool))
-        to = mixed[b] + salt * _STEP
+        shard = (mix64(mixed[:v]) % np.uint64(n_shards)).astype(np.int64)  # of what stands under a word that is not spread
+        spread = -(-c // split_at)
+        rows = np.flatnonzero((spread > 1)[b]) if (spread > 1).any() else np.zeros(0, np.int64)
+        to = np.zeros(0, np.uint64)
+        if len(rows):
+            far = spread[b[rows]]
+            parts = far if order == 2 else np.minimum(spread[a[rows]], far)
+            salt = np.where(w[rows] < v, mixed[w[rows]] % np.maximum(parts, 1).astype(np.uint64), 0).astype(np.uint64)
+            split = np.flatnonzero(parts > 1)
+            if len(split):  # every part of a context is asked, for its sums
+                at = rows[split]
+                _, first = np.unique(a[at] * np.int64(v) + b[at], return_index=True)
+                times = parts[split[first]]
+                more = np.repeat(at[first], times)
+                rows = np.append(rows, np.arange(len(w), len(w) + len(more)))
+                a, b, w = np.append(a, a[more]), np.append(b, b[more]), np.append(w, np.full(len(more), v, np.int32))
+                salt = np.append(salt, np.concatenate([np.arange(k, dtype=np.uint64) for k in times]))
+                n = np.append(n, np.zeros(len(more), bool))
+            to = mixed[b[rows]] + salt * _STEP
+            if order == 3:
+                to += mixed[a[rows]] % spread[b[rows]].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        # Shards and words before, numbered together.
+        usual = shard * v + np.arange(v)
+        other = (mix64(to) % np.uint64(n_shards)).astype(np.int64) * v + b[rows]
+        heads, at = _ranks(np.concatenate((usual, other)), n_shards * v)
+        head = at[:v][b]
+        head[rows] = at[v:]
+        wide, last = v.bit_length(), (1 << v.bit_length()) - 1
         if order == 3:
-            to += mixed[a] % np.maximum(spread[b], 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        shard = (mix64(to) % np.uint64(n_shards)).astype(np.int64)
-        key, at = np.unique((shard * v + b) * v + a, return_inverse=True)
-        gram, self.gram = np.unique(at * np.int64(v + 1) + w, return_inverse=True)
-        self.n = np.bincount(self.gram, weights=n, minlength=len(gram)).astype(np.int64)
-        self.context, w = gram // (v + 1), gram % (v + 1)
-        self.word = np.append(gid + 1, 0)[w]  # 0: none
-        self.a, self.b, self.shard = gid[key % max(v, 1)], gid[key // max(v, 1) % max(v, 1)], key // max(v * v, 1)
+            key, at = _ranks((head << wide) | a, len(heads) << wide)
+            gram, self.gram = _ranks((at << wide) | w, len(key) << wide)
+            self.context = gram >> wide
+        else:
+            gram, self.gram = _ranks((head << wide) | w, len(heads) << wide)
+            new = _changes(gram >> wide)
+            self.context = np.cumsum(new) - 1
+            key = (gram[new] >> wide) << wide
+        self.n = np.bincount(self.gram[n], minlength=len(gram))
+        self.word = np.append(gid + 1, 0)[gram & last]  # 0: none
+        head = heads[key >> wide]
+        place = head % max(v, 1)
+        self.a, self.b, self.shard = gid[key & last], gid[place], head // max(v, 1)
         self.sizes = np.bincount(self.context, minlength=len(key))
-        #: Parts of one context have one number.
-        self.whole = np.unique(key % max(v * v, 1), return_inverse=True)[1] if len(split) else np.arange(len(key))
+        #: Parts of one context have one number, if there are any.
+        self.whole = _ranks((place << wide) | (key & last), v << wide)[1] if len(rows) else None
         self.gram = self.gram[:len(self.tokens)]
 
     def messages(self, order: int, block: int) -> list[tuple]:
@@ -384,10 +472,11 @@ class _Grams:
         new = np.flatnonzero(_changes(self.shard))
         for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(self.shard)]):
             x, y = ends[lo], ends[hi]
-            rows.append((block, order, int(self.shard[lo]), 0 if rows else self.once, *[_pack(z.astype(np.int64)) for z in (
-                np.diff(self.b[lo:hi], prepend=0), self.a[lo:hi] if order == 3 else self.a[:0], self.sizes[lo:hi], self.word[x:y], self.n[x:y])]))
+            first = np.diff(self.b[lo:hi], prepend=0)
+            rows.append((block, order, int(self.shard[lo]), 0 if rows else self.once, _pack(
+                first, self.a[lo:hi] if order == 3 else self.a[:0], self.sizes[lo:hi], self.word[x:y], self.n[x:y])))
         if self.once and not rows:
-            rows.append((block, order, 0, self.once, *[_pack(np.zeros(0, np.int64))] * 5))
+            rows.append((block, order, 0, self.once, _pack(*[np.zeros(0, np.int64)] * 5)))
         return rows
 
 
@@ -396,22 +485,20 @@ class _Block:
 
     def __init__(self, block: pa.Table, known: pa.Table) -> None:
         first = known.filter(pa.compute.equal(known.column("order"), 1)).sort_by("shard")
-        gid, c = ([_unpack(x) for x in first.column(k).to_pylist()] for k in ("codes", "sums"))
-        gid, c = np.concatenate(gid), np.concatenate(c)
+        gid, c = (np.concatenate(x) for x in zip(*[_unpack(x, 2) for x in first.column("answer").to_pylist()]))
         order = np.argsort(gid)
         place = np.empty(len(order), dtype=np.int32)
         place[order] = np.arange(len(order))
         self.gid, self.c = gid[order], c[order]
-        self.ids = place[_unpack(block.column("ids")[0].as_py(), np.int32)]
-        sizes = _unpack(block.column("sizes")[0].as_py())
+        sizes, ids = _unpack(block.column("tokens")[0].as_py(), 2)
+        self.ids = place[ids]
         self.upto = np.append(0, np.cumsum(sizes))
         self.b, self.a = _contexts(self.upto, self.ids)
         self.held_out = block.column("held_out").combine_chunks().flatten()
         self.train = np.repeat(~self.held_out.to_numpy(zero_copy_only=False), sizes)
 
 
-_ASKED = pa.schema([("block", pa.int64()), ("order", pa.int32()), ("shard", pa.int32()), ("once", pa.int64()),
-                    ("b", pa.binary()), ("a", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("n", pa.binary())])
+_ASKED = pa.schema([("block", pa.int64()), ("order", pa.int32()), ("shard", pa.int32()), ("once", pa.int64()), ("grams", pa.binary())])
 
 
 def _ask(n_shards: int, split_at: int):
@@ -429,65 +516,62 @@ def _ask(n_shards: int, split_at: int):
 def _answer(table: pa.Table) -> pa.Table:
     """The codes of a shard's n-grams for every block that asked, and its contexts' sums."""
     order = table.column("order")[0].as_py()
-    asked, ends = [], []
-    for b, a, sizes, word, n in zip(*[table.column(k).to_pylist() for k in ("b", "a", "sizes", "words", "n")]):
-        sizes = _unpack(sizes)
-        b = np.repeat(np.cumsum(_unpack(b)), sizes)
-        asked.append((b, np.repeat(_unpack(a), sizes) if order == 3 else b[:0], _unpack(word), _unpack(n)))
-        ends.append(np.append(0, np.cumsum(sizes)))
-    lengths = [len(x[0]) for x in asked]
-    b, a, w, n = (np.concatenate(x) for x in zip(*asked))
-    del asked
-    keys = (b, a, w) if order == 3 else (b, w)
-    to = np.lexsort(keys[::-1])
-    keys, n = [k[to] for k in keys], n[to]
-    new = _changes(*keys)
-    gram = np.empty(len(to), dtype=np.int64)
-    gram[to] = np.cumsum(new) - 1
-    n = np.add.reduceat(n, np.flatnonzero(new)) if len(n) else n
-    keys = [k[new] for k in keys]
-    none = keys[-1] == 0
-    once, twice = int(n[none].sum() + (n[~none] == 1).sum()), int((n[~none] == 2).sum())
+    b, a, sizes, w, n = zip(*[_unpack(x, 5) for x in table.column("grams").to_pylist()])
+    ends, contexts = np.cumsum([len(x) for x in w])[:-1], np.cumsum([len(x) for x in b])[:-1]
+    b, sizes, w, n = np.concatenate([np.cumsum(x) for x in b]), np.concatenate(sizes), np.concatenate(w), np.concatenate(n)
+    wide = 0
+    if order == 3:
+        a = np.concatenate(a)
+        wide = _bits(a)
+        firsts, b = _ranks(b, (int(b.max()) if len(b) else 0) + 1)
+        key, at = _ranks((b << wide) | a, len(firsts) << wide)
+        firsts, lasts = firsts[key >> wide], key & ((1 << wide) - 1)
+    else:
+        firsts, at = _ranks(b, (int(b.max()) if len(b) else 0) + 1)
+        lasts = None
+    wide = _bits(w)
+    gram, place = _ranks((np.repeat(at, sizes) << wide) | w, len(firsts) << wide)
+    n = np.bincount(place, weights=n, minlength=len(gram)).astype(np.int64)
+    context, w = gram >> wide, gram & ((1 << wide) - 1)
+    del gram
+    none = w == 0
+    once, twice = int(n[none].sum() + ((n == 1) & ~none).sum()), int(((n == 2) & ~none).sum())
     kept = np.flatnonzero(~none & (n >= LEAST_COUNT))
-    b, w, a = keys[0][kept], keys[-1][kept], keys[1][kept] if order == 3 else None
+    mine = context[kept]
+    w, b, a = w[kept], firsts[mine], lasts[mine] if order == 3 else None
     trie = Trie(b, a, w, n[kept]).mapped()
     code = np.zeros(len(n), dtype=np.uint8)
     code[kept] = trie.codes(b, a, w)
 
-    start = _changes(*keys[:-1])
-    context = np.cumsum(start) - 1
-    sums = [np.bincount(context, weights=x, minlength=int(start.sum())).astype(np.int64) for x in (code > 0, VALUES[code], n)]
-    codes, back = [], []
-    for part, bounds in zip(np.split(gram, np.cumsum(lengths)[:-1]), ends):
-        codes.append(_pack(code[part]))
-        mine = context[part[bounds[:-1]]]
-        back.append(_pack(np.concatenate([x[mine] for x in sums])))
+    sums = [np.bincount(context, weights=x, minlength=len(firsts)).astype(np.int64) for x in (code > 0, VALUES[code], n)]
+    answers = [_pack(code[p], *[x[k] for x in sums]) for p, k in zip(np.split(place, ends), np.split(at, contexts))]
     first = np.arange(table.num_rows) == 0
     return pa.table([table.column("block"), table.column("order"), table.column("shard"),
                      pa.array(table.column("once").to_numpy() + np.where(first, once, 0)), pa.array(np.where(first, twice, 0)),
-                     pa.array(codes, pa.binary()), pa.array(back, pa.binary())], names=["block", "order", "shard", "x", "y", "codes", "sums"])
+                     pa.array(answers, pa.binary())], names=["block", "order", "shard", "x", "y", "answer"])
 
 
 def _score(n_shards: int, split_at: int, total: float, discounts: dict[int, float]):
     def run(table: pa.Table, known: pa.Table) -> pa.Table:
         block = _Block(table, known)
         c = block.c[block.ids]
-        p = (c + 1) / total
+        p = ((block.c + 1) / total)[block.ids]
         for order in (2, 3):
             mine = known.filter(pa.compute.equal(known.column("order"), order)).sort_by("shard")
             g = _Grams(block, order, n_shards, split_at)
             if not len(g.tokens):
                 continue
-            n = VALUES[np.concatenate([_unpack(x, np.uint8) for x in mine.column("codes").to_pylist()])]
-            sums = np.concatenate([_unpack(x).reshape(3, -1) for x in mine.column("sums").to_pylist()], axis=1)
-            kept, kept_n, seen = (np.bincount(g.whole, weights=x) for x in sums)
+            code, kept, kept_n, seen = (np.concatenate(x) for x in zip(*[_unpack(x, 4) for x in mine.column("answer").to_pylist()]))
+            if g.whole is not None:
+                kept, kept_n, seen = (np.bincount(g.whole, weights=x)[g.whole] for x in (kept, kept_n, seen))
             d = discounts[order]
             seen = np.maximum(seen, 1)
             back = np.maximum(1 - (kept_n - d * kept) / seen, 1e-9)
-            context, n = g.whole[g.context[g.gram]], n[g.gram]
-            p[g.tokens] = np.where(n > 0, n - d, 0) / seen[context] + back[context] * p[g.tokens]
+            n = VALUES[code]
+            own = np.where(n > 0, n - d, 0) / seen[g.context]
+            p[g.tokens] = own[g.gram] + back[g.context][g.gram] * p[g.tokens]
         rows = []
-        for x in (np.ones(len(c), dtype=np.int64), (c > 0).astype(np.int64), np.log10(c + 1.0), np.log10(p)):
+        for x in (np.ones(len(c), dtype=np.int64), (c > 0).astype(np.int64), np.log10(block.c + 1.0)[block.ids], np.log10(p)):
             rows.append(pa.array(np.add.reduceat(x, block.upto[:-1])))
         return pa.table([table.column("doc_id").combine_chunks().flatten(), block.held_out, *rows],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"])
@@ -503,19 +587,19 @@ def score_texts(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_shards = -(-int(size) // BLOCK_BYTES) or 1
     blocks = cut_lineage(rows.mapInArrow(_deal(BLOCK_BYTES), _BLOCK.format(kind)), "blocks")
-    asked = blocks.select("block", "words", "n").mapInArrow(_ask_words(n_shards), "shard int, block long, words binary, n binary")
+    asked = blocks.select("block", "words").mapInArrow(_ask_words(n_shards), "shard int, block long, words binary")
     known = cut_lineage(asked.groupBy("shard").applyInArrow(_add_words(n_shards), _ANSWER), "words")
     n, v = known.agg(F.sum("x"), F.sum("y")).first()
     n, v = int(n or 0), int(v or 0)
 
-    texts = blocks.select("block", "held_out", "sizes", "ids")
+    texts = blocks.select("block", "held_out", "tokens")
     asked = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        _ask(n_shards, SPLIT), "block long, order int, shard int, once long, b binary, a binary, sizes binary, words binary, n binary")
+        _ask(n_shards, SPLIT), "block long, order int, shard int, once long, grams binary")
     answers = cut_lineage(asked.groupBy("order", "shard").applyInArrow(_answer, _ANSWER), "grams")
     few = {r["order"]: (r["x"], r["y"]) for r in answers.groupBy("order").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()}
     discounts = {k: few[k][0] / (few[k][0] + 2 * few[k][1]) if few.get(k, (0, 0))[0] else 0.5 for k in (2, 3)}
 
-    scored = blocks.select("block", "doc_id", "held_out", "sizes", "ids").groupBy("block").cogroup(known.unionByName(answers).groupBy("block")).applyInArrow(
+    scored = blocks.select("block", "doc_id", "held_out", "tokens").groupBy("block").cogroup(known.unionByName(answers).groupBy("block")).applyInArrow(
         _score(n_shards, SPLIT, float(n + v + 1), discounts), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
     base = F.col("log_counts") - F.col("n_tokens") * float(np.log10(n + v + 1))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

@@ -131,3 +131,63 @@ def test_scores_match_brute_force_for_all_words(spark, monkeypatch, split):
     got = L.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), crc_bucket(7) == 2).collect()
     for a, b in zip(by_row(tuple(r[k] for k in ("doc_id", "held_out", "score")) for r in got), by_row(brute_scores(rows))):
         assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-9)
+
+
+def test_packed_arrays_come_back():
+    r = np.random.default_rng(2)
+    for arrays in ([np.zeros(0, np.int64)], [np.array([0, 255, 256, 1 << 40]), np.zeros(3, np.int64), np.arange(300), r.integers(0, 200, 50).astype(np.uint8)],
+                   [np.array([1 << 63, (1 << 64) - 5], dtype=np.uint64), np.array([7])]):
+        back = L._unpack(L._pack(*arrays), len(arrays))
+        assert [x.view(a.dtype if a.itemsize == 8 else np.int64).tolist() for x, a in zip(back, arrays)] == [a.tolist() for a in arrays]
+
+
+@pytest.mark.parametrize("top", [50, 1 << 62])
+def test_ranks_with_and_without_room_for_places(top):
+    key = np.random.default_rng(3).integers(0, top, 500)
+    for k in (key, key[:0], np.repeat(key, 3)):
+        want, place = np.unique(k, return_inverse=True)
+        got = L._ranks(k, top)
+        assert got[0].tolist() == want.tolist() and got[1].tolist() == place.tolist()
+
+
+@pytest.mark.parametrize("n", [1, 7, 64, 5000])
+def test_spans_and_single_places_agree(n):
+    values = np.sort(np.random.default_rng(n).integers(0, 90 * n, n))
+    code = L.EliasFano(values)
+    for lo, hi in ((0, n), (0, 0), (n // 3, n // 2 + 1), (n - 1, n)):
+        assert code.span(lo, hi).tolist() == values[lo:hi].tolist()
+    far = np.array([n - 1, 0, n // 2])
+    assert code[far].tolist() == values[far].tolist()
+
+
+def long_ranges():
+    """Trigrams and bigrams of few words with thousands of successors and predecessors each."""
+    r = np.random.default_rng(6)
+    key = np.unique(r.integers(0, 4 * 3000 * 3000, 40_000))
+    b, a, w = key // (3000 * 3000), key // 3000 % 3000, key % 3000
+    two = np.unique(b * 3000 + w)
+    return (two // 3000, None, two % 3000), (b, a, w)
+
+
+def test_trie_finds_few_ngrams_in_long_ranges():
+    for b, a, w in long_ranges():
+        trie = L.Trie(b, a, w, np.arange(len(b)) % 9 + 2).mapped()
+        for at in (np.arange(0, len(b), 997), np.array([len(b) - 1, 3]), np.zeros(0, np.int64)):
+            got = trie.codes(b[at], None if a is None else a[at], w[at])
+            assert got.tolist() == L.quantise(at % 9 + 2).tolist()
+            assert not trie.codes(b[at] + 4, None if a is None else a[at], w[at]).any()
+            assert not trie.codes(b[at], None if a is None else a[at], w[at] + 3000).any()
+
+
+def test_lookups_of_sorted_ngrams_read_few_numbers_each(monkeypatch):
+    """A binary search for each n-gram reads as many numbers as its range has binary digits."""
+    read = []
+    one, span = L.EliasFano.__getitem__, getattr(L.EliasFano, "span", None)
+    monkeypatch.setattr(L.EliasFano, "__getitem__", lambda self, i: read.append(len(i)) or one(self, i))
+    if span:
+        monkeypatch.setattr(L.EliasFano, "span", lambda self, lo, hi: read.append(hi - lo) or span(self, lo, hi))
+    for b, a, w in long_ranges():
+        trie = L.Trie(b, a, w, np.full(len(b), 2))
+        del read[:]
+        assert (trie.codes(b, a, w) == 2).all()
+        assert sum(read) < 10 * len(b)
