@@ -33,7 +33,7 @@ scored each. Words are known by a 64-bit hash.
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binscope.llm.text import NONSPACE, mix64, slices, words
+from binscope.llm.text import NONSPACE, give_back, giving_back, mix64, slices, words
 from binscope.session import cut_lineage
 
 LEAST_COUNT = 2
@@ -193,14 +193,18 @@ def _ranks(key: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
     low = len(key).bit_length()
     if int(top).bit_length() + low > 63:
         return np.unique(key, return_inverse=True)
-    x = (key << low) | np.arange(len(key))
+    x = key << low
+    x |= np.arange(len(key))
     x.sort()
-    row = x & ((1 << low) - 1)
+    row = (x & ((1 << low) - 1)).astype(np.int32 if low < 32 else np.int64)
     x >>= low
     new = _changes(x)
-    place = np.empty(len(key), dtype=np.int64)
-    place[row] = np.cumsum(new) - 1
-    return x[new], place
+    x = x[new]
+    at = np.cumsum(new, dtype=row.dtype)
+    at -= 1
+    place = np.empty_like(row)
+    place[row] = at
+    return x, place.astype(np.int64)
 
 
 def _before(group: np.ndarray, n: int) -> np.ndarray:
@@ -317,6 +321,18 @@ def _unpack(x: bytes, arrays: int) -> list[np.ndarray]:
     return out
 
 
+def _clean(run: Callable[..., pa.Table], tables: int) -> Callable[..., pa.Table]:
+    """``run`` over a group of one table or two, then ``give_back``: workers are reused, and what a group took
+    would else stay with its worker."""
+    def work(*given: pa.Table) -> pa.Table:
+        try:
+            return run(*given)
+        finally:
+            give_back()
+
+    return (lambda table: work(table)) if tables == 1 else (lambda table, known: work(table, known))  # Spark counts arguments
+
+
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], type=k.type) for i, k in enumerate(schema)], schema=schema)
 
@@ -456,27 +472,26 @@ class _Grams:
             new = _changes(gram >> wide)
             self.context = np.cumsum(new) - 1
             key = (gram[new] >> wide) << wide
-        self.n = np.bincount(self.gram[n], minlength=len(gram))
-        self.word = np.append(gid + 1, 0)[gram & last]  # 0: none
-        head = heads[key >> wide]
-        place = head % max(v, 1)
-        self.a, self.b, self.shard = gid[key & last], gid[place], head // max(v, 1)
-        self.sizes = np.bincount(self.context, minlength=len(key))
         #: Parts of one context have one number, if there are any.
-        self.whole = _ranks((place << wide) | (key & last), v << wide)[1] if len(rows) else None
+        self.whole = _ranks((heads[key >> wide] % max(v, 1) << wide) | (key & last), v << wide)[1] if len(rows) else None
+        self.train, self.places = self.gram[n], (gram & last, heads[key >> wide], key & last)
         self.gram = self.gram[:len(self.tokens)]
 
-    def messages(self, order: int, block: int) -> list[tuple]:
+    def messages(self, order: int, block: _Block, number: int) -> list[tuple]:
         rows = []
-        ends = np.append(0, np.cumsum(self.sizes))
-        new = np.flatnonzero(_changes(self.shard))
-        for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(self.shard)]):
+        word, head, a = self.places
+        v = max(len(block.gid), 1)
+        n = np.bincount(self.train, minlength=len(word))
+        word, a, b, shard = np.append(block.gid + 1, 0)[word], block.gid[a], block.gid[head % v], head // v  # word 0: none
+        sizes = np.bincount(self.context, minlength=len(head))
+        ends = np.append(0, np.cumsum(sizes))
+        new = np.flatnonzero(_changes(shard))
+        for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(shard)]):
             x, y = ends[lo], ends[hi]
-            first = np.diff(self.b[lo:hi], prepend=0)
-            rows.append((block, order, int(self.shard[lo]), 0 if rows else self.once, _pack(
-                first, self.a[lo:hi] if order == 3 else self.a[:0], self.sizes[lo:hi], self.word[x:y], self.n[x:y])))
+            rows.append((number, order, int(shard[lo]), 0 if rows else self.once, _pack(
+                np.diff(b[lo:hi], prepend=0), a[lo:hi] if order == 3 else a[:0], sizes[lo:hi], word[x:y], n[x:y])))
         if self.once and not rows:
-            rows.append((block, order, 0, self.once, _pack(*[np.zeros(0, np.int64)] * 5)))
+            rows.append((number, order, 0, self.once, _pack(*[np.zeros(0, np.int64)] * 5)))
         return rows
 
 
@@ -507,7 +522,7 @@ def _ask(n_shards: int, split_at: int):
         if table.num_rows:
             block, number = _Block(table, known), table.column("block")[0].as_py()
             for order in (2, 3):
-                rows += _Grams(block, order, n_shards, split_at).messages(order, number)
+                rows += _Grams(block, order, n_shards, split_at).messages(order, block, number)
         return _table(rows, _ASKED)
 
     return run
@@ -554,7 +569,6 @@ def _answer(table: pa.Table) -> pa.Table:
 def _score(n_shards: int, split_at: int, total: float, discounts: dict[int, float]):
     def run(table: pa.Table, known: pa.Table) -> pa.Table:
         block = _Block(table, known)
-        c = block.c[block.ids]
         p = ((block.c + 1) / total)[block.ids]
         for order in (2, 3):
             mine = known.filter(pa.compute.equal(known.column("order"), order)).sort_by("shard")
@@ -569,9 +583,14 @@ def _score(n_shards: int, split_at: int, total: float, discounts: dict[int, floa
             back = np.maximum(1 - (kept_n - d * kept) / seen, 1e-9)
             n = VALUES[code]
             own = np.where(n > 0, n - d, 0) / seen[g.context]
-            p[g.tokens] = own[g.gram] + back[g.context][g.gram] * p[g.tokens]
-        rows = []
-        for x in (np.ones(len(c), dtype=np.int64), (c > 0).astype(np.int64), np.log10(block.c + 1.0)[block.ids], np.log10(p)):
+            del code, kept, kept_n, seen, n
+            new = back[g.context][g.gram]
+            new *= p[g.tokens]
+            new += own[g.gram]
+            p[g.tokens] = new
+            del g, own, back, new
+        rows = [pa.array(np.diff(block.upto))]
+        for x in ((block.c > 0).astype(np.int64)[block.ids], np.log10(block.c + 1.0)[block.ids], np.log10(p, out=p)):
             rows.append(pa.array(np.add.reduceat(x, block.upto[:-1])))
         return pa.table([table.column("doc_id").combine_chunks().flatten(), block.held_out, *rows],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"])
@@ -586,20 +605,20 @@ def score_texts(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "
     kind = rows.schema["doc_id"].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_shards = -(-int(size) // BLOCK_BYTES) or 1
-    blocks = cut_lineage(rows.mapInArrow(_deal(BLOCK_BYTES), _BLOCK.format(kind)), "blocks")
-    asked = blocks.select("block", "words").mapInArrow(_ask_words(n_shards), "shard int, block long, words binary")
-    known = cut_lineage(asked.groupBy("shard").applyInArrow(_add_words(n_shards), _ANSWER), "words")
+    blocks = cut_lineage(rows.mapInArrow(giving_back(_deal(BLOCK_BYTES)), _BLOCK.format(kind)), "blocks")
+    asked = blocks.select("block", "words").mapInArrow(giving_back(_ask_words(n_shards)), "shard int, block long, words binary")
+    known = cut_lineage(asked.groupBy("shard").applyInArrow(_clean(_add_words(n_shards), 1), _ANSWER), "words")
     n, v = known.agg(F.sum("x"), F.sum("y")).first()
     n, v = int(n or 0), int(v or 0)
 
     texts = blocks.select("block", "held_out", "tokens")
     asked = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        _ask(n_shards, SPLIT), "block long, order int, shard int, once long, grams binary")
-    answers = cut_lineage(asked.groupBy("order", "shard").applyInArrow(_answer, _ANSWER), "grams")
+        _clean(_ask(n_shards, SPLIT), 2), "block long, order int, shard int, once long, grams binary")
+    answers = cut_lineage(asked.groupBy("order", "shard").applyInArrow(_clean(_answer, 1), _ANSWER), "grams")
     few = {r["order"]: (r["x"], r["y"]) for r in answers.groupBy("order").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()}
     discounts = {k: few[k][0] / (few[k][0] + 2 * few[k][1]) if few.get(k, (0, 0))[0] else 0.5 for k in (2, 3)}
 
     scored = blocks.select("block", "doc_id", "held_out", "tokens").groupBy("block").cogroup(known.unionByName(answers).groupBy("block")).applyInArrow(
-        _score(n_shards, SPLIT, float(n + v + 1), discounts), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
+        _clean(_score(n_shards, SPLIT, float(n + v + 1), discounts), 2), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
     base = F.col("log_counts") - F.col("n_tokens") * float(np.log10(n + v + 1))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
