@@ -1,6 +1,7 @@
 """Benchmark decontamination (operator 1): suffix arrays of training shards.
 
-Every Arrow batch of documents is one shard. Its words become token ids of the
+Rows of an Arrow batch, about ``SHARD_BYTES`` of text, are one shard: its memory does not grow
+with the batch. Its words become token ids of the
 benchmark's vocabulary (0: not in it), and a suffix array is built over the
 positions where a benchmark window could begin. Every test suffix is then
 binary-searched in it: the range of equal suffixes gives the locations, and
@@ -24,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binscope.llm.text import ALNUM, giving_back, slices, words
+from binscope.llm.text import ALNUM, SLICE_BYTES, SMALL_SLICE_BYTES, giving_back, slices, words
 
 WINDOW = 10
 #: Text bytes of the benchmark that are sent to the tasks at once.
 BLOCK_BYTES = 4 << 20
+#: Text bytes of a shard; at least twice those of the block, as each of its suffixes is searched in every shard.
+SHARD_BYTES = SLICE_BYTES
 
 #: What a pass adds to; the names are the pass's own and are gone from its result.
 _STATE = (("__leak_n_words", "long"), ("__leak_spans", "array<struct<start:long,end:long>>"),
@@ -63,6 +66,7 @@ class TestSuffixes:
         self.item, self.within = item_of[ok], within[ok]
         self.left = n[self.item] - self.within
         self.item_ids = [i for i, _ in items]
+        self.shard_bytes = max(SHARD_BYTES, 2 * sum(len(t.encode()) for _, t in items if t))
         self.longest = int(n.max()) if len(n) else 0
         self.least = int(self.need.min()) if len(self.need) else 0
 
@@ -104,7 +108,8 @@ def _search(tokens: np.ndarray, order: np.ndarray, test: np.ndarray, start: np.n
             need: np.ndarray, after: bool) -> np.ndarray:
     """Binary search of test suffixes' first ``need`` tokens: the first place not before
     (``after``: the first place beyond) the suffixes that begin with them."""
-    lo, hi = np.zeros(len(start), dtype=np.int64), np.full(len(start), len(order), dtype=np.int64)
+    first = tokens[order]
+    lo, hi = (np.searchsorted(first, test[start], side) for side in ("left", "right"))
     while (todo := np.flatnonzero(lo < hi)).size:
         mid = (lo[todo] + hi[todo]) // 2
         at = order[mid]
@@ -151,10 +156,19 @@ def find_matches(tokens: np.ndarray, test: TestSuffixes) -> tuple[np.ndarray, np
     return which, place, length
 
 
+def _batch(column: pa.Array, test: TestSuffixes) -> list[list]:
+    """n_words, spans, items and longest match of every text of one batch, shard by shard."""
+    out: list[list] = [[], [], [], []]
+    for lo, hi, _, _ in slices(column, test.shard_bytes):
+        for part, x in zip(out, _shard(column.slice(lo, hi - lo), test)):
+            part += x
+    return out
+
+
 def _shard(column: pa.Array, test: TestSuffixes) -> list[list]:
-    """n_words, spans, items and longest match of every text of one batch."""
+    """What ``_batch`` gives, of the texts of one shard."""
     parts, n_words = [], []
-    for _, _, buf, offs in slices(column):
+    for _, _, buf, offs in slices(column, SMALL_SLICE_BYTES):
         _, _, h, upto = words(buf, offs, ALNUM, lower=True)
         ids = np.zeros(len(h) + len(offs) - 1, dtype=np.int64)  # a 0 behind every document
         ids[np.arange(len(h)) + np.repeat(np.arange(len(offs) - 1), np.diff(upto))] = token_ids(test.vocabulary, h)
@@ -219,7 +233,7 @@ def _scan(sent, text: str, window: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
-            n_words, spans, items, longest = _shard(cols[text], sent.value)
+            n_words, spans, items, longest = _batch(cols[text], sent.value)
             names_of = [k for k, _ in _STATE]
             had = [cols[k].to_pylist() for k in names_of[1:]]
             new = (n_words, [_union(a or [], v) for a, v in zip(had[0], spans)],

@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +52,8 @@ REGISTERS = BANDS * ROWS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPOT = np.uint64(0xD1B54A32D192ED03)
 _SLICE = SMALL_SLICE_BYTES
+#: Text bytes of the pairs that are compared at once.
+_PAIR_BYTES = 2 << 20
 #: So many times as many leaders of a bucket in each round, after one in the first.
 LEADERS = 4
 #: Points of a process that are drawn at once after the first.
@@ -167,23 +170,31 @@ def with_node(docs: DataFrame, text: str = "text") -> DataFrame:
 def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose texts' shingle sets have a Jaccard similarity of ``SIMILARITY`` or more."""
     for batch in batches:
-        sets: list[list[np.ndarray]] = [[], []]
-        for side in (0, 1):
-            column = batch.column(2 + side).dictionary_encode()  # a leader's text comes with many pairs
-            texts: list[np.ndarray] = []
-            for lo, hi, buf, offs in slices(column.dictionary, _SLICE):
-                _, _, (row, key), _ = shingles(buf, offs)
-                bounds = np.searchsorted(row, np.arange(hi - lo + 1, dtype=np.uint64))
-                texts += [key[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-            sets[side] = [texts[i] for i in column.indices.to_pylist()]
-        keep = []
-        for a, b in zip(*sets):
-            if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
-                keep.append(False)
-                continue
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(both >= SIMILARITY * (len(a) + len(b) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
+        size = np.cumsum(sum(pc.binary_length(batch.column(k)).to_numpy(zero_copy_only=False).astype(np.int64) for k in (2, 3)))
+        part = size // _PAIR_BYTES  # the sets of a part of the pairs are held at once
+        ends = [*(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]
+        for lo, hi in zip([0, *ends], ends):
+            yield _similar(batch.slice(lo, hi - lo))
+
+
+def _similar(pairs: pa.RecordBatch) -> pa.RecordBatch:
+    sets: list[list[np.ndarray]] = [[], []]
+    for side in (0, 1):
+        column = pairs.column(2 + side).dictionary_encode()  # a leader's text comes with many pairs
+        texts: list[np.ndarray] = []
+        for lo, hi, buf, offs in slices(column.dictionary, _SLICE):
+            _, _, (row, key), _ = shingles(buf, offs)
+            bounds = np.searchsorted(row, np.arange(hi - lo + 1, dtype=np.uint64))
+            texts += [key[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        sets[side] = [texts[i] for i in column.indices.to_pylist()]
+    keep = []
+    for a, b in zip(*sets):
+        if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
+            keep.append(False)
+            continue
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        keep.append(both >= SIMILARITY * (len(a) + len(b) - both))
+    return pa.RecordBatch.from_arrays([pairs.column(0), pairs.column(1)], names=["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
 
 
 def components(links: DataFrame) -> DataFrame:

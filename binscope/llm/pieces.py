@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binscope.llm.text import giving_back, text_column
+from binscope.llm.text import cache_of, giving_back, text_column
 
 BLANK = "▁"
 #: Chunks, and parts of them, that a worker keeps; later ones are kept for one slice of texts.
@@ -183,7 +183,7 @@ class Vocabulary:
         return [i for part in self.cut(chunk) for i in self.merge(part)]
 
 
-_VOCABULARY: dict[str, Vocabulary] = {}
+_VOCABULARY: dict[str, Vocabulary] = cache_of("pieces")
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -245,7 +245,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: list[
     kept = docs.columns if keep is None else keep
     own = ["__pieces_n", "__pieces_ids", "__pieces_text"]
     shown = docs.select(*[F.col(f"`{c}`") for c in kept], *[F.lit(None).cast(t).alias(k) for k, t in zip(own, ("long", "string", "string"))]).schema
-    out = docs.mapInArrow(giving_back(_scan(path, text, shown.names, own)), shown)
+    out = docs.mapInArrow(giving_back(_scan(path, text, shown.names, own), keeps="pieces"), shown)
     return out.select(*[F.col(f"`{c}`") for c in kept], F.struct(
         *[F.col(k).alias(c) for k, c in zip(own, ("n_tokens", "ids_sha256", "decoded_sha256"))]).alias("_pieces"))
 
@@ -261,4 +261,4 @@ def encode_ids(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             cols["token_ids"] = pa.array([v.encode(t) for t in text_column(cols[text]).to_pylist()], type=pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([cols[k] for k in shown.names], names=shown.names)
 
-    return docs.mapInArrow(giving_back(run), shown)
+    return docs.mapInArrow(giving_back(run, keeps="pieces"), shown)

@@ -141,12 +141,30 @@ def give_back() -> None:
         trim(0)
 
 
-def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run`` over the Arrow batches of a task, then ``give_back``.
+#: What operators keep in this process from task to task, by name.
+_KEPT: dict[str, dict] = {}
+
+
+def cache_of(name: str) -> dict:
+    """A cache of this process that stays until a task of an operator that does not keep it."""
+    return _KEPT.setdefault(name, {})
+
+
+def let_go(but: str | None = None) -> None:
+    """Empty the caches of other operators than ``but``."""
+    for name, cache in _KEPT.items():
+        if name != but:
+            cache.clear()
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                keeps: str | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over the Arrow batches of a task, then ``give_back``; of the caches, only ``keeps`` is left to it.
 
     Workers are reused: what the temporaries of a task took would else stay with its worker, beside
-    those of later stages and the executor's own memory."""
+    those of later stages and the executor's own memory, and so would the caches of earlier stages."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(keeps)
         try:
             yield from run(batches)
         finally:

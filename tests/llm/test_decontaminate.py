@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from binscope.llm import decontaminate as D
 
@@ -90,3 +91,28 @@ def test_awkward_rows_and_empty_tables(spark):
     assert by_row(kept.select("doc_id", "text").collect()) == by_row(x for x in rows if not brute(x[1], items)[1])
     assert D.decontaminate(empty(spark), bench).count() == 0
     assert D.decontaminate(awkward(spark), bench.limit(0)).count() == len(rows)
+
+
+def test_shards_give_the_same_and_bound_the_memory(monkeypatch):
+    """A batch may be many MB, beside an executor's heap; only a shard of it is searched at once."""
+    import tracemalloc
+    r = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(300)]
+    texts = [" ".join(r.choices(vocabulary, k=500)) for _ in range(4000)] + [None, ""]
+    items = [(str(k), " ".join(texts[97 * k].split()[k:k + 12])) for k in range(40)] + [("all", " ".join(vocabulary))]
+    column = pa.array(texts)
+    assert column.nbytes > 7_000_000
+    test = D.TestSuffixes(items, 10)
+    tracemalloc.start()
+    got = D._batch(column, test)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40e6
+    assert [len(x) for x in got] == [len(texts)] * 4 and sum(map(bool, got[2])) >= 40
+    assert got == D._shard(column, test)
+    some = column.slice(0, 200)
+    monkeypatch.setattr(D, "SHARD_BYTES", 3000)
+    small = D.TestSuffixes(items[:3], 10)
+    assert small.shard_bytes < 4000
+    assert D._batch(some, small) == D._shard(some, small)
+    assert D._batch(column.slice(0, 0), small) == [[], [], [], []]

@@ -165,3 +165,22 @@ def test_awkward_rows_and_empty_tables(spark):
     assert by_row(kept.select("doc_id", "text").collect()) == by_row(want)
     assert N.near_duplicate_classes(empty(spark)).count() == 0
     assert N.drop_near_duplicates(empty(spark)).count() == 0
+
+
+def test_pairs_are_compared_in_parts(monkeypatch):
+    """The sets of a batch's texts are not all held at once, and parts give the same links."""
+    import tracemalloc
+    r = random.Random(4)
+    texts = [" ".join(r.choices("abcdefghij", k=1500)) for _ in range(1500)]
+    other = [t if k % 3 else t[::-1] for k, t in enumerate(texts)]
+    ids = [k.to_bytes(4, "big") for k in range(len(texts))]
+    batch = pa.RecordBatch.from_pydict({"a": pa.array(ids, pa.binary()), "b": pa.array(ids, pa.binary()), "text_a": texts, "text_b": other})
+    tracemalloc.start()
+    parts = list(N._similarity(iter([batch, batch.slice(0, 0)])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = [k for k in range(len(texts)) if k % 3]
+    assert sorted(int.from_bytes(x, "big") for b in parts for x in b.column(0).to_pylist()) == whole
+    assert most < 25e6
+    monkeypatch.setattr(N, "_PAIR_BYTES", 1)
+    assert sum(b.num_rows for b in N._similarity(iter([batch.slice(0, 30)]))) == 20

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from binscope.llm import pieces as P
@@ -69,3 +70,24 @@ def test_short_and_long_texts_merge_alike(vocabulary, monkeypatch):
         by_heap = [v.merge(t) for t in texts]
     monkeypatch.setattr(P.heapq, "heapify", lambda x: 1 / 0)
     assert [v.merge(t) for t in texts] == by_heap
+
+
+def test_a_worker_keeps_the_caches_until_a_task_of_another_operator():
+    from binscope.llm import text as T
+    P._VOCABULARY.clear()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["some text"]})
+    run = P._scan(PATH, "text", ["doc_id", "n", "ids", "plain"], ["n", "ids", "plain"])
+    for _ in range(2):
+        list(T.giving_back(run, keeps="pieces")(iter([batch])))
+        assert len(P._VOCABULARY[PATH].chunk_ids) == 2
+    list(T.giving_back(lambda b: b)(iter([batch])))
+    assert not P._VOCABULARY and not T.cache_of("pieces")
+
+
+def test_scans_are_sent_without_the_drivers_caches():
+    """A worker empties its own caches, not a copy that came with the task."""
+    from pyspark.cloudpickle import dumps
+
+    from binscope.llm import text as T
+    P.vocabulary(PATH)
+    assert len(dumps(T.giving_back(P._scan("x", "text", ["a"], ["a"]), keeps="pieces"))) < 50_000
